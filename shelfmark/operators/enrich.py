@@ -13,6 +13,7 @@ from ..functions.names import has_special_remark
 from ..functions.text import is_blank
 from ..functions.texts import preferred_text
 from ..functions.urls import ImagePolicy
+from ..schemas import nullable
 
 OVERWRITE, FILL_EMPTY, PREFER_SOURCE, KEEP = "overwrite", "fill_empty", "prefer_source", "keep"
 
@@ -64,7 +65,7 @@ def merge_by_rules(left: DataFrame, right: DataFrame, key: str, rules: dict[str,
     )
     joined = left.join(source, left[key] == source["_key"], "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))
-    types = {f.name: f.dataType for f in left.schema.fields}
+    types = {f.name: nullable(f.dataType) for f in left.schema.fields}
     new = {
         f: F.when(hit, merged_value(rule, left[f], F.col(f"_s_{f}"), types[f])).otherwise(left[f])
         for f, rule in rules.items()
@@ -92,7 +93,7 @@ def card_updates(
     source by its own, both of them unique.
     """
     rules = rules or CARD_RULES
-    types = {f.name: f.dataType for f in cards.schema.fields}
+    types = {f.name: nullable(f.dataType) for f in cards.schema.fields}
     s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns])
     paired = cards.join(matches.select(card_id, F.col(source_id).alias("_sid")), card_id)
     joined = paired.join(s, F.col("_sid") == F.col(f"s_{source_id}"))

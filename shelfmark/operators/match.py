@@ -17,6 +17,18 @@ from ..functions.arrays import normalise_set_name
 ANY, NO_SET, SET = "any", "no_set", "set"
 
 
+def _place(scope: str, name: Column | None = None) -> Column:
+    """Where a right row can be found besides its code: anywhere, without a set, or under a set name."""
+    return F.named_struct(F.lit("scope"), F.lit(scope), F.lit("name"), F.lit("") if name is None else name)
+
+
+def _set_places(sets: str, otherwise: str) -> Column:
+    names = F.array_distinct(F.transform(F.array_compact(sets), normalise_set_name))
+    return F.when(F.col(sets).isNull(), F.array(_place(otherwise))).otherwise(
+        F.transform(names, lambda s: _place(SET, s))
+    )
+
+
 def first_match(
     left: DataFrame,
     right: DataFrame,
@@ -32,34 +44,18 @@ def first_match(
     The set test passes when either set column is null; an empty set column overlaps nothing.
     Result: ``left_id, right_id`` of matched rows.
     """
-    names = F.transform(F.array_compact(right_sets), normalise_set_name)
-    places = F.concat(
-        F.array(F.struct(F.lit(ANY).alias("scope"), F.lit("").alias("name"))),
-        F.when(F.col(right_sets).isNull(), F.array(F.struct(F.lit(NO_SET).alias("scope"), F.lit("").alias("name"))))
-        .otherwise(F.transform(names, lambda s: F.struct(F.lit(SET).alias("scope"), s.alias("name")))),
-    )
+    places = F.concat(F.array(_place(ANY)), _set_places(right_sets, otherwise=NO_SET))
     index = (
         right.select(F.col(right_id), F.explode(right_keys).alias("code"), places.alias("_places"))
-        .select(right_id, "code", F.explode("_places").alias("_place"))
-        .groupBy("code", F.col("_place.scope").alias("scope"), F.col("_place.name").alias("name"))
+        .select(right_id, "code", F.inline("_places"))
+        .groupBy("code", "scope", "name")
         .agg(F.min(right_id).alias(right_id))
     )
-    own = F.transform(F.array_compact(left_sets), normalise_set_name)
-    asked = F.when(
-        F.col(left_sets).isNull(), F.array(F.struct(F.lit(ANY).alias("scope"), F.lit("").alias("name")))
-    ).otherwise(
-        F.when(
-            F.size(left_sets) > 0,
-            F.concat(
-                F.array(F.struct(F.lit(NO_SET).alias("scope"), F.lit("").alias("name"))),
-                F.transform(F.array_distinct(own), lambda s: F.struct(F.lit(SET).alias("scope"), s.alias("name"))),
-            ),
-        ).otherwise(F.array(F.struct(F.lit(NO_SET).alias("scope"), F.lit("").alias("name"))))
+    asked = F.when(F.col(left_sets).isNull(), F.array(_place(ANY))).otherwise(
+        F.concat(F.array(_place(NO_SET)), _set_places(left_sets, otherwise=NO_SET))
     )
-    probes = (
-        left.select(left_id, F.explode(left_keys).alias("code"), asked.alias("_asked"))
-        .select(left_id, "code", F.explode("_asked").alias("_ask"))
-        .select(left_id, "code", F.col("_ask.scope").alias("scope"), F.col("_ask.name").alias("name"))
+    probes = left.select(left_id, F.explode(left_keys).alias("code"), asked.alias("_asked")).select(
+        left_id, "code", F.inline("_asked")
     )
     return (
         probes.join(index, ["code", "scope", "name"]).groupBy(left_id).agg(F.min(right_id).alias(right_id))
@@ -113,11 +109,12 @@ def _stem_probes(df: DataFrame, row_id: str, stems: Column, properties: list[str
     for size in sizes:
         for subset in combinations(properties, size):
             given, joint = _agreement_key(subset)
-            subsets.append(F.when(given, F.struct(F.lit("+".join(subset)).alias("subset"), F.lit(size).alias("size"), joint.alias("joint"))))
+            entry = F.named_struct(
+                F.lit("subset"), F.lit("+".join(subset)), F.lit("size"), F.lit(size), F.lit("joint"), joint
+            )
+            subsets.append(F.when(given, entry))
     fanned = df.select(row_id, F.explode(stems).alias("stem"), F.array_compact(F.array(*subsets)).alias("_subsets"))
-    return fanned.select(row_id, "stem", F.explode("_subsets").alias("_s")).select(
-        row_id, "stem", F.col("_s.subset").alias("subset"), F.col("_s.size").alias("size"), F.col("_s.joint").alias("joint")
-    )
+    return fanned.select(row_id, "stem", F.inline("_subsets"))
 
 
 def scored_match(

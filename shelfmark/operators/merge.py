@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from ..schemas import nullable
+
 PRESENT = "_present"
 
 
@@ -39,11 +41,6 @@ def _merged(path: str, old_type, new_type, matched: Column, per_row: bool) -> Co
     return F.when(given, new).otherwise(old)
 
 
-def _plain_struct_fix(schema_old: StructType, schema_new: StructType) -> dict[str, tuple]:
-    new_types = {f.name: f.dataType for f in schema_new.fields}
-    return {f.name: (f.dataType, new_types.get(f.name)) for f in schema_old.fields}
-
-
 def merge_upsert(target: DataFrame, updates: DataFrame, key: str, how: str = "full_outer") -> DataFrame:
     """Listed fields overwrite, absent fields stay, null overwrites, nested structs merge by field.
 
@@ -57,7 +54,9 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str, how: str = "fu
     joined = t.join(u, F.col(f"t.{key}") == F.col(f"u.{key}"), how)
     matched = F.coalesce(F.col("u._matched"), F.lit(False))
     columns = []
-    for name, (old_type, new_type) in _plain_struct_fix(target.schema, updates.schema).items():
+    new_types = {f.name: f.dataType for f in updates.schema.fields}
+    for field in target.schema.fields:
+        name, old_type, new_type = field.name, field.dataType, new_types.get(field.name)
         if name == key:
             columns.append(F.coalesce(F.col(f"t.{key}"), F.col(f"u.{key}")).alias(key))
         elif new_type is None:
@@ -65,7 +64,8 @@ def merge_upsert(target: DataFrame, updates: DataFrame, key: str, how: str = "fu
         elif isinstance(old_type, StructType) and isinstance(new_type, StructType):
             columns.append(_merged(name, old_type, new_type, matched, per_row).alias(name))
         else:
-            columns.append(_merged(name, old_type, new_type, matched, per_row).cast(old_type).alias(name))
+            merged = _merged(name, old_type, new_type, matched, per_row)
+            columns.append(merged.cast(nullable(old_type)).alias(name))
     for name in updates.columns:
         if name not in target.columns and name != PRESENT:
             columns.append(F.when(matched & _present(name, per_row), F.col(f"u.{name}")).alias(name))

@@ -32,14 +32,17 @@ def run_counters(classified: DataFrame, errors: DataFrame | None = None, by: str
 
     Rejected rows stay in their own table; the record carries their number, not a list of them.
     """
+    rows = classified.select("change_kind", *([by] if by else []))
+    if errors is not None:
+        rejected = errors.select(F.lit("rejected").alias("change_kind"), *([by] if by else []))
+        rows = rows.unionByName(rejected)
+    kind = F.col("change_kind")
     aggs = [
         F.count(F.lit(1)).alias("items_processed"),
-        F.count_if(~F.col("change_kind").isin(*NOT_WRITTEN)).alias("items_updated"),
+        F.count_if(~kind.isin(*NOT_WRITTEN, "rejected")).alias("items_updated"),
+        F.count_if(kind == "rejected").alias("n_errors"),
     ]
-    counted = classified.groupBy(by).agg(*aggs) if by else classified.agg(*aggs)
-    if errors is None or by:
-        return counted
-    return counted.crossJoin(errors.agg(F.count(F.lit(1)).alias("n_errors")))  # one row times one row
+    return rows.groupBy(by).agg(*aggs) if by else rows.agg(*aggs)
 
 
 def match_counters(left: DataFrame, matches: DataFrame, updates: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
 
 _schema = StructType.fromDDL
 
@@ -29,3 +29,14 @@ RUN = _schema(
     "filters_updated BOOLEAN, sync_status STRING, sync_start TIMESTAMP, sync_end TIMESTAMP, "
     "sync_duration BIGINT, sync_errors ARRAY<STRING>"
 )
+
+
+def nullable(data_type: DataType) -> DataType:
+    """The type with nulls allowed at every depth; casting to a stricter one is refused."""
+    if isinstance(data_type, ArrayType):
+        return ArrayType(nullable(data_type.elementType), True)
+    if isinstance(data_type, MapType):
+        return MapType(data_type.keyType, nullable(data_type.valueType), True)
+    if isinstance(data_type, StructType):
+        return StructType([StructField(f.name, nullable(f.dataType), True) for f in data_type.fields])
+    return data_type

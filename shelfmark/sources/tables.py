@@ -19,6 +19,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _filesystem(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Completely written versions of a table, ascending."""
     fs, p = _filesystem(spark, base)

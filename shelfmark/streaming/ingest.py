@@ -23,9 +23,13 @@ def feed_stream(spark: SparkSession, path: str, record: StructType, field: str =
 
 
 def table_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Files of a Parquet table as a stream."""
+    """Files of a Parquet table (or one single file) as a stream."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    if tables.is_file(spark, path):
+        folder, _, name = path.rpartition("/")
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
 
 
 def upsert_stream(
