@@ -10,7 +10,8 @@ from .text import blank_to_null
 
 def attribute(attrs: Column, name: str) -> Column:
     """Value of the first entry with that name; empty text is null."""
-    return blank_to_null(first_where(attrs, lambda a: a["name"] == name)["value"])
+    at = F.array_position(attrs["name"], F.lit(name)).cast("int")
+    return blank_to_null(F.get(attrs["value"], at - 1))
 
 
 def attribute_values(attrs: Column, name: str) -> Column:
@@ -20,9 +21,9 @@ def attribute_values(attrs: Column, name: str) -> Column:
     )
 
 
-def has_attribute(attrs: Column, name: str) -> Column:
-    """True when any entry with that name carries a value."""
-    return F.exists(attrs, lambda a: (a["name"] == name) & F.coalesce(a["value"] != "", F.lit(False)))
+def has_any_attribute(attrs: Column, names: list[str]) -> Column:
+    """True when any entry with one of the names carries a value."""
+    return F.exists(attrs, lambda a: a["name"].isin(names) & F.coalesce(a["value"] != "", F.lit(False)))
 
 
 def attribute_map(attrs: Column) -> Column:

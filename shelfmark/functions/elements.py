@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .arrays import no_strings, split_clean
-from .attributes import attribute, has_attribute
+from .attributes import has_any_attribute
 from .labels import map_literal
 from .text import capitalise
 
@@ -40,34 +40,28 @@ def rarity_label(code: Column, promo: Column) -> Column:
     return F.when(promo, F.lit("Promo")).otherwise(translate_value(code, RARITIES))
 
 
-def _crystal_number(attrs: Column) -> Column:
-    return F.coalesce(F.upper(attribute(attrs, "Number")).startswith("C-"), F.lit(False))
+def _crystal_number(number: Column) -> Column:
+    return F.coalesce(F.upper(number).startswith("C-"), F.lit(False))
 
 
-def row_elements(attrs: Column) -> Column:
+def row_elements(kind: Column, number: Column, element: Column) -> Column:
     """Elements of a marketplace row; crystals, by type or code, have just that element."""
-    crystal = F.coalesce(F.lower(attribute(attrs, "CardType")) == "crystal", F.lit(False))
-    listed = F.transform(split_clean(attribute(attrs, "Element"), "[;,]"), capitalise)
-    return F.when(crystal | _crystal_number(attrs), F.array(F.lit(CRYSTAL))).otherwise(
+    crystal = F.coalesce(F.lower(kind) == "crystal", F.lit(False))
+    listed = F.transform(split_clean(element, "[;,]"), capitalise)
+    return F.when(crystal | _crystal_number(number), F.array(F.lit(CRYSTAL))).otherwise(
         F.coalesce(listed, no_strings())
     )
 
 
-def row_type(attrs: Column) -> Column:
+def row_type(kind: Column, number: Column) -> Column:
     """Type attribute, or crystal when the code says so."""
-    return F.when(_crystal_number(attrs), F.lit(CRYSTAL)).otherwise(attribute(attrs, "CardType"))
-
-
-def is_non_card(attrs: Column) -> Column:
-    """A row with a type other than sealed product, or with a code, power or job, is a card."""
-    kind = F.lower(attribute(attrs, "CardType"))
-    typed = F.coalesce(kind != "sealed product", F.lit(False))
-    return ~(
-        typed
-        | has_attribute(attrs, "Number")
-        | has_attribute(attrs, "Power")
-        | has_attribute(attrs, "Job")
-    )
+    return F.when(_crystal_number(number), F.lit(CRYSTAL)).otherwise(kind)
+
+
+def is_non_card(kind: Column, attrs: Column) -> Column:
+    """A row with a type other than sealed product, or with any code, power or job, is a card."""
+    typed = F.coalesce(F.lower(kind) != "sealed product", F.lit(False))
+    return ~(typed | has_any_attribute(attrs, ["Number", "Power", "Job"]))
 
 
 def is_source_crystal(kind: Column, code: Column) -> Column:

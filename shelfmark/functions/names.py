@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .arrays import no_strings
 from .text import SPACE, WORD_END, WORD_START, extract, let, replace_first_each, squeeze, strip
 
 _DASH = "[-–—]"
@@ -77,10 +78,16 @@ _NESTED_REMARK = rf"^\d+{SPACE}+\((.+)\z"
 
 def search_name(name: Column) -> Column:
     """Name without codes and remarks; an ``EX`` or ``LB`` mark lost that way is put back."""
-    bare = strip(replace_first_each(name, SEARCH_STRIPS))
-    mark = extract(bare, rf"{WORD_START}(EX|LB){WORD_END}")
-    clean = strip(F.regexp_replace(bare, rf"{SPACE}*\([^)]+\)", ""))
-    return F.when(clean.contains(mark), clean).otherwise(F.concat_ws(" ", clean, mark))
+
+    def without_remarks(bare: Column) -> Column:
+        mark = F.when(bare.rlike("EX|LB"), extract(bare, rf"{WORD_START}(EX|LB){WORD_END}"))
+        clean = F.when(bare.contains("("), strip(F.regexp_replace(bare, rf"{SPACE}*\([^)]+\)", ""))).otherwise(bare)
+        return let(
+            F.struct(clean.alias("clean"), mark.alias("mark")),
+            lambda x: F.when(x["clean"].contains(x["mark"]), x["clean"]).otherwise(F.concat_ws(" ", x["clean"], x["mark"])),
+        )
+
+    return let(strip(replace_first_each(name, SEARCH_STRIPS, _DASH)), without_remarks)
 
 
 def _cut_dangling(col: Column) -> Column:
@@ -104,18 +111,17 @@ def display_name(name: Column, codes: Column) -> Column:
     )
 
     def assemble(bare: Column) -> Column:
-        base = F.regexp_extract(bare, rf"(?s)^(.*?)(?:{SPACE}*\((?-s:.*?)\).*)?\z", 1)
-        remarks = F.array_compact(
-            F.transform(F.regexp_extract_all(bare, F.lit(r"\((.*?)\)"), F.lit(1)), _kept_remark)
-        )
+        base = F.regexp_replace(bare, rf"(?s){SPACE}*\((?-s:.*?)\).*\z", "")
+        found = F.regexp_extract_all(bare, F.lit(r"\((.*?)\)"), F.lit(1))
+        remarks = F.when(bare.contains("("), F.array_compact(F.transform(found, _kept_remark))).otherwise(no_strings())
         return let(
             remarks,
-            lambda kept: F.concat_ws(
-                " ", base, kept, F.when(promo & (F.size(kept) == 0), F.lit("(Promo)"))
-            ),
+            lambda kept: F.concat_ws(" ", base, kept, F.when(promo & (F.size(kept) == 0), F.lit("(Promo)"))),
         )
 
-    return squeeze(let(_cut_dangling(strip(replace_first_each(name, DISPLAY_STRIPS))), assemble))
+    bare = replace_first_each(name, DISPLAY_STRIPS[:3], r"\((?:PR|\d|[A-C]-)")
+    bare = let(bare, lambda n: strip(replace_first_each(n, DISPLAY_STRIPS[3:], "[-–—/]")))
+    return squeeze(let(let(bare, _cut_dangling), assemble))
 
 
 def has_special_remark(name: Column) -> Column:

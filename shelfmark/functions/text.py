@@ -42,15 +42,23 @@ def is_blank(col: Column) -> Column:
 
 
 def replace_first(col: Column, pattern: str, replacement: str = "") -> Column:
-    """Replace only the leftmost match (Spark's ``regexp_replace`` replaces all of them)."""
-    return F.regexp_replace(col, rf"(?s)^(.*?)(?-s:{pattern})", "$1" + replacement)
+    """Replace only the leftmost match (Spark's ``regexp_replace`` replaces all of them).
+
+    The expression matches from the first hit to the end of the text, so there is one hit, found
+    at the speed of a plain search; what follows it is put back.
+    """
+    return F.regexp_replace(col, rf"{pattern}(?<rest>(?s:.*))\z", replacement + "${rest}")
 
 
-def replace_first_each(col: Column, patterns: list[str]) -> Column:
-    """Drop the leftmost match of each pattern, one pattern after the other."""
+def replace_first_each(col: Column, patterns: list[str], only_with: str | None = None) -> Column:
+    """Drop the leftmost match of each pattern, one pattern after the other.
+
+    ``only_with`` is a character class every match contains: texts without it are passed through.
+    """
+    out = col
     for pattern in patterns:
-        col = replace_first(col, pattern)
-    return col
+        out = replace_first(out, pattern)
+    return out if only_with is None else F.when(col.rlike(only_with), out).otherwise(col)
 
 
 def extract(col: Column, pattern: str, group: int = 1) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from .elements import ELEMENTS
-from .text import SPACE, SPACE_CHARS, WORD_END, WORD_START, blank_to_null, is_blank, strip
+from .text import SPACE, SPACE_CHARS, WORD_END, WORD_START, blank_to_null, is_blank, let, strip
 
 # The cost word and the ability mark.
 COST_WORD = "Dull"
@@ -22,19 +22,31 @@ def rules_text(col: Column, keep_cost_words: bool = False) -> Column:
     all there is, or ``keep_cost_words``) and the bracketed one stays; right of it a doubled cost word
     becomes one and brackets go.
     """
-    text = F.regexp_replace(blank_to_null(col), rf"(?i){WORD_START}ex burst{WORD_END}", ABILITY_MARK)
-    text = F.regexp_replace(text, rf"<[^>]+>{COST_WORD}</[^>]+>", COST_WORD)
-    left = F.rtrim(F.substring_index(text, ":", 1), F.lit(SPACE_CHARS))
-    right = F.ltrim(F.substring_index(text, ":", -1), F.lit(SPACE_CHARS))
+    # plain searches first: long texts without the words are not put through the expressions
+    def mark(text: Column) -> Column:
+        marked = F.regexp_replace(text, rf"(?i){WORD_START}ex burst{WORD_END}", ABILITY_MARK)
+        return F.when(F.lower(text).contains("ex burst"), marked).otherwise(text)
+
+    def untag(text: Column) -> Column:
+        plain = F.regexp_replace(text, rf"<[^>]+>{COST_WORD}</[^>]+>", COST_WORD)
+        return F.when(text.contains(f"{COST_WORD}</"), plain).otherwise(text)
+
+    def by_side(text: Column) -> Column:
+        one_colon = F.length(F.replace(text, F.lit(":"), F.lit(""))) == F.length(text) - 1
+        left = F.rtrim(F.substring_index(text, ":", 1), F.lit(SPACE_CHARS))
+        right = F.ltrim(F.substring_index(text, ":", -1), F.lit(SPACE_CHARS))
+        if not keep_cost_words:
+            kept = ~left.contains(COST_WORD) | (strip(left) == COST_WORD)
+            left = F.when(kept, left).otherwise(F.regexp_replace(left, bare_cost, ""))
+        doubled = F.regexp_replace(right, rf"{WORD_START}{COST_WORD}{SPACE}+{COST_WORD}{WORD_END}", COST_WORD)
+        right = F.when(right.contains(COST_WORD), doubled).otherwise(right)
+        right = F.replace(right, F.lit(f"[{COST_WORD}]"), F.lit(COST_WORD))
+        return F.when(one_colon, F.concat(left, F.lit(": "), right)).otherwise(text)
+
     bare_cost = (
         rf"(?<![A-Za-z0-9_\[]){COST_WORD}{WORD_END}|{WORD_START}{COST_WORD}(?![A-Za-z0-9_\]])"
     )
-    if not keep_cost_words:
-        left = F.when(strip(left) == COST_WORD, left).otherwise(F.regexp_replace(left, bare_cost, ""))
-    right = F.regexp_replace(right, rf"{WORD_START}{COST_WORD}{SPACE}+{COST_WORD}{WORD_END}", COST_WORD)
-    right = F.replace(right, F.lit(f"[{COST_WORD}]"), F.lit(COST_WORD))
-    one_colon = F.length(F.replace(text, F.lit(":"), F.lit(""))) == F.length(text) - 1
-    return F.when(one_colon, F.concat(left, F.lit(": "), right)).otherwise(text)
+    return let(let(let(blank_to_null(col), mark), untag), by_side)
 
 
 def translated_text(col: Column) -> Column:

@@ -28,6 +28,20 @@ FACET_FIELDS = {
 }
 
 
+# Attributes of a product row and the columns they are read into.
+ATTRIBUTES = {
+    "Number": "number",
+    "CardType": "raw_type",
+    "Category": "raw_category",
+    "Cost": "raw_cost",
+    "Power": "raw_power",
+    "Description": "raw_text",
+    "Element": "raw_element",
+    "Job": "job",
+    "Rarity": "rarity",
+}
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where feeds land and where tables live."""
@@ -77,21 +91,20 @@ class Run:
 def cleaned_cards(products: DataFrame, groups: DataFrame, images: urls.ImagePolicy) -> DataFrame:
     """Marketplace rows to cleaned cards with their fingerprint: one projection and the group look-up."""
     attrs = F.col("extended_data")
+    # every attribute is looked up once; the rules below read plain columns
     base = products.select(
         "product_id",
         "group_id",
         "modified_on",
         F.col("name").alias("raw_name"),
         F.col("clean_name").alias("raw_clean_name"),
-        "image_url",
-        attrs,
         codes.row_codes(attrs).alias("card_numbers"),
-        attribute(attrs, "Category").alias("raw_category"),
-    )
-    named = base.withColumn("categories", labels.categories(F.col("raw_category"))).withColumn(
-        "image", urls.image_record(F.col("image_url"), images)
+        labels.categories(attribute(attrs, "Category")).alias("categories"),
+        urls.image_record(F.col("image_url"), images).alias("image"),
+        attrs,
+        *[attribute(attrs, name).alias(column) for name, column in ATTRIBUTES.items()],
     )
-    cards = named.select(
+    cards = base.select(
         "product_id",
         names.display_name(F.col("raw_name"), F.col("card_numbers")).alias("name"),
         names.search_name(F.col("raw_name")).alias("clean_name"),
@@ -100,20 +113,20 @@ def cleaned_cards(products: DataFrame, groups: DataFrame, images: urls.ImagePoli
         F.col("image.low_res_url").alias("low_res_url"),
         F.col("image.metadata").alias("image_metadata"),
         "group_id",
-        elements.is_non_card(attrs).alias("is_non_card"),
+        elements.is_non_card(F.col("raw_type"), attrs).alias("is_non_card"),
         "card_numbers",
         codes.primary_code(F.col("card_numbers")).alias("primary_card_number"),
         codes.full_code(F.col("card_numbers")).alias("full_card_number"),
-        elements.row_type(attrs).alias("card_type"),
+        elements.row_type(F.col("raw_type"), F.col("number")).alias("card_type"),
         labels.join_labels(F.col("categories")).alias("category"),
         "categories",
-        parse_number(attribute(attrs, "Cost")).alias("cost"),
-        texts.rules_text(attribute(attrs, "Description")).alias("description"),
-        elements.row_elements(attrs).alias("elements"),
-        attribute(attrs, "Job").alias("job"),
-        attribute(attrs, "Number").alias("number"),
-        parse_number(attribute(attrs, "Power")).alias("power"),
-        attribute(attrs, "Rarity").alias("rarity"),
+        parse_number(F.col("raw_cost")).alias("cost"),
+        texts.rules_text(F.col("raw_text")).alias("description"),
+        elements.row_elements(F.col("raw_type"), F.col("number"), F.col("raw_element")).alias("elements"),
+        "job",
+        "number",
+        parse_number(F.col("raw_power")).alias("power"),
+        "rarity",
         "raw_name",
         "raw_clean_name",
         "raw_category",

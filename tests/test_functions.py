@@ -35,7 +35,7 @@ def test_attributes(spark):
         attributes.attribute(F.col("a"), "Cost"),
         attributes.attribute(F.col("a"), "Number"),
         attributes.attribute_map(F.col("a")),
-        attributes.has_attribute(F.col("a"), "Number"),
+        attributes.has_any_attribute(F.col("a"), ["Number"]),
     ).collect()
     assert tuple(got[0]) == ("3", None, {"Number": "", "Cost": "3"}, True)
     assert tuple(got[1]) == (None, None, {}, False)
@@ -225,7 +225,13 @@ def test_elements(spark):
     ]
     df = spark.createDataFrame(rows, "a array<struct<name:string,display_name:string,value:string>>")
     a = F.col("a")
-    got = [tuple(r) for r in df.select(elements.row_elements(a), elements.row_type(a), elements.is_non_card(a)).collect()]
+    kind, number, element = (attributes.attribute(a, n) for n in ("CardType", "Number", "Element"))
+    got = [
+        tuple(r)
+        for r in df.select(
+            elements.row_elements(kind, number, element), elements.row_type(kind, number), elements.is_non_card(kind, a)
+        ).collect()
+    ]
     assert got == [
         (["Fire", "Water"], "Forward", False),
         (["Crystal"], "crystal", False),

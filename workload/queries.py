@@ -270,11 +270,12 @@ def rarity_labels(spark, sf):
 @query
 def element_rules(spark, sf):
     a = F.col("extended_data")
+    kind, number, element = (attributes.attribute(a, n) for n in ("CardType", "Number", "Element"))
     return derive.products(spark, sf).select(
         "product_id",
-        _joined(elements.row_elements(a)).alias("elements"),
-        elements.row_type(a).alias("card_type"),
-        elements.is_non_card(a).alias("is_non_card"),
+        _joined(elements.row_elements(kind, number, element)).alias("elements"),
+        elements.row_type(kind, number).alias("card_type"),
+        elements.is_non_card(kind, a).alias("is_non_card"),
     )
 
 
@@ -825,7 +826,7 @@ def _searchable(spark, sf) -> DataFrame:
     a = F.col("extended_data")
     return derive.products(spark, sf).select(
         "product_id", names.search_name(F.col("name")).alias("clean_name"), codes.row_codes(a).alias("card_numbers"),
-        elements.is_non_card(a).alias("is_non_card"),
+        elements.is_non_card(attributes.attribute(a, "CardType"), a).alias("is_non_card"),
     )
 
 
