@@ -101,6 +101,7 @@ def reconcile(
     ones and, with ``version``, its stamp.  ``change_kind`` tells which (``kept`` = not in the feed).
     With ``order`` a row earlier than the stored one is ``stale`` and changes nothing.
     """
+    target = target.drop("change_kind")  # a published table carries that of its own run
     t = target.withColumn("_in_target", F.lit(True)).alias("t")
     u = incoming.withColumn("_in_feed", F.lit(True)).alias("u")
     joined = t.join(u, F.col(f"t.{key}") == F.col(f"u.{key}"), "full_outer")

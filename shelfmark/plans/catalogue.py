@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from .. import schemas
@@ -177,6 +179,14 @@ def current_prices(raw: DataFrame, products: DataFrame | None = None) -> DataFra
 # ---------------------------------------------------------------- steps
 
 
+def _metrics(seen: Observation) -> dict[str, int]:
+    """Observed counts; a plan that Spark found to be empty has none."""
+    try:
+        return defaultdict(int, seen.get)
+    except Py4JJavaError:
+        return defaultdict(int)
+
+
 def _reconciled(run: Run, name: str, incoming: DataFrame, key: str) -> StepResult:
     """Reject, reconcile, count on the way and publish one table."""
     result = StepResult(name)
@@ -198,7 +208,7 @@ def _reconciled(run: Run, name: str, incoming: DataFrame, key: str) -> StepResul
         F.count_if(~kind.isin(*changes.NOT_WRITTEN)).alias("updated"),
     )
     path = tables.publish(observed, run.layout.table(name))
-    result.processed, result.updated = seen.get["processed"], seen.get["updated"]
+    result.processed, result.updated = (_metrics(seen)[n] for n in ("processed", "updated"))
     changed = run.spark.read.parquet(path).where(~kind.isin(*changes.NOT_WRITTEN))
     tables.append(history.delta_log(changed, key), run.layout.table(f"{name}_deltas"))
     rejects = Observation()
@@ -206,7 +216,7 @@ def _reconciled(run: Run, name: str, incoming: DataFrame, key: str) -> StepResul
         rejects, F.count(F.lit(1)).alias("n")
     )
     tables.append(watched, run.layout.table(f"{name}_rejects"))
-    result.n_errors = rejects.get["n"]
+    result.n_errors = _metrics(rejects)["n"]
     return result
 
 
@@ -256,17 +266,17 @@ def enrich_cards(run: Run, overrides: DataFrame | None = None) -> StepResult:
     result = StepResult("enrich")
     cards, source = run.load("cards"), run.load("source_cards")
     updates = enrich.card_updates(cards, matched_cards(cards, source), source, "product_id", "doc_id", run.images)
-    seen = Observation()
-    updates = updates.observe(seen, F.count(F.lit(1)).alias("updated"))
     stamped = merge.stamp(updates.drop("doc_id", "changed_fields"), run.version, run.started)
-    merged = merge.update_existing(cards, stamped, "product_id")
+    merged = merge.update_existing(cards, stamped.withColumn("_hit", F.lit(True)), "product_id")
+    seen = Observation()
+    merged = merged.observe(seen, F.count("_hit").alias("updated")).drop("_hit")
     if overrides is not None:
         merged = merge.update_existing(merged, overrides, "product_id")
     if run.plan_only:
         result.updated = updates.count()
         return result
     tables.publish(merged, run.layout.table("cards"))
-    result.updated = seen.get["updated"]
+    result.updated = _metrics(seen)["updated"]
     return result
 
 
@@ -278,17 +288,17 @@ def refresh_index(run: Run) -> StepResult:
             cards = cards.withColumn(column, F.lit(None).cast(kind))
     stored = cards.select("product_id", "search_terms", "search_hash")
     fresh = search.refresh_terms(cards.drop("search_terms", "search_hash"), "product_id", stored, run.force)
-    seen = Observation()
-    fresh = fresh.observe(
-        seen, F.count(F.lit(1)).alias("processed"), F.count_if(F.col("change_kind") != "unchanged").alias("updated")
-    )
     changed = changes.to_write(fresh).drop("change_kind")
-    merged = merge.update_existing(cards, changed, "product_id")
+    merged = merge.update_existing(cards, changed.withColumn("_hit", F.lit(True)), "product_id")
+    seen = Observation()
+    merged = merged.observe(
+        seen, F.count_if(search.is_searchable()).alias("processed"), F.count("_hit").alias("updated")
+    ).drop("_hit")
     if run.plan_only:
         result.updated = changed.count()
         return result
     tables.publish(merged, run.layout.table("cards"))
-    result.processed, result.updated = seen.get["processed"], seen.get["updated"]
+    result.processed, result.updated = (_metrics(seen)[n] for n in ("processed", "updated"))
     index = search.inverted_index(run.load("cards").where(F.col("search_terms").isNotNull()), "product_id")
     tables.publish(index, run.layout.table("search_index"), ["initial"])
     return result
@@ -315,7 +325,7 @@ def refresh_facets(run: Run) -> StepResult:
         return result
     tables.publish(judged.drop("updated").withColumn("last_updated", F.lit(run.started).cast("timestamp")),
                    run.layout.table("facets"))
-    result.processed, result.updated = seen.get["processed"], seen.get["updated"]
+    result.processed, result.updated = (_metrics(seen)[n] for n in ("processed", "updated"))
     return result
 
 
@@ -353,7 +363,7 @@ def purge(run: Run, cutoff: datetime, names: tuple[str, ...] = ("runs",)) -> dic
         time = "sync_start" if name == "runs" else "last_updated"
         seen = df.observe(counts, F.count_if(F.col(time) < F.lit(cutoff)).alias("n"))
         tables.publish(history.retained(seen, time, cutoff), run.layout.table(name))
-        deleted[name] = counts.get["n"]
+        deleted[name] = _metrics(counts)["n"]
     return deleted
 
 
