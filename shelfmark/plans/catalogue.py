@@ -30,6 +30,12 @@ FACET_FIELDS = {
 }
 
 
+# Tables kept in hash buckets of their key; a run rewrites the buckets it touches.
+BUCKETED = {"groups", "cards", "card_images", "source_cards", "prices"}
+
+# Columns of the card table that the index step fills.
+INDEX_COLUMNS = {"search_terms": "array<string>", "search_hash": "string"}
+
 # Attributes of a product row and the columns they are read into.
 ATTRIBUTES = {
     "Number": "number",
@@ -54,6 +60,7 @@ class Layout:
     source_feed: str
     tables: str
     feed_layout: str = feeds.ENVELOPE
+    n_buckets: int = 64  # so many that a bucket is a few gigabytes
 
     def table(self, name: str) -> str:
         return f"{self.tables.rstrip('/')}/{name}"
@@ -84,8 +91,20 @@ class Run:
     version: int = 1
 
     def load(self, name: str) -> DataFrame | None:
+        if name in BUCKETED:
+            return tables.read_buckets(self.spark, self.layout.table(name))
         return tables.current(self.spark, self.layout.table(name))
 
+    def log(self, name: str) -> str:
+        return self.layout.table(f"{name}_deltas")
+
+    def merge(self, name: str, updates: DataFrame, key: str, how, empty: DataFrame | None = None) -> None:
+        """Merge written rows into a bucketed table."""
+        tables.merge_buckets(
+            self.spark, self.layout.table(name), updates, key, self.layout.n_buckets,
+            lambda base, rows: how(base, rows, key), empty,
+        )
+
 
 # ---------------------------------------------------------------- row shapes
 
@@ -162,14 +181,14 @@ def stored_source(rows: DataFrame) -> DataFrame:
         F.coalesce(F.col("set"), F.array().cast("array<string>")).alias("set"),
         "images",
         "content_hash",
+        "source_file",
         "position",
     )
 
 
 def current_prices(raw: DataFrame, products: DataFrame | None = None) -> DataFrame:
     """Price rows to valid price records in cents with their fingerprint."""
-    place = [F.col("source_file"), F.col("position")]
-    valid = pivot.valid_prices(pivot.prices_in_cents(pivot.pivot_variants(raw, order=place)))
+    valid = pivot.valid_prices(pivot.prices_in_cents(pivot.pivot_variants(raw, order=feeds.feed_order())))
     hashed = valid.withColumn("content_hash", fingerprints.price_fingerprint())
     if products is None:
         return hashed.withColumn("group_id", F.lit(None).cast("bigint"))
@@ -187,63 +206,93 @@ def _metrics(seen: Observation) -> dict[str, int]:
         return defaultdict(int)
 
 
-def _reconciled(run: Run, name: str, incoming: DataFrame, key: str) -> StepResult:
-    """Reject, reconcile, count on the way and publish one table."""
+def _reconciled(
+    run: Run,
+    name: str,
+    incoming: DataFrame,
+    key: str,
+    later: dict[str, str] | None = None,
+    child: tuple[str, str] | None = None,
+) -> StepResult:
+    """Reject, classify, log the changed rows and merge them into the buckets they touch.
+
+    Classification reads key, fingerprint and version of the stored table, nothing else.  The change
+    log of the run is written first; what is merged is read back from it, so a lost executor costs
+    one task and not the feed.  ``later`` names columns that other steps fill; ``child`` is a struct column
+    that goes to a table of its own, with one row per key.
+    """
     result = StepResult(name)
     good, bad = changes.split_rejects(incoming, {f"{key} missing": F.col(key).isNotNull()})
-    target = run.load(name)
-    if target is None:
-        target = good.where(F.lit(False))
-    merged = changes.reconcile(target, good, key, version=F.lit(run.version).cast("bigint"), force=run.force)
-    kind = F.col("change_kind")
-    merged = merged.withColumn("last_updated", _write_time(run, target, kind))
+    stored = run.load(name)
+    if stored is None:
+        stored = merge.stamp(good.where(F.lit(False)), run.version, run.started)
+    judged = changes.classify(good, stored, key, version_col="data_version", force=run.force)
+    counts = [
+        F.count(F.lit(1)).alias("processed"),
+        F.count_if(F.col("change_kind") != "unchanged").alias("updated"),
+    ]
     if run.plan_only:
-        counts = runs.run_counters(merged.where(kind != "kept")).first()
-        result.processed, result.updated = counts.items_processed, counts.items_updated
+        planned = judged.agg(*counts).first()
+        result.processed, result.updated = planned.processed, planned.updated
         return result
-    seen = Observation()
-    observed = merged.observe(
-        seen,
-        F.count_if(kind != "kept").alias("processed"),
-        F.count_if(~kind.isin(*changes.NOT_WRITTEN)).alias("updated"),
-    )
-    path = tables.publish(observed, run.layout.table(name))
+    seen, rejects = Observation(), Observation()
+    changed = changes.to_write(judged.observe(seen, *counts)).drop("change_kind")
+    stamped = merge.stamp(changed, run.version, run.started)
+    tables.append(history.delta_log(stamped, key).withColumn("run_id", F.lit(run.run_id)), run.log(name), ["run_id"])
     result.processed, result.updated = (_metrics(seen)[n] for n in ("processed", "updated"))
-    changed = run.spark.read.parquet(path).where(~kind.isin(*changes.NOT_WRITTEN))
-    tables.append(history.delta_log(changed, key), run.layout.table(f"{name}_deltas"))
-    rejects = Observation()
-    watched = bad.select(F.to_json(F.struct("*")).alias("record"), F.lit(run.run_id).alias("run_id")).observe(
-        rejects, F.count(F.lit(1)).alias("n")
-    )
-    tables.append(watched, run.layout.table(f"{name}_rejects"))
+    empty = stamped.where(F.lit(False))
+    for column, kind in (later or {}).items():
+        empty = empty.withColumn(column, F.lit(None).cast(kind))
+    rows = logged_changes(run, name, stamped, key)
+    if child is not None:
+        column, table = child
+        details = rows.select(key, f"{column}.*", "data_version", "last_updated")
+        run.merge(table, details, key, merge.merge_upsert)
+        rows, empty = rows.drop(column), empty.drop(column)
+    run.merge(name, rows, key, merge.merge_upsert, empty)
+    watched = bad.select(F.to_json(F.struct("*")).alias("record"), F.lit(run.run_id).alias("run_id"))
+    tables.append(watched.observe(rejects, F.count(F.lit(1)).alias("n")), run.layout.table(f"{name}_rejects"))
     result.n_errors = _metrics(rejects)["n"]
     return result
 
 
-def _write_time(run: Run, target: DataFrame, kind) -> Column:
-    now = F.lit(run.started).cast("timestamp")
-    old = F.col("last_updated") if "last_updated" in target.columns else F.lit(None).cast("timestamp")
-    return F.when(~kind.isin(*changes.NOT_WRITTEN), now).otherwise(old)
+def logged_changes(run: Run, name: str, like: DataFrame, key: str) -> DataFrame:
+    """Rows this run has changed, as logged."""
+    schema = history.delta_log(like, key).withColumn("run_id", F.lit("")).schema
+    log = run.spark.read.schema(schema).parquet(run.log(name))
+    return log.where(F.col("run_id") == run.run_id).select(key, "data_version", "changes.*")
+
+
+def _merge_staged(run: Run, step: str, name: str, updates: DataFrame, key: str) -> None:
+    """Update existing rows of a stored table from a plan that reads that very table.
+
+    The updates are written down before the table is touched, and the copy goes when they are in.
+    """
+    path = f"{run.layout.table('staged')}/{step}-{run.run_id}"
+    updates.write.mode("overwrite").parquet(path)
+    run.merge(name, run.spark.read.parquet(path), key, merge.update_existing)
+    tables.remove(run.spark, path)
 
 
 def sync_groups(run: Run) -> StepResult:
     rows = feeds.groups(run.spark, run.layout.groups_feed, run.layout.feed_layout)
-    unique = changes.latest_per_key(rows, ["group_id"], [F.col("position")]).drop("position")
+    unique = changes.latest_per_key(rows, ["group_id"], feeds.feed_order()).drop("source_file", "position")
     return _reconciled(run, "groups", unique.withColumn("content_hash", fingerprints.group_fingerprint()), "group_id")
 
 
 def sync_cards(run: Run) -> StepResult:
     rows = feeds.products(run.spark, run.layout.products_feed, run.group_id, run.layout.feed_layout)
-    unique = changes.latest_per_key(rows, ["product_id"], [F.col("position")])
+    unique = changes.latest_per_key(rows, ["product_id"], feeds.feed_order())
     groups = run.load("groups")
     if groups is None:
         groups = feeds.groups(run.spark, run.layout.groups_feed, run.layout.feed_layout)
-    return _reconciled(run, "cards", cleaned_cards(unique, groups, run.images), "product_id")
+    cleaned = cleaned_cards(unique, groups, run.images)
+    return _reconciled(run, "cards", cleaned, "product_id", INDEX_COLUMNS, ("image_metadata", "card_images"))
 
 
 def sync_source(run: Run) -> StepResult:
     rows = stored_source(feeds.source_cards(run.spark, run.layout.source_feed, run.layout.feed_layout))
-    unique = changes.latest_per_key(rows, ["doc_id"], [F.col("position")]).drop("position")
+    unique = changes.latest_per_key(rows, ["doc_id"], feeds.feed_order()).drop("source_file", "position")
     return _reconciled(run, "source_cards", unique, "doc_id")
 
 
@@ -266,38 +315,34 @@ def enrich_cards(run: Run, overrides: DataFrame | None = None) -> StepResult:
     result = StepResult("enrich")
     cards, source = run.load("cards"), run.load("source_cards")
     updates = enrich.card_updates(cards, matched_cards(cards, source), source, "product_id", "doc_id", run.images)
-    stamped = merge.stamp(updates.drop("doc_id", "changed_fields"), run.version, run.started)
-    merged = merge.update_existing(cards, stamped.withColumn("_hit", F.lit(True)), "product_id")
-    seen = Observation()
-    merged = merged.observe(seen, F.count("_hit").alias("updated")).drop("_hit")
-    if overrides is not None:
-        merged = merge.update_existing(merged, overrides, "product_id")
     if run.plan_only:
         result.updated = updates.count()
         return result
-    tables.publish(merged, run.layout.table("cards"))
+    seen = Observation()
+    stamped = merge.stamp(updates.drop("doc_id", "changed_fields"), run.version, run.started)
+    counted = stamped.observe(seen, F.count(F.lit(1)).alias("updated"))
+    _merge_staged(run, "enrich", "cards", counted, "product_id")
     result.updated = _metrics(seen)["updated"]
+    if overrides is not None:
+        _merge_staged(run, "overrides", "cards", overrides, "product_id")
     return result
 
 
 def refresh_index(run: Run) -> StepResult:
     result = StepResult("search_index")
     cards = run.load("cards")
-    for column, kind in (("search_terms", "array<string>"), ("search_hash", "string")):
-        if column not in cards.columns:
-            cards = cards.withColumn(column, F.lit(None).cast(kind))
-    stored = cards.select("product_id", "search_terms", "search_hash")
-    fresh = search.refresh_terms(cards.drop("search_terms", "search_hash"), "product_id", stored, run.force)
-    changed = changes.to_write(fresh).drop("change_kind")
-    merged = merge.update_existing(cards, changed.withColumn("_hit", F.lit(True)), "product_id")
-    seen = Observation()
-    merged = merged.observe(
-        seen, F.count_if(search.is_searchable()).alias("processed"), F.count("_hit").alias("updated")
-    ).drop("_hit")
+    fresh = search.refresh_terms(cards, "product_id", cards.select("product_id", *INDEX_COLUMNS), run.force)
+    counts = [
+        F.count(F.lit(1)).alias("processed"),
+        F.count_if(F.col("change_kind") != "unchanged").alias("updated"),
+    ]
     if run.plan_only:
-        result.updated = changed.count()
+        planned = fresh.agg(*counts).first()
+        result.processed, result.updated = planned.processed, planned.updated
         return result
-    tables.publish(merged, run.layout.table("cards"))
+    seen = Observation()
+    changed = changes.to_write(fresh.observe(seen, *counts)).drop("change_kind")
+    _merge_staged(run, "search_index", "cards", changed, "product_id")
     result.processed, result.updated = (_metrics(seen)[n] for n in ("processed", "updated"))
     index = search.inverted_index(run.load("cards").where(F.col("search_terms").isNotNull()), "product_id")
     tables.publish(index, run.layout.table("search_index"), ["initial"])
@@ -339,8 +384,8 @@ def sync_prices(run: Run) -> StepResult:
     if run.plan_only:
         return result
     day = F.lit(run.started.date())
-    written = run.load("prices").where(~F.col("change_kind").isin(*changes.NOT_WRITTEN))
-    snapshot = written.select(
+    like = merge.stamp(incoming, run.version, run.started)
+    snapshot = logged_changes(run, "prices", like, "product_id").select(
         "product_id", "group_id", history_form(F.col("normal")).alias("normal"), history_form(F.col("foil")).alias("foil"),
         F.col("last_updated").alias("written_at"), day.alias("snapshot_date"),
     )

@@ -54,6 +54,11 @@ def unreadable(feed: DataFrame) -> DataFrame:
     return feed.where(F.col("corrupt").isNotNull()).select("source_file", "corrupt")
 
 
+def feed_order() -> list[Column]:
+    """The order of a feed: its files by name, records by place."""
+    return [F.col("source_file"), F.col("position")]
+
+
 def groups(spark: SparkSession, path: str, layout: str = ENVELOPE) -> DataFrame:
     return shape_groups(readable(read_feed(spark, path, GROUP_RESULT, layout=layout)))
 
@@ -65,6 +70,7 @@ def shape_groups(feed: DataFrame) -> DataFrame:
         F.col("r.abbreviation").alias("abbreviation"),
         F.col("r.publishedOn").try_cast("timestamp").alias("published_on"),
         F.col("r.modifiedOn").alias("modified_on"),
+        "source_file",
         "position",
     )
 
@@ -90,6 +96,7 @@ def shape_products(feed: DataFrame) -> DataFrame:
         F.col("r.modifiedOn").alias("modified_on"),
         F.col("r.imageCount").alias("image_count"),
         attrs.alias("extended_data"),
+        "source_file",
         "position",
     )
 
@@ -119,7 +126,7 @@ def source_cards(spark: SparkSession, path: str, layout: str = ENVELOPE) -> Data
         "r", F.when(F.col("r").isNull(), _missing_cards()).otherwise(F.col("r"))
     )
     fixed = source_elements(F.col("type_en"), F.col("code"), F.col("element"))
-    return checked.select("r.*", "position").withColumn("element", fixed)
+    return checked.select("r.*", "source_file", "position").withColumn("element", fixed)
 
 
 def _missing_cards() -> Column:

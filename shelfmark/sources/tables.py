@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.changes import reconcile
@@ -24,6 +26,12 @@ def is_file(spark: SparkSession, path: str) -> bool:
     return fs.exists(p) and fs.getFileStatus(p).isFile()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table this run has written for itself."""
+    fs, p = _filesystem(spark, path)
+    fs.delete(p, True)
+
+
 def versions(spark: SparkSession, base: str) -> list[int]:
     """Completely written versions of a table, ascending."""
     fs, p = _filesystem(spark, base)
@@ -85,6 +93,46 @@ def bucket_of(key: str, n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int")
 
 
+def read_buckets(spark: SparkSession, path: str) -> DataFrame | None:
+    """Table kept in hash buckets; ``None`` before its first row."""
+    if not exists(spark, path):
+        return None
+    return spark.read.parquet(path).drop(BUCKET)
+
+
+def lookup(spark: SparkSession, path: str, key: str, value, n_buckets: int) -> DataFrame:
+    """Row of one key: one bucket is listed, and the key reaches the scan as a filter."""
+    wanted = F.lit(value).cast(spark.read.parquet(path).schema[key].dataType)
+    bucket = F.pmod(F.xxhash64(wanted), F.lit(n_buckets)).cast("int")
+    return spark.read.parquet(path).where((F.col(BUCKET) == bucket) & (F.col(key) == wanted)).drop(BUCKET)
+
+
+def merge_buckets(
+    spark: SparkSession,
+    path: str,
+    updates: DataFrame,
+    key: str,
+    n_buckets: int,
+    merge: Callable[[DataFrame, DataFrame], DataFrame],
+    empty: DataFrame | None = None,
+) -> None:
+    """Merge rows into a table kept in hash buckets, reading and rewriting the touched buckets only.
+
+    The bucket is a function of the key, so a row never moves and keys spread evenly.  ``updates`` is
+    read twice: give a written or persisted table.  The list of touched buckets that comes to the
+    driver has at most ``n_buckets`` numbers.  ``empty`` tells the columns of a table not yet there.
+    """
+    touched = [r[0] for r in updates.select(bucket_of(key, n_buckets)).distinct().collect()]
+    if not touched:
+        return
+    if exists(spark, path):
+        base = spark.read.parquet(path).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    else:
+        base = updates.where(F.lit(False)) if empty is None else empty
+    merged = merge(base, updates).withColumn(BUCKET, bucket_of(key, n_buckets))
+    overwrite_partitions(merged, path, [BUCKET])
+
+
 def upsert_buckets(
     spark: SparkSession,
     path: str,
@@ -95,20 +143,12 @@ def upsert_buckets(
     version: Column | None = None,
     order: list[str] | None = None,
 ) -> None:
-    """Reconcile unique rows into a table kept in hash buckets, rewriting only the touched buckets.
+    """Reconcile unique rows into a table kept in hash buckets."""
 
-    The bucket is a function of the key, so a row never moves.  The list of touched buckets that
-    comes to the driver has at most ``n_buckets`` numbers.
-    """
-    incoming = updates.withColumn(BUCKET, bucket_of(key, n_buckets))
-    if not exists(spark, path):
-        base = incoming.where(F.lit(False))
-    else:
-        touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]
-        base = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
-    merged = reconcile(base, incoming, key, hash_col, version, order=order).drop("change_kind")
-    merged = merged.withColumn(BUCKET, bucket_of(key, n_buckets))
-    overwrite_partitions(merged, path, [BUCKET])
+    def fold(base: DataFrame, rows: DataFrame) -> DataFrame:
+        return reconcile(base, rows, key, hash_col, version, order=order).drop("change_kind")
+
+    merge_buckets(spark, path, updates, key, n_buckets, fold)
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, n_buckets: int) -> None:

@@ -67,7 +67,7 @@ def landing(tmp_path):
     put(f"{root}/prices/1.json", {"success": True, "errors": [], "results": [
         price, {**price, "marketPrice": 0.285}, {**price, "subTypeName": "Foil"}, {**price, "productId": 11, "subTypeName": "Promo"},
     ]})
-    return catalogue.Layout(f"{root}/groups", f"{root}/products", f"{root}/prices", f"{root}/source", f"{root}/tables"), root
+    return catalogue.Layout(f"{root}/groups", f"{root}/products", f"{root}/prices", f"{root}/source", f"{root}/tables", n_buckets=4), root
 
 
 def run(spark, layout, steps=catalogue.CATALOGUE_STEPS, **options):
@@ -80,7 +80,7 @@ def test_full_run_and_rerun(spark, landing):
     first, steps = run(spark, layout)
     assert [s.error for s in steps.values() if not s.success] == []
     assert (steps["cards"].processed, steps["cards"].updated, steps["groups"].updated, steps["enrich"].updated) == (4, 4, 2, 2)
-    cards = {r.product_id: r for r in tables.current(spark, layout.table("cards")).collect()}
+    cards = {r.product_id: r for r in tables.read_buckets(spark, layout.table("cards")).collect()}
     cloud, tifa, box, ball = (cards[i] for i in (10, 11, 12, 20))
     assert cloud.name == "Cloud Strife" and cloud.card_numbers == ["1-044R"] and cloud.categories == ["DFF", "VII"]
     assert cloud.rarity == "Hero" and cloud.power == 7000.0 and cloud.description == "<em>Hi</em>" and cloud.elements == ["Fire"]
@@ -91,6 +91,8 @@ def test_full_run_and_rerun(spark, landing):
     facet = {r["field"]: list(r["values"]) for r in tables.current(spark, layout.table("facets")).collect()}
     # set names take the spelling of the second source; only names of a group are listed
     assert facet["cost"] == ["3"] and facet["category"] == ["DFF", "VII"] and facet["set"] == ["Opus I", "Starter Deck"]
+    image = {r.product_id: r for r in tables.read_buckets(spark, layout.table("card_images")).collect()}
+    assert image[12].error_message == "Image URL missing" and not image[10].is_placeholder and "image_metadata" not in cloud
     record = tables.current(spark, layout.table("runs")).first()
     assert record.version == 1 and record.sync_status == "completed" and record.card_count == 4 and record.search_indexed
 
@@ -104,8 +106,9 @@ def test_full_run_and_rerun(spark, landing):
     put(f"{root}/products/2.json", {"results": [product(20, "Crystal Orb", gid=2, Number="C-4", Cost="2")]})
     third, steps = run(spark, layout)
     assert steps["cards"].updated == 1
-    changed = tables.current(spark, layout.table("cards")).where(F.col("data_version") == 3).collect()
+    changed = tables.read_buckets(spark, layout.table("cards")).where(F.col("data_version") == 3).collect()
     assert [r.product_id for r in changed] == [20]
+    assert [r.product_id for r in tables.lookup(spark, layout.table("cards"), "product_id", 20, layout.n_buckets).collect()] == [20]
     log = spark.read.parquet(layout.table("cards_deltas")).where("data_version = 3").collect()
     assert [(r.product_id, r.changes.clean_name) for r in log] == [(20, "Crystal Orb")]
 
@@ -116,7 +119,7 @@ def test_single_group_and_plan_only(spark, landing):
     assert steps["cards"].processed == 1
     _, steps = run(spark, layout, [catalogue.sync_cards], plan_only=True)
     assert (steps["cards"].processed, steps["cards"].updated) == (4, 3)
-    assert tables.current(spark, layout.table("cards")).count() == 1
+    assert tables.read_buckets(spark, layout.table("cards")).count() == 1
 
 
 def test_failed_step_stops_the_run(spark, landing):

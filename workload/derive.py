@@ -162,8 +162,8 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, sf_dir, CATALOGUE_FIELDS)
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows in the shape of the product feed."""
+def products(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """The same rows in the shape of the product feed, with some plain columns kept on request."""
     names = {
         "Number": "number_text",
         "CardType": "card_type",
@@ -190,6 +190,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         "group_id",
         F.lit("2024-01-01").alias("modified_on"),
         F.filter(attrs, lambda a: a["value"].isNotNull()).alias("extended_data"),
+        *keep,
     )
 
 

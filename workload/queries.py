@@ -610,9 +610,9 @@ def rolling_mean(spark, sf):
 
 
 def _match_sides(spark, sf) -> tuple[DataFrame, DataFrame]:
-    rows = derive.products(spark, sf)
-    cat = derive.catalogue(spark, sf).select("product_id", "set_name", "number_text", "card_type")
-    left = rows.select("product_id", codes.row_codes(F.col("extended_data")).alias("c")).join(cat, "product_id").select(
+    kept = ("set_name", "number_text", "card_type")
+    rows = derive.products(spark, sf, *kept)
+    left = rows.select("product_id", codes.row_codes(F.col("extended_data")).alias("c"), *kept).select(
         "product_id",
         codes.match_keys(
             F.col("c"), codes.full_code(F.col("c")), F.col("number_text"), codes.primary_code(F.col("c")),
