@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from .arrays import non_empty, no_strings, sorted_union
 from .codes import source_codes
@@ -119,6 +120,18 @@ def values_fingerprint(values: Column) -> Column:
     return F.md5(F.to_json(values))
 
 
-def compact_json(*fields: Column) -> Column:
-    """JSON text of a record without its null fields, at every depth."""
-    return F.to_json(F.struct(*fields))
+def _without_nulls(col: Column, data_type) -> Column:
+    """Nested records that have no value left become null themselves."""
+    if not isinstance(data_type, StructType):
+        return col
+    fields = {f.name: _without_nulls(col[f.name], f.dataType) for f in data_type.fields}
+    any_left = F.lit(False)
+    for c in fields.values():
+        any_left = any_left | c.isNotNull()
+    return F.when(any_left, F.struct(*[c.alias(n) for n, c in fields.items()]))
+
+
+def compact_json(df: DataFrame, columns: Iterable[str]) -> Column:
+    """JSON text of some columns without null fields and empty records, at every depth."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return F.to_json(F.struct(*[_without_nulls(F.col(c), types[c]).alias(c) for c in columns]))

@@ -113,6 +113,13 @@ def facet_changes(documents: DataFrame, stored: DataFrame, force: bool = False)
     return joined.withColumn("updated", changed).drop("_old")
 
 
+def facet_counters(judged: DataFrame) -> DataFrame:
+    """How many documents were looked at and how many differ."""
+    return judged.agg(
+        F.count(F.lit(1)).alias("items_processed"), F.count_if(F.col("updated")).alias("items_updated")
+    )
+
+
 def set_positions(values: DataFrame, groups: DataFrame) -> DataFrame:
     """Facet rows of the set field with their two-block position; there are as many as groups."""
     ranked = ordered_sets(values, groups, "value", "name", "published_on")

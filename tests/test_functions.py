@@ -304,9 +304,8 @@ def test_fingerprint_text(spark):
         fingerprints.canonical_json([F.col("n"), F.col("z"), F.col("cost"), F.col("power"), F.col("s")], ("cost", "power"))
     ).first()[0]
     assert got == '{"n":"a/b","z":null,"cost":3,"power":2.5,"s":["x"]}'
-    assert df.select(fingerprints.compact_json(F.col("n"), F.struct("z", "cost").alias("d"))).first()[0] == (
-        '{"n":"a/b","d":{"cost":3.0}}'
-    )
+    nested = df.select("n", F.struct("z", "cost").alias("d"), F.struct("z", F.struct("z").alias("y")).alias("e"))
+    assert nested.select(fingerprints.compact_json(nested, nested.columns)).first()[0] == '{"n":"a/b","d":{"cost":3.0}}'
 
 
 def test_array_rules(spark):

@@ -216,3 +216,32 @@ def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("n_nationkey") % 5 == 0, F.concat("n_name", F.lit(" Deck"))).otherwise(F.col("n_name")).alias("name"),
         F.timestamp_seconds(F.lit(1_700_000_000) - F.col("n_nationkey").cast("bigint") * 86400).alias("published_on"),
     )
+
+
+def land_feeds(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Groups, products and second-source rows as JSON lines in the feeds' own field names."""
+    g = groups(spark, sf_dir)
+    g.select(
+        F.col("group_id").alias("groupId"), "name", F.col("name").alias("abbreviation"),
+        F.date_format("published_on", "yyyy-MM-dd'T'HH:mm:ss").alias("publishedOn"), F.lit("2024-01-01").alias("modifiedOn"),
+    ).write.json(f"{folder}/groups")
+    p = products(spark, sf_dir)
+    attrs = F.transform(
+        "extended_data",
+        lambda a: F.named_struct(
+            F.lit("name"), a["name"], F.lit("displayName"), a["display_name"], F.lit("value"), a["value"]
+        ),
+    )
+    p.select(
+        F.col("product_id").alias("productId"), "name", F.col("clean_name").alias("cleanName"),
+        F.col("image_url").alias("imageUrl"), F.col("group_id").alias("groupId"),
+        F.col("modified_on").alias("modifiedOn"), attrs.alias("extendedData"),
+    ).write.json(f"{folder}/products")
+    s = source_cards(spark, sf_dir)
+    s.select(
+        F.col("row_id").cast("string").alias("id"), "code", F.col("name").alias("name_en"), F.col("type").alias("type_en"),
+        F.col("job").alias("job_en"), F.col("text").alias("text_en"), "element", "rarity", F.col("cost").cast("string").alias("cost"),
+        F.col("power").cast("string").alias("power"), "category_1", "category_2", "multicard", "ex_burst",
+        # the set name tells rows of one code apart, so every row has a key of its own
+        F.coalesce("set", F.array(F.concat(F.lit("row "), F.col("row_id").cast("string")))).alias("set"), "images",
+    ).write.json(f"{folder}/source")

@@ -491,7 +491,21 @@ CARD_JSON = json_text(
 )
 
 
-def enriched() -> str:
+def enriched(stored: bool) -> str:
+    """CTEs that end in ``o``: matched cards with merged fields.
+
+    ``stored``: the second source went through its own table first, so texts are translated twice, rows
+    have a composite key and of several rows with one key the last counts.
+    """
+    if stored:
+        set_name = "coalesce(set_name, 'row ' || row_id)"
+        doc = f"replace(code, '/', ';') || '_' || regexp_replace({set_name}, '[^a-zA-Z0-9]', '', 'g')"
+        sd = (
+            f"sd AS (SELECT * REPLACE ({set_name} AS set_name, {translated('text')} AS text), {doc} AS doc_id FROM src "
+            f"QUALIFY row_number() OVER (PARTITION BY {doc} ORDER BY row_id DESC) = 1)"
+        )
+    else:
+        sd = "sd AS (SELECT *, replace(code, '/', ';') || '_' || lpad(CAST(row_id AS VARCHAR), 12, '0') AS doc_id FROM src)"
     cats = f"{label_list('s.category_1', '·', NARROW)} || {label_list('s.category_2', '·', NARROW)}"
     valid = f"list_filter({parts('s.code', '/')}, lambda n: regexp_matches(n, '{VALID_SOURCE}'))"
     every = "list_filter(coalesce(codes, []) || [full_card_number, number, primary_card_number], lambda e: e IS NOT NULL)"
@@ -502,8 +516,7 @@ def enriched() -> str:
     keyed = f"list_transform(CASE WHEN codes IS NULL THEN {usable} ELSE {usable} || [full_card_number] END, lambda e: {form('e')})"
     promo = f"coalesce(len(list_filter(c.codes, lambda n: regexp_matches(n, '{PROMO}'))) > 0, false)"
     source_text = translated("s.text")
-    return f"""WITH {CLEAN_CTES}, {SRC},
-      sd AS (SELECT *, replace(code, '/', ';') || '_' || lpad(CAST(row_id AS VARCHAR), 12, '0') AS doc_id FROM src),
+    return f"""{CLEAN_CTES}, {SRC}, {sd},
       lk AS (SELECT product_id, list_transform(sets, lambda x: lower(trim(x))) AS sets, unnest(list_distinct({keyed})) AS key FROM clean WHERE NOT is_non_card),
       rk AS (SELECT doc_id, lower(trim(set_name)) AS set_name, unnest(list_transform(string_split(code, '/'), lambda e: {form('e')})) AS key FROM sd),
       m AS (SELECT product_id, min(doc_id) AS doc_id FROM lk JOIN rk USING (key)
@@ -521,6 +534,7 @@ def enriched() -> str:
       o AS (SELECT product_id, s_doc AS doc_id,
           CASE WHEN promo OR (regexp_matches(name, '\\(.*?\\)') AND regexp_matches(name, 'Full Art|Promo|Road|Champion|Anniversary', 'i')) THEN name ELSE s_name END AS name,
           new_type AS card_type, new_job AS job, new_rarity AS rarity,
+          CASE WHEN len(ok) > 0 THEN {distinct_in_order('all_codes')} END AS new_codes,
           CASE WHEN len(ok) > 0 THEN array_to_string({distinct_in_order('all_codes')}, '/') END AS full_card_number,
           CASE WHEN len(ok) > 0 THEN coalesce(list_filter(ok, lambda n: NOT starts_with(n, 'Re-'))[1], ok[1]) END AS primary_card_number,
           CASE WHEN len(all_cats) > 0 THEN array_to_string({distinct_in_order('all_cats')}, '·') WHEN len(cats) > 0 THEN array_to_string(cats, '·') END AS category,
@@ -529,8 +543,7 @@ def enriched() -> str:
             ELSE nullif(description, '') END AS description,
           array_to_string(CASE WHEN list_sort(list_transform(elements, lambda e: lower(e))) = list_transform(new_elements, lambda e: lower(e)) THEN elements ELSE new_elements END, '|') AS elements,
           array_to_string(CASE WHEN list_transform(sets, lambda e: lower(trim(e))) = list_transform(new_sets, lambda e: lower(trim(e))) THEN sets ELSE new_sets END, '|') AS set
-        FROM k)
-      SELECT * FROM o"""
+        FROM k)"""
 
 
 def queries() -> dict[str, str]:
@@ -644,6 +657,23 @@ def queries() -> dict[str, str]:
         "FROM coded WHERE starts_with(codes[1], 'Re-')"
     )
 
+    q["code_validity"] = (
+        f"WITH {CAT}, a AS (SELECT product_id, number_text, {compact('number_text')} AS c FROM cat) SELECT product_id, {normal_code('c')} AS code, "
+        f"regexp_matches(number_text, '{VALID}') AS is_valid, regexp_matches(number_text, '{VALID_SOURCE}') AS is_valid_source, "
+        "regexp_replace(number_text, '[A-Z]$', '') AS stem FROM a"
+    )
+    q["special_names"] = (
+        f"WITH {CAT} SELECT product_id, regexp_matches(raw_name, '\\(.*?\\)') AND regexp_matches(raw_name, 'Full Art|Promo|Road|Champion|Anniversary', 'i') AS is_special FROM cat"
+    )
+    q["array_rules"] = (
+        "WITH x AS (SELECT p_partkey, string_split(p_name, ' ') AS a, [upper(p_type), 'ring', 'red'] AS b FROM part), "
+        "y AS (SELECT *, a || b AS ab, list_sort(a) AS sa, list_sort([a[2], upper(a[1])]) AS sb FROM x) "
+        f"SELECT p_partkey, array_to_string({distinct_in_order('ab')}, '|') AS ordered, array_to_string(list_sort(list_distinct(ab)), '|') AS sorted, "
+        "list_has_any(a, b) AS overlap, list_transform(sa, lambda e: lower(e)) = list_transform(sb, lambda e: lower(e)) AS same, "
+        "array_to_string(CASE WHEN list_contains(a, 'bolt') THEN a ELSE a || ['bolt'] END, '|') AS appended FROM y"
+    )
+    q["first_rows"] = "SELECT s_suppkey, s_name FROM supplier ORDER BY s_suppkey LIMIT 10"
+
     q["variant_pivot"] = f"WITH {PRICE_CTES} SELECT product_id, {', '.join(PRICE_NAMES)}, has_n OR has_f AS is_valid FROM v"
     q["price_hash"] = (
         f"WITH {PRICE_CTES} SELECT product_id, md5("
@@ -802,7 +832,17 @@ def queries() -> dict[str, str]:
         CASE WHEN len(cats) > 0 THEN array_to_string(cats, '·') END AS category, CAST(cost AS BIGINT) AS cost, description,
         array_to_string(elements, '|') AS elements, job, rarity, is_non_card, array_to_string(sets, '|') AS set, low_res_url,
         md5({CARD_JSON}) AS content_hash FROM clean"""
-    q["card_enrichment"] = enriched()
+    q["card_enrichment"] = f"WITH {enriched(stored=False)} SELECT * EXCLUDE (new_codes) FROM o"
+    merged = ("name", "card_type", "job", "rarity", "full_card_number", "category", "cost", "power", "description", "elements", "set")
+    unmatched = """SELECT product_id, name, clean_name, card_type, job, rarity, full_card_number,
+        CASE WHEN len(cats) > 0 THEN array_to_string(cats, '·') END AS category, CAST(cost AS BIGINT) AS cost, CAST(power AS BIGINT) AS power,
+        description, array_to_string(elements, '|') AS elements, array_to_string(sets, '|') AS set, codes FROM clean"""
+    columns = ", ".join(f"CASE WHEN o.product_id IS NULL THEN c.{f} ELSE o.{f} END AS {f}" for f in merged)
+    q["catalogue_run"] = (
+        f"WITH {enriched(stored=True)}, c AS ({unmatched}), z AS (SELECT c.product_id, c.clean_name, {columns}, "
+        "CASE WHEN o.product_id IS NULL THEN c.codes ELSE o.new_codes END AS codes FROM c LEFT JOIN o USING (product_id)) "
+        f"SELECT * EXCLUDE (codes), CASE WHEN codes IS NOT NULL THEN CAST(len(list_distinct({name_terms('clean_name')} || {code_terms()})) AS BIGINT) END AS n_terms FROM z"
+    )
 
     q["facet_values"] = f"WITH {FACETS} SELECT field, value FROM vals"
     q["ordered_facets"] = f"WITH {FACETS} SELECT field, value, position FROM placed"
@@ -810,6 +850,12 @@ def queries() -> dict[str, str]:
         f"WITH {FACETS}, d AS (SELECT field, list(value ORDER BY position) AS v FROM placed GROUP BY field) "
         f"SELECT field, CAST(0 AS BIGINT) AS page, array_to_string(v, '|') AS values, md5({j_list('v')}) AS hash FROM d"
     )
+    earlier = FACETS.replace("FROM part", "FROM part WHERE p_size < 40")
+    q["facet_changes"] = (
+        f"WITH now AS (WITH {FACETS} SELECT field, list(value ORDER BY position) AS v FROM placed GROUP BY 1), "
+        f"old AS (WITH {earlier} SELECT field, list(value ORDER BY position) AS v FROM placed GROUP BY 1) "
+        "SELECT field, now.v IS DISTINCT FROM old.v AS updated FROM now LEFT JOIN old USING (field)"
+    )
     q["distinct_values"] = "SELECT DISTINCT o_orderpriority AS value FROM orders WHERE o_orderpriority IS NOT NULL"
     q["ordered_sets"] = (
         f"WITH {GROUPS} SELECT name AS set_name, regexp_matches(name, 'Deck|Collection|Promo') AS is_supplemental FROM g "
@@ -879,7 +925,7 @@ def queries() -> dict[str, str]:
     q["within_size"] = "SELECT doc_id, n_chars FROM documents WHERE n_chars BETWEEN 1024 AND 10485760"
     detail = "concat_ws(',', '\"job\":\"' || job || '\"', '\"element\":\"' || element || '\"')"
     q["null_stripping"] = (
-        f"WITH {CAT} SELECT product_id, '{{' || concat_ws(',', '\"card_type\":\"' || card_type || '\"', '\"detail\":{{' || {detail} || '}}', "
+        f"WITH {CAT} SELECT product_id, '{{' || concat_ws(',', '\"card_type\":\"' || card_type || '\"', '\"detail\":{{' || nullif({detail}, '') || '}}', "
         "'\"rarity\":\"' || rarity || '\"') || '}' AS record FROM cat"
     )
     q["price_feed"] = (

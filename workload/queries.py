@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,6 +33,11 @@ def _big(name: str):
     return F.col(name).cast("bigint").alias(name)
 
 
+def _at(day: str):
+    """A point in time without a zone, like the time columns of the tables: the filter is pushed down."""
+    return F.lit(day).cast("timestamp_ntz")
+
+
 def _joined(col, sep: str = "|"):
     return F.array_join(col, sep)
 
@@ -64,7 +68,7 @@ def equality_filter(spark, sf):
 
 @query
 def older_rows(spark, sf):
-    return select.older_than(table(spark, sf, "orders"), "o_orderdate", dt.datetime(1995, 1, 1)).select("o_orderkey")
+    return select.older_than(table(spark, sf, "orders"), "o_orderdate", _at("1995-01-01")).select("o_orderkey")
 
 
 @query
@@ -85,7 +89,7 @@ def present_filter(spark, sf):
 @query
 def window_filter(spark, sf):
     df = select.in_window(
-        table(spark, sf, "events"), "ts", dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 20), event_type="error"
+        table(spark, sf, "events"), "ts", _at("2024-01-02"), _at("2024-01-20"), event_type="error"
     )
     return df.select("event_id", "user_id")
 
@@ -331,6 +335,44 @@ def code_repair(spark, sf):
     return fixed.select("product_id", _joined(F.col("card_numbers")).alias("card_numbers"))
 
 
+@query
+def code_validity(spark, sf):
+    df = derive.catalogue(spark, sf)
+    return df.select(
+        "product_id",
+        codes.normalise_code(F.col("number_text")).alias("code"),
+        codes.is_valid_code(F.col("number_text")).alias("is_valid"),
+        codes.is_valid_source_code(F.col("number_text")).alias("is_valid_source"),
+        codes.code_stem(F.col("number_text")).alias("stem"),
+    )
+
+
+@query
+def special_names(spark, sf):
+    return derive.catalogue(spark, sf).select("product_id", names.has_special_remark(F.col("raw_name")).alias("is_special"))
+
+
+@query
+def array_rules(spark, sf):
+    df = table(spark, sf, "part").select(
+        "p_partkey", F.split("p_name", " ").alias("a"), F.array(F.upper("p_type"), F.lit("ring"), F.lit("red")).alias("b")
+    )
+    a, b = F.col("a"), F.col("b")
+    return df.select(
+        "p_partkey",
+        _joined(arrays.ordered_union(a, b)).alias("ordered"),
+        _joined(arrays.sorted_union(a, b)).alias("sorted"),
+        arrays.overlaps(a, b).alias("overlap"),
+        arrays.same_members(a, F.array(F.element_at(a, 2), F.upper(F.element_at(a, 1)))).alias("same"),
+        _joined(arrays.append_unique(a, F.lit("bolt"))).alias("appended"),
+    )
+
+
+@query
+def first_rows(spark, sf):
+    return select.sample_first(table(spark, sf, "supplier"), "s_suppkey", 10).select("s_suppkey", "s_name")
+
+
 # ---------------------------------------------------------------- prices
 
 
@@ -562,12 +604,12 @@ def daily_snapshot(spark, sf):
 
 @query
 def retention_purge(spark, sf):
-    return history.retained(table(spark, sf, "events"), "ts", dt.datetime(2024, 1, 15)).select("event_id", "event_type")
+    return history.retained(table(spark, sf, "events"), "ts", _at("2024-01-15")).select("event_id", "event_type")
 
 
 @query
 def retention_counts(spark, sf):
-    return history.purge_counts(table(spark, sf, "events"), "ts", dt.datetime(2024, 1, 15), "event_type")
+    return history.purge_counts(table(spark, sf, "events"), "ts", _at("2024-01-15"), "event_type")
 
 
 @query
@@ -584,7 +626,7 @@ def state_reset(spark, sf):
 @query
 def latest_at_or_before(spark, sf):
     df = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
-    out = history.latest_at(df, ["user_id"], "ts", dt.datetime(2024, 1, 10), [F.col("event_id")])
+    out = history.latest_at(df, ["user_id"], "ts", _at("2024-01-10"), [F.col("event_id")])
     return out.select("user_id", "event_id", "event_type")
 
 
@@ -803,6 +845,15 @@ def facet_hash(spark, sf):
     return docs.select("field", F.col("page").cast("bigint").alias("page"), _joined(F.col("values")).alias("values"), "hash")
 
 
+@query
+def facet_changes(spark, sf):
+    """Documents against those of an earlier state that lacked the larger sizes."""
+    rows = _facet_rows(spark, sf)
+    now = facets.facet_documents(facets.ordered_facets(facets.facet_values(rows, FACETS)))
+    before = facets.facet_documents(facets.ordered_facets(facets.facet_values(rows.where("p_size < 40"), FACETS)))
+    return facets.facet_changes(now, before).select("field", "updated")
+
+
 @query
 def distinct_values(spark, sf):
     return facets.distinct_values(table(spark, sf, "orders"), "o_orderpriority")
@@ -896,7 +947,7 @@ def _logs(spark, sf) -> DataFrame:
 
 @query
 def error_rate(spark, sf):
-    return quality.error_rate(_logs(spark, sf), "ts", dt.datetime(2024, 1, 5), F.col("level") == "ERROR").select("n_errors", "n_logs", "band")
+    return quality.error_rate(_logs(spark, sf), "ts", _at("2024-01-05"), F.col("level") == "ERROR").select("n_errors", "n_logs", "band")
 
 
 @query
@@ -906,20 +957,20 @@ def error_patterns(spark, sf):
 
 @query
 def error_aggregate(spark, sf):
-    out = quality.error_aggregate(_logs(spark, sf), "ts", dt.datetime(2024, 1, 5), F.col("level") == "ERROR", "message", "context")
+    out = quality.error_aggregate(_logs(spark, sf), "ts", _at("2024-01-05"), F.col("level") == "ERROR", "message", "context")
     return out.select("message", "n", F.date_format("last_occurrence", "yyyy-MM-dd HH:mm:ss").alias("last_occurrence"),
                       _joined(F.col("contexts")).alias("contexts"))
 
 
 @query
 def log_summary(spark, sf):
-    out = quality.log_summary(_logs(spark, sf), "ts", dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 25), "level", "cents")
+    out = quality.log_summary(_logs(spark, sf), "ts", _at("2024-01-03"), _at("2024-01-25"), "level", "cents")
     return out.select("n_errors", "n_warnings", "total_duration", "n_durations")
 
 
 @query
 def top_errors(spark, sf):
-    return quality.top_errors(_logs(spark, sf), "ts", dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 25), F.col("level") == "ERROR", "message", 3)
+    return quality.top_errors(_logs(spark, sf), "ts", _at("2024-01-03"), _at("2024-01-25"), F.col("level") == "ERROR", "message", 3)
 
 
 ORDER_RULES = {
@@ -1004,14 +1055,32 @@ def within_size(spark, sf):
 
 @query
 def null_stripping(spark, sf):
-    df = derive.catalogue(spark, sf)
-    return df.select(
-        "product_id",
-        fingerprints.compact_json(F.col("card_type"), F.struct("job", "element").alias("detail"), F.col("rarity")).alias("record"),
-    )
+    df = derive.catalogue(spark, sf).select("product_id", "card_type", F.struct("job", "element").alias("detail"), "rarity")
+    return df.select("product_id", fingerprints.compact_json(df, ["card_type", "detail", "rarity"]).alias("record"))
+
 
+# ---------------------------------------------------------------- whole runs, feeds and streams
 
-# ---------------------------------------------------------------- feeds and streams
+
+@query
+def catalogue_run(spark, sf):
+    """Feeds landed as JSON lines, the whole run over them, the card table it leaves."""
+    folder = session.shared_folder(spark, "catalogue-run")
+    derive.land_feeds(spark, sf, folder)
+    layout = plan.Layout(
+        f"{folder}/groups", f"{folder}/products", f"{folder}/prices", f"{folder}/source", f"{folder}/tables",
+        feed_layout=feeds.LINES, n_buckets=8,
+    )
+    run = plan.Run(spark, layout, POLICY)
+    for step in plan.run_steps(run):
+        if not step.success:
+            raise RuntimeError(f"{step.step}: {step.error}")
+    return run.load("cards").select(
+        "product_id", "name", "clean_name", "card_type", "job", "rarity", "full_card_number", "category",
+        F.col("cost").cast("bigint").alias("cost"), F.col("power").cast("bigint").alias("power"), "description",
+        _joined(F.col("elements")).alias("elements"), _joined(F.col("set")).alias("set"),
+        F.size("search_terms").cast("bigint").alias("n_terms"),
+    )
 
 
 @query
