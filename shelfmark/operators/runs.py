@@ -45,17 +45,16 @@ def run_counters(classified: DataFrame, errors: DataFrame | None = None, by: str
     return rows.groupBy(by).agg(*aggs) if by else rows.agg(*aggs)
 
 
-def match_counters(left: DataFrame, matches: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Total, matched and updated rows in one aggregate over a tagged union of keys."""
-    tagged = (
-        left.select(F.lit("total").alias("what"))
-        .unionAll(matches.select(F.lit("matched").alias("what")))
-        .unionAll(updates.select(F.lit("updated").alias("what")))
+def match_counters(left: DataFrame, matches: DataFrame, updated: Column) -> DataFrame:
+    """Total, matched and updated rows in one aggregate; ``updated`` judges a row of ``matches``."""
+    tagged = left.select(F.lit("total").alias("what")).unionAll(
+        matches.select(F.when(updated, F.lit("updated")).otherwise(F.lit("matched")).alias("what"))
     )
+    what = F.col("what")
     return tagged.agg(
-        F.count_if(F.col("what") == "total").alias("total_rows"),
-        F.count_if(F.col("what") == "matched").alias("matches_found"),
-        F.count_if(F.col("what") == "updated").alias("rows_updated"),
+        F.count_if(what == "total").alias("total_rows"),
+        F.count_if(what != "total").alias("matches_found"),
+        F.count_if(what == "updated").alias("rows_updated"),
     )
 
 

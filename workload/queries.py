@@ -996,7 +996,7 @@ def validation_errors(spark, sf):
 def match_counters(spark, sf):
     left, right = _match_sides(spark, sf)
     matched = match.first_match(left, right, "product_id", "keys", "sets", "row_id", "keys", "sets")
-    return runs.match_counters(left, matched, matched.where(F.col("product_id") != F.col("row_id")), "product_id")
+    return runs.match_counters(left, matched, F.col("product_id") != F.col("row_id"))
 
 
 def _run_rows(spark, sf) -> DataFrame:
