@@ -32,14 +32,15 @@ def refresh_terms(cards: DataFrame, key: str, stored: DataFrame, force: bool = F
     return classify(fresh, stored, key, "search_hash", derived_col="search_terms", force=force)
 
 
-def inverted_index(df: DataFrame, key: str, terms: str = "search_terms") -> DataFrame:
+def inverted_index(df: DataFrame, key: str, terms: str = "search_terms", keep: list[str] | None = None) -> DataFrame:
     """``initial, term, key``: one row per posting.
 
-    Written with ``partitionBy("initial")`` straight from the scan's tasks: no shuffle, and a term that
-    many rows share is spread over all of them instead of being gathered in one list.
+    Postings stay with their row: no shuffle, and a term that many rows share is spread over all of them
+    instead of being gathered in one list.  The full run keeps them in the hash buckets of the rows,
+    sorted by term, and rebuilds only the buckets of changed rows.
     """
-    postings = df.select(F.explode(terms).alias("term"), key)
-    return postings.select(F.substring("term", 1, 1).alias("initial"), "term", key)
+    postings = df.select(F.explode(terms).alias("term"), key, *(keep or []))
+    return postings.select(F.substring("term", 1, 1).alias("initial"), "term", key, *(keep or []))
 
 
 def term_counts(index: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def term_counts(index: DataFrame) -> DataFrame:
 
 
 def search_index(index: DataFrame, query: str, key: str, n: int | None = None) -> DataFrame:
-    """Keys under one term of the inverted table: a partition and a pushed equality, then top-n."""
+    """Keys under one term of the inverted table: pushed equalities, then top-n."""
     term = query.strip().lower()
     hits = index.where((F.col("initial") == term[:1]) & (F.col("term") == term)).select(key)
     return hits if n is None else hits.orderBy(key).limit(n)

@@ -263,15 +263,19 @@ def logged_changes(run: Run, name: str, like: DataFrame, key: str) -> DataFrame:
     return log.where(F.col("run_id") == run.run_id).select(key, "data_version", "changes.*")
 
 
-def _merge_staged(run: Run, step: str, name: str, updates: DataFrame, key: str) -> None:
+def _merge_staged(run: Run, step: str, name: str, updates: DataFrame, key: str) -> list[int]:
     """Update existing rows of a stored table from a plan that reads that very table.
 
     The updates are written down before the table is touched, and the copy goes when they are in.
+    Returns the touched buckets.
     """
     path = f"{run.layout.table('staged')}/{step}-{run.run_id}"
     updates.write.mode("overwrite").parquet(path)
-    run.merge(name, run.spark.read.parquet(path), key, merge.update_existing)
+    staged = run.spark.read.parquet(path)
+    touched = tables.touched_buckets(staged, key, run.layout.n_buckets)
+    run.merge(name, staged, key, merge.update_existing)
     tables.remove(run.spark, path)
+    return touched
 
 
 def sync_groups(run: Run) -> StepResult:
@@ -342,10 +346,12 @@ def refresh_index(run: Run) -> StepResult:
         return result
     seen = Observation()
     changed = changes.to_write(fresh.observe(seen, *counts)).drop("change_kind")
-    _merge_staged(run, "search_index", "cards", changed, "product_id")
+    touched = _merge_staged(run, "search_index", "cards", changed, "product_id")
     result.processed, result.updated = (_metrics(seen)[n] for n in ("processed", "updated"))
-    index = search.inverted_index(run.load("cards").where(F.col("search_terms").isNotNull()), "product_id")
-    tables.publish(index, run.layout.table("search_index"), ["initial"])
+    tables.rebuild_buckets(
+        run.spark, run.layout.table("search_index"), run.layout.table("cards"), "product_id", touched,
+        lambda cards: search.inverted_index(cards, "product_id", keep=[tables.BUCKET]), sort="term",
+    )
     return result
 
 

@@ -80,12 +80,14 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], sort: str | None = None) -> None:
     """Replace exactly the partitions that occur in ``df``.
 
     ``rebalance`` lets Spark size the files: it splits a hot partition and joins small ones.
     """
     balanced = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    if sort:
+        balanced = balanced.sortWithinPartitions(*partition_by, sort)
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
@@ -122,7 +124,7 @@ def merge_buckets(
     read twice: give a written or persisted table.  The list of touched buckets that comes to the
     driver has at most ``n_buckets`` numbers.  ``empty`` tells the columns of a table not yet there.
     """
-    touched = [r[0] for r in updates.select(bucket_of(key, n_buckets)).distinct().collect()]
+    touched = touched_buckets(updates, key, n_buckets)
     if not touched:
         return
     if exists(spark, path):
@@ -151,6 +153,30 @@ def upsert_buckets(
     merge_buckets(spark, path, updates, key, n_buckets, fold)
 
 
+def touched_buckets(keys: DataFrame, key: str, n_buckets: int) -> list[int]:
+    """Numbers of the buckets some keys fall into: at most ``n_buckets`` of them."""
+    return [r[0] for r in keys.select(bucket_of(key, n_buckets)).distinct().collect()]
+
+
+def rebuild_buckets(
+    spark: SparkSession, path: str, source: str, key: str, touched: list[int], derive: Callable[[DataFrame], DataFrame], sort: str
+) -> None:
+    """Derive some buckets of one table anew from the same buckets of another.
+
+    ``derive`` keeps the bucket column.  Files are sorted, so that row groups can be skipped by
+    ``sort``.  A bucket for which nothing is derived any more is removed.
+    """
+    if not touched:
+        return
+    fresh = derive(spark.read.parquet(source).where(F.col(BUCKET).isin(touched)))
+    overwrite_partitions(fresh, path, [BUCKET], sort)
+    if exists(spark, path):
+        left = spark.read.parquet(source).where(F.col(BUCKET).isin(touched))
+        filled = {r[0] for r in derive(left).select(BUCKET).distinct().collect()}
+        for bucket in set(touched) - filled:
+            remove(spark, f"{path}/{BUCKET}={bucket}")
+
+
 def write_bucketed(df: DataFrame, table: str, key: str, n_buckets: int) -> None:
     """Catalogue table bucketed and sorted by key: joins on the key need no shuffle of this side."""
     df.write.mode("overwrite").bucketBy(n_buckets, key).sortBy(key).format("parquet").saveAsTable(table)

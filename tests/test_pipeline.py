@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark import schemas
 from shelfmark.functions import fingerprints
 from shelfmark.functions.urls import ImagePolicy
-from shelfmark.operators import quality
+from shelfmark.operators import quality, search
 from shelfmark.plans import catalogue
 from shelfmark.sources import feeds, images, tables
 from shelfmark.streaming import ingest
@@ -111,6 +111,9 @@ def test_full_run_and_rerun(spark, landing):
     assert [r.product_id for r in tables.lookup(spark, layout.table("cards"), "product_id", 20, layout.n_buckets).collect()] == [20]
     log = spark.read.parquet(layout.table("cards_deltas")).where("data_version = 3").collect()
     assert [(r.product_id, r.changes.clean_name) for r in log] == [(20, "Crystal Orb")]
+    index = spark.read.parquet(layout.table("search_index"))
+    hits = {q: [r.product_id for r in search.search_index(index, q, "product_id").collect()] for q in ("crystal o", "crystal b", "tif")}
+    assert hits == {"crystal o": [20], "crystal b": [], "tif": [11]}
 
 
 def test_single_group_and_plan_only(spark, landing):
