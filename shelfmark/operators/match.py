@@ -100,10 +100,12 @@ def _agreement_key(properties: tuple[str, ...], prefix: str = "") -> tuple[Colum
     given = F.lit(True)
     for p in properties:
         given = given & F.col(prefix + p).isNotNull()
-    return given, F.to_json(F.array(*[F.col(prefix + p).cast("string") for p in properties]))
+    return given, F.array(*[F.col(prefix + p).cast("string") for p in properties])
 
 
-def _stem_probes(df: DataFrame, row_id: str, stems: Column, properties: list[str], sizes: range) -> DataFrame:
+def _stem_probes(
+    df: DataFrame, row_id: str, stems: Column, properties: list[str], sizes: range, keep: list[str] | None = None
+) -> DataFrame:
     """One row per (row, stem, subset of at least two given properties) with the joint value."""
     subsets = []
     for size in sizes:
@@ -113,8 +115,9 @@ def _stem_probes(df: DataFrame, row_id: str, stems: Column, properties: list[str
                 F.lit("subset"), F.lit("+".join(subset)), F.lit("size"), F.lit(size), F.lit("joint"), joint
             )
             subsets.append(F.when(given, entry))
-    fanned = df.select(row_id, F.explode(stems).alias("stem"), F.array_compact(F.array(*subsets)).alias("_subsets"))
-    return fanned.select(row_id, "stem", F.inline("_subsets"))
+    kept = [row_id, *(keep or [])]
+    fanned = df.select(*kept, F.explode(stems).alias("stem"), F.array_compact(F.array(*subsets)).alias("_subsets"))
+    return fanned.select(*kept, "stem", F.inline("_subsets"))
 
 
 def scored_match(
@@ -135,10 +138,14 @@ def scored_match(
     if len(properties) != 4:
         raise ValueError("the score is defined over four properties")
     sizes = range(2, 5)
+    # equal right rows are folded into one before they fan out to their subsets
+    profiles = right.groupBy(right_stem, *properties).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(right_id).alias(right_id)
+    )
     index = (
-        _stem_probes(right, right_id, F.array(right_stem), properties, sizes)
+        _stem_probes(profiles, right_id, F.array(right_stem), properties, sizes, keep=["_rows"])
         .groupBy("stem", "subset", "joint")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(right_id).alias(right_id))
+        .agg(F.sum("_rows").alias("_n"), F.min(right_id).alias(right_id))
     )
     probes = _stem_probes(left, left_id, F.array_distinct(left_stems), properties, sizes)
     weight = F.when(F.col("size") == 2, 1).when(F.col("size") == 3, -2).otherwise(3)
