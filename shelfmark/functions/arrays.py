@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import strip
 
@@ -71,3 +71,12 @@ def move_to_front(arr: Column, value: str) -> Column:
         at > 1,
         F.concat(F.array(F.lit(value)), F.slice(arr, F.lit(1), at - 1), F.slice(arr, at + 1, F.size(arr))),
     ).otherwise(arr)
+
+
+def fan_out(df: DataFrame, array: Column, name: str, *keep: str) -> DataFrame:
+    """One row per non-null element of an array, with some columns kept.
+
+    The outer form and a filter on the element: for the inner form the optimiser puts a test of the
+    array below it, and so has a costly array expression worked out several times per row.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())

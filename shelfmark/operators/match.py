@@ -12,7 +12,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.arrays import normalise_set_name
+from ..functions.arrays import fan_out, normalise_set_name
 
 ANY, NO_SET, SET = "any", "no_set", "set"
 
@@ -45,17 +45,19 @@ def first_match(
     Result: ``left_id, right_id`` of matched rows.
     """
     places = F.concat(F.array(_place(ANY)), _set_places(right_sets, otherwise=NO_SET))
+    found_at = right.select(right_id, F.col(right_keys).alias("_keys"), places.alias("_places"))
     index = (
-        right.select(F.col(right_id), F.explode(right_keys).alias("code"), places.alias("_places"))
-        .select(right_id, "code", F.inline("_places"))
+        fan_out(found_at, F.col("_keys"), "code", right_id, "_places")
+        .select(right_id, "code", F.inline_outer("_places"))
         .groupBy("code", "scope", "name")
         .agg(F.min(right_id).alias(right_id))
     )
     asked = F.when(F.col(left_sets).isNull(), F.array(_place(ANY))).otherwise(
         F.concat(F.array(_place(NO_SET)), _set_places(left_sets, otherwise=NO_SET))
     )
-    probes = left.select(left_id, F.explode(left_keys).alias("code"), asked.alias("_asked")).select(
-        left_id, "code", F.inline("_asked")
+    asking = left.select(left_id, F.col(left_keys).alias("_keys"), asked.alias("_asked"))
+    probes = fan_out(asking, F.col("_keys"), "code", left_id, "_asked").select(
+        left_id, "code", F.inline_outer("_asked")
     )
     return (
         probes.join(index, ["code", "scope", "name"]).groupBy(left_id).agg(F.min(right_id).alias(right_id))
@@ -79,15 +81,16 @@ def tiered_match(
     """
     exact_index = right.groupBy(F.col(right_exact).alias("_key")).agg(F.min(right_id).alias(right_id))
     tier1 = (
-        left.select(left_id, F.posexplode(exact).alias("_pos", "_key"))
+        left.select(left_id, F.posexplode_outer(exact).alias("_pos", "_key"))
+        .where(F.col("_key").isNotNull())
         .join(exact_index, "_key")
         .select(left_id, F.lit(1).alias("tier"), F.col("_pos"), right_id)
     )
     loose_index = (
-        right.select(right_id, F.explode(right_loose).alias("_key")).groupBy("_key").agg(F.min(right_id).alias(right_id))
+        fan_out(right, F.col(right_loose), "_key", right_id).groupBy("_key").agg(F.min(right_id).alias(right_id))
     )
     tier2 = (
-        left.select(left_id, F.explode(loose).alias("_key"))
+        fan_out(left, F.col(loose), "_key", left_id)
         .join(loose_index, "_key")
         .select(left_id, F.lit(2).alias("tier"), F.lit(0).alias("_pos"), right_id)
     )
@@ -116,8 +119,9 @@ def _stem_probes(
             )
             subsets.append(F.when(given, entry))
     kept = [row_id, *(keep or [])]
-    fanned = df.select(*kept, F.explode(stems).alias("stem"), F.array_compact(F.array(*subsets)).alias("_subsets"))
-    return fanned.select(*kept, "stem", F.inline("_subsets"))
+    ready = df.select(*kept, stems.alias("_stems"), F.array_compact(F.array(*subsets)).alias("_subsets"))
+    fanned = fan_out(ready, F.col("_stems"), "stem", *kept, "_subsets")
+    return fanned.select(*kept, "stem", F.inline_outer("_subsets")).where(F.col("subset").isNotNull())
 
 
 def scored_match(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.arrays import fan_out
 from ..functions.fingerprints import terms_fingerprint
 from ..functions.terms import search_terms
 from ..functions.text import strip
@@ -39,7 +40,7 @@ def inverted_index(df: DataFrame, key: str, terms: str = "search_terms", keep: l
     instead of being gathered in one list.  The full run keeps them in the hash buckets of the rows,
     sorted by term, and rebuilds only the buckets of changed rows.
     """
-    postings = df.select(F.explode(terms).alias("term"), key, *(keep or []))
+    postings = fan_out(df, F.col(terms), "term", key, *(keep or []))
     return postings.select(F.substring("term", 1, 1).alias("initial"), "term", key, *(keep or []))
 
 
