@@ -80,3 +80,12 @@ def fan_out(df: DataFrame, array: Column, name: str, *keep: str) -> DataFrame:
     array below it, and so has a costly array expression worked out several times per row.
     """
     return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
+def computed_once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column that a later filter reads but cannot push down.
+
+    A filter on a plain computed column moves below it and has the expression worked out twice; it
+    cannot pass the generator that this one-element array goes through.
+    """
+    return df.select("*", F.explode_outer(F.array(value)).alias(name))

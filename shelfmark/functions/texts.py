@@ -78,9 +78,12 @@ def shrink_level(processed: Column, original: Column) -> Column:
 
 def preferred_text(own: Column, source: Column) -> Column:
     """Processed source text; the raw one if processing lost more than half; else own; else null."""
-    processed = translated_text(source)
-    usable = ~is_blank(processed) & (F.length(processed) * 2 >= F.length(source))
-    return (
-        F.when(~is_blank(source), F.when(usable, processed).otherwise(source))
-        .otherwise(blank_to_null(own))
-    )
+
+    def choose(processed: Column) -> Column:
+        usable = ~is_blank(processed) & (F.length(processed) * 2 >= F.length(source))
+        return (
+            F.when(~is_blank(source), F.when(usable, processed).otherwise(source))
+            .otherwise(blank_to_null(own))
+        )
+
+    return let(translated_text(source), choose)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from ..functions.arrays import first_where, no_strings, ordered_union, same_members, split_clean
+from ..functions.arrays import computed_once, first_where, no_strings, ordered_union, same_members, split_clean
 from ..functions.codes import REPRINT, is_promo, is_valid_source_code
 from ..functions.elements import rarity_label, source_elements, source_type
 from ..functions.labels import join_labels, merged_categories
@@ -160,7 +160,7 @@ def card_updates(
         F.array(*[F.when(~F.col(f).eqNullSafe(F.col(f"_old_{f}")), F.lit(f)) for f in fields])
     )
     return (
-        computed.withColumn("changed_fields", changed)
+        computed_once(computed, changed, "changed_fields")
         .where(F.size("changed_fields") > 0)
         .select(card_id, source_id, *fields, "changed_fields")
     )

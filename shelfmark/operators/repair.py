@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.arrays import computed_once
 from ..functions.codes import REPRINT, repaired_codes
 from ..functions.names import repaired_name
 
 
 def name_repairs(df: DataFrame, key: str, name: str = "name") -> DataFrame:
-    fixed = repaired_name(F.col(name))
-    return df.select(key, F.col(name).alias("old_name"), fixed.alias(name)).where(F.col(name) != F.col("old_name"))
+    judged = computed_once(df.select(key, F.col(name).alias("old_name")), repaired_name(F.col("old_name")), name)
+    return judged.where(F.col(name) != F.col("old_name"))
 
 
 def code_repairs(df: DataFrame, key: str, codes: str = "card_numbers", full: str = "full_card_number") -> DataFrame:
