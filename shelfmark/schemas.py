@@ -2,32 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import ArrayType, DataType, MapType, StructField, StructType
-
-_schema = StructType.fromDDL
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
-GROUP_RESULT = _schema(
-    "groupId BIGINT, name STRING, abbreviation STRING, publishedOn STRING, modifiedOn STRING"
+# Built from objects: a DDL text can only be read once a session runs.
+TEXT, WHOLE, SMALL, NUMBER, TRUTH, TIME = (
+    StringType(), LongType(), IntegerType(), DoubleType(), BooleanType(), TimestampType(),
 )
-PRODUCT_RESULT = _schema(
-    "productId BIGINT, name STRING, cleanName STRING, imageUrl STRING, categoryId BIGINT, groupId BIGINT, "
-    "url STRING, modifiedOn STRING, imageCount INT, "
-    "extendedData ARRAY<STRUCT<name: STRING, displayName: STRING, value: STRING>>"
+TEXTS = ArrayType(TEXT)
+
+
+def record(**fields: DataType) -> StructType:
+    return StructType([StructField(name, data_type) for name, data_type in fields.items()])
+
+
+GROUP_RESULT = record(groupId=WHOLE, name=TEXT, abbreviation=TEXT, publishedOn=TEXT, modifiedOn=TEXT)
+PRODUCT_RESULT = record(
+    productId=WHOLE, name=TEXT, cleanName=TEXT, imageUrl=TEXT, categoryId=WHOLE, groupId=WHOLE,
+    url=TEXT, modifiedOn=TEXT, imageCount=SMALL,
+    extendedData=ArrayType(record(name=TEXT, displayName=TEXT, value=TEXT)),
 )
-PRICE_RESULT = _schema(
-    "productId BIGINT, lowPrice DOUBLE, midPrice DOUBLE, highPrice DOUBLE, marketPrice DOUBLE, "
-    "directLowPrice DOUBLE, subTypeName STRING"
+PRICE_RESULT = record(
+    productId=WHOLE, lowPrice=NUMBER, midPrice=NUMBER, highPrice=NUMBER, marketPrice=NUMBER,
+    directLowPrice=NUMBER, subTypeName=TEXT,
 )
-SOURCE_CARD = _schema(
-    "id STRING, code STRING, name_en STRING, type_en STRING, job_en STRING, text_en STRING, "
-    "element ARRAY<STRING>, rarity STRING, cost STRING, power STRING, category_1 STRING, category_2 STRING, "
-    "multicard STRING, ex_burst STRING, set ARRAY<STRING>, "
-    "images STRUCT<thumbs: ARRAY<STRING>, full: ARRAY<STRING>>"
+SOURCE_CARD = record(
+    id=TEXT, code=TEXT, name_en=TEXT, type_en=TEXT, job_en=TEXT, text_en=TEXT,
+    element=TEXTS, rarity=TEXT, cost=TEXT, power=TEXT, category_1=TEXT, category_2=TEXT,
+    multicard=TEXT, ex_burst=TEXT, set=TEXTS, images=record(thumbs=TEXTS, full=TEXTS),
 )
-RUN = _schema(
-    "run_id STRING, version BIGINT, card_count BIGINT, group_count BIGINT, search_indexed BOOLEAN, "
-    "filters_updated BOOLEAN, sync_status STRING, sync_start TIMESTAMP, sync_end TIMESTAMP, "
-    "sync_duration BIGINT, sync_errors ARRAY<STRING>"
+RUN = record(
+    run_id=TEXT, version=WHOLE, card_count=WHOLE, group_count=WHOLE, search_indexed=TRUTH,
+    filters_updated=TRUTH, sync_status=TEXT, sync_start=TIME, sync_end=TIME, sync_duration=WHOLE,
+    sync_errors=TEXTS,
 )
 
 
