@@ -7,13 +7,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing
+from . import byte_bpe, exact_dedup, language_id, mixing, simhash
+from .stages import stage
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def language_profiles(docs: DataFrame) -> DataFrame:
+    """Learned from the documents outside the held-out fifth."""
+    return language_id.profiles(docs.where(language_id.is_training(F.col("doc_id"))))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = stage(language_profiles(docs), "profiles")
+    held = docs.select("doc_id", "text", (~language_id.is_training(F.col("doc_id"))).alias("held_out"))
+    return language_id.predict(held, learned).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def bpe_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = byte_bpe.encode(docs, bpe_path(), with_decoded=True)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(_table(spark, sf_dir, "documents"))
 
@@ -43,6 +77,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op5_simhash": op5_simhash,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_mixing": op10_mixing,
 }
