@@ -5,27 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import exact_dedup, mixing, queries
+from shelfmark.llm import byte_bpe, exact_dedup, language_id, mixing, queries, simhash
 from shelfmark.llm.stages import stage
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the labelled documents teach; texts without letters and the like go."""
+    learned = stage(queries.language_profiles(docs), "profiles")
+    return language_id.keep(docs, learned)
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents equal but for white space, the longest stays."""
     return exact_dedup.keep(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by their fingerprints, the one with the smallest id stays."""
+    return simhash.keep(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture reads them."""
     leaves = docs.withColumns({
-        "domain": queries.mix_domain(F.col("source")), "n_tokens": mixing.word_count(F.col("text")),
+        "_domain": queries.mix_domain(F.col("source")), "_tokens": mixing.word_count(F.col("text")),
     })
-    mixed = mixing.mix(leaves, queries.MIX_WEIGHTS, budget_share=queries.MIX_SHARE, max_epochs=queries.MIX_EPOCHS)
-    return mixed.withColumn("_copy", F.explode(F.expr("array_repeat(1, CAST(copies AS INT))"))).select(docs.columns)
+    weights = {"_domain": queries.MIX_WEIGHTS["domain"], **queries.MIX_WEIGHTS}
+    mixed = mixing.mix(
+        leaves, weights, ("_domain", "lang", "source"), "_tokens",
+        budget_share=queries.MIX_SHARE, max_epochs=queries.MIX_EPOCHS,
+    )
+    again = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
+    return mixed.withColumn("_copy", again).select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with the offset of each token in the text."""
+    rows = docs.select("doc_id", "lang", "source", "text")
+    return byte_bpe.encode(rows, queries.bpe_path()).withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [
+    ("language ID", known_language),
     ("exact dedup", exact_copies),
+    ("SimHash near-dedup", near_copies),
     ("mixing", mixture),
+    ("byte-level BPE", tokens),
 ]
 
 # Near-duplicate components and token ids are beyond SQL; the tests hold the run against a brute-force version.
