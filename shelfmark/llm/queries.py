@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, mixing, simhash
+from . import byte_bpe, exact_dedup, language_id, mixing, simhash, token_shards, topk_search
 from .stages import stage
 
 
@@ -48,6 +48,28 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+END_ID = 1
+
+
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = token_shards.shards(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    written = stage(made, "token-shards")
+    bases = token_shards.directory(written).select("part", "seq", "base")
+    found = token_shards.read(written).join(bases, ["part", "seq"])
+    return found.select(
+        F.col("key").alias("doc_id"), (F.col("base") + F.col("at")).alias("start"),
+        F.col("n_ids").alias("n_tokens"), F.col("digest").alias("ids_crc32"),
+    )
+
+
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk_search.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(_table(spark, sf_dir, "documents"))
 
@@ -80,7 +102,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_simhash": op5_simhash,
+    "op6_token_shards": op6_token_shards,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_topk_search": op8_topk_search,
     "op10_mixing": op10_mixing,
 }
 
@@ -117,6 +141,17 @@ ranked AS (
   SELECT doc_id, content, first_value(doc_id) OVER (PARTITION BY content ORDER BY n DESC, doc_id) AS keep_id,
     count(*) OVER (PARTITION BY content) AS group_size FROM rows)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256 FROM ranked""",
+    "op8_topk_search": r"""
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+parts AS (SELECT vec_id, unnest(v) AS x, unnest(range(len(v))) AS i, len(v) AS dim FROM whole),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM parts q JOIN parts c ON q.i = c.i AND q.dim = c.dim AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
     "op10_mixing": r"""
 WITH docs AS (
   SELECT doc_id, lang, source,
