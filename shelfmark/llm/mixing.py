@@ -9,8 +9,8 @@ down and the tokens left over go one each to the first open children, so no toke
 A leaf reads its documents in seeded epochs: epoch ``e`` orders them by a digest of seed, epoch and id.  Its budget
 is ``q`` whole epochs and a prefix of the next.  A document counts as read when its first token lies in the prefix.
 
-Nothing is ordered over a whole leaf.  Tokens are summed by leaf and the leading digits of the digest; only the one
-bucket in which the prefix ends is ordered, by distinct digest.  The outcome is one row per leaf (whole epochs and the
+Nothing is ordered over a whole leaf.  Tokens are summed by leaf and the leading digits of the digest, two digits at a
+time; only the bucket in which the prefix ends is looked at further, and the last one ordered by distinct digest.  The outcome is one row per leaf (whole epochs and the
 digest at which the prefix ends), and a document is decided by comparing its own digest with it.
 
 Defined results: a null level is a value of its own.  A leaf of weight 0, or without tokens, gets no budget and its
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from .stages import stage
 
 LEVELS = ("domain", "lang", "source")
-BUCKET_DIGITS = 3  # 4,096 buckets in a leaf
+BUCKET_DIGITS = (2, 4)  # 256 buckets in a leaf, and 256 in the one where the prefix ends
 _WIDE = "decimal(38,0)"
 
 
@@ -99,10 +99,10 @@ def budgets(
         for lower in levels[depth:]:
             usable = usable.withColumn("cap", F.when(_weight(lower, weights) > 0, F.col("cap")).otherwise(0).cast(_WIDE))
         if depth == 0:
-            total = leaves.agg((F.coalesce(F.sum("supply"), F.lit(0)) * up).cast("decimal(20,0)").alias("_t"))
-            total = total.select(F.expr(f"CAST(_t DIV {int(down)} AS DECIMAL(38,0))").alias("budget"))
-            nodes = usable.groupBy(level).agg(F.sum("cap").cast(_WIDE).alias("cap")).withColumn("_all", F.lit(1))
-            nodes = nodes.join(total.withColumn("_all", F.lit(1)), "_all").drop("_all")
+            nodes = usable.groupBy(level).agg(F.sum("cap").cast(_WIDE).alias("cap"), F.sum("supply").alias("_supply"))
+            total = (F.sum("_supply").over(Window.partitionBy(F.lit(0))) * up).cast("decimal(20,0)")
+            nodes = nodes.withColumn("_total", total)
+            nodes = nodes.withColumn("budget", F.expr(f"CAST(_total DIV {int(down)} AS DECIMAL(38,0))")).drop("_supply", "_total")
         else:
             nodes = usable.groupBy(*parents, level).agg(F.sum("cap").cast(_WIDE).alias("cap"))
             nodes = _join(nodes, dealt, parents)
@@ -151,16 +151,18 @@ def plan(
     )
     partial = given.where("prefix_tokens > 0").select(*levels, "whole_epochs", "prefix_tokens")
     keyed = _join(narrow, partial, levels).withColumn("_key", _key(seed, F.col("whole_epochs"), "_id"))
-    keyed = keyed.withColumn("_bucket", F.substring("_key", 1, BUCKET_DIGITS))
-    sums = keyed.groupBy(*levels, "_bucket").agg(
-        F.sum("_tokens").alias("_tokens"), F.max("prefix_tokens").alias("prefix_tokens")
-    )
-    upto = Window.partitionBy(*levels).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = sums.withColumn("_upto", F.sum("_tokens").over(upto)).withColumn("_base", F.col("_upto") - F.col("_tokens"))
-    ending = stage(
-        sums.where("_base < prefix_tokens AND prefix_tokens <= _upto").select(*levels, "_bucket", "_base"), "mix-ends"
-    )
-    last = _join(keyed, ending, [*levels, "_bucket"]).groupBy(*levels, "_key").agg(
+    keyed = keyed.withColumn("_base", F.lit(0).cast("long"))
+    for digits in BUCKET_DIGITS:
+        sums = keyed.groupBy(*levels, F.substring("_key", 1, digits).alias("_bucket")).agg(
+            F.sum("_tokens").alias("_tokens"), F.max("prefix_tokens").alias("prefix_tokens"), F.max("_base").alias("_base")
+        )
+        upto = Window.partitionBy(*levels).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = sums.withColumn("_upto", F.col("_base") + F.sum("_tokens").over(upto))
+        sums = sums.withColumn("_base", F.col("_upto") - F.col("_tokens"))
+        ending = sums.where("_base < prefix_tokens AND prefix_tokens <= _upto").select(*levels, "_bucket", "_base")
+        keyed = keyed.drop("_base").withColumn("_bucket", F.substring("_key", 1, digits))
+        keyed = _join(keyed, stage(ending, "mix-ends"), [*levels, "_bucket"]).drop("_bucket")
+    last = keyed.groupBy(*levels, "_key").agg(
         F.sum("_tokens").alias("_tokens"), F.max("prefix_tokens").alias("prefix_tokens"), F.max("_base").alias("_base")
     )
     upto = Window.partitionBy(*levels).orderBy("_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
