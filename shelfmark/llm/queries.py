@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, mixing, simhash, token_shards, topk_search
+from . import byte_bpe, exact_dedup, language_id, mixing, simhash, substring_dedup, token_shards, topk_search
 from .stages import stage
 
 
@@ -74,6 +74,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.report(_table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substring_dedup.dedup(docs, from_files=True)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 # The mixture of op10 and of the pipeline: sources fall into three domains by their number.
 MIX_WEIGHTS = {
     "domain": {"web": 5, "books": 3, "code": 2},
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_shards": op6_token_shards,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_topk_search": op8_topk_search,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
 }
 
