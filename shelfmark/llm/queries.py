@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, mixing, simhash, substring_dedup, token_shards, topk_search
+from . import byte_bpe, exact_dedup, language_id, lm_scoring, mixing, simhash, substring_dedup, token_shards, topk_search
 from .stages import stage
 
 
@@ -15,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(_table(spark, sf_dir, "documents").select("doc_id", "text"), from_files=True)
+
+
 def language_profiles(docs: DataFrame) -> DataFrame:
     """Learned from the documents outside the held-out fifth."""
     return language_id.profiles(docs.where(language_id.is_training(F.col("doc_id"))))
@@ -105,6 +109,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_simhash": op5_simhash,
