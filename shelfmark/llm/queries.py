@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, lm_scoring, mixing, simhash, substring_dedup, token_shards, topk_search
+from . import byte_bpe, exact_dedup, language_id, license_scan, lm_scoring, mixing, simhash, substring_dedup, token_shards, topk_search
 from .stages import stage
 
 
@@ -19,6 +19,17 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(_table(spark, sf_dir, "documents").select("doc_id", "text"), from_files=True)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_scan.scan(docs, license_scan.learn(docs))
+    return found.select(
+        "doc_id", "n_paragraphs",
+        F.size(F.array_distinct(F.transform("findings", lambda x: x["paragraph"]))).cast("long").alias("n_notices"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("findings", lambda x: x["family"]))), ",").alias("families"),
+        "findings",
+    )
+
+
 def language_profiles(docs: DataFrame) -> DataFrame:
     """Learned from the documents outside the held-out fifth."""
     return language_id.profiles(docs.where(language_id.is_training(F.col("doc_id"))))
@@ -110,6 +121,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_license_scan": op2_license_scan,
     "op3_language_id": op3_language_id,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_simhash": op5_simhash,
