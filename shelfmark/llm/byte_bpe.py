@@ -24,9 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from .bytewise import pieces, ranges, slice_hashes, text_bytes
+from .stages import numbered, other_fields
 
 CACHED_SLICES = 200_000  # of a worker; the cache is emptied when full
 HEAP_FROM = 200  # bytes; longer slices are merged with a heap
@@ -316,17 +318,18 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", with_decoded: boo
     """
     added = [StructField("ids", ArrayType(IntegerType(), False)), StructField("offsets", ArrayType(IntegerType(), False))]
     added += [StructField("decoded", BinaryType())] * with_decoded
-    kept = [f for f in docs.schema.fields if f.name not in ("ids", "offsets", "decoded", text_col)]
-    rows = docs.select(*[docs[f.name] for f in kept], docs[text_col].alias("_text"))
+    kept = other_fields(docs, "ids", "offsets", "decoded", text_col)
+    rows = docs.select(*numbered(kept), F.col(text_col).cast("string").alias("text"))
+    at = len(kept)  # the text's place, whatever the other columns are called
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(path)
         for batch in batches:
-            for piece in pieces(batch, "_text"):
-                data, offsets = text_bytes(piece.column("_text"))
+            for piece in pieces(batch, at):
+                data, offsets = text_bytes(piece.column(at))
                 ids, begins, counts = ranks.encode(data, offsets)
                 ends = np.r_[0, np.cumsum(counts)].astype(np.int32)
-                columns = [piece.column(f.name) for f in kept]
+                columns = piece.columns[:at]
                 columns += [pa.ListArray.from_arrays(ends, pa.array(x)) for x in (ids, begins)]
                 if with_decoded:
                     spans = zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)
@@ -338,17 +341,18 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", with_decoded: boo
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``: the bytes of its ids; null ids give null."""
-    kept = [f for f in encoded.schema.fields if f.name != "decoded"]
+    kept = other_fields(encoded, "decoded")
+    at = [f.name for f in kept].index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(path)
         for batch in batches:
             out = []
-            for row in batch.column(ids_col):
+            for row in batch.column(at):
                 ids = None if not row.is_valid else np.array(row.values, np.int64)
                 out.append(None if ids is None else ranks.decode(ids, np.cumsum(ranks.lengths[ids]) - ranks.lengths[ids]))
-            columns = [batch.column(f.name) for f in kept] + [pa.array(out, pa.binary())]
+            columns = [*batch.columns, pa.array(out, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + ["decoded"])
 
-    return encoded.select(*[f.name for f in kept]).mapInArrow(run, StructType([*kept, StructField("decoded", BinaryType())]))
+    return encoded.select(*numbered(kept)).mapInArrow(run, StructType([*kept, StructField("decoded", BinaryType())]))
 

@@ -34,7 +34,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str | int, limit: int = PIECE) -> Iterator[pa.RecordBatch]:
     """Consecutive rows with at most ``limit`` bytes of text; a longer text is a piece of its own."""
     if batch.num_rows == 0:
         return

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .stages import stage, without_white
+from .stages import quoted, stage, without_white
 
 SALTS = 16
 _ID_SPAN = "100000000000000000000"  # above every 64-bit id: the rank is length * span - id
@@ -99,4 +99,4 @@ def keep(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     once = staying(winners.where("_repeats = 1"))
     repeated = staying(winners.where("_repeats > 1")).dropDuplicates(["_key", "_digest"])
-    return once.unionByName(repeated).select(docs.columns)
+    return once.unionByName(repeated).select(*[quoted(c) for c in docs.columns])

@@ -27,6 +27,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .bytewise import pieces, text_bytes
 from .byte_bpe import LETTER, classes
+from .stages import numbered, other_fields, quoted
 
 PROFILE = 400
 PIECE = 1 << 20
@@ -165,27 +166,28 @@ def keep(docs: DataFrame, learned: DataFrame, text_col: str = "text", least_scor
 
     Rejected are texts without a letter, and texts whose n-grams lie nearly as far from every profile as possible.
     """
-    names = docs.columns
-    known = predict(docs.withColumns({f"_own_{c}": F.col(c) for c in names if c in ("lang_pred", "score")}), learned, text_col)
-    known = known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
-    return known.select(*[F.col(f"_own_{c}").alias(c) if c in ("lang_pred", "score") else F.col(c) for c in names])
+    row = F.struct(*[quoted(c) for c in docs.columns]).alias("_row")
+    known = predict(docs.select(row, F.col(text_col).alias("_text")), learned, "_text")
+    return known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_row.*")
 
 
 def predict(docs: DataFrame, learned: DataFrame, text_col: str = "text", size: int = PROFILE) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (share of the greatest possible distance that is not there)."""
     known = Profiles(learned.collect(), size)  # as many rows as languages times the size of a profile
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
-    kept = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score")]
+    kept = other_fields(docs, "lang_pred", "score")
+    rows = docs.select(*numbered(kept), F.col(text_col).cast("string").alias("text"))
+    at = len(kept)  # the text's place, whatever the other columns are called
     names = np.array([*known.langs, UNKNOWN], object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in pieces(batch, text_col, PIECE):
-                best, score = known.nearest(*text_bytes(piece.column(text_col)))
-                columns = [piece.column(f.name) for f in kept] + [pa.array(names[best].tolist(), pa.string()), pa.array(score)]
+            for piece in pieces(batch, at, PIECE):
+                best, score = known.nearest(*text_bytes(piece.column(at)))
+                columns = piece.columns[:at] + [pa.array(names[best].tolist(), pa.string()), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in [*kept, *added]])
 
-    return docs.select(*[f.name for f in kept]).mapInArrow(run, StructType([*kept, *added]))
+    return rows.mapInArrow(run, StructType([*kept, *added]))
 
 
 def is_training(id_col: Column) -> Column:

@@ -15,7 +15,7 @@ digest at which the prefix ends), and a document is decided by comparing its own
 
 Defined results: a null level is a value of its own.  A leaf of weight 0, or without tokens, gets no budget and its
 documents 0 copies.  Documents without tokens are read where the order meets them.  Repeated rows have the same
-digest and are read together.  An empty table gives an empty result.  Negative weights or budgets raise ``ValueError``.
+digest and are read together.  Columns of the input called like the new ones are replaced.  An empty table gives an empty result.  Negative weights or budgets raise ``ValueError``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .stages import stage
+from .stages import other_fields, quoted, stage
 
 LEVELS = ("domain", "lang", "source")
 BUCKET_DIGITS = (2, 4)  # 256 buckets in a leaf, and 256 in the one where the prefix ends
@@ -184,8 +184,8 @@ def mix(
     """The rows of ``docs`` with ``copies`` (how often the mixture reads the document) and ``leaf_budget``."""
     leaf = plan(docs, weights, levels, tokens_col, id_col, budget_share, max_epochs, seed)
     leaf = leaf.select(*levels, "whole_epochs", "last_key", F.col("budget").alias("leaf_budget"))
-    kept = [c for c in docs.columns if c not in ("whole_epochs", "last_key", "leaf_budget", "copies")]
-    read = _join(docs.select(kept), leaf, levels)
+    kept = [quoted(f.name) for f in other_fields(docs, "whole_epochs", "last_key", "leaf_budget", "copies")]
+    read = _join(docs.select(*kept), leaf, levels)
     prefix = F.coalesce((_key(seed, F.col("whole_epochs"), id_col) <= F.col("last_key")).cast("long"), F.lit(0))
     # an empty leaf has no epochs to read
     return read.withColumn("copies", F.col("whole_epochs") + prefix).drop("whole_epochs", "last_key")

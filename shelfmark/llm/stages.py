@@ -20,6 +20,21 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column's name as it must be written where dots would be read as fields."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def other_fields(df: DataFrame, *names: str) -> list:
+    """The fields of ``df`` but for those called like ``names``, in either case."""
+    return [f for f in df.schema.fields if f.name.lower() not in {n.lower() for n in names}]
+
+
+def numbered(fields: list) -> list:
+    """Columns under plain names (c0, c1, ...), as functions over Arrow batches need them."""
+    return [F.col(quoted(f.name)).alias(f"c{i}") for i, f in enumerate(fields)]
+
+
 def without_white(column):
     """The text without the six white characters; searches for bytes, so it is faster than a pattern."""
     for character in WHITE:
