@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm import byte_bpe, exact_dedup, language_id, mixing, queries, simhash
-from shelfmark.llm.stages import stage
+from shelfmark.llm.stages import quoted, stage
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,16 +27,17 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture reads them."""
-    leaves = docs.withColumns({
-        "_domain": queries.mix_domain(F.col("source")), "_tokens": mixing.word_count(F.col("text")),
-    })
+    leaves = docs.select(
+        F.struct(*[quoted(c) for c in docs.columns]).alias("_row"), "doc_id", "lang", "source",
+        queries.mix_domain(F.col("source")).alias("_domain"), mixing.word_count(F.col("text")).alias("_tokens"),
+    )
     weights = {"_domain": queries.MIX_WEIGHTS["domain"], **queries.MIX_WEIGHTS}
     mixed = mixing.mix(
         leaves, weights, ("_domain", "lang", "source"), "_tokens",
         budget_share=queries.MIX_SHARE, max_epochs=queries.MIX_EPOCHS,
     )
     again = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
-    return mixed.withColumn("_copy", again).select(docs.columns)
+    return mixed.withColumn("_copy", again).select("_row.*")
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
