@@ -106,20 +106,13 @@ def ordered_sets(values: DataFrame, groups: DataFrame, value: str, name: str, pu
 
 
 def facet_changes(documents: DataFrame, stored: DataFrame, force: bool = False) -> DataFrame:
-    """Documents that differ from the stored ones, plus ``updated`` per document."""
+    """The documents and those stored ones that are no more (without values), with ``updated`` per document."""
     old = stored.select("field", "page", F.col("hash").alias("_old"))
-    joined = documents.join(old, ["field", "page"], "left")
+    joined = documents.join(old, ["field", "page"], "full_outer")
     changed = ~F.col("hash").eqNullSafe(F.col("_old")) | F.lit(force)
     return joined.withColumn("updated", changed).drop("_old")
 
 
-def facet_counters(judged: DataFrame) -> DataFrame:
-    """How many documents were looked at and how many differ."""
-    return judged.agg(
-        F.count(F.lit(1)).alias("items_processed"), F.count_if(F.col("updated")).alias("items_updated")
-    )
-
-
 def set_positions(values: DataFrame, groups: DataFrame) -> DataFrame:
     """Facet rows of the set field with their two-block position; there are as many as groups."""
     ranked = ordered_sets(values, groups, "value", "name", "published_on")

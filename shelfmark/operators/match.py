@@ -2,8 +2,10 @@
 
 All operators reduce the right side to one row per look-up key before the join, so the join never
 multiplies rows: the left side fans out to its own keys and nothing else, whatever share of either
-source one code holds.  The left side may be as skewed as it likes; the unique right side lets
-Spark split it (adaptive skew join), and the closing aggregate reduces before its shuffle.
+source one code holds.  A code that many left rows share is spread over ``SALTS`` tasks: the left row's
+id tells its salt, and the one index row of a key is repeated for each.  As the join is then on more than the
+index is grouped by, both sides have an exchange right below it, and the adaptive skew join splits what is
+still too large.  The closing aggregate reduces before its shuffle.
 """
 
 from __future__ import annotations
@@ -15,6 +17,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.arrays import fan_out, normalise_set_name
 
 ANY, NO_SET, SET = "any", "no_set", "set"
+SALTS = 8
+
+
+def _look_up(probes: DataFrame, index: DataFrame, left_id: str, keys: list[str]) -> DataFrame:
+    """Join on unique index keys, hot ones spread over ``SALTS`` tasks."""
+    salted = probes.withColumn("_salt", F.pmod(F.xxhash64(left_id), F.lit(SALTS)).cast("int"))
+    repeated = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
 
 
 def _place(scope: str, name: Column | None = None) -> Column:
@@ -60,7 +70,7 @@ def first_match(
         left_id, "code", F.inline_outer("_asked")
     )
     return (
-        probes.join(index, ["code", "scope", "name"]).groupBy(left_id).agg(F.min(right_id).alias(right_id))
+        _look_up(probes, index, left_id, ["code", "scope", "name"]).groupBy(left_id).agg(F.min(right_id).alias(right_id))
     )
 
 
@@ -80,20 +90,13 @@ def tiered_match(
     an array of the right row.  Result: ``left_id, right_id, tier``.
     """
     exact_index = right.groupBy(F.col(right_exact).alias("_key")).agg(F.min(right_id).alias(right_id))
-    tier1 = (
-        left.select(left_id, F.posexplode_outer(exact).alias("_pos", "_key"))
-        .where(F.col("_key").isNotNull())
-        .join(exact_index, "_key")
-        .select(left_id, F.lit(1).alias("tier"), F.col("_pos"), right_id)
-    )
+    asked = left.select(left_id, F.posexplode_outer(exact).alias("_pos", "_key")).where(F.col("_key").isNotNull())
+    tier1 = _look_up(asked, exact_index, left_id, ["_key"]).select(left_id, F.lit(1).alias("tier"), F.col("_pos"), right_id)
     loose_index = (
         fan_out(right, F.col(right_loose), "_key", right_id).groupBy("_key").agg(F.min(right_id).alias(right_id))
     )
-    tier2 = (
-        fan_out(left, F.col(loose), "_key", left_id)
-        .join(loose_index, "_key")
-        .select(left_id, F.lit(2).alias("tier"), F.lit(0).alias("_pos"), right_id)
-    )
+    tier2 = _look_up(fan_out(left, F.col(loose), "_key", left_id), loose_index, left_id, ["_key"])
+    tier2 = tier2.select(left_id, F.lit(2).alias("tier"), F.lit(0).alias("_pos"), right_id)
     best = tier1.unionByName(tier2).groupBy(left_id).agg(F.min(F.struct("tier", "_pos", right_id)).alias("_best"))
     return best.select(left_id, F.col(f"_best.{right_id}").alias(right_id), F.col("_best.tier").alias("tier"))
 
@@ -154,38 +157,7 @@ def scored_match(
     probes = _stem_probes(left, left_id, F.array_distinct(left_stems), properties, sizes)
     weight = F.when(F.col("size") == 2, 1).when(F.col("size") == 3, -2).otherwise(3)
     return (
-        probes.join(index, ["stem", "subset", "joint"])
+        _look_up(probes, index, left_id, ["stem", "subset", "joint"])
         .groupBy(left_id)
         .agg(F.sum(F.col("_n") * weight).alias("n_matches"), F.min(right_id).alias(right_id))
     )
-
-
-def scored_pairs(
-    left: DataFrame,
-    right: DataFrame,
-    left_id: str,
-    left_stems: str,
-    right_id: str,
-    right_stem: str,
-    properties: list[str],
-) -> DataFrame:
-    """The matches of ``scored_match`` one by one, for sources whose codes are near to unique.
-
-    Joins on stem and a pair of agreeing properties, never on the stem alone; each match is kept for
-    the first pair it agrees in, so no duplicate arises.  The result has one row per match: use
-    ``scored_match`` where a code may be shared by many rows of both sources.
-    """
-    pairs = range(2, 3)
-    l_side = _stem_probes(left, left_id, F.array_distinct(left_stems), properties, pairs).drop("size")
-    r_side = _stem_probes(right, right_id, F.array(right_stem), properties, pairs).drop("size")
-    l_props = left.select(left_id, *[F.col(p).alias(f"_l_{p}") for p in properties])
-    r_props = right.select(right_id, *[F.col(p).alias(f"_r_{p}") for p in properties])
-    met = l_side.join(r_side, ["stem", "subset", "joint"]).join(l_props, left_id).join(r_props, right_id)
-    first = F.lit(None).cast("string")
-    for a, b in reversed(list(combinations(properties, 2))):
-        both = (F.col(f"_l_{a}") == F.col(f"_r_{a}")) & (F.col(f"_l_{b}") == F.col(f"_r_{b}"))
-        first = F.when(both, F.lit(f"{a}+{b}")).otherwise(first)
-    score = sum(
-        (F.coalesce((F.col(f"_l_{p}") == F.col(f"_r_{p}")).cast("int"), F.lit(0)) for p in properties), F.lit(0)
-    )
-    return met.where(F.col("subset") == first).select(left_id, right_id, score.alias("score"))

@@ -48,6 +48,8 @@ def trailing_window(
     ``compute`` gets the window specification (ordered, unframed) and names the result columns.  The
     last ``back`` rows of a chunk are repeated at the head of the next one and dropped again.
     """
+    if back > chunk:
+        raise ValueError(f"a chunk of {chunk} rows cannot give {back} rows to the next one")
     numbered = number_rows(df, keys, order, slice_by, "_at")
     own = F.floor((F.col("_at") - 1) / chunk)
     left_over = chunk - F.pmod(F.col("_at") - 1, F.lit(chunk))

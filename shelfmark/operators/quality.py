@@ -85,20 +85,21 @@ def error_patterns(logs: DataFrame, time: str, tie: str, is_error: Column, messa
 
 
 def error_aggregate(logs: DataFrame, time: str, since, is_error: Column, key: str, context: str) -> DataFrame:
-    """Per error key: count, last occurrence and the contexts it occurred in.
+    """Per error key: count, last occurrence and in how many contexts it occurred (``error_contexts`` lists them)."""
+    pairs = error_contexts(logs, time, since, is_error, key, context)
+    return pairs.groupBy(key).agg(
+        F.sum("n").alias("n"),
+        F.max("last_occurrence").alias("last_occurrence"),
+        F.count(context).alias("n_contexts"),
+    )
+
 
-    Contexts name places of the program, so there are few.  They are made distinct with their counts
-    first; only those distinct ones come together.
-    """
-    pairs = (
+def error_contexts(logs: DataFrame, time: str, since, is_error: Column, key: str, context: str) -> DataFrame:
+    """The contexts of each error key, a row each, with count and last occurrence; never gathered in a list."""
+    return (
         logs.where((F.col(time) >= F.lit(since)) & is_error)
         .groupBy(key, context)
-        .agg(F.count(F.lit(1)).alias("_n"), F.max(time).alias("_last"))
-    )
-    return pairs.groupBy(key).agg(
-        F.sum("_n").alias("n"),
-        F.max("_last").alias("last_occurrence"),
-        F.array_sort(F.collect_list(context)).alias("contexts"),
+        .agg(F.count(F.lit(1)).alias("n"), F.max(time).alias("last_occurrence"))
     )
 
 

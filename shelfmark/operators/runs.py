@@ -22,9 +22,11 @@ def current_run(runs: DataFrame) -> DataFrame:
 
 
 def next_version(runs: DataFrame) -> DataFrame:
-    """One row: the highest version of a completed run plus one; 1 before any."""
-    done = F.when(F.col("sync_status") == COMPLETED, F.col("version"))
-    return runs.agg((F.coalesce(F.max(done), F.lit(0)) + 1).cast("bigint").alias("version"))
+    """One row: the highest version of any run plus one; 1 before any.
+
+    A failed run has stamped rows too, so its number is not given again; ``run_health`` tells the latest good one.
+    """
+    return runs.agg((F.coalesce(F.max("version"), F.lit(0)) + 1).cast("bigint").alias("version"))
 
 
 def run_counters(classified: DataFrame, errors: DataFrame | None = None, by: str | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from ..functions.arrays import fan_out
 from ..functions.fingerprints import terms_fingerprint
 from ..functions.terms import search_terms
 from ..functions.text import strip
-from .changes import classify
+from .changes import change_kind, classify
 
 
 def is_searchable(name: str = "clean_name", codes: str = "card_numbers", non_card: str = "is_non_card") -> Column:
@@ -33,6 +33,17 @@ def refresh_terms(cards: DataFrame, key: str, stored: DataFrame, force: bool = F
     return classify(fresh, stored, key, "search_hash", derived_col="search_terms", force=force)
 
 
+def refresh_in_place(cards: DataFrame, key: str, force: bool = False, name: str = "clean_name", codes: str = "card_numbers") -> DataFrame:
+    """``refresh_terms`` for a table that holds its own terms and fingerprint: columns of one row, no join."""
+    terms = search_terms(F.col(name), F.col(codes))
+    fresh = cards.where(is_searchable(name, codes)).withColumn("_terms", terms)
+    fresh = fresh.withColumn("_hash", terms_fingerprint(F.col("_terms")))
+    kind = change_kind(F.lit(True), F.col("_hash"), F.col("search_hash"), derived=F.col("search_terms"), force=force)
+    return fresh.select(
+        key, F.col("_terms").alias("search_terms"), F.col("_hash").alias("search_hash"), kind.alias("change_kind")
+    )
+
+
 def inverted_index(df: DataFrame, key: str, terms: str = "search_terms", keep: list[str] | None = None) -> DataFrame:
     """``initial, term, key``: one row per posting.
 

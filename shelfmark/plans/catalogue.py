@@ -33,6 +33,9 @@ FACET_FIELDS = {
 # Tables kept in hash buckets of their key; a run rewrites the buckets it touches.
 BUCKETED = {"groups", "cards", "card_images", "source_cards", "prices"}
 
+# Published versions that retention leaves, so that a reader of the last one but one is not cut off.
+KEPT_VERSIONS = 2
+
 # Columns of the card table that the index step fills.
 INDEX_COLUMNS = {"search_terms": "array<string>", "search_hash": "string"}
 
@@ -61,6 +64,11 @@ class Layout:
     tables: str
     feed_layout: str = feeds.ENVELOPE
     n_buckets: int = 64  # so many that a bucket is a few gigabytes
+    by_group: bool = False  # products and prices land in a folder for each group, ``group_id=...``
+
+    def feed(self, path: str, group_id: int | None) -> str:
+        """Where to read a feed from: one group's folder if there is one, else all of it."""
+        return f"{path.rstrip('/')}/group_id={group_id}" if self.by_group and group_id is not None else path
 
     def table(self, name: str) -> str:
         return f"{self.tables.rstrip('/')}/{name}"
@@ -213,13 +221,15 @@ def _reconciled(
     key: str,
     later: dict[str, str] | None = None,
     child: tuple[str, str] | None = None,
+    unreadable: DataFrame | None = None,
 ) -> StepResult:
     """Reject, classify, log the changed rows and merge them into the buckets they touch.
 
     Classification reads key, fingerprint and version of the stored table, nothing else.  The change
     log of the run is written first; what is merged is read back from it, so a lost executor costs
     one task and not the feed.  ``later`` names columns that other steps fill; ``child`` is a struct column
-    that goes to a table of its own, with one row per key.
+    that goes to a table of its own, with one row per key.  ``unreadable`` feed documents are
+    rejects as well, with the name of their file.
     """
     result = StepResult(name)
     good, bad = changes.split_rejects(incoming, {f"{key} missing": F.col(key).isNotNull()})
@@ -250,8 +260,11 @@ def _reconciled(
         run.merge(table, details, key, merge.merge_upsert)
         rows, empty = rows.drop(column), empty.drop(column)
     run.merge(name, rows, key, merge.merge_upsert, empty)
-    watched = bad.select(F.to_json(F.struct("*")).alias("record"), F.lit(run.run_id).alias("run_id"))
-    tables.append(watched.observe(rejects, F.count(F.lit(1)).alias("n")), run.layout.table(f"{name}_rejects"))
+    records = bad.select(F.to_json(F.struct("*")).alias("record"))
+    if unreadable is not None:
+        records = records.unionByName(unreadable.select(F.to_json(F.struct("source_file", "corrupt")).alias("record")))
+    watched = records.select("record", F.lit(run.started).cast("timestamp").alias("last_updated"), F.lit(run.run_id).alias("run_id"))
+    tables.append(watched.observe(rejects, F.count(F.lit(1)).alias("n")), run.layout.table(f"{name}_rejects"), ["run_id"])
     result.n_errors = _metrics(rejects)["n"]
     return result
 
@@ -279,25 +292,34 @@ def _merge_staged(run: Run, step: str, name: str, updates: DataFrame, key: str)
 
 
 def sync_groups(run: Run) -> StepResult:
-    rows = feeds.groups(run.spark, run.layout.groups_feed, run.layout.feed_layout)
+    feed = feeds.read_feed(run.spark, run.layout.groups_feed, schemas.GROUP_RESULT, layout=run.layout.feed_layout)
+    rows = feeds.shape_groups(feeds.readable(feed))
     unique = changes.latest_per_key(rows, ["group_id"], feeds.feed_order()).drop("source_file", "position")
-    return _reconciled(run, "groups", unique.withColumn("content_hash", fingerprints.group_fingerprint()), "group_id")
+    hashed = unique.withColumn("content_hash", fingerprints.group_fingerprint())
+    return _reconciled(run, "groups", hashed, "group_id", unreadable=feeds.unreadable(feed))
 
 
 def sync_cards(run: Run) -> StepResult:
-    rows = feeds.products(run.spark, run.layout.products_feed, run.group_id, run.layout.feed_layout)
+    path = run.layout.feed(run.layout.products_feed, run.group_id)
+    feed = feeds.read_feed(run.spark, path, schemas.PRODUCT_RESULT, layout=run.layout.feed_layout)
+    rows = feeds.shape_products(feeds.readable(feed))
+    if run.group_id is not None:
+        rows = rows.where(F.col("group_id") == run.group_id)
     unique = changes.latest_per_key(rows, ["product_id"], feeds.feed_order())
     groups = run.load("groups")
     if groups is None:
         groups = feeds.groups(run.spark, run.layout.groups_feed, run.layout.feed_layout)
     cleaned = cleaned_cards(unique, groups, run.images)
-    return _reconciled(run, "cards", cleaned, "product_id", INDEX_COLUMNS, ("image_metadata", "card_images"))
+    child = ("image_metadata", "card_images")
+    return _reconciled(run, "cards", cleaned, "product_id", INDEX_COLUMNS, child, feeds.unreadable(feed))
 
 
 def sync_source(run: Run) -> StepResult:
-    rows = stored_source(feeds.source_cards(run.spark, run.layout.source_feed, run.layout.feed_layout))
+    feed = feeds.read_feed(run.spark, run.layout.source_feed, schemas.SOURCE_CARD, "cards", run.layout.feed_layout)
+    rows = stored_source(feeds.shape_source(feed, run.layout.feed_layout))
     unique = changes.latest_per_key(rows, ["doc_id"], feeds.feed_order()).drop("source_file", "position")
-    return _reconciled(run, "source_cards", unique, "doc_id")
+    bad = feeds.unreadable(feed) if run.layout.feed_layout == feeds.LINES else None  # else the step has failed
+    return _reconciled(run, "source_cards", unique, "doc_id", unreadable=bad)
 
 
 def matched_cards(cards: DataFrame, source: DataFrame) -> DataFrame:
@@ -335,7 +357,7 @@ def enrich_cards(run: Run, overrides: DataFrame | None = None) -> StepResult:
 def refresh_index(run: Run) -> StepResult:
     result = StepResult("search_index")
     cards = run.load("cards")
-    fresh = search.refresh_terms(cards, "product_id", cards.select("product_id", *INDEX_COLUMNS), run.force)
+    fresh = search.refresh_in_place(cards, "product_id", run.force)
     counts = [
         F.count(F.lit(1)).alias("processed"),
         F.count_if(F.col("change_kind") != "unchanged").alias("updated"),
@@ -374,47 +396,64 @@ def refresh_facets(run: Run) -> StepResult:
     if run.plan_only:
         result.updated = judged.where("updated").count()
         return result
-    tables.publish(judged.drop("updated").withColumn("last_updated", F.lit(run.started).cast("timestamp")),
+    left = judged.where(F.col("hash").isNotNull())  # a removed document counts as updated and goes
+    tables.publish(left.drop("updated").withColumn("last_updated", F.lit(run.started).cast("timestamp")),
                    run.layout.table("facets"))
     result.processed, result.updated = (_metrics(seen)[n] for n in ("processed", "updated"))
     return result
 
 
 def sync_prices(run: Run) -> StepResult:
-    """Current prices, and the snapshot of the day."""
-    raw = feeds.prices(run.spark, run.layout.prices_feed, run.layout.feed_layout)
+    """Current prices, and the snapshot of the day: every product's price, changed by this run or not."""
+    path = run.layout.feed(run.layout.prices_feed, run.group_id)
+    feed = feeds.read_feed(run.spark, path, schemas.PRICE_RESULT, layout=run.layout.feed_layout)
+    raw = feeds.shape_prices(feeds.readable(feed))
     incoming = current_prices(raw, run.load("cards"))
     if run.group_id is not None:
         incoming = incoming.where(F.col("group_id") == run.group_id)
-    result = _reconciled(run, "prices", incoming, "product_id")
+    result = _reconciled(run, "prices", incoming, "product_id", unreadable=feeds.unreadable(feed))
     if run.plan_only:
         return result
     day = F.lit(run.started.date())
-    like = merge.stamp(incoming, run.version, run.started)
-    snapshot = logged_changes(run, "prices", like, "product_id").select(
+    current = run.load("prices")
+    if current is None:
+        return result
+    snapshot = current.select(
         "product_id", "group_id", history_form(F.col("normal")).alias("normal"), history_form(F.col("foil")).alias("foil"),
         F.col("last_updated").alias("written_at"), day.alias("snapshot_date"),
     )
-    path = run.layout.table("price_history")
-    if tables.exists(run.spark, path):
-        today = run.spark.read.parquet(path).where(F.col("snapshot_date") == day)
-        snapshot = merge.replace_rows(today, snapshot, "product_id")
-    tables.overwrite_partitions(snapshot, path, ["snapshot_date"])
+    tables.overwrite_partitions(snapshot, run.layout.table("price_history"), ["snapshot_date"])
     return result
 
 
 def purge(run: Run, cutoff: datetime, names: tuple[str, ...] = ("runs",)) -> dict[str, int]:
-    """Retention by age of logs and run history; returns how many rows each table loses."""
+    """Retention by age; returns how many rows each table loses.
+
+    Append logs (``..._deltas``, ``..._rejects``) lose the partitions of old runs; published tables lose old rows, and
+    their older versions but the last ``KEPT_VERSIONS``.  A name that is no table raises ``ValueError``.
+    """
     deleted = {}
     for name in names:
-        df = run.load(name)
-        if df is None:
+        path = run.layout.table(name)
+        if name.endswith(("_deltas", "_rejects")) and tables.exists(run.spark, path):
+            log = run.spark.read.parquet(path)
+            time = "changes.last_updated" if name.endswith("_deltas") else "last_updated"
+            ages = log.groupBy("run_id").agg(F.max(time).alias("t"), F.count(F.lit(1)).alias("n"))
+            old = ages.where(F.col("t") < F.lit(cutoff)).collect()  # one row for each run
+            for row in old:
+                tables.remove(run.spark, f"{path}/run_id={row.run_id}")
+            deleted[name] = sum(row.n for row in old)
             continue
+        df = None if name in BUCKETED else run.load(name)
+        if df is None:
+            raise ValueError(f"no log and no published table: {name}")
         counts = Observation()
         time = "sync_start" if name == "runs" else "last_updated"
         seen = df.observe(counts, F.count_if(F.col(time) < F.lit(cutoff)).alias("n"))
         tables.publish(history.retained(seen, time, cutoff), run.layout.table(name))
         deleted[name] = _metrics(counts)["n"]
+        for version in tables.versions(run.spark, path)[:-KEPT_VERSIONS]:
+            tables.remove(run.spark, tables.version_path(path, version))
     return deleted
 
 
@@ -427,44 +466,50 @@ SCHEDULED_STEPS: list[Callable[[Run], StepResult]] = [sync_groups, sync_cards, s
 
 
 def run_steps(run: Run, steps: list[Callable[[Run], StepResult]] = CATALOGUE_STEPS) -> list[StepResult]:
-    """Run steps in order, stop at the first that fails, and append the run record.
+    """Run steps in order, stop at the first that fails, and keep the run record.
 
-    The version grows only with a completed run, so a failed one is repeated under its own number.
+    Every run has a number of its own, also after a failed one, so a reader that asks for later versions misses nothing.
+    A record says "in-progress" from the start; a run that is killed leaves it so.
     """
     history_table = run.load("runs")
     if history_table is not None:
         run.version = runs.next_version(history_table).first()["version"]
+    if not run.plan_only:
+        _publish_record(run, runs.RUNNING, 0, 0, set(), None, [])
     results: list[StepResult] = []
     for step in steps:
         try:
             results.append(step(run))
         except Exception as error:  # noqa: BLE001 - any failure of a step ends the run and is recorded
-            results.append(StepResult(step.__name__, success=False, error=str(error)[:2000]))
+            results.append(StepResult(step.__name__, success=False, error=str(error)))
             break
     if not run.plan_only:
-        _record(run, results, history_table)
+        _record(run, results)
     return results
 
 
-def _record(run: Run, results: list[StepResult], history_table: DataFrame | None) -> None:
+def _record(run: Run, results: list[StepResult]) -> None:
     good = all(r.success for r in results)
     ended = datetime.now(timezone.utc)
     done = {r.step for r in results if r.success}
     cards, groups = run.load("cards"), run.load("groups")
+    _publish_record(
+        run, runs.COMPLETED if good else runs.FAILED, cards.count() if cards is not None else 0,
+        groups.count() if groups is not None else 0, done, ended, [r.error for r in results if r.error],
+    )
+
+
+def _publish_record(
+    run: Run, status: str, n_cards: int, n_groups: int, done: set[str], ended: datetime | None, errors: list[str]
+) -> None:
+    """The run's record in place of an earlier one of the same run."""
+    seconds = None if ended is None else int((ended - run.started).total_seconds() + 0.5)
     row = (
-        run.run_id,
-        run.version,
-        cards.count() if cards is not None else 0,
-        groups.count() if groups is not None else 0,
-        "search_index" in done,
-        "facets" in done,
-        runs.COMPLETED if good else runs.FAILED,
-        run.started,
-        ended,
-        int((ended - run.started).total_seconds() + 0.5),
-        [r.error for r in results if r.error],
+        run.run_id, run.version, n_cards, n_groups, "search_index" in done, "facets" in done, status, run.started, ended,
+        seconds, errors,
     )
     record = run.spark.createDataFrame([row], schemas.RUN)
-    tables.publish(
-        record if history_table is None else history_table.unionByName(record), run.layout.table("runs")
-    )
+    history_table = run.load("runs")
+    if history_table is not None:
+        record = history_table.where(F.col("run_id") != run.run_id).unionByName(record)
+    tables.publish(record, run.layout.table("runs"))

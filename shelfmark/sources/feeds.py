@@ -42,7 +42,9 @@ def unwrap(raw: DataFrame, record: StructType, field: str = "results", layout: s
         row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
         place = (F.col("_metadata.file_block_start") + row).alias("position")
         whole = F.when(F.col(CORRUPT).isNull(), F.struct(*record.names)).alias("r")
-        return raw.select(whole, place, origin, F.col(CORRUPT).alias("corrupt"))
+        # Spark refuses to read the corrupt text alone, so it is tied to a field of the record
+        text = F.when(F.col(CORRUPT).isNotNull() | F.col(record.names[0]).isNull(), F.col(CORRUPT)).alias("corrupt")
+        return raw.select(whole, place, origin, text)
     return raw.select(F.posexplode_outer(field).alias("position", "r"), origin, F.col(CORRUPT).alias("corrupt"))
 
 
@@ -120,11 +122,18 @@ def shape_prices(feed: DataFrame) -> DataFrame:
 
 
 def source_cards(spark: SparkSession, path: str, layout: str = ENVELOPE) -> DataFrame:
-    """Second-source rows with the element rules applied; a document without ``cards`` fails the job."""
-    feed = read_feed(spark, path, SOURCE_CARD, "cards", layout)
-    checked = feed.withColumn(
-        "r", F.when(F.col("r").isNull(), _missing_cards()).otherwise(F.col("r"))
-    )
+    return shape_source(read_feed(spark, path, SOURCE_CARD, "cards", layout), layout)
+
+
+def shape_source(feed: DataFrame, layout: str = ENVELOPE) -> DataFrame:
+    """Second-source rows with the element rules applied.
+
+    An envelope without ``cards`` fails the job, for then the whole source is missing; of lines, single bad ones are left out.
+    """
+    if layout == LINES:
+        checked = readable(feed)
+    else:
+        checked = feed.withColumn("r", F.when(F.col("r").isNull(), _missing_cards()).otherwise(F.col("r")))
     fixed = source_elements(F.col("type_en"), F.col("code"), F.col("element"))
     return checked.select("r.*", "source_file", "position").withColumn("element", fixed)
 

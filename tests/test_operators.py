@@ -4,6 +4,7 @@ import datetime as dt
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from shelfmark.functions import codes
@@ -108,8 +109,39 @@ def test_scored_match_against_nested_loop(spark):
     r = spark.createDataFrame(right, schema).withColumnRenamed("id", "rid")
     out = match.scored_match(l, r, "id", "stems", "rid", "stem", props).where("n_matches > 0")
     assert rows(out, "id", "n_matches", "rid") == expected
-    listed = match.scored_pairs(l, r, "id", "stems", "rid", "stem", props)
-    assert rows(listed, "id", "rid", "score") == sorted(pairs)
+
+
+def test_a_hot_code_is_spread_over_tasks(spark):
+    """Half of the left rows share a code: without broadcast they still go to several tasks."""
+    left = spark.range(8000).select(
+        F.col("id").alias("l"),
+        F.array(F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))).alias("k"),
+        F.lit(None).cast("array<string>").alias("s"),
+    )
+    right = spark.range(100).select(
+        F.col("id").alias("r"), F.array(F.when(F.col("id") == 0, F.lit("hot")).otherwise(F.col("id").cast("string"))).alias("k"),
+        F.lit(None).cast("array<string>").alias("s"),
+    )
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        probes = left.select("l", F.explode("k").alias("code"))
+        index = right.select(F.explode("k").alias("code"), "r").groupBy("code").agg(F.min("r").alias("r"))
+        joined = match._look_up(probes, index, "l", ["code"]).where("code = 'hot'")
+        placed = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(placed) > 2 and max(r["count"] for r in placed) < 3000
+        out = match.first_match(left, right, "l", "k", "s", "r", "k", "s")
+        assert out.where("l % 2 = 0").agg(F.count("*"), F.sum("r")).first()[:] == (4000, 0)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_a_chunk_must_hold_what_the_next_one_looks_back_on(spark):
+    with pytest.raises(ValueError):
+        numbering.trailing_window(spark.range(3), [], [F.col("id")], F.lit(0), back=5, compute=lambda w: {}, chunk=4)
 
 
 def test_tiered_match(spark):

@@ -133,7 +133,9 @@ def test_failed_step_stops_the_run(spark, landing):
     assert "cards" not in steps
     assert tables.current(spark, layout.table("runs")).first().sync_status == "failed"
     retry, _ = run(spark, layout, [catalogue.sync_groups])
-    assert retry.version == 1
+    assert retry.version == 2  # a number is never given twice
+    record = {r.version: r for r in tables.current(spark, layout.table("runs")).collect()}
+    assert record[1].sync_status == "failed" and record[2].sync_status == "completed"
 
 
 def test_price_run_is_idempotent_per_day(spark, landing):
@@ -149,7 +151,9 @@ def test_price_run_is_idempotent_per_day(spark, landing):
     later = dt.datetime(2024, 5, 2, 12, tzinfo=dt.timezone.utc)
     _, steps = run(spark, layout, [catalogue.sync_prices], started=later)
     assert steps["prices"].updated == 0
-    assert spark.read.parquet(layout.table("price_history")).count() == 1
+    # a day without changes has its rows all the same
+    days = [str(r.snapshot_date) for r in spark.read.parquet(layout.table("price_history")).orderBy("snapshot_date").collect()]
+    assert days == ["2024-05-01", "2024-05-02"]
 
 
 def test_purge(spark, landing):
@@ -159,6 +163,74 @@ def test_purge(spark, landing):
     last, _ = run(spark, layout, [catalogue.sync_groups])
     assert catalogue.purge(last, dt.datetime(2021, 1, 1, tzinfo=dt.timezone.utc)) == {"runs": 1}
     assert tables.current(spark, layout.table("runs")).count() == 1
+    assert len(tables.versions(spark, layout.table("runs"))) == catalogue.KEPT_VERSIONS
+    with pytest.raises(ValueError):
+        catalogue.purge(last, old, ("no such table",))
+
+
+def test_purge_of_logs(spark, landing):
+    layout, root = landing
+    old = dt.datetime(2020, 1, 1, tzinfo=dt.timezone.utc)
+    put(f"{root}/groups/h.json", "{broken")
+    run(spark, layout, [catalogue.sync_groups], started=old)
+    last, _ = run(spark, layout, [catalogue.sync_groups], force=True)
+    gone = catalogue.purge(last, dt.datetime(2021, 1, 1, tzinfo=dt.timezone.utc), ("groups_deltas", "groups_rejects"))
+    assert gone == {"groups_deltas": 2, "groups_rejects": 1}
+    assert spark.read.parquet(layout.table("groups_deltas")).count() == 2
+
+
+@pytest.mark.parametrize("feed_layout", [feeds.ENVELOPE, feeds.LINES])
+def test_unreadable_documents_are_rejected_and_the_rest_goes_on(spark, tmp_path, feed_layout):
+    root = str(tmp_path)
+    group = {"groupId": 1, "name": "One", "abbreviation": "O", "publishedOn": "2019-01-01T00:00:00", "modifiedOn": "a"}
+    pack = (lambda rows, name: json.dumps({name: rows})) if feed_layout == feeds.ENVELOPE else (
+        lambda rows, name: "\n".join(json.dumps(r) for r in rows))
+    put(f"{root}/groups/a.json", pack([group], "results"))
+    put(f"{root}/groups/b.json", "{broken")
+    put(f"{root}/products/a.json", pack([product(10, "Cloud")], "results"))
+    put(f"{root}/products/b.json", "{broken")
+    layout = catalogue.Layout(f"{root}/groups", f"{root}/products", "", f"{root}/source", f"{root}/tables", feed_layout, 4)
+    steps_wanted = [catalogue.sync_groups, catalogue.sync_cards]
+    if feed_layout == feeds.LINES:  # an envelope without cards fails the step instead
+        put(f"{root}/source/a.json", pack([source("1-044R", "Cloud", ["One"])], "cards") + "\n{broken")
+        steps_wanted.append(catalogue.sync_source)
+    _, steps = run(spark, layout, steps_wanted)
+    for name in ("groups", "cards", *["source_cards"] * (feed_layout == feeds.LINES)):
+        assert (steps[name].success, steps[name].processed, steps[name].n_errors) == (True, 1, 1), name
+        record = spark.read.parquet(layout.table(f"{name}_rejects")).first().record
+        assert "broken" in record and ".json" in record
+
+
+def test_a_failed_step_is_recorded_whole_and_a_killed_run_leaves_its_start(spark, landing):
+    layout, _ = landing
+
+    def broken(_):
+        raise RuntimeError("x" * 3000)
+
+    def killed(_):
+        raise KeyboardInterrupt
+
+    _, steps = run(spark, layout, [broken])
+    assert steps["broken"].error == "x" * 3000
+    assert tables.current(spark, layout.table("runs")).first().sync_errors == ["x" * 3000]
+    with pytest.raises(KeyboardInterrupt):
+        run(spark, layout, [killed])
+    states = [r.sync_status for r in tables.current(spark, layout.table("runs")).orderBy("version").collect()]
+    assert states == ["failed", "in-progress"]
+
+
+def test_single_group_reads_its_folder_only(spark, tmp_path):
+    root = str(tmp_path)
+    for g in (1, 2):
+        put(f"{root}/products/group_id={g}/a.json", {"results": [product(10 * g, "Cloud", gid=g)]})
+    put(f"{root}/groups/g.json", {"results": []})
+    layout = catalogue.Layout(f"{root}/groups", f"{root}/products", "", "", f"{root}/tables", n_buckets=4, by_group=True)
+    files = spark.read.json(layout.feed(layout.products_feed, 2)).inputFiles()
+    assert len(files) == 1 and "group_id=2" in files[0]
+    _, steps = run(spark, layout, [catalogue.sync_groups, catalogue.sync_cards], group_id=2)
+    assert steps["cards"].processed == 1
+    _, steps = run(spark, layout, [catalogue.sync_cards])
+    assert steps["cards"].processed == 2
 
 
 def test_feed_layouts_and_corrupt_documents(spark, tmp_path):

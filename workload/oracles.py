@@ -552,7 +552,7 @@ def queries() -> dict[str, str]:
     q["point_lookup"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey = 77"
     q["row_count"] = "SELECT count(*) AS n_rows FROM lineitem"
     q["equality_filter"] = "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F'"
-    q["older_rows"] = "SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-01-01'"
+    q["older_rows"] = "SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-06-01'"
     q["prefix_filter"] = "SELECT p_partkey, p_brand FROM part WHERE p_brand LIKE 'Brand#1%'"
     q["substring_filter"] = "SELECT p_partkey, p_name FROM part WHERE lower(p_name) LIKE '%red%'"
     q["present_filter"] = f"WITH {CAT} SELECT product_id, number_text FROM cat WHERE number_text IS NOT NULL AND card_type IS NOT NULL"
@@ -786,17 +786,17 @@ def queries() -> dict[str, str]:
         f"CASE WHEN l.{p} = r.{p} THEN 1 ELSE 0 END" for p in ("power", "cost", "job", "rarity")
     )
     q["scored_match"] = f"""WITH a AS (SELECT p_partkey, p_partkey % 97 AS stem, CAST(p_size AS VARCHAR) AS power, p_type AS cost, p_name AS job, p_brand AS rarity FROM part),
-      l AS (SELECT p_partkey, stem, power, nullif(cost, 'SMALL') AS cost, job, rarity FROM a WHERE p_partkey % 2 = 0),
-      r AS (SELECT * FROM a WHERE p_partkey % 2 = 1)
+      l AS (SELECT p_partkey, stem, power, nullif(cost, 'SMALL') AS cost, job, rarity FROM a),
+      r AS (SELECT * FROM a)
       SELECT l.p_partkey, count(*) AS n_matches, min(r.p_partkey) AS s_partkey FROM l JOIN r ON l.stem = r.stem AND ({agree}) >= 2 GROUP BY 1"""
     q["key_set_difference"] = (
         "WITH l AS (SELECT DISTINCT c_custkey AS k FROM customer), r AS (SELECT DISTINCT o_custkey * 2 AS k FROM orders) "
         "SELECT coalesce(l.k, r.k) AS k, CASE WHEN r.k IS NULL THEN 'left' ELSE 'right' END AS side FROM l FULL JOIN r ON l.k = r.k WHERE l.k IS NULL OR r.k IS NULL"
     )
-    q["orphan_check"] = "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"
+    q["orphan_check"] = "SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey * 2 FROM lineitem)"
     q["child_counts"] = (
         "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, count(c_custkey) AS n_customers FROM nation "
-        "LEFT JOIN (SELECT * FROM customer WHERE c_nationkey % 3 > 0) ON n_nationkey = c_nationkey GROUP BY ALL"
+        "LEFT JOIN customer ON n_nationkey = c_nationkey * 2 GROUP BY ALL"
     )
     q["group_totals"] = (
         "SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n_customers, "
@@ -854,12 +854,12 @@ def queries() -> dict[str, str]:
     q["facet_changes"] = (
         f"WITH now AS (WITH {FACETS} SELECT field, list(value ORDER BY position) AS v FROM placed GROUP BY 1), "
         f"old AS (WITH {earlier} SELECT field, list(value ORDER BY position) AS v FROM placed GROUP BY 1) "
-        "SELECT field, now.v IS DISTINCT FROM old.v AS updated FROM now LEFT JOIN old USING (field)"
+        "SELECT field, now.v IS DISTINCT FROM old.v AS updated FROM now FULL JOIN old USING (field)"
     )
     q["distinct_values"] = "SELECT DISTINCT o_orderpriority AS value FROM orders WHERE o_orderpriority IS NOT NULL"
     q["ordered_sets"] = (
         f"WITH {GROUPS} SELECT name AS set_name, regexp_matches(name, 'Deck|Collection|Promo') AS is_supplemental FROM g "
-        "WHERE group_id % 4 > 0 AND group_id IN (SELECT c_nationkey FROM customer)"
+        "WHERE group_id IN (SELECT c_nationkey FROM customer)"
     )
 
     q["prefix_terms"] = (
@@ -867,7 +867,7 @@ def queries() -> dict[str, str]:
         f"UNION ALL SELECT 'part', p_partkey, array_to_string({name_terms('p_name')}, '|') FROM part"
     )
     q["code_terms"] = (
-        f"WITH {CAT}, {coded()} SELECT product_id, array_to_string(list_sort({code_terms()}), '|') AS terms FROM coded WHERE codes IS NOT NULL"
+        f"WITH {CAT}, {coded()} SELECT product_id, CASE WHEN codes IS NULL THEN '' ELSE array_to_string(list_sort({code_terms()}), '|') END AS terms FROM coded"
     )
     q["index_terms"] = f"WITH {SEARCHABLE} SELECT product_id, CAST(len(terms) AS BIGINT) AS n_terms, search_hash FROM indexed"
     q["index_refresh"] = (
@@ -889,7 +889,11 @@ def queries() -> dict[str, str]:
     )
     q["error_aggregate"] = (
         f"WITH {LOGS} SELECT message, count(*) AS n, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_occurrence, "
-        f"array_to_string(list_sort(list(DISTINCT context)), '|') AS contexts FROM logs WHERE {since} AND level = 'ERROR' GROUP BY 1"
+        f"count(DISTINCT context) AS n_contexts FROM logs WHERE {since} AND level = 'ERROR' GROUP BY 1"
+    )
+    q["error_contexts"] = (
+        f"WITH {LOGS} SELECT message, context, count(*) AS n, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS last_occurrence "
+        f"FROM logs WHERE {since} AND level = 'ERROR' GROUP BY 1, 2"
     )
     q["log_summary"] = (
         f"WITH {LOGS} SELECT count(*) FILTER (level = 'ERROR') AS n_errors, count(*) FILTER (level = 'WARNING') AS n_warnings, "
@@ -911,7 +915,7 @@ def queries() -> dict[str, str]:
         "CAST(floor(avg(sync_duration) FILTER (sync_status = 'completed') + 0.5) AS BIGINT) AS mean_duration, "
         "max(version) FILTER (sync_status = 'completed') AS latest_good_version FROM r"
     )
-    q["next_version"] = f"WITH {RUNS} SELECT coalesce(max(version) FILTER (sync_status = 'completed'), 0) + 1 AS version FROM r"
+    q["next_version"] = f"WITH {RUNS} SELECT coalesce(max(version), 0) + 1 AS version FROM r"
     q["run_alerts"] = (
         f"WITH {RUNS}, d AS (SELECT *, n_errors / nullif(items_processed, 0) AS rate FROM r) SELECT run_id, sync_duration, sync_duration > 3600 AS duration_alert, {BAND} AS error_band FROM d"
     )
