@@ -718,6 +718,64 @@ def queries() -> dict[str, str]:
         f"md5({json_text(*src_common, ('categories', labels_json), *src_end, ('cardNumbers', j_list('list_sort(string_split(code, $$/$$) || [$$Re-004C$$])')))}) AS match_hash FROM src"
     )
     q["change_classify"] = f"WITH {ORDERS} SELECT h.o_orderkey, {KIND} AS change_kind FROM h LEFT JOIN s ON h.o_orderkey = s.o_orderkey"
+    forced = KIND.replace("ELSE 'unchanged'", "ELSE 'forced'")
+    q["force_classify"] = f"WITH {ORDERS} SELECT h.o_orderkey, {forced} AS change_kind FROM h LEFT JOIN s ON h.o_orderkey = s.o_orderkey"
+    q["write_stamp"] = (
+        f"WITH {ORDERS} SELECT h.o_orderkey, CAST(4 AS BIGINT) AS data_version, '2024-05-01 12:30' AS written_at "
+        f"FROM h LEFT JOIN s ON h.o_orderkey = s.o_orderkey WHERE {KIND} <> 'unchanged'"
+    )
+    q["group_restore"] = (
+        "SELECT user_id, event_id FROM events WHERE ts <= TIMESTAMP '2024-01-10' AND event_type = 'click' "
+        "QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"
+    )
+    q["error_append"] = (
+        f"WITH {RUNS} SELECT run_id, CASE WHEN items_processed % 2 = 1 THEN CASE WHEN n_errors > 0 THEN 'first' ELSE '' END "
+        "WHEN n_errors > 0 THEN 'first|late' ELSE 'late' END AS errors FROM r"
+    )
+    q["run_validation"] = (
+        f"WITH {RUNS} SELECT sync_status, count(*) AS checked, count(*) FILTER (n_errors BETWEEN 1 AND 2) AS valid, "
+        "count(*) FILTER (n_errors >= 3) AS failed_sync_end, CAST(0 AS BIGINT) AS failed_sync_status, "
+        "CAST(0 AS BIGINT) AS failed_card_count, count(*) FILTER (n_errors = 0) AS failed_sync_errors FROM r GROUP BY 1"
+    )
+    q["price_validation"] = (
+        f"WITH {PRICE_CTES} SELECT count(*) AS checked, count(*) FILTER (product_id % 3 > 0 AND NOT (has_n AND product_id % 5 = 0)) AS valid, "
+        "count(*) FILTER (product_id % 3 = 0) AS failed_last_updated, count(*) FILTER (has_n AND product_id % 5 = 0) AS failed_normal_mid, "
+        "CAST(0 AS BIGINT) AS failed_foil_mid FROM v"
+    )
+    good = f"starts_with(low, 'https://img.') AND regexp_matches(low, '_[24]00w\\.jpg$') AND regexp_matches(high, '_[24]00w\\.jpg$')"
+    image_cte = (
+        f"i AS (SELECT product_id, group_id, image_url, {IMAGES['valid']} AS ok, {IMAGES['full_url']} AS f, {IMAGES['high_url']} AS h, {IMAGES['low_url']} AS l FROM cat), "
+        f"u AS (SELECT *, CASE WHEN ok THEN coalesce(l, h, f, '{REST}') ELSE '{REST}' END AS low, CASE WHEN ok THEN coalesce(h, f, l, '{REST}') ELSE '{REST}' END AS high, "
+        "NOT ok OR coalesce(f, h, l) IS NULL AS missing FROM i)"
+    )
+    q["image_validation"] = (
+        f"WITH {CAT}, {image_cte} SELECT group_id, count(*) AS checked, count(*) FILTER ({good} AND NOT missing) AS valid, "
+        f"count(*) FILTER (NOT ({good})) AS failed_url_pattern, count(*) FILTER (missing) AS failed_no_placeholder FROM u GROUP BY 1"
+    )
+    q["card_images"] = (
+        f"WITH {CAT}, {image_cte} SELECT product_id, missing AS is_placeholder, image_url AS original_url, "
+        "CASE WHEN coalesce(image_url, '') = '' THEN 'Image URL missing' WHEN NOT ok THEN 'Invalid image URL' END AS error_message, "
+        "CAST(1 AS BIGINT) AS data_version FROM u"
+    )
+    q["planned_run"] = (
+        "SELECT 'groups' AS step, count(*) AS processed, count(*) AS updated FROM nation UNION ALL SELECT 'cards', count(*), count(*) FROM part"
+    )
+    q["run_record"] = (
+        "SELECT CAST(1 AS BIGINT) AS version, (SELECT count(*) FROM part) AS card_count, (SELECT count(*) FROM nation) AS group_count, "
+        "'completed' AS sync_status, false AS search_indexed, CAST(0 AS BIGINT) AS n_errors"
+    )
+    q["single_group_run"] = (
+        f"WITH {CAT}, {GROUPS}, one AS (SELECT product_id, group_id, {search_name('raw_name')} AS clean_name FROM cat WHERE group_id = 7) "
+        "SELECT product_id, group_id, clean_name, coalesce(g.name, '') AS set FROM one LEFT JOIN g USING (group_id)"
+    )
+    q["feed_rejects"] = (
+        f"WITH {GROUPS} SELECT 'rejected' AS kind, '{{broken ' || c_name AS text, (SELECT count(*) FROM customer) AS n FROM customer "
+        "UNION ALL SELECT 'stored', name, (SELECT count(*) FROM nation) FROM g"
+    )
+    q["stream_rejects"] = (
+        "SELECT 'rejected' AS kind, event_id FROM events WHERE event_type = 'error' UNION ALL SELECT 'stored', event_id FROM "
+        "(SELECT event_id FROM events WHERE event_type <> 'error' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1)"
+    )
     q["run_counters"] = (
         f"WITH {ORDERS}, c AS (SELECT h.o_orderstatus, {KIND} AS kind FROM h LEFT JOIN s ON h.o_orderkey = s.o_orderkey) "
         "SELECT o_orderstatus, count(*) AS items_processed, count(*) FILTER (kind <> 'unchanged') AS items_updated, CAST(0 AS BIGINT) AS n_errors FROM c GROUP BY 1"

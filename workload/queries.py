@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -484,6 +485,23 @@ def change_classify(spark, sf):
     return out.select("o_orderkey", "change_kind")
 
 
+@query
+def force_classify(spark, sf):
+    """A forced run: what is unchanged counts as forced."""
+    out = changes.classify(
+        _orders_hashed(spark, sf), _orders_stored(spark, sf), "o_orderkey", version_col="data_version", force=True
+    )
+    return out.select("o_orderkey", "change_kind")
+
+
+@query
+def write_stamp(spark, sf):
+    """Rows to write carry version and time of the run."""
+    judged = changes.classify(_orders_hashed(spark, sf), _orders_stored(spark, sf), "o_orderkey", version_col="data_version")
+    out = merge.stamp(changes.to_write(judged), 4, datetime(2024, 5, 1, 12, 30, tzinfo=timezone.utc))
+    return out.select("o_orderkey", "data_version", F.date_format("last_updated", "yyyy-MM-dd HH:mm").alias("written_at"))
+
+
 @query
 def run_counters(spark, sf):
     out = changes.classify(_orders_hashed(spark, sf), _orders_stored(spark, sf), "o_orderkey", version_col="data_version")
@@ -630,6 +648,14 @@ def latest_at_or_before(spark, sf):
     return out.select("user_id", "event_id", "event_type")
 
 
+@query
+def group_restore(spark, sf):
+    """State of one kind of event at a point in time."""
+    df = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
+    out = history.restore(df, ["user_id"], "ts", _at("2024-01-10"), [F.col("event_id")], "event_type", "click")
+    return out.select("user_id", "event_id")
+
+
 @query
 def as_of_join(spark, sf):
     e = table(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", text.cents(F.col("value")).alias("cents"))
@@ -1021,6 +1047,40 @@ def _run_rows(spark, sf) -> DataFrame:
     )
 
 
+@query
+def error_append(spark, sf):
+    """Error texts added to run records, each text once."""
+    rows = _run_rows(spark, sf).withColumn("sync_errors", F.when(F.col("n_errors") > 0, F.array(F.lit("first"))))
+    late = rows.where(F.col("items_processed") % 2 == 0).select(
+        "run_id", F.when(F.col("n_errors") > 1, F.array(F.lit("first"), F.lit("late"))).otherwise(F.array(F.lit("late"))).alias("errors")
+    )
+    return runs.add_errors(rows, late).select("run_id", _joined(F.col("sync_errors")).alias("errors"))
+
+
+@query
+def run_validation(spark, sf):
+    rows = _run_rows(spark, sf).select(
+        "sync_status", F.when(F.col("n_errors") < 3, F.col("sync_end")).alias("sync_end"), F.col("items_processed").alias("card_count"),
+        F.when(F.col("n_errors") > 0, F.array(F.lit("x"))).alias("sync_errors"),
+    )
+    return quality.validation_report(rows, quality.run_rules(), "sync_status")
+
+
+@query
+def price_validation(spark, sf):
+    rows = _pivoted(spark, sf).withColumn("last_updated", F.when(F.col("product_id") % 3 > 0, F.lit("2024-05-01")))
+    rows = rows.withColumn("normal", F.when(F.col("product_id") % 5 > 0, F.col("normal")).otherwise(
+        F.col("normal").withField("mid", F.lit(None).cast("bigint"))))
+    return quality.validation_report(rows, quality.price_rules())
+
+
+@query
+def image_validation(spark, sf):
+    record = urls.image_record(F.col("image_url"), POLICY)
+    rows = derive.catalogue(spark, sf).select("group_id", record.alias("r")).select("group_id", "r.*", "r.metadata.is_placeholder")
+    return quality.validation_report(rows, quality.image_rules("https://img."), "group_id")
+
+
 @query
 def run_health(spark, sf):
     return runs.run_health(_run_rows(spark, sf))
@@ -1090,6 +1150,93 @@ def catalogue_run(spark, sf):
     )
 
 
+def _landed(spark, sf, purpose: str) -> plan.Layout:
+    folder = session.shared_folder(spark, purpose)
+    derive.land_feeds(spark, sf, folder)
+    return plan.Layout(
+        f"{folder}/groups", f"{folder}/products", f"{folder}/prices", f"{folder}/source", f"{folder}/tables",
+        feed_layout=feeds.LINES, n_buckets=8,
+    )
+
+
+def _done(results: list[plan.StepResult]) -> list[plan.StepResult]:
+    for step in results:
+        if not step.success:
+            raise RuntimeError(f"{step.step}: {step.error}")
+    return results
+
+
+@query
+def planned_run(spark, sf):
+    """What a run would do, without writing: counts of its first two steps."""
+    run = plan.Run(spark, _landed(spark, sf, "planned"), POLICY, plan_only=True)
+    results = _done(plan.run_steps(run, [plan.sync_groups, plan.sync_cards]))
+    return spark.createDataFrame([(r.step, r.processed, r.updated) for r in results], "step string, processed bigint, updated bigint")
+
+
+@query
+def card_images(spark, sf):
+    """The child table of images that the card step leaves."""
+    run = plan.Run(spark, _landed(spark, sf, "images"), POLICY)
+    _done(plan.run_steps(run, [plan.sync_groups, plan.sync_cards]))
+    return run.load("card_images").select("product_id", "is_placeholder", "original_url", "error_message", "data_version")
+
+
+@query
+def single_group_run(spark, sf):
+    """Products landed by group; a run for one group reads its folder only."""
+    folder = session.shared_folder(spark, "single-group")
+    derive.land_feeds(spark, sf, folder)
+    products = spark.read.json(f"{folder}/products")
+    products.withColumn("group_id", F.col("groupId")).write.partitionBy("group_id").json(f"{folder}/by_group")
+    layout = plan.Layout(f"{folder}/groups", f"{folder}/by_group", "", "", f"{folder}/tables", feeds.LINES, 8, by_group=True)
+    run = plan.Run(spark, layout, POLICY, group_id=7)
+    _done(plan.run_steps(run, [plan.sync_groups, plan.sync_cards]))
+    return run.load("cards").select("product_id", "group_id", "clean_name", _joined(F.col("set")).alias("set"))
+
+
+@query
+def run_record(spark, sf):
+    """The record that a run leaves."""
+    run = plan.Run(spark, _landed(spark, sf, "record"), POLICY)
+    _done(plan.run_steps(run, [plan.sync_groups, plan.sync_cards]))
+    return run.load("runs").select("version", "card_count", "group_count", "sync_status", "search_indexed",
+                                   F.size("sync_errors").cast("bigint").alias("n_errors"))
+
+
+@query
+def feed_rejects(spark, sf):
+    """Groups land among broken lines: the groups are stored, every broken line is kept with its file."""
+    folder = session.shared_folder(spark, "feed-rejects")
+    good = derive.groups(spark, sf).select(F.to_json(F.struct(F.col("group_id").alias("groupId"), "name")).alias("value"))
+    bad = table(spark, sf, "customer").select(F.concat(F.lit("{broken "), "c_name").alias("value"))
+    good.unionAll(bad).write.text(f"{folder}/groups")
+    layout = plan.Layout(f"{folder}/groups", "", "", "", f"{folder}/tables", feeds.LINES, 8)
+    run = plan.Run(spark, layout, POLICY)
+    (step,) = _done(plan.run_steps(run, [plan.sync_groups]))
+    rejects = spark.read.parquet(layout.table("groups_rejects")).select(
+        F.lit("rejected").alias("kind"), F.get_json_object("record", "$.corrupt").alias("text"), F.lit(step.n_errors).cast("bigint").alias("n")
+    )
+    return rejects.unionAll(run.load("groups").select(F.lit("stored"), "name", F.lit(step.processed).cast("bigint")))
+
+
+@query
+def stream_rejects(spark, sf):
+    """Rows a stream does not accept go to its rejects table."""
+    folder = session.shared_folder(spark, "stream-rejects")
+    rows = ingest.table_stream(spark, f"{sf}/events.parquet").select("event_id", "user_id", "ts", "event_type")
+    q = ingest.upsert_stream(
+        rows, f"{folder}/target", f"{folder}/checkpoint", "user_id", ["ts", "event_id"],
+        lambda df: fingerprints.fingerprint([F.col("event_id")]), n_buckets=8, rejects=f"{folder}/rejects",
+        accept=F.col("event_type") != "error",
+    )
+    q.awaitTermination()
+    rejects = spark.read.parquet(f"{folder}/rejects").select(
+        F.lit("rejected").alias("kind"), F.get_json_object("record", "$.event_id").cast("bigint").alias("event_id")
+    )
+    return rejects.unionAll(spark.read.parquet(f"{folder}/target").select(F.lit("stored"), "event_id"))
+
+
 @query
 def price_feed(spark, sf):
     """Price rows landed as JSON lines, read back with the feed schema and pivoted."""
