@@ -902,6 +902,16 @@ def queries() -> dict[str, str]:
         f"SELECT * EXCLUDE (codes), CASE WHEN codes IS NOT NULL THEN CAST(len(list_distinct({name_terms('clean_name')} || {code_terms()})) AS BIGINT) END AS n_terms FROM z"
     )
 
+    crystal = SRC_CRYSTAL.replace("type", "s.type").replace("code", "s.code")
+    image = "CASE WHEN NOT c.is_non_card AND s.row_id % 3 > 0 THEN '{0}/' || s.row_id ELSE '{1}' END"
+    q["source_repairs"] = (
+        f"WITH {CLEAN_CTES}, {SRC} SELECT product_id, CAST(coalesce(c.cost, s.cost) AS BIGINT) AS cost, "
+        "CAST(coalesce(c.power, s.power) AS BIGINT) AS power, c.is_non_card AND s.type = '' AS is_non_card, "
+        f"CASE WHEN c.is_non_card AND s.type = '' THEN c.card_type WHEN {crystal} THEN 'Crystal' ELSE s.type END AS card_type, "
+        f"{image.format('full', REST)} AS full_res_url, {image.format('full', REST)} AS high_res_url, {image.format('thumb', REST)} AS low_res_url "
+        "FROM clean c JOIN src s ON c.product_id = s.row_id"
+    )
+    q["manual_overrides"] = f"WITH {CAT} SELECT product_id, product_id % 10 = 0 AS overridden FROM cat"
     q["facet_values"] = f"WITH {FACETS} SELECT field, value FROM vals"
     q["ordered_facets"] = f"WITH {FACETS} SELECT field, value, position FROM placed"
     q["facet_hash"] = (

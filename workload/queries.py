@@ -841,6 +841,22 @@ def card_enrichment(spark, sf):
     )
 
 
+@query
+def source_repairs(spark, sf):
+    """Explicit pairs under the fill-only rules: figures, wrongly and rightly marked non-cards, images of the source."""
+    none = F.lit(None).cast("string")
+    cards = _clean_cards(spark, sf).withColumns({c: none for c in ("full_res_url", "high_res_url", "low_res_url")})
+    row = F.col("row_id").cast("string")
+    found = F.struct(F.array(F.concat(F.lit("thumb/"), row)).alias("thumbs"), F.array(F.concat(F.lit("full/"), row)).alias("full"))
+    source = derive.source_cards(spark, sf).withColumn("images", F.when(F.col("row_id") % 3 > 0, found).otherwise(F.col("images")))
+    pairs = source.select(F.col("row_id").alias("product_id"), "doc_id")
+    out = enrich.card_updates(cards, pairs, source.drop("row_id"), "product_id", "doc_id", POLICY, enrich.FILL_FIGURES)
+    return out.select(
+        "product_id", F.col("cost").cast("bigint").alias("cost"), F.col("power").cast("bigint").alias("power"), "is_non_card",
+        "card_type", "full_res_url", "high_res_url", "low_res_url",
+    )
+
+
 # ---------------------------------------------------------------- facets
 
 
@@ -1204,6 +1220,19 @@ def run_record(spark, sf):
                                    F.size("sync_errors").cast("bigint").alias("n_errors"))
 
 
+@query
+def manual_overrides(spark, sf):
+    """Values set by hand after the sources were merged."""
+    run = plan.Run(spark, _landed(spark, sf, "overrides"), POLICY)
+    by_hand = derive.catalogue(spark, sf).where(F.col("product_id") % 10 == 0).select("product_id", F.lit("by hand").alias("job"))
+
+    def enriched(r: plan.Run) -> plan.StepResult:
+        return plan.enrich_cards(r, by_hand)
+
+    _done(plan.run_steps(run, [plan.sync_groups, plan.sync_cards, plan.sync_source, enriched]))
+    return run.load("cards").select("product_id", F.coalesce(F.col("job") == "by hand", F.lit(False)).alias("overridden"))
+
+
 @query
 def feed_rejects(spark, sf):
     """Groups land among broken lines: the groups are stored, every broken line is kept with its file."""
