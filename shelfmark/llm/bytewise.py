@@ -67,6 +67,10 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
+def is_white(data: np.ndarray) -> np.ndarray:
+    return _WHITE[data]
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words between white characters, and for each text where its words begin (n + 1)."""
     word = ~_WHITE[data]
@@ -91,7 +95,7 @@ class Powers:
     @classmethod
     def reach(cls, n: int) -> None:
         if len(cls.up) < n:
-            n = max(n, PIECE + 1) if n <= PIECE + 1 else n
+            n = 1 << (n - 1).bit_length()
             for name, base in (("up", _BASE), ("down", _INVERSE)):
                 steps = np.full(n, base, np.uint64)
                 steps[0] = 1

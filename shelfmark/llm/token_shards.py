@@ -16,8 +16,9 @@ payload    the ids of all documents, 32 bits little-endian, nothing between them
 Shards hold documents in ascending order of key.  A look-up hashes the key to a bucket, the bucket's displacement to a
 slot, and compares the slot's fingerprint: a constant number of steps, whatever the shard holds.
 
-Words between white characters are encoded once for each piece of text and worker cache, by the tokenizers library:
-its normaliser and pattern never reach over white space, which they drop.
+Texts are encoded by the tokenizers library in segments, each distinct segment once for a piece of text and while a
+worker's cache holds it.  Segments end at white characters, which normaliser and pattern drop and never reach over, and
+between ASCII letters and other ASCII characters (see ``segments``).
 
 Defined results: a null text counts as empty; a document has at least its end id.  Documents without a key come first
 and are not in the index.  Documents that share a key stand side by side, by a hash of the text, and are found
@@ -27,6 +28,8 @@ together.  An empty table gives no shard and an empty result.  Other columns of
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -36,11 +39,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytewise import mix, pieces, ranges, slice_hashes, text_bytes, word_spans
+from .bytewise import is_white, lower_ascii, mix, pieces, ranges, slice_hashes, text_bytes, word_spans
 from .stages import shuffle_partitions
 
-SHARD_IDS = 4 << 20  # a shard is closed when it holds so many ids; 16 MB
-CACHED_WORDS = 150_000
+SHARD_IDS = 1 << 20  # a shard is closed when it holds so many ids; 4 MB
+PIECE = 1 << 20
+CACHED_SEGMENTS = 250_000
+TOGETHER = 512  # segments encoded in one call
 BUCKET = 4  # keys for each displacement
 TRIES = 64  # displacements tried at a time
 _STEP = np.uint64(0xA24BAED4963EE407)
@@ -113,45 +118,116 @@ def find(keys: np.ndarray, seeds: np.ndarray, slots: np.ndarray) -> tuple[np.nda
 
 # -- encoding
 
+# ASCII letters, other ASCII, apostrophes, and bytes of other characters
+_KIND = np.full(256, 3, np.uint8)
+_KIND[:128] = 1
+_KIND[97:123] = 0
+_KIND[0x27] = 2
+
+
+def _letters() -> str:
+    """Characters that stay one run of letters through normalisation and lower-casing."""
+    def stays(c: str) -> bool:
+        return all(unicodedata.category(x)[0] == "L" for x in unicodedata.normalize("NFC", c.lower()))
+
+    return "".join(c for c in map(chr, range(0x80, 0x2000)) if unicodedata.category(c)[0] == "L" and stays(c))
+
+
+# One pre-token each: a run of letters, or a run of ASCII signs without digits and apostrophes.
+_ONE = re.compile(f"[a-z{_letters()}]+|[!-&(-/:-@\\[-`{{-~]+")
+
+
+def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, starts and ends of segments, and where each text's segments begin.
+
+    A word is cut where an ASCII letter meets another ASCII character, for there the tokenizer's pattern always ends a
+    piece; not after an apostrophe, which may belong to what follows.  A word that may hold a special token stays whole.
+    """
+    starts, ends, _ = word_spans(data, offsets)
+    low = lower_ascii(data)
+    kind = _KIND[low]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = ((kind[:-1] == 0) & ((kind[1:] == 1) | (kind[1:] == 2))) | ((kind[:-1] == 1) & (kind[1:] == 0))
+    special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C)) if len(data) else []
+    for word in np.unique(np.searchsorted(starts, special, "right") - 1).tolist() if len(special) else []:
+        a, b = starts[word], ends[word]
+        low[a:b] = data[a:b]
+        cut[a + 1 : b] = False
+    inside = ~is_white(data)
+    inner = np.zeros(len(data), bool)
+    inner[1:] = cut[1:-1] & inside[1:] & inside[:-1]
+    inner[starts] = False
+    begins, stops = inner.copy(), np.zeros(len(data) + 1, bool)
+    begins[starts] = True
+    stops[:-1] = inner
+    stops[ends] = True
+    all_starts = np.flatnonzero(begins)
+    return low, all_starts, np.flatnonzero(stops), np.searchsorted(all_starts, offsets)
+
+
 class Words:
-    """Encodes texts word by word, each distinct word once."""
+    """Encodes texts segment by segment, each distinct segment once."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, np.ndarray] = {}
-
-    def of(self, words: list[str]) -> list[np.ndarray]:
-        found = [self.cache.get(w) for w in words]
-        missing = [i for i, x in enumerate(found) if x is None]
-        if missing:
-            for i, e in zip(missing, self.tokenizer.encode_batch([words[i] for i in missing], add_special_tokens=False), strict=True):
-                found[i] = np.array(e.ids, np.uint32)
-            if len(self.cache) + len(missing) > CACHED_WORDS:
-                self.cache.clear()
-            if len(missing) <= CACHED_WORDS:
-                self.cache.update((words[i], found[i]) for i in missing)
-        return found
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a pre-token
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[bytes, int] = {}
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has."""
+        found = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
+
+    def _encoded_together(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts of one pre-token each, many in a call: their ids end where a pre-token ends."""
+        ids, _ = self._encoded([" ".join(texts[i : i + TOGETHER]) for i in range(0, len(texts), TOGETHER)])
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(texts) or (len(ids) and ends[-1] != len(ids)):
+            return self._encoded(texts)
+        return ids, np.diff(np.r_[0, ends])
+
+    def of(self, slices: list[bytes]) -> np.ndarray:
+        """The place of each slice's ids in ``begin`` and ``size``."""
+        if len(self.index) > CACHED_SEGMENTS:
+            self.forget()
+        missing = [s for s in slices if s not in self.index]
+        alone, together = [], []
+        for s in missing:
+            (together if _ONE.fullmatch(s.decode()) else alone).append(s)
+        for group, encode in ((together, self._encoded_together), (alone, self._encoded)):
+            if group:
+                ids, sizes = encode([s.decode() for s in group])
+                n = len(self.index)
+                self.index.update(zip(group, range(n, n + len(group)), strict=True))
+                self.begin = np.r_[self.begin, len(self.flat) + np.cumsum(sizes) - sizes]
+                self.size = np.r_[self.size, sizes]
+                self.flat = np.r_[self.flat, ids]
+        return np.fromiter(map(self.index.__getitem__, slices), np.int64, len(slices))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and how many each text has."""
-        starts, ends, first = word_spans(data, offsets)
         n = len(offsets) - 1
+        low, starts, ends, first = segments(data, offsets)
         if not len(starts):
             return np.full(n, end_id, np.uint32), np.ones(n, np.int64)
-        _, one, which = np.unique(slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        text = data.tobytes()
-        ids = self.of([text[a:b].decode() for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate([*ids, np.array([end_id], np.uint32)])
-        begin = np.cumsum(size) - size
-        # every text's words, then the end id
-        at = np.insert(begin[which], first[1:], len(flat) - 1)
-        count = np.insert(size[which], first[1:], 1)
-        upto = np.r_[0, np.cumsum(count)]
-        return flat[ranges(at, count)], np.diff(upto[np.r_[0, first[1:] + np.arange(1, n + 1)]])
+        _, one, which = np.unique(slice_hashes(low, starts, ends), return_index=True, return_inverse=True)
+        text = low.tobytes()
+        known = self.of([text[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
+        begin, size = self.begin[known][which], self.size[known][which]
+        ids = self.flat[ranges(begin, size)]
+        per_text = np.diff(np.r_[0, np.cumsum(size)][first])
+        # the end id after each text's ids
+        return np.insert(ids, np.cumsum(per_text), end_id), per_text + 1
 
 
 _loaded: dict[str, Words] = {}
@@ -203,7 +279,7 @@ def shards(
         words, part, seq = words_of(path), TaskContext.get().partitionId(), 0
         keys, ties, sizes, payload, held = [], [], [], [], 0
         for batch in batches:
-            for piece in pieces(batch, "_text"):
+            for piece in pieces(batch, "_text", PIECE):
                 ids, counts = words.encode(*text_bytes(piece.column("_text")), end_id)
                 keys += piece.column("key").to_pylist()
                 ties += piece.column("tie").to_pylist()
