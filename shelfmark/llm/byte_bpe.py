@@ -131,7 +131,7 @@ def _contractions(points, kind, first, state, quotes) -> None:
         return
     # active positions: the apostrophe, its letters, and the letter after them; further on functions are constant
     reach = np.where(long_, 4, 3)
-    active = np.unique(ranges(quotes, reach))
+    active = np.flatnonzero(np.bincount(ranges(quotes, reach), minlength=n))
     active = active[active < n]
     opener = np.zeros(n, np.uint8)
     opener[quotes] = np.where(long_, 2, 1)
