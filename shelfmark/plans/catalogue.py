@@ -475,6 +475,8 @@ def run_steps(run: Run, steps: list[Callable[[Run], StepResult]] = CATALOGUE_STE
     if history_table is not None:
         run.version = runs.next_version(history_table).first()["version"]
     if not run.plan_only:
+        for name in BUCKETED:  # a writer may have died while it replaced buckets
+            tables.recover(run.spark, run.layout.table(name), [tables.BUCKET])
         _publish_record(run, runs.RUNNING, 0, 0, set(), None, [])
     results: list[StepResult] = []
     for step in steps:

@@ -91,6 +91,33 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str], sort
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}.pending"
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], sort: str | None = None) -> None:
+    """As ``overwrite_partitions``, for a ``df`` that reads the very partitions it replaces.
+
+    The new content is written next to the table first and stays there until it is in.  If the writer dies while
+    partitions are being replaced, ``recover`` puts them in from that copy; if it dies before, the table is as it was.
+    """
+    spark = df.sparkSession
+    recover(spark, path, partition_by, sort)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_pending(path))
+    recover(spark, path, partition_by, sort)
+
+
+def recover(spark: SparkSession, path: str, partition_by: list[str], sort: str | None = None) -> bool:
+    """Finish a replacement that was written completely; forget one that was not.  Whether there was one to finish."""
+    pending = _pending(path)
+    complete = exists(spark, f"{pending}/_SUCCESS")
+    if complete:
+        overwrite_partitions(spark.read.parquet(pending), path, partition_by, sort)
+    if exists(spark, pending):
+        remove(spark, pending)
+    return complete
+
+
 def bucket_of(key: str, n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int")
 
@@ -132,7 +159,7 @@ def merge_buckets(
     else:
         base = updates.where(F.lit(False)) if empty is None else empty
     merged = merge(base, updates).withColumn(BUCKET, bucket_of(key, n_buckets))
-    overwrite_partitions(merged, path, [BUCKET])
+    replace_partitions(merged, path, [BUCKET])
 
 
 def upsert_buckets(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -49,26 +50,40 @@ def upsert_stream(
     Every micro-batch keeps the last row per key, fingerprints it and reconciles it into the touched
     buckets.  Within a key a row only replaces one that is not later than itself, so neither the
     order of the batches nor the repetition of one after a failure changes the result.  Rows that
-    fail ``accept`` (and unreadable documents) go to the ``rejects`` table, under the batch number, and
-    the batch goes on.
+    fail ``accept`` (and unreadable documents) go to the ``rejects`` table, under the stream's checkpoint and batch
+    number, and the batch goes on.  The version of a batch follows the highest one in the target, so it grows on when
+    a stream begins anew; rows of a repeated batch are unchanged and keep theirs.
     """
+    if accept is not None and rejects is None:
+        raise ValueError("rows that are not accepted need a rejects table")
+    origin = hashlib.md5(checkpoint.encode(), usedforsecurity=False).hexdigest()[:12]
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        good = batch
-        if accept is not None:
-            if rejects is not None:
-                bad = batch.where(~F.coalesce(accept, F.lit(False)))
-                numbered = bad.select(F.to_json(F.struct("*")).alias("record"), F.lit(batch_id).alias("batch_id"))
-                tables.overwrite_partitions(numbered, rejects, ["batch_id"])
-            good = batch.where(accept)
-        if shape is not None:
-            good = shape(good)
-        latest = latest_per_key(good, [key], [F.col(c) for c in order])
-        hashed = latest.withColumn("content_hash", content(latest)).persist()
-        version = F.lit(batch_id + 1).cast("bigint")
-        tables.upsert_buckets(spark, target, hashed, key, n_buckets, version=version, order=order)
-        hashed.unpersist()
+        kept = batch.persist() if accept is not None else batch
+        hashed = None
+        try:
+            good = kept
+            if accept is not None:
+                bad = kept.where(~F.coalesce(accept, F.lit(False)))
+                numbered = bad.select(F.to_json(F.struct("*")).alias("record"), F.lit(f"{origin}-{batch_id}").alias("batch"))
+                tables.overwrite_partitions(numbered, rejects, ["batch"])
+                good = kept.where(accept)
+            if shape is not None:
+                good = shape(good)
+            latest = latest_per_key(good, [key], [F.col(c) for c in order])
+            hashed = latest.withColumn("content_hash", content(latest)).persist()
+            tables.recover(spark, target, [tables.BUCKET])
+            before = 0
+            if tables.exists(spark, target):
+                before = spark.read.parquet(target).agg(F.max("data_version")).first()[0] or 0
+            version = F.lit(before + 1).cast("bigint")
+            tables.upsert_buckets(spark, target, hashed, key, n_buckets, version=version, order=order)
+        finally:
+            if hashed is not None:
+                hashed.unpersist()
+            if accept is not None:
+                kept.unpersist()
 
     return (
         rows.writeStream.foreachBatch(fold)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark import schemas
 from shelfmark.functions import fingerprints
 from shelfmark.functions.urls import ImagePolicy
-from shelfmark.operators import quality, search
+from shelfmark.operators import merge, quality, search
 from shelfmark.plans import catalogue
 from shelfmark.sources import feeds, images, tables
 from shelfmark.streaming import ingest
@@ -245,6 +245,27 @@ def test_feed_layouts_and_corrupt_documents(spark, tmp_path):
     assert [r.product_id for r in lines] == list(range(50))
 
 
+def test_a_merge_that_dies_between_buckets_is_finished(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(40).select("id", F.lit("a").alias("v"))
+    keep = lambda base, new: merge.merge_upsert(base, new, "id")
+    tables.merge_buckets(spark, path, rows, "id", 4, keep)
+    real = tables.overwrite_partitions
+
+    def dies(df, target, by, sort=None):
+        real(df.where(F.col(tables.BUCKET) == 0), target, by, sort)
+        tables.remove(spark, f"{target}/{tables.BUCKET}=1")  # taken out, the new one not yet moved in
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(tables, "overwrite_partitions", dies)
+    with pytest.raises(RuntimeError):
+        tables.merge_buckets(spark, path, rows.withColumn("v", F.lit("b")), "id", 4, keep)
+    monkeypatch.setattr(tables, "overwrite_partitions", real)
+    assert spark.read.parquet(path).count() < 40
+    assert tables.recover(spark, path, [tables.BUCKET]) and not tables.recover(spark, path, [tables.BUCKET])
+    assert spark.read.parquet(path).groupBy("v").count().collect()[0][:] == ("b", 40)
+
+
 def test_versions_and_partitions(spark, tmp_path):
     base = f"{tmp_path}/t"
     assert tables.current(spark, base) is None
