@@ -117,8 +117,8 @@ class Run:
 # ---------------------------------------------------------------- row shapes
 
 
-def cleaned_cards(products: DataFrame, groups: DataFrame, images: urls.ImagePolicy) -> DataFrame:
-    """Marketplace rows to cleaned cards with their fingerprint: one projection and the group look-up."""
+def hashed_products(products: DataFrame) -> DataFrame:
+    """Marketplace rows with what their fingerprint is made of, and the raw fields that cleaning needs later."""
     attrs = F.col("extended_data")
     # every attribute is looked up once; the rules below read plain columns
     base = products.select(
@@ -127,13 +127,31 @@ def cleaned_cards(products: DataFrame, groups: DataFrame, images: urls.ImagePoli
         "modified_on",
         F.col("name").alias("raw_name"),
         F.col("clean_name").alias("raw_clean_name"),
+        "image_url",
         codes.row_codes(attrs).alias("card_numbers"),
-        labels.categories(attribute(attrs, "Category")).alias("categories"),
-        urls.image_record(F.col("image_url"), images).alias("image"),
         attrs,
         *[attribute(attrs, name).alias(column) for name, column in ATTRIBUTES.items()],
     )
     cards = base.select(
+        "*",
+        codes.full_code(F.col("card_numbers")).alias("full_card_number"),
+        elements.row_type(F.col("raw_type"), F.col("number")).alias("card_type"),
+        parse_number(F.col("raw_cost")).alias("cost"),
+        elements.row_elements(F.col("raw_type"), F.col("number"), F.col("raw_element")).alias("elements"),
+        parse_number(F.col("raw_power")).alias("power"),
+    )
+    return cards.withColumn("content_hash", fingerprints.card_fingerprint())
+
+
+def cleaned_rows(hashed: DataFrame, groups: DataFrame, images: urls.ImagePolicy) -> DataFrame:
+    """Names, texts, labels and addresses of hashed rows: one projection and the group look-up."""
+    attrs = F.col("extended_data")
+    staged = hashed.select(
+        "*",
+        labels.categories(F.col("raw_category")).alias("categories"),
+        urls.image_record(F.col("image_url"), images).alias("image"),
+    )
+    cards = staged.select(
         "product_id",
         names.display_name(F.col("raw_name"), F.col("card_numbers")).alias("name"),
         names.search_name(F.col("raw_name")).alias("clean_name"),
@@ -145,26 +163,25 @@ def cleaned_cards(products: DataFrame, groups: DataFrame, images: urls.ImagePoli
         elements.is_non_card(F.col("raw_type"), attrs).alias("is_non_card"),
         "card_numbers",
         codes.primary_code(F.col("card_numbers")).alias("primary_card_number"),
-        codes.full_code(F.col("card_numbers")).alias("full_card_number"),
-        elements.row_type(F.col("raw_type"), F.col("number")).alias("card_type"),
+        "full_card_number",
+        "card_type",
         labels.join_labels(F.col("categories")).alias("category"),
         "categories",
-        parse_number(F.col("raw_cost")).alias("cost"),
+        "cost",
         texts.rules_text(F.col("raw_text")).alias("description"),
-        elements.row_elements(F.col("raw_type"), F.col("number"), F.col("raw_element")).alias("elements"),
+        "elements",
         "job",
         "number",
-        parse_number(F.col("raw_power")).alias("power"),
+        "power",
         "rarity",
-        "raw_name",
-        "raw_clean_name",
-        "raw_category",
-        "modified_on",
-    )
-    hashed = cards.withColumn("content_hash", fingerprints.card_fingerprint()).drop(
-        "raw_name", "raw_clean_name", "raw_category", "modified_on"
+        "content_hash",
     )
-    return keys.attach_parent_name(hashed, groups, "group_id", "name")
+    return keys.attach_parent_name(cards, groups, "group_id", "name")
+
+
+def cleaned_cards(products: DataFrame, groups: DataFrame, images: urls.ImagePolicy) -> DataFrame:
+    """Marketplace rows to cleaned cards with their fingerprint."""
+    return cleaned_rows(hashed_products(products), groups, images)
 
 
 def stored_source(rows: DataFrame) -> DataFrame:
@@ -222,13 +239,15 @@ def _reconciled(
     later: dict[str, str] | None = None,
     child: tuple[str, str] | None = None,
     unreadable: DataFrame | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StepResult:
     """Reject, classify, log the changed rows and merge them into the buckets they touch.
 
     Classification reads key, fingerprint and version of the stored table, nothing else.  The change
     log of the run is written first; what is merged is read back from it, so a lost executor costs
     one task and not the feed.  ``later`` names columns that other steps fill; ``child`` is a struct column
-    that goes to a table of its own, with one row per key.  ``unreadable`` feed documents are
+    that goes to a table of its own, with one row per key.  ``finish`` cleans the rows that are to be written, and
+    no others: an unchanged row costs its fingerprint.  ``unreadable`` feed documents are
     rejects as well, with the name of their file.
     """
     result = StepResult(name)
@@ -247,6 +266,8 @@ def _reconciled(
         return result
     seen, rejects = Observation(), Observation()
     changed = changes.to_write(judged.observe(seen, *counts)).drop("change_kind")
+    if finish is not None:
+        changed = finish(changed)
     stamped = merge.stamp(changed, run.version, run.started)
     tables.append(history.delta_log(stamped, key).withColumn("run_id", F.lit(run.run_id)), run.log(name), ["run_id"])
     result.processed, result.updated = (_metrics(seen)[n] for n in ("processed", "updated"))
@@ -309,9 +330,10 @@ def sync_cards(run: Run) -> StepResult:
     groups = run.load("groups")
     if groups is None:
         groups = feeds.groups(run.spark, run.layout.groups_feed, run.layout.feed_layout)
-    cleaned = cleaned_cards(unique, groups, run.images)
-    child = ("image_metadata", "card_images")
-    return _reconciled(run, "cards", cleaned, "product_id", INDEX_COLUMNS, child, feeds.unreadable(feed))
+    return _reconciled(
+        run, "cards", hashed_products(unique), "product_id", INDEX_COLUMNS, ("image_metadata", "card_images"),
+        feeds.unreadable(feed), lambda rows: cleaned_rows(rows, groups, run.images),
+    )
 
 
 def sync_source(run: Run) -> StepResult:

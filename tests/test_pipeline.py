@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark import schemas
 from shelfmark.functions import fingerprints
 from shelfmark.functions.urls import ImagePolicy
-from shelfmark.operators import merge, quality, search
+from shelfmark.operators import changes, merge, quality, search
 from shelfmark.plans import catalogue
 from shelfmark.sources import feeds, images, tables
 from shelfmark.streaming import ingest
@@ -116,6 +116,21 @@ def test_full_run_and_rerun(spark, landing):
     assert hits == {"crystal o": [20], "crystal b": [], "tif": [11]}
 
 
+def test_unchanged_rows_are_not_cleaned(spark, landing):
+    """Name and text rules stand above the filter that leaves changed rows only."""
+    layout, _ = landing
+    rows = feeds.products(spark, layout.products_feed)
+    groups = feeds.groups(spark, layout.groups_feed)
+    hashed = catalogue.hashed_products(rows)
+    stored = hashed.select("product_id", "content_hash")
+    changed = changes.to_write(changes.classify(hashed, stored, "product_id")).drop("change_kind")
+    plan = catalogue.cleaned_rows(changed, groups, POLICY)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.split("\n")
+    rules = [i for i, line in enumerate(lines) if "EX|LB" in line or "Full Art" in line]
+    joined = [i for i, line in enumerate(lines) if "Join LeftOuter" in line and "product_id" in line]
+    assert rules and joined and max(rules) < min(joined)
+
+
 def test_single_group_and_plan_only(spark, landing):
     layout, _ = landing
     _, steps = run(spark, layout, [catalogue.sync_groups, catalogue.sync_cards], group_id=2)
