@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
+from ..sources.tables import remove
+
+_made: list[str] = []
 
 WHITE = " \t\n\x0b\x0c\r"
 
@@ -16,10 +19,17 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     Spark's own committer writes it, so retried tasks leave no doubles.
     """
     path = shared_folder(df.sparkSession, f"llm-{purpose}")
+    _made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession) -> None:
+    """Remove the staged tables of this process, once no result that reads them is wanted any more."""
+    while _made:
+        remove(spark, _made.pop())
+
+
 def quoted(name: str) -> str:
     """A column's name as it must be written where dots would be read as fields."""
     return "`" + name.replace("`", "``") + "`"

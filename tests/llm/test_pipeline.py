@@ -95,6 +95,18 @@ def test_stages_take_empty_tables(spark):
         docs = after if after.columns == docs.columns else docs
 
 
+def test_staged_tables_can_be_discarded(spark):
+    from shelfmark.llm import stages
+
+    df = stages.stage(spark.range(3).toDF("id"), "discard")
+    assert df.count() == 3
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    stages.discard(spark)
+    from shelfmark.sources.tables import exists
+
+    assert not exists(spark, path) and not stages._made
+
+
 def test_near_copies_keep_rows_without_an_id(spark):
     docs = spark.createDataFrame([(None, "a b c d e"), (1, "a b c d e"), (2, "a b c d e")], "doc_id long, text string")
     assert sorted((r.doc_id or 0) for r in simhash.keep(docs).collect()) == [0, 1]
