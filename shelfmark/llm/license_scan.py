@@ -217,9 +217,15 @@ class Classifier:
 
 
 def sample_lines(docs: DataFrame, text_col: str = "text", n_docs: int = SAMPLE_DOCS, n_lines: int = SAMPLE_LINES) -> list[str]:
-    """A bounded sample of the corpus's lines: the least hashes of lines, of the documents with the least hashes."""
+    """A bounded sample of the corpus's lines: about ``n_docs`` different texts by hash, and of their lines ``n_lines``.
+
+    A text is taken if its hash lies in the lowest ``n_docs``-th part of all; copies of a text are one.
+    """
     text = F.col(text_col).cast("string")
-    some = docs.select(text.alias("t")).where("t IS NOT NULL").withColumn("h", F.xxhash64("t", F.lit(1))).orderBy("h").limit(n_docs)
+    share = min(n_docs / max(docs.count(), 1), 1.0)
+    least = min(int(share * 2**64), 2**64 - 1) - 2**63
+    some = docs.select(text.alias("t")).where("t IS NOT NULL").withColumn("h", F.xxhash64("t", F.lit(1)))
+    some = some.where(F.col("h") <= F.lit(least)).dropDuplicates(["h"])
     lines = some.select(F.explode(F.split("t", "\n")).alias("line")).where("line <> '' AND length(line) < 2000")
     lines = lines.distinct().withColumn("h", F.xxhash64("line", F.lit(2))).orderBy("h", "line").limit(n_lines)
     return [r.line for r in lines.collect()]
