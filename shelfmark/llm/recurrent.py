@@ -5,7 +5,9 @@ The output is factored: a softmax over classes, then, in a class of frequent wor
 a class of other words the network does not decide (see ``lm_scoring``).
 
 Documents are laid into lanes, one after the other.  A lane is read in windows of ``window`` steps; the state goes on
-from window to window and is zero where a document begins.  Gradients stop at the beginning of a window.
+from window to window and is zero where a document begins.  Gradients stop at the beginning of a window.  For training, long
+documents are cut into segments, so that lanes are even and windows full; a segment's state begins at zero, its input is
+the word before it.  Scoring never cuts a document.
 """
 
 from __future__ import annotations
@@ -16,7 +18,24 @@ from .bytewise import ranges
 
 HIDDEN = 24
 WINDOW = 16
-RATE = 0.01
+SEGMENT = 512
+RATE = 0.02
+
+
+def _inputs(sizes: np.ndarray, items: np.ndarray, first: int) -> np.ndarray:
+    """The item before each token; ``first`` before a document's first."""
+    before = np.r_[first, items[:-1]]
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = first
+    return before
+
+
+def _segments(sizes: np.ndarray, longest: int) -> np.ndarray:
+    """Sizes of the pieces, at most ``longest``, that documents are cut into."""
+    n = -(-sizes // longest)
+    cut = np.full(int(n.sum()), longest, np.int64)
+    last = np.cumsum(n) - 1
+    cut[last[n > 0]] = (sizes - (n - 1) * longest)[n > 0]
+    return cut
 
 
 class Lanes:
@@ -123,10 +142,9 @@ class Network:
         ``first`` is the item before a document's first token.
         """
         laid = Lanes(sizes, lanes)
-        item, cls_, word = items[laid.tokens], classes[laid.tokens], words[laid.tokens]
-        before = np.r_[first, item[:-1]]
-        before[laid.begins] = first
-        out = np.zeros(len(item), np.float32)
+        before = _inputs(sizes, items, first)[laid.tokens]
+        cls_, word = classes[laid.tokens], words[laid.tokens]
+        out = np.zeros(len(items), np.float32)
         h = np.zeros((len(laid.length), self.hidden), np.float32)
         for at, real in laid.windows(2 * WINDOW):
             states, _, h = self._run(before[at], laid.begins[at], h[: len(at)], False)
@@ -158,15 +176,14 @@ class Trainer:
         self.square = {k: np.zeros_like(v) for k, v in network.weights.items()}
         self.steps = self.tokens = 0
 
-    def learn(self, sizes, items, classes, words, first: int, lanes: int = 128) -> None:
-        laid = Lanes(sizes, lanes)
-        item, cls_, word = items[laid.tokens], classes[laid.tokens], words[laid.tokens]
-        before = np.r_[first, item[:-1]]
-        before[laid.begins] = first
+    def learn(self, sizes, items, classes, words, first: int, lanes: int = 256) -> None:
+        laid = Lanes(_segments(sizes, SEGMENT), lanes)
+        before = _inputs(sizes, items, first)[laid.tokens]
+        cls_, word = classes[laid.tokens], words[laid.tokens]
         h = np.zeros((len(laid.length), self.network.hidden), np.float32)
         for at, real in laid.windows(WINDOW):
             h = self._window(before[at], laid.begins[at], cls_[at], word[at], real, h[: len(at)])
-        self.tokens += len(item)
+        self.tokens += len(items)
 
     def _window(self, inputs, resets, classes, words, real, h):
         net, w, n = self.network, self.network.weights, self.network.hidden
@@ -209,7 +226,10 @@ class Trainer:
             d_h[resets[:, t]] = 0
         grads["u"] = d_u
         grads["x"] = np.zeros_like(w["x"])
-        np.add.at(grads["x"], inputs.T.reshape(-1), d_x.reshape(-1, 3 * n))
+        asked = inputs.T.reshape(-1)
+        order = np.argsort(asked, kind="stable")
+        begin = np.flatnonzero(np.r_[True, asked[order][1:] != asked[order][:-1]])
+        grads["x"][asked[order[begin]]] = np.add.reduceat(d_x.reshape(-1, 3 * n)[order], begin, axis=0)
         self._step(grads)
         return h_end
 
