@@ -32,9 +32,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewise import lower_ascii, mix, pieces, slice_hashes, text_bytes, word_spans
-from .chunked import bucket_of, buckets_of, pack, pack_sorted, stable, starts_of, unpack, unpack_sorted
+from .chunked import bucket_of, pack, pack_sorted, stable, starts_of, unpack, unpack_sorted
 from .recurrent import Network, Trainer
-from .stages import stage
+from .stages import shuffle_partitions, stage
 
 HEAD, WIDTH, TAIL = 512, 32, 32
 END = np.uint64(0x5DEECE66D)  # stands for the end of a document among hashes of words
@@ -94,7 +94,10 @@ def _count(n_buckets: int):
     return run
 
 
-_REPLY = "chunk bigint, bucket bigint, counts binary, word bigint, n bigint, shape int, known bigint"
+_REPLY = (
+    "chunk bigint, bucket bigint, counts binary, words array<bigint>, totals array<bigint>, shapes array<int>, "
+    "tokens array<bigint>, known array<bigint>"
+)
 
 
 def _total(table: pa.Table) -> pa.Table:
@@ -113,15 +116,18 @@ def _total(table: pa.Table) -> pa.Table:
     top = top[total[top] > 0]
     by_shape = np.bincount(shape[one], total, TAIL).astype(np.int64)
     known = np.bincount(shape[one], total > 0, TAIL).astype(np.int64)
-    a, h, s = len(answers), len(top), TAIL
+    n = len(answers)
+
+    def last(values, kind):  # the bucket's own row
+        return pa.array([None] * n + [values.tolist()], pa.list_(kind))
+
     return pa.table({
-        "chunk": pa.array(table.column("chunk").to_pylist() + [None] * (h + s), pa.int64()),
-        "bucket": pa.array(table.column("bucket").to_pylist() + [None] * (h + s), pa.int64()),
-        "counts": pa.array(answers + [None] * (h + s), pa.binary()),
-        "word": pa.array([None] * a + distinct[top].view(np.int64).tolist() + [None] * s, pa.int64()),
-        "n": pa.array([None] * a + total[top].tolist() + by_shape.tolist(), pa.int64()),
-        "shape": pa.array([None] * a + shape[one][top].tolist() + list(range(s)), pa.int32()),
-        "known": pa.array([None] * (a + h) + known.tolist(), pa.int64()),
+        "chunk": pa.array([*table.column("chunk").to_pylist(), None], pa.int64()),
+        "bucket": pa.array([*table.column("bucket").to_pylist(), None], pa.int64()),
+        "counts": pa.array([*answers, None], pa.binary()),
+        "words": last(distinct[top].view(np.int64), pa.int64()), "totals": last(total[top], pa.int64()),
+        "shapes": last(shape[one][top].astype(np.int32), pa.int32()),
+        "tokens": last(by_shape, pa.int64()), "known": last(known, pa.int64()),
     })
 
 
@@ -140,8 +146,11 @@ class Vocabulary:
     @classmethod
     def of(cls, replies: DataFrame) -> Vocabulary:
         """From the answers of all buckets; ``HEAD`` words and ``TAIL`` classes reach the driver."""
-        top = replies.where("word IS NOT NULL").orderBy(F.desc("n"), "word").limit(HEAD).collect()
-        sums = replies.where("known IS NOT NULL").groupBy("shape").agg(F.sum("n").alias("n"), F.sum("known").alias("known")).collect()
+        own = replies.where("chunk IS NULL")
+        listed = own.select(F.inline(F.arrays_zip("words", "totals", "shapes"))).toDF("word", "n", "shape")
+        top = listed.orderBy(F.desc("n"), "word").limit(HEAD).collect()
+        by_class = own.select(F.posexplode(F.arrays_zip("tokens", "known")).alias("shape", "x"))
+        sums = by_class.groupBy("shape").agg(F.sum("x.tokens").alias("n"), F.sum("x.known").alias("known")).collect()
         tokens, words = np.zeros(TAIL, np.int64), np.zeros(TAIL, np.int64)
         for r in sums:
             tokens[r.shape], words[r.shape] = r.n, r.known
@@ -262,7 +271,7 @@ def _score(vocabulary: Vocabulary, flat: np.ndarray, n_buckets: int):
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", from_files: bool = False) -> DataFrame:
     """id_col, held_out, n_tokens, n_known, train_tokens, base_score, score: a row for each document."""
     rows = stable(docs, id_col, text_col, from_files).withColumn("training", is_training(F.col("id")))
-    n = buckets_of(rows)
+    n = shuffle_partitions(docs.sparkSession)
     counted = rows.select("chunk", "text", "training").mapInArrow(
         _count(n), "chunk bigint, bucket bigint, words binary, counts binary, shapes binary"
     )
