@@ -176,6 +176,20 @@ scores AS (
   FROM parts q JOIN parts c ON q.i = c.i AND q.dim = c.dim AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10""",
+    "op9_substring_dedup": r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS i FROM docs),
+runs AS (
+  SELECT doc_id, i, string_agg(word, ' ') OVER w AS run, count(*) OVER w AS n FROM words
+  WINDOW w AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING)),
+starts AS (SELECT doc_id, i, run, min(doc_id) OVER (PARTITION BY run) AS first_doc FROM runs WHERE n = 13),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM starts, (SELECT unnest(range(13)) AS k) WHERE first_doc < doc_id),
+kept AS (
+  SELECT w.doc_id, count(*) AS n_words, count(g.i) AS n_removed,
+    string_agg(CASE WHEN g.i IS NULL THEN w.word END, ' ' ORDER BY w.i) AS text
+  FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id""",
     "op10_mixing": r"""
 WITH docs AS (
   SELECT doc_id, lang, source,
