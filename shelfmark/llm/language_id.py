@@ -27,7 +27,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .bytewise import pieces, text_bytes
 from .byte_bpe import LETTER, classes
-from .stages import numbered, other_fields, quoted
+from .stages import numbered, other_fields
 
 PROFILE = 400
 PIECE = 1 << 20
@@ -166,9 +166,26 @@ def keep(docs: DataFrame, learned: DataFrame, text_col: str = "text", least_scor
 
     Rejected are texts without a letter, and texts whose n-grams lie nearly as far from every profile as possible.
     """
-    row = F.struct(*[quoted(c) for c in docs.columns]).alias("_row")
-    known = predict(docs.select(row, F.col(text_col).alias("_text")), learned, "_text")
-    return known.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score)).select("_row.*")
+    known = Profiles(learned.collect(), PROFILE)
+    fields = docs.schema.fields
+    rows, at = _with_text(docs, fields, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, at, PIECE):
+                best, score = known.nearest(*text_bytes(piece.column(at)))
+                stays = piece.filter(pa.array((best >= 0) & (score >= least_score)))
+                yield pa.RecordBatch.from_arrays(stays.columns[: len(fields)], names=[f.name for f in fields])
+
+    return rows.mapInArrow(run, StructType(fields))
+
+
+def _with_text(docs: DataFrame, fields: list, text_col: str) -> tuple[DataFrame, int]:
+    """The fields under plain names and the place of the text, which is not passed twice if it is among them."""
+    for at, f in enumerate(fields):
+        if f.name.lower() == text_col.lower() and isinstance(f.dataType, StringType):
+            return docs.select(*numbered(fields)), at
+    return docs.select(*numbered(fields), F.col(text_col).cast("string").alias("text")), len(fields)
 
 
 def predict(docs: DataFrame, learned: DataFrame, text_col: str = "text", size: int = PROFILE) -> DataFrame:
@@ -176,15 +193,14 @@ def predict(docs: DataFrame, learned: DataFrame, text_col: str = "text", size: i
     known = Profiles(learned.collect(), size)  # as many rows as languages times the size of a profile
     added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
     kept = other_fields(docs, "lang_pred", "score")
-    rows = docs.select(*numbered(kept), F.col(text_col).cast("string").alias("text"))
-    at = len(kept)  # the text's place, whatever the other columns are called
+    rows, at = _with_text(docs, kept, text_col)
     names = np.array([*known.langs, UNKNOWN], object)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, at, PIECE):
                 best, score = known.nearest(*text_bytes(piece.column(at)))
-                columns = piece.columns[:at] + [pa.array(names[best].tolist(), pa.string()), pa.array(score)]
+                columns = piece.columns[: len(kept)] + [pa.array(names[best].tolist(), pa.string()), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in [*kept, *added]])
 
     return rows.mapInArrow(run, StructType([*kept, *added]))
