@@ -30,7 +30,8 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 from .bytewise import pieces, ranges, slice_hashes, text_bytes
 from .stages import numbered, other_fields
 
-CACHED_SLICES = 200_000  # of a worker; the cache is emptied when full
+PIECE = 1 << 20
+CACHED_SLICES = 150_000  # of a worker; the cache is emptied when full
 HEAP_FROM = 200  # bytes; longer slices are merged with a heap
 
 # classes of code points
@@ -325,7 +326,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", with_decoded: boo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks = ranks_of(path)
         for batch in batches:
-            for piece in pieces(batch, at):
+            for piece in pieces(batch, at, PIECE):
                 data, offsets = text_bytes(piece.column(at))
                 ids, begins, counts = ranks.encode(data, offsets)
                 ends = np.r_[0, np.cumsum(counts)].astype(np.int32)
