@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import byte_bpe, exact_dedup, language_id, mixing, queries, simhash
+from shelfmark.llm import byte_bpe, exact_dedup, language_id, mixing, near_copies as near, queries
 from shelfmark.llm.stages import quoted, stage
 
 
@@ -21,8 +21,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by their fingerprints, the one with the smallest id stays."""
-    return simhash.keep(docs)
+    """Of documents linked by 0.8 or more of their five-word shingles in common, the one with the smallest id stays."""
+    return near.keep(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 pytest.importorskip("public_tokenizers")
 
 import corpus_pipeline  # noqa: E402
-from shelfmark.llm import byte_bpe, queries, simhash  # noqa: E402
+from shelfmark.llm import byte_bpe, near_copies, queries, simhash  # noqa: E402
 
 from .test_operators import SCHEMA, WORD, components_brute, fingerprint_brute, mix_brute  # noqa: E402
 
@@ -110,3 +110,41 @@ def test_staged_tables_can_be_discarded(spark):
 def test_near_copies_keep_rows_without_an_id(spark):
     docs = spark.createDataFrame([(None, "a b c d e"), (1, "a b c d e"), (2, "a b c d e")], "doc_id long, text string")
     assert sorted((r.doc_id or 0) for r in simhash.keep(docs).collect()) == [0, 1]
+
+
+def test_near_copies_beyond_the_reach_of_fingerprints_go(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghiklmnoprstu") for _ in range(6)) for _ in range(500)]
+
+    def shingles(text):
+        w = text.lower().split()
+        return {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))}
+
+    made = []
+    for i in range(40):
+        text = [rng.choice(words) for _ in range(300)]
+        made.append((3 * i, " ".join(text)))
+        for k, changes in ((1, 4), (2, 14)):  # similarity 0.87 and 0.62
+            copy = text[:]
+            for j in range(changes):
+                copy[10 + 20 * j] = "changed"
+            made.append((3 * i + k, " ".join(copy)))
+    made += [(1000, "a b"), (1001, "A  b"), (1002, "a c"), (None, "a b")]
+    sets = {i: shingles(t) for i, t in made if i is not None}
+    best = {i: min([j for j in sets if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]) for i in sets}
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    found = [r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()]
+    assert sorted(i for i in found if i is not None) == sorted(set(best.values())) and found.count(None) == 1
+    assert all(len(x) == 40 for x in ([i for i in found if i is not None and i < 1000 and i % 3 == 0],
+                                      [i for i in found if i is not None and i < 1000 and i % 3 == 2]))
+    assert len([i for i in simhash.keep(docs.where("doc_id IS NOT NULL")).collect() if i.doc_id % 3 == 1 and i.doc_id < 1000]) > 20
+
+
+def test_large_groups_of_near_copies_make_few_pairs(spark):
+    rng = random.Random(6)
+    text = [str(rng.randrange(10_000)) for _ in range(200)]
+    made = [(i, " ".join([*text[:50], str(-i), *text[50:]])) for i in range(600)]
+    docs = spark.createDataFrame(made, "id long, _text string")
+    half = near_copies.candidates(docs.where("id < 300")).count()
+    assert half < near_copies.candidates(docs).count() < 3 * half
+    assert [r.id for r in near_copies.keep(docs, "id", "_text").collect()] == [0]
