@@ -1,16 +1,20 @@
 """Licence notices in documents: a trained paragraph classifier whose findings a template comparison confirms.
 
 A paragraph is a line.  It is read in units of at most ``UNIT`` words, half of which overlap, so a template of up to half
-a unit lies whole in some unit.  A unit's features are its 1- to 3-grams of words (lower-cased, without punctuation),
+a unit lies whole in some unit.  Notices are often wrapped, so runs of lines between lines without words are read in such
+units too, across their line feeds.  A unit's features are its 1- to 3-grams of words (lower-cased, without punctuation),
 hashed; multinomial logistic regression gives each family and an unknown class a score.
 
 Training examples are variants of the templates (words left out, holders, surrounding words) for the families, and for
-the unknown class a bounded sample of the corpus's own lines (``SAMPLE_DOCS``, ``SAMPLE_LINES``), scrambled templates and
+the unknown class a bounded sample of the corpus's own lines and units of several lines (``SAMPLE_DOCS``, ``SAMPLE_LINES``), scrambled templates and
 fragments of them.  Every fifth example is held back to calibrate: one temperature makes the probabilities fit.
 
 A unit counts as a notice of a family if the family is the likeliest class, at ``LEAST_PROBABILITY`` or more, and one of
 the family's templates has at least ``LEAST_SIMILAR`` of its word pairs in the unit, in order.
 
+A finding names the paragraph and the word where its unit begins; for a unit of several lines, where the template begins.
+Such a unit's finding is left out where the same words have given the family already.
+
 Defined results: a null or empty text has no paragraph; blank lines are none.  Very long lines are read whole, unit by
 unit.  Repeated rows are scanned each.  Other columns of the input do not matter.  An empty table gives an empty result
 (the classifier then learns from scrambled templates alone).
@@ -131,6 +135,35 @@ def similarity(words: list[str], family: str) -> float:
     return max(sum(p in held for p in pairs) / len(pairs) for pairs in _PAIRS[family])
 
 
+def template_span(words: list[str], family: str) -> tuple[int, int]:
+    """Where the family's best template stands: first word and end of the shortest of the fullest places."""
+    pairs = max(_PAIRS[family], key=lambda pairs: (_held(words, pairs) / len(pairs), len(pairs)))
+    wanted, room = set(pairs), len(pairs) + 2  # pairs within a template's length and a word or two left over
+    at = [i for i, p in enumerate(zip(words, words[1:], strict=False)) if p in wanted]
+    best = (0, 0, 0, 0)
+    for k, first in enumerate(at):
+        inside = [i for i in at[k : k + room] if i < first + room]
+        distinct: set[tuple[str, str]] = set()
+        for i in inside:
+            distinct.add((words[i], words[i + 1]))
+            best = max(best, (len(distinct), first - i, first, i + 2))
+    return best[2], best[3]
+
+
+def _held(words: list[str], pairs: list[tuple[str, str]]) -> int:
+    held = set(zip(words, words[1:], strict=False))
+    return sum(p in held for p in pairs)
+
+
+def named_family(words: list[str], p: np.ndarray) -> tuple[int, float] | None:
+    """The family (its number, and similarity) whose notice the words hold, given the probabilities of the classes."""
+    best = int(p.argmax())
+    if best == len(FAMILIES) - 1 or p[best] < LEAST_PROBABILITY:
+        return None
+    alike = similarity(words, FAMILIES[best])
+    return (best, alike) if alike >= LEAST_SIMILAR else None
+
+
 def best_template(words: list[str]) -> float:
     return max(similarity(words, f) for f in TEMPLATES)
 
@@ -217,7 +250,7 @@ class Classifier:
 
 
 def sample_lines(docs: DataFrame, text_col: str = "text", n_docs: int = SAMPLE_DOCS, n_lines: int = SAMPLE_LINES) -> list[str]:
-    """A bounded sample of the corpus's lines: about ``n_docs`` different texts by hash, and of their lines ``n_lines``.
+    """A bounded sample of the corpus's lines and units of several lines: about ``n_docs`` different texts by hash, and of their lines ``n_lines``.
 
     A text is taken if its hash lies in the lowest ``n_docs``-th part of all; copies of a text are one.
     """
@@ -227,6 +260,12 @@ def sample_lines(docs: DataFrame, text_col: str = "text", n_docs: int = SAMPLE_D
     some = docs.select(text.alias("t")).where("t IS NOT NULL").withColumn("h", F.xxhash64("t", F.lit(1)))
     some = some.where(F.col("h") <= F.lit(least)).dropDuplicates(["h"])
     lines = some.select(F.explode(F.split("t", "\n")).alias("line")).where("line <> '' AND length(line) < 2000")
+    # units of several lines, as they are scanned
+    blocks = some.select(F.explode(F.split("t", r"\n(?:[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\n)+")).alias("b")).where("contains(b, '\n')")
+    blocks = blocks.select(F.filter(F.split("b", r"[\x00-\x20]+"), lambda w: w != "").alias("w")).where("size(w) > 0")
+    at = F.explode(F.expr(f"sequence(1, size(w), {UNIT // 2})"))
+    units = blocks.select("w", at.alias("i")).select(F.array_join(F.slice("w", F.col("i"), UNIT), " ").alias("line"))
+    lines = lines.unionByName(units.where("length(line) < 2000"))
     lines = lines.distinct().withColumn("h", F.xxhash64("line", F.lit(2))).orderBy("h", "line").limit(n_lines)
     return [r.line for r in lines.collect()]
 
@@ -247,15 +286,29 @@ def _units(data: np.ndarray, offsets: np.ndarray):
     head = np.flatnonzero(new)
     size = np.diff(np.r_[head, len(starts)])
     n_paragraphs = np.bincount(text[head], minlength=n) if len(head) else np.zeros(n, np.int64)
+    paragraph, at, size_ = _overlapping(head, size)
+    owner, word, number = text[at], at - head[paragraph], paragraph
+    # units of several lines: words of lines that follow each other, no line without words between
+    head_of = np.repeat(np.arange(len(head)), size)
+    apart = new.copy()
+    apart[1:] &= (line[1:] - line[:-1] != 1) | (text[1:] != text[:-1])
+    block = np.flatnonzero(apart)
+    _, wide, wide_size = _overlapping(block, np.diff(np.r_[block, len(starts)]))
+    several = head_of[wide] != head_of[wide + wide_size - 1]
+    wide, wide_size = wide[several], wide_size[several]
+    before = np.cumsum(n_paragraphs) - n_paragraphs
+    at, size_ = np.r_[at, wide], np.r_[size_, wide_size]
+    owner, number, word = np.r_[owner, text[wide]], np.r_[number, head_of[wide]], np.r_[word, wide - head[head_of[wide]]]
+    return plain, starts, ends, owner, number - before[owner], word, at, size_, n_paragraphs
+
+
+def _overlapping(head: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Units of runs of words: run, first word and words of each."""
     half = UNIT // 2
     count = np.maximum(-(-(size - half) // half), 1)
-    paragraph = np.repeat(np.arange(len(head)), count)
-    step = np.arange(len(paragraph)) - np.repeat(np.cumsum(count) - count, count)
-    unit_start = head[paragraph] + step * half
-    unit_size = np.minimum(unit_start + UNIT, head[paragraph] + size[paragraph]) - unit_start
-    before = np.cumsum(n_paragraphs) - n_paragraphs
-    owner = text[unit_start] if len(head) else np.zeros(0, np.int64)
-    return plain, starts, ends, owner, paragraph - before[owner], step * half, unit_start, unit_size, n_paragraphs
+    run = np.repeat(np.arange(len(head)), count)
+    at = head[run] + (np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)) * half
+    return run, at, np.minimum(at + UNIT, head[run] + size[run]) - at
 
 
 _FINDING = pa.struct([("paragraph", pa.int32()), ("word", pa.int32()), ("family", pa.string()),
@@ -263,6 +316,38 @@ _FINDING = pa.struct([("paragraph", pa.int32()), ("word", pa.int32()), ("family"
 _RESULT = "n_paragraphs bigint, findings array<struct<paragraph: int, word: int, family: string, probability: double, similarity: double>>"
 
 
+def _found(model: Classifier, hashes, plain, starts, ends, units, n_texts: int) -> list[list[dict]]:
+    """The findings of each text."""
+    owner, paragraph, word, at, size = units
+    # where each line of a text begins: the units of lines say it
+    first = np.full(len(starts), -1, np.int64)
+    heads = np.flatnonzero(word == 0)
+    first[at[heads]] = paragraph[heads]
+    line_head = np.maximum.accumulate(np.where(first >= 0, np.arange(len(starts)), 0))
+    several = line_head[at] != line_head[at + size - 1] if len(at) else np.zeros(0, bool)
+    found: list[list[dict]] = [[] for _ in range(n_texts)]
+    seen: dict[tuple[int, str], list[tuple[int, int]]] = {}
+    for text, begin, count, wide in [(owner[k], at[k], size[k], several[k]) for k in (~several, several)]:
+        p = model.probabilities(hashes, begin, count)
+        likely = np.flatnonzero(p[:, :-1].sum(axis=1) >= LEAST_PROBABILITY)
+        for u in likely.tolist():
+            a, b = int(begin[u]), int(begin[u] + count[u])
+            words = [plain[x:y].tobytes().decode("utf-8", "replace") for x, y in zip(starts[a:b], ends[a:b], strict=True)]
+            named = named_family(words, p[u])
+            if not named:
+                continue
+            family, alike = FAMILIES[named[0]], named[1]
+            low, high = template_span(words, family)
+            spans = seen.setdefault((int(text[u]), family), [])
+            if wide[u] and any(x < a + high and a + low < y for x, y in spans):
+                continue
+            spans.append((a + low, a + high))
+            where = a + low if wide[u] else a
+            found[text[u]].append({"paragraph": int(first[line_head[where]]), "word": int(where - line_head[where]), "family": family,
+                                   "probability": float(p[u, named[0]]), "similarity": alike})
+    return found
+
+
 def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, n_paragraphs, findings (paragraph and word where a unit begins, family, probability, similarity)."""
     shared = docs.sparkSession.sparkContext.broadcast(classifier)  # FEATURES times classes numbers
@@ -271,18 +356,7 @@ def scan(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_c
         model = shared.value
         for piece in (p for batch in batches for p in pieces(batch, "_text")):
             plain, starts, ends, owner, paragraph, word, at, size, n_paragraphs = _units(*text_bytes(piece.column("_text")))
-            p = model.probabilities(slice_hashes(plain, starts, ends), at, size)
-            best = p.argmax(axis=1) if len(p) else np.zeros(0, np.int64)
-            likely = np.flatnonzero((best < len(FAMILIES) - 1) & (p[np.arange(len(p)), best] >= LEAST_PROBABILITY))
-            found: list[list[dict]] = [[] for _ in range(piece.num_rows)]
-            for u in likely.tolist():
-                a, b = at[u], at[u] + size[u]
-                words = [plain[x:y].tobytes().decode("utf-8", "replace") for x, y in zip(starts[a:b], ends[a:b], strict=True)]
-                family = FAMILIES[best[u]]
-                alike = similarity(words, family)
-                if alike >= LEAST_SIMILAR:
-                    found[owner[u]].append({"paragraph": int(paragraph[u]), "word": int(word[u]), "family": family,
-                                            "probability": float(p[u, best[u]]), "similarity": alike})
+            found = _found(model, slice_hashes(plain, starts, ends), plain, starts, ends, (owner, paragraph, word, at, size), piece.num_rows)
             yield pa.RecordBatch.from_arrays(
                 [piece.column("id"), pa.array(n_paragraphs.astype(np.int64)), pa.array(found, pa.list_(_FINDING))],
                 names=["id", "n_paragraphs", "findings"],

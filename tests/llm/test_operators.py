@@ -522,3 +522,45 @@ def test_native_operators_run_no_python(spark, docs, tmp_path):
     for df in (exact_dedup.report(docs), mixing.mix(docs.withColumns({"domain": F.lit("a"), "n_tokens": F.lit(3).cast("long")}), {})):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+# -- licence notices over several lines
+
+WRAPPED = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+    "bsd": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:""",
+    "gpl-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+}
+
+
+@pytest.fixture(scope="module")
+def licence_families(spark, docs):
+    classifier = license_scan.learn(docs)
+
+    def run(texts):
+        rows = license_scan.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), classifier).collect()
+        return [r["findings"] for r in sorted(rows, key=lambda r: r["doc_id"])]
+
+    return run
+
+
+def test_wrapped_notices_are_found(licence_families):
+    some = "\n".join(t for _, t, *_ in ROWS[11:20])
+    texts = [w for t in WRAPPED.values() for w in (t, f"{some}\n{t}\n{some}", "\n".join(f" * {x}" for x in t.split("\n")))]
+    for k, findings in enumerate(licence_families(texts)):
+        family = list(WRAPPED)[k // 3]
+        assert {x["family"] for x in findings} == {family}, texts[k]
+        assert len({x["paragraph"] for x in findings}) == 1
+    mit = licence_families([f"{some}\n\n{WRAPPED['mit']}"])[0][0]
+    assert (mit["paragraph"], mit["word"]) == (len(some.split("\n")), 0)
+    halves = WRAPPED["bsd"].split("\n")
+    assert licence_families([f"{halves[0]}\n\n{halves[1]}"]) == [[]]  # no unit crosses a blank line
