@@ -9,8 +9,10 @@ Training examples are variants of the templates (words left out, holders, surrou
 the unknown class a bounded sample of the corpus's own lines and units of several lines (``SAMPLE_DOCS``, ``SAMPLE_LINES``), scrambled templates and
 fragments of them.  Every fifth example is held back to calibrate: one temperature makes the probabilities fit.
 
-A unit counts as a notice of a family if the family is the likeliest class, at ``LEAST_PROBABILITY`` or more, and one of
-the family's templates has at least ``LEAST_SIMILAR`` of its word pairs in the unit, in order.
+A unit counts as a notice of a family if all families together have ``LEAST_PROBABILITY`` or more, this one ``LEAST_SHARE`` of
+that, and one of its templates has at least ``LEAST_SIMILAR`` of its word pairs in the unit.  The likeliest family goes
+first, if it has ``LEAST_PROBABILITY`` alone, then the most similar one.  The words around a template that was found are
+classified again as units of their own, so a unit with notices of several families reports each.
 
 A finding names the paragraph and the word where its unit begins; for a unit of several lines, where the template begins.
 Such a unit's finding is left out where the same words have given the family already.
@@ -39,6 +41,7 @@ SAMPLE_DOCS, SAMPLE_LINES = 500, 3000
 VARIANTS = 40
 EPOCHS = 6
 LEAST_PROBABILITY, LEAST_SIMILAR = 0.5, 0.7
+LEAST_SHARE = 0.1
 UNKNOWN = "unknown"
 
 # Notices as licences and their users word them, by family; at most 25 words each.
@@ -157,11 +160,12 @@ def _held(words: list[str], pairs: list[tuple[str, str]]) -> int:
 
 def named_family(words: list[str], p: np.ndarray) -> tuple[int, float] | None:
     """The family (its number, and similarity) whose notice the words hold, given the probabilities of the classes."""
-    best = int(p.argmax())
-    if best == len(FAMILIES) - 1 or p[best] < LEAST_PROBABILITY:
+    known = p[:-1].sum()
+    if known < LEAST_PROBABILITY:
         return None
-    alike = similarity(words, FAMILIES[best])
-    return (best, alike) if alike >= LEAST_SIMILAR else None
+    found = [(p[k] >= LEAST_PROBABILITY, similarity(words, FAMILIES[k]), p[k], k) for k in np.flatnonzero(p[:-1] >= LEAST_SHARE * known).tolist()]
+    found = [x for x in found if x[1] >= LEAST_SIMILAR]
+    return (max(found)[3], max(found)[1]) if found else None
 
 
 def best_template(words: list[str]) -> float:
@@ -327,9 +331,12 @@ def _found(model: Classifier, hashes, plain, starts, ends, units, n_texts: int)
     several = line_head[at] != line_head[at + size - 1] if len(at) else np.zeros(0, bool)
     found: list[list[dict]] = [[] for _ in range(n_texts)]
     seen: dict[tuple[int, str], list[tuple[int, int]]] = {}
-    for text, begin, count, wide in [(owner[k], at[k], size[k], several[k]) for k in (~several, several)]:
+    todo = [(owner[k], at[k], size[k], several[k]) for k in (~several, several)]
+    while todo:
+        text, begin, count, wide = todo.pop(0)
         p = model.probabilities(hashes, begin, count)
         likely = np.flatnonzero(p[:, :-1].sum(axis=1) >= LEAST_PROBABILITY)
+        rest = []
         for u in likely.tolist():
             a, b = int(begin[u]), int(begin[u] + count[u])
             words = [plain[x:y].tobytes().decode("utf-8", "replace") for x, y in zip(starts[a:b], ends[a:b], strict=True)]
@@ -338,6 +345,7 @@ def _found(model: Classifier, hashes, plain, starts, ends, units, n_texts: int)
                 continue
             family, alike = FAMILIES[named[0]], named[1]
             low, high = template_span(words, family)
+            rest += [(text[u], x, y - x, wide[u]) for x, y in ((a, a + low), (a + high, b)) if y - x > 1]
             spans = seen.setdefault((int(text[u]), family), [])
             if wide[u] and any(x < a + high and a + low < y for x, y in spans):
                 continue
@@ -345,6 +353,8 @@ def _found(model: Classifier, hashes, plain, starts, ends, units, n_texts: int)
             where = a + low if wide[u] else a
             found[text[u]].append({"paragraph": int(first[line_head[where]]), "word": int(where - line_head[where]), "family": family,
                                    "probability": float(p[u, named[0]]), "similarity": alike})
+        if rest:
+            todo.insert(0, tuple(np.array(x) for x in zip(*rest, strict=True)))
     return found
 
 

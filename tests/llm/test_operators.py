@@ -524,7 +524,7 @@ def test_native_operators_run_no_python(spark, docs, tmp_path):
         assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
 
 
-# -- licence notices over several lines
+# -- licence notices over several lines, and several in a line
 
 WRAPPED = {
     "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
@@ -564,3 +564,11 @@ def test_wrapped_notices_are_found(licence_families):
     assert (mit["paragraph"], mit["word"]) == (len(some.split("\n")), 0)
     halves = WRAPPED["bsd"].split("\n")
     assert licence_families([f"{halves[0]}\n\n{halves[1]}"]) == [[]]  # no unit crosses a blank line
+
+
+def test_several_notices_in_one_unit_are_found(licence_families):
+    m, a, b = "Licensed under the MIT license.", "Licensed under the Apache License, Version 2.0.", "All rights reserved."
+    single = "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"
+    texts = [f"{m} {a}", f"{a} {m}", f"{m}\n{a}", f"{a} Some words here. {b} {m}", single, f"{single} {m}"]
+    wanted = [{"mit", "apache-2.0"}] * 3 + [{"mit", "apache-2.0", "all-rights-reserved"}, {"gpl-2.0"}, {"gpl-2.0", "mit"}]
+    assert [{x["family"] for x in f} for f in licence_families(texts)] == wanted
