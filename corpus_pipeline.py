@@ -41,9 +41,12 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with the offset of each token in the text."""
-    rows = docs.select("doc_id", "lang", "source", "text")
-    return byte_bpe.encode(rows, queries.bpe_path()).withColumn("n_tokens", F.size("ids").cast("long"))
+    """Token ids of every document, with the offset of each token in the text, and whether they decode to the text's bytes."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", "lang", "source", "text", F.sha2(text, 256).alias("_sha256"))
+    encoded = byte_bpe.encode(rows, queries.bpe_path(), with_decoded=True)
+    encoded = encoded.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("decoded_sha256", F.sha2("decoded", 256))
+    return encoded.withColumn("round_trip", F.col("decoded_sha256") == F.col("_sha256")).drop("decoded", "_sha256")
 
 
 STAGES = [

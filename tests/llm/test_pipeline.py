@@ -148,3 +148,17 @@ def test_large_groups_of_near_copies_make_few_pairs(spark):
     half = near_copies.candidates(docs.where("id < 300")).count()
     assert half < near_copies.candidates(docs).count() < 3 * half
     assert [r.id for r in near_copies.keep(docs, "id", "_text").collect()] == [0]
+
+
+def test_tokens_are_decoded_and_held_against_the_text(spark, monkeypatch):
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    texts = ["it's a  té漢\n", "", None, "x" * 300]
+    docs = spark.createDataFrame([(i, "aa", "s", t) for i, t in enumerate(texts)], "doc_id long, lang string, source string, text string")
+    for r in corpus_pipeline.tokens(spark, docs, "").collect():
+        assert r.round_trip and r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()
+    encode = byte_bpe.encode
+    monkeypatch.setattr(byte_bpe, "encode", lambda *a, **b: encode(*a, **b).withColumn("decoded", F.lit(b"other")))
+    assert not any(r.round_trip for r in corpus_pipeline.tokens(spark, docs, "").collect())
