@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, exact_dedup, language_id, license_scan, lm_scoring, mixing, simhash, substring_dedup, token_shards, topk_search
+from . import (
+    byte_bpe, collocations, exact_dedup, language_id, license_scan, lm_scoring, mixing, periodic_runs, sentence_pieces, simhash,
+    substring_dedup, token_shards, topk_search,
+)
 from .stages import stage
 
 
@@ -119,6 +122,48 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "domain", "lang", "source", "n_tokens", "copies", "leaf_budget")
 
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = sentence_pieces.encode(docs, public_tokenizers.path("piece_bpe_32k.model"), with_decoded=True)
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by a checksum of the id, with the words from some place on repeating."""
+    checksum = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(1))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    number = F.floor(checksum / 10).cast("long")
+    n = F.size(words).cast("long")
+    before = F.when(n > 0, number % F.greatest(n, F.lit(1)))
+    period = F.floor((n - before) / (3 + number % 8)).cast("long") + 1
+    copies = F.floor((n - before) / period).cast("int") + 1
+    tail = F.flatten(F.array_repeat(F.slice(words, (before + 1).cast("int"), period.cast("int")), copies))
+    made = F.concat(F.slice(words, 1, before.cast("int")), F.slice(tail, 1, (n - before).cast("int")))
+    changed = F.when((checksum % 10 == 0) & (n > 0), F.array_join(made, " ")).otherwise(F.col("text"))
+    return docs.withColumn("text", changed)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.find(docs).withColumn("best", periodic_runs.longest(F.col("runs")))
+    line = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_license_scan": op2_license_scan,
@@ -130,6 +175,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_search": op8_topk_search,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_mixing": op10_mixing,
+    "op11_sentence_pieces": op11_sentence_pieces,
+    "op12_collocations": op12_collocations,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _DEAL = """
@@ -215,4 +263,35 @@ keyed AS (SELECT docs.*, leaf_budget, q, r,
   FROM docs JOIN given ON docs.domain = given.domain AND docs.lang = given.lang AND docs.source = given.source),
 placed AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key ROWS UNBOUNDED PRECEDING) - n_tokens AS first_token FROM keyed)
 SELECT doc_id, domain, lang, source, n_tokens::BIGINT AS n_tokens, q + CASE WHEN first_token < r THEN 1 ELSE 0 END AS copies, leaf_budget FROM placed""",
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+placed AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3 FROM placed),
+ones AS (SELECT lang, w1, count(*) AS f FROM grams GROUP BY ALL),
+twos AS (SELECT lang, w1, w2, count(*) AS f FROM grams WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+threes AS (SELECT lang, w1, w2, w3, count(*) AS f FROM grams WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM ones GROUP BY lang),
+gone AS (
+  SELECT DISTINCT s.lang, s.w1 || ' ' || s.w2 AS g FROM twos s JOIN (
+    SELECT lang, w1, w2, f FROM threes UNION ALL SELECT lang, w2, w3, f FROM threes) x
+  ON s.lang = x.lang AND s.w1 = x.w1 AND s.w2 = x.w2 WHERE 100 * x.f >= 50 * s.f),
+parts AS (
+  SELECT c.lang, c.w1 || ' ' || c.w2 AS g, c.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM twos c JOIN ones x ON x.lang = c.lang AND x.w1 = c.w1 JOIN ones y ON y.lang = c.lang AND y.w1 = c.w2
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 1, x.f, y.f
+  FROM threes c JOIN ones x ON x.lang = c.lang AND x.w1 = c.w1 JOIN twos y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+  UNION ALL
+  SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, 2, x.f, y.f
+  FROM threes c JOIN twos x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2 JOIN ones y ON y.lang = c.lang AND y.w1 = c.w3),
+cuts AS (SELECT *, (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT AS score FROM parts),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS place FROM cuts),
+ranked AS (
+  SELECT lang, g AS phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank
+  FROM best WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM gone WHERE gone.lang = best.lang AND gone.g = best.g))
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total ON ranked.lang = total.lang WHERE rank <= 2000""",
 }
