@@ -37,8 +37,8 @@ from .bytewise import lower_ascii, mix, pieces, slice_hashes, text_bytes
 from .chunked import pack, pack_sorted, starts_of, unpack, unpack_sorted
 from .stages import shuffle_partitions, stage
 
-RUN_WORDS = 1 << 20
-PER_RANGE = 1 << 21  # counts merged by one range at a time
+RUN_WORDS = 1 << 19
+PER_RANGE = 1 << 19  # counts merged by one range at a time
 MOST_WORDS = 3
 LEAST = 10
 SCALE = 1_000_000
@@ -115,7 +115,8 @@ class _Run:
             distinct, count = _counted(keys[keys >= 0])
             grams.append(distinct)
             counts.append(count.astype(np.uint32))
-            before = np.searchsorted(distinct, keys)
+            if order < self.most:
+                before = np.searchsorted(distinct, keys)
         return {
             "run": uuid.uuid4().hex, "n": len(number), "words": [words[i] for i in first], "langs": [langs[i] for i in first],
             "grams": [pack_sorted(g) for g in grams], "counts": [pack(c) for c in counts], "sizes": [len(g) for g in grams],

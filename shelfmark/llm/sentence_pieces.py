@@ -34,7 +34,7 @@ from .bytewise import pieces, ranges, slice_hashes, text_bytes
 from .stages import numbered, other_fields
 
 PIECE = 1 << 20
-CACHED_SLICES = 150_000  # of a worker; the cache is emptied when full
+CACHED_SLICES = 400_000  # of a worker; the cache is emptied when full
 HEAP_FROM = 200  # symbols; longer slices are merged with a heap
 MARK = "▁"  # stands for a blank in pieces
 _MARK_BYTES = MARK.encode()
@@ -92,6 +92,10 @@ class CharacterMap:
         return value, self.ends[np.searchsorted(self.ends, value)] - value
 
 
+def _points(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
+
+
 def _longest_first(place: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Which matches count, read from the left: none that begins within another that counts."""
     if not len(place) or (place[1:] >= place[:-1] + length[:-1]).all():
@@ -220,18 +224,18 @@ class Model:
         self.lengths = np.array([len(t) for t in texts], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.texts = np.frombuffer(b"".join(texts), np.uint8)
-        self.cache: dict[str, np.ndarray] = {}
-
-    def _symbols(self, text: str) -> list[int]:
-        """A symbol for each character; unknown ones are -1 less their code point."""
-        known = self.symbols
-        return [known.get(c, -1 - ord(c)) for c in text]
-
-    def _merge_all(self, slices: list[str]) -> list[list[int]]:
-        """The symbols of each slice after all merges: the best adjacent pair first, leftmost of equals."""
-        out: list[list[int]] = [[] for _ in slices]
-        ids = np.array([x for s in slices for x in self._symbols(s)], np.int64)
-        owner = np.repeat(np.arange(len(slices)), [len(s) for s in slices])
+        # a symbol for each code point; characters of no piece have -1 less their code point
+        self.symbol_of = -1 - np.arange(0x110000, dtype=np.int32)
+        single = [c for c in self.symbols if len(c) == 1]
+        self.symbol_of[[ord(c) for c in single]] = [self.symbols[c] for c in single]
+        extra = {i: ord(c) for c, i in self.symbols.items() if i >= self.n}
+        self.extra = np.zeros(max(extra, default=self.n) - self.n + 1, np.int64)
+        self.extra[[i - self.n for i in extra]] = list(extra.values())
+        self._forget()
+
+    def _merge_all(self, ids: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols and slices after all merges: of each slice the best adjacent pair first, leftmost of equals."""
+        done_ids, done_owner = [ids[:0]], [owner[:0]]
         while len(ids):
             rank, to = np.full(len(ids), self.none), np.zeros(len(ids), np.int64)
             same = np.flatnonzero((owner[:-1] == owner[1:]) & (ids[:-1] >= 0) & (ids[1:] >= 0))
@@ -242,19 +246,20 @@ class Model:
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             best = np.minimum.reduceat(rank * len(ids) + np.arange(len(ids)), starts)
             merging = best // len(ids) < self.none
-            sizes = np.diff(np.r_[starts, len(ids)])
-            for k in np.flatnonzero(~merging).tolist():
-                out[owner[starts[k]]] = ids[starts[k] : starts[k] + sizes[k]].tolist()
-            still = np.repeat(merging, sizes)
+            still = np.repeat(merging, np.diff(np.r_[starts, len(ids)]))
+            done_ids.append(ids[~still])
+            done_owner.append(owner[~still])
             first = best[merging] % len(ids)
             ids[first] = to[first]
             still[first + 1] = False
             ids, owner = ids[still], owner[still]
-        return out
+        ids, owner = np.concatenate(done_ids), np.concatenate(done_owner)
+        order = np.argsort(owner, kind="stable")
+        return ids[order], owner[order]
 
     def _merge_long(self, text: str) -> list[int]:
         """The same for one long slice, with a heap of pairs."""
-        ids = self._symbols(text)
+        ids = self.symbol_of[_points(text.encode())].tolist()
         n = len(ids)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap: list[tuple[int, int, int, int, int]] = []
@@ -280,44 +285,63 @@ class Model:
             offer(i, after[i])
         return [x for x in ids if x is not None]
 
-    def _as_ids(self, symbols: list[int]) -> np.ndarray:
-        """(id, bytes of normalised text it takes) of symbols; a character the model lacks is its bytes, taken by the last."""
-        found = []
-        for x in symbols:
-            if 0 <= x < self.n:
-                found.append((x, int(self.lengths[x])))
-            else:
-                raw = (chr(-1 - x) if x < 0 else self._character(x)).encode()
-                if raw == b" ":
-                    raw = _MARK_BYTES
-                size = 1 if raw == _MARK_BYTES else len(raw)
-                found += [(int(self.bytes[b]), size if k + 1 == len(raw) else 0) for k, b in enumerate(raw)]
-        return np.array(found, np.int32).reshape(-1, 2)
-
-    def _character(self, symbol: int) -> str:
-        if not hasattr(self, "_extra"):
-            self._extra = {i: c for c, i in self.symbols.items() if i >= self.n}
-        return self._extra[symbol]
-
-    def of(self, slices: list[bytes]) -> list[np.ndarray]:
-        found = [self.cache.get(s) for s in slices]
-        missing = [i for i, x in enumerate(found) if x is None]
-        if missing:
-            if len(self.cache) + len(missing) > CACHED_SLICES:
-                self.cache.clear()
-            texts = {i: slices[i].decode("utf-8", "each-unknown") for i in missing}
-            plain = []
-            for i in missing:
-                if len(texts[i]) >= HEAP_FROM:
-                    found[i] = self._as_ids(self._merge_long(texts[i]))
-                else:
-                    plain.append(i)
-            if plain:
-                for i, symbols in zip(plain, self._merge_all([texts[i] for i in plain]), strict=True):
-                    found[i] = self._as_ids(symbols)
-            if len(missing) <= CACHED_SLICES:
-                self.cache.update((slices[i], found[i]) for i in missing if len(slices[i]) < HEAP_FROM)
-        return found
+    def _as_ids(self, symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(id, bytes of normalised text it takes) of symbols, with their slices; a character the model lacks is its bytes,
+        taken by the last."""
+        lacks = (symbols < 0) | (symbols >= self.n)
+        if not lacks.any():
+            return np.stack([symbols, self.lengths[symbols]], axis=1), owner
+        point = np.where(symbols < 0, -1 - symbols, self.extra[np.maximum(symbols - self.n, 0) * lacks])[lacks]
+        blank = point == 0x20
+        raw = np.frombuffer(np.where(blank, ord(MARK), point).astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)
+        size = np.diff(np.r_[np.flatnonzero((raw & 0xC0) != 0x80), len(raw)])
+        counts = np.ones(len(symbols), np.int64)
+        counts[lacks] = size
+        out = np.zeros((int(counts.sum()), 2), np.int64)
+        begin = np.cumsum(counts) - counts
+        known = symbols[~lacks]
+        out[begin[~lacks], 0], out[begin[~lacks], 1] = known, self.lengths[known]
+        out[ranges(begin[lacks], size), 0] = self.bytes[raw]
+        out[begin[lacks] + size - 1, 1] = np.where(blank, 1, size)
+        return out, np.repeat(owner, counts)
+
+    def of(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids (with bytes taken) of distinct slices with sorted hashes: the pool they lie in, where each begins, how many."""
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        new = np.flatnonzero(self.known[at] != hashes)
+        if len(new):
+            if len(self.known) + len(new) > CACHED_SLICES:
+                self._forget()
+                new = np.arange(len(hashes))
+            self._learn(hashes[new], data, starts[new], ends[new])
+            at = np.searchsorted(self.known, hashes)
+        return self.pool, self.at[at], self.counts[at]
+
+    def _forget(self) -> None:
+        # a hash that no slice has: entries are compared for equality, and this one has no ids
+        self.known = np.array([np.iinfo(np.uint64).max], np.uint64)
+        self.at, self.counts = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.pool = np.zeros((0, 2), np.int32)
+
+    def _learn(self, hashes: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        sizes = ends - starts
+        short = np.flatnonzero(sizes < HEAP_FROM)
+        raw = data[ranges(starts[short], sizes[short])]
+        points = _points(raw.tobytes())
+        of_byte = np.repeat(short, sizes[short])
+        symbols, owner = self._merge_all(self.symbol_of[points].astype(np.int64), of_byte[(raw & 0xC0) != 0x80])
+        for i in np.flatnonzero(sizes >= HEAP_FROM).tolist():
+            merged = np.array(self._merge_long(data[starts[i] : ends[i]].tobytes().decode()), np.int64)
+            symbols, owner = np.r_[symbols, merged], np.r_[owner, np.full(len(merged), i)]
+        found, owner = self._as_ids(symbols, owner)
+        order = np.argsort(owner, kind="stable")
+        counts = np.bincount(owner, minlength=len(hashes))
+        begin = np.cumsum(counts) - counts + len(self.pool)
+        self.pool = np.concatenate([self.pool, found[order].astype(np.int32)])
+        known = np.concatenate([self.known, hashes])
+        order = np.argsort(known, kind="stable")
+        self.known = known[order]
+        self.at, self.counts = (np.concatenate(x)[order] for x in ((self.at, begin), (self.counts, counts)))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts, the begin and end of each in its own original text, and how many each text has."""
@@ -333,12 +357,9 @@ class Model:
             head |= blank & ~np.r_[False, blank[:-1]]
         starts = np.flatnonzero(head)
         ends = np.r_[starts[1:], len(text)]
-        _, one, which = np.unique(slice_hashes(text, starts, ends), return_index=True, return_inverse=True)
-        raw = text.tobytes()
-        found = self.of([raw[a:b] for a, b in zip(starts[one].tolist(), ends[one].tolist(), strict=True)])
-        counts = np.array([len(x) for x in found], np.int64)
-        flat = np.concatenate(found)
-        out = flat[ranges((np.cumsum(counts) - counts)[which], counts[which])]
+        distinct, one, which = np.unique(slice_hashes(text, starts, ends), return_index=True, return_inverse=True)
+        pool, at, counts = self.of(distinct, text, starts[one], ends[one])
+        out = pool[ranges(at[which], counts[which])]
         ids, taken = out[:, 0], out[:, 1].astype(np.int64)
         upto = np.cumsum(taken)
         n_ids = np.diff(np.r_[0, np.cumsum(counts[which])][np.searchsorted(starts, begin)])
@@ -347,6 +368,19 @@ class Model:
         last = np.where(taken > 0, made.high[np.maximum(upto - 1, 0)], first)
         return ids, (first - own).astype(np.int32), (last - own).astype(np.int32), n_ids
 
+    def decode_texts(self, ids: np.ndarray, upto: np.ndarray) -> list[str]:
+        """The texts of encoded ids (none of them a control), which end at ``upto``."""
+        length = self.lengths[ids]
+        raw = self.texts[ranges(self.starts[ids], length)]
+        begin = np.r_[0, np.cumsum(length)][upto]
+        some = np.flatnonzero(np.diff(upto) > 0)
+        head = ids[upto[some]]
+        low = begin[:-1].copy()
+        if self.prefixes or self.squeezes:
+            low[some] += self.is_word[head] & (self.texts[self.starts[head]] == 0x20)
+        text = raw.tobytes()
+        return [text[a:b].decode("utf-8", "each-unknown") for a, b in zip(low.tolist(), begin[1:].tolist(), strict=True)]
+
     def decode(self, ids: np.ndarray) -> str:
         ids = np.asarray(ids, np.int64)
         length = self.lengths[ids]
@@ -389,8 +423,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", with_decoded: boo
             columns = piece.columns[:at]
             columns += [pa.ListArray.from_arrays(upto, pa.array(x)) for x in (ids, begins, ends)]
             if with_decoded:
-                spans = zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)
-                columns.append(pa.array([model.decode(ids[a:b]) for a, b in spans], pa.string()))
+                columns.append(pa.array(model.decode_texts(ids, upto), pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in [*kept, *added]])
 
     return rows.mapInArrow(run, StructType([*kept, *added]))
