@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from .bytewise import pieces, ranges, slice_hashes, text_bytes
-from .stages import numbered, other_fields
+from .stages import numbered, other_fields, tidy
 
 PIECE = 1 << 20
-CACHED_SLICES = 150_000  # of a worker; the cache is emptied when full
+CACHED_SLICES = 60_000  # of a worker; the cache is emptied when full
 HEAP_FROM = 200  # bytes; longer slices are merged with a heap
 
 # classes of code points
@@ -337,7 +337,7 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", with_decoded: boo
                     columns.append(pa.array([ranks.decode(ids[a:b], begins[a:b]) for a, b in spans], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in [*kept, *added]])
 
-    return rows.mapInArrow(run, StructType([*kept, *added]))
+    return rows.mapInArrow(tidy(run), StructType([*kept, *added]))
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
@@ -355,5 +355,5 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
             columns = [*batch.columns, pa.array(out, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in kept] + ["decoded"])
 
-    return encoded.select(*numbered(kept)).mapInArrow(run, StructType([*kept, StructField("decoded", BinaryType())]))
+    return encoded.select(*numbered(kept)).mapInArrow(tidy(run), StructType([*kept, StructField("decoded", BinaryType())]))
 

@@ -27,7 +27,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .bytewise import pieces, text_bytes
 from .byte_bpe import LETTER, classes
-from .stages import numbered, other_fields
+from .stages import numbered, other_fields, tidy
 
 PROFILE = 400
 PIECE = 1 << 20
@@ -118,7 +118,7 @@ def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", si
                     yield from handed_on()
         yield from handed_on()
 
-    counts = rows.mapInArrow(run, "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    counts = rows.mapInArrow(tidy(run), "lang string, code bigint, n bigint").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     return counts.withColumn("place", place - 1).where(F.col("place") < size).select("lang", "code", "place")
 
@@ -177,7 +177,7 @@ def keep(docs: DataFrame, learned: DataFrame, text_col: str = "text", least_scor
                 stays = piece.filter(pa.array((best >= 0) & (score >= least_score)))
                 yield pa.RecordBatch.from_arrays(stays.columns[: len(fields)], names=[f.name for f in fields])
 
-    return rows.mapInArrow(run, StructType(fields))
+    return rows.mapInArrow(tidy(run), StructType(fields))
 
 
 def _with_text(docs: DataFrame, fields: list, text_col: str) -> tuple[DataFrame, int]:
@@ -203,7 +203,7 @@ def predict(docs: DataFrame, learned: DataFrame, text_col: str = "text", size: i
                 columns = piece.columns[: len(kept)] + [pa.array(names[best].tolist(), pa.string()), pa.array(score)]
                 yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in [*kept, *added]])
 
-    return rows.mapInArrow(run, StructType([*kept, *added]))
+    return rows.mapInArrow(tidy(run), StructType([*kept, *added]))
 
 
 def is_training(id_col: Column) -> Column:

@@ -3,13 +3,19 @@
 A SimHash of 64 bits within a radius that trees can search reaches few pairs of similarity 0.8: their median distance is
 far beyond it.  So each document has ``BANDS`` further fingerprints, each of the least shingle hashes under ``BAND_ROWS``
 functions; two documents of similarity s share at least one with probability 1 - (1 - s^5)^20, at 0.8 that is 0.9996.
-Candidates are confirmed from their texts: only pairs that share ``LEAST_SIMILAR`` of their distinct shingles are links.
-
-In a group of one band fingerprint each document meets the first ``HUBS`` of the group in an order by hash, so a large group
-makes a number of pairs in proportion to its size.  In groups of up to ``HUBS + 1`` these are all pairs.  In larger ones two
-documents that are alike, but not through others like them, meet only if one is among the first in a group they share.
-
-Defined results: as ``simhash``.  Texts of fewer words than a shingle are one shingle; wordless texts are alike.
+Candidates are confirmed by their sets of distinct shingles, made once for each document that is a candidate: only pairs
+that share ``LEAST_SIMILAR`` of them are links.
+
+Any two documents of a group with one band fingerprint are compared, unless they are known to be in one component.  That
+goes by rounds.  In a round some members, drawn by a hash of the id, are hubs and meet all members of other components.
+Then links contract components, and members that have been hubs have met everyone, so they are done.  Of the groups that
+still hold two components, a round takes ``MORE`` times as many hubs as the one before, until all members have been hubs.
+A group of copies is one component after a round or two, so its pairs are in proportion to its size, and no pair is left
+out.  What remains in proportion to the square of a group are pairs that share a fingerprint and still are no links.
+
+Defined results: texts of fewer words than a shingle are one shingle; null and wordless texts are alike.  Rows that
+repeat an id are one document, linked to what any of them is linked to; rows without an id stay.  Columns of any name pass
+through.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,17 +24,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
 from .bytewise import lower_ascii, mix, pieces, ranges, slice_hashes, text_bytes, window_hashes, word_spans
-from .stages import stage
+from .stages import stage, tidy
 
 WORDS = 5
 LEAST_SIMILAR = 0.8
 BANDS, BAND_ROWS = 20, 5
-HUBS = 8
+HUBS, MORE = 3, 8  # expected hubs of a group in the first round, and how many times more in the next
 _BASE = 0xD6E8FEB86659FD93
 _FUNCTIONS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -65,15 +71,11 @@ def band_fingerprints(texts: pa.Array, words: int = WORDS) -> np.ndarray:
     return out.view(np.int64)
 
 
-def similarities(left: pa.Array, right: pa.Array, words: int = WORDS) -> np.ndarray:
-    """Jaccard similarity of the distinct shingles of each text and the one beside it."""
-    rows, found = len(left), []
-    for texts in (left, right):
-        hashes, begin = shingles(texts, words)
-        found.append(_distinct(np.repeat(np.arange(rows), np.diff(begin)), hashes))
-    owner, hashes = (np.concatenate(x) for x in zip(*found, strict=True))
-    union = np.bincount(_distinct(owner, hashes)[0], minlength=rows)
-    return (np.bincount(owner, minlength=rows) - union) / union
+def shared(left: np.ndarray, right: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets."""
+    both = np.sort(np.concatenate([left, right]), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return common / (len(both) - common)
 
 
 def _distinct(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -89,8 +91,8 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.where("id IS NOT NULL")
 
 
-def candidates(texts: DataFrame, words: int = WORDS) -> DataFrame:
-    """a, b: distinct pairs (a > b) that share a band fingerprint."""
+def band_members(texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """key, id, draw (0 to 1, by the id), n: the members of each group of n > 1 documents with one band fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in (p for batch in batches for p in pieces(batch, "_text")):
@@ -98,30 +100,60 @@ def candidates(texts: DataFrame, words: int = WORDS) -> DataFrame:
             keys = pa.ListArray.from_arrays(np.arange(0, found.size + 1, BANDS, dtype=np.int32), found.reshape(-1))
             yield pa.RecordBatch.from_arrays([piece.column("id"), keys], names=["id", "keys"])
 
-    rows = stage(texts.mapInArrow(run, "id bigint, keys array<bigint>"), "bands")
+    rows = stage(texts.mapInArrow(tidy(run), "id bigint, keys array<bigint>").distinct(), "bands")
     members = rows.select("id", F.explode("keys").alias("key"))
-    drawn = F.dense_rank().over(Window.partitionBy("key").orderBy(F.xxhash64("id"), "id"))
-    hubs = members.withColumn("_rank", drawn).where(F.col("_rank") <= HUBS)
-    hubs = stage(hubs.select("key", F.col("id").alias("hub")).distinct(), "hubs")
-    shared = hubs.groupBy("key").count().where("count > 1").select("key")
-    hubs = stage(hubs.join(shared, "key"), "hubs")
-    pairs = members.join(hubs, "key").where("id <> hub")
-    return pairs.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
+    groups = stage(members.groupBy("key").agg(F.count("id").alias("n")).where("n > 1"), "groups")
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return members.join(groups, "key").select("key", "id", draw.alias("draw"), "n")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int = WORDS, least: float = LEAST_SIMILAR) -> DataFrame:
-    """The pairs whose texts have ``least`` of their shingles in common."""
+def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """id, set: the sorted distinct hashes of each text's shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in (p for batch in batches for p in pieces(batch, "_left")):
-            alike = pa.array(similarities(piece.column("_left"), piece.column("_right"), words) >= least)
-            yield piece.select(["a", "b"]).filter(alike)
+        for piece in (p for batch in batches for p in pieces(batch, "_text")):
+            hashes, begin = shingles(piece.column("_text"), words)
+            owner, hashes = _distinct(np.repeat(np.arange(piece.num_rows), np.diff(begin)), hashes)
+            ends = np.searchsorted(owner, np.arange(piece.num_rows + 1)) * 8
+            sets = pa.Array.from_buffers(pa.binary(), piece.num_rows, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(hashes)])
+            yield pa.RecordBatch.from_arrays([piece.column("id"), sets], names=["id", "set"])
+
+    return texts.mapInArrow(tidy(run), "id bigint, set binary")
 
-    met = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    known = stage(texts.join(met, "id", "left_semi"), "candidates")
-    sides = pairs.join(known.select(F.col("id").alias("a"), F.col("_text").alias("_left")), "a")
-    sides = sides.join(known.select(F.col("id").alias("b"), F.col("_text").alias("_right")), "b")
-    return sides.select("a", "b", "_left", "_right").mapInArrow(run, "a bigint, b bigint")
+
+def confirmed(pairs: DataFrame, sets: DataFrame, least: float = LEAST_SIMILAR) -> DataFrame:
+    """The pairs of ids (a, b) whose sets have ``least`` in common."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = batch.column("_left"), batch.column("_right")
+            alike = [
+                shared(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) >= least
+                for x, y in zip(left, right, strict=True)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
+
+    sides = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("_left")), "a")
+    sides = sides.join(sets.select(F.col("id").alias("b"), F.col("set").alias("_right")), "b")
+    # a set is 8 bytes a shingle; sizes that differ by more can't be alike
+    n, m = F.octet_length("_left"), F.octet_length("_right")
+    sides = sides.where(F.least(n, m) >= least * F.greatest(n, m))
+    return sides.select("a", "b", "_left", "_right").mapInArrow(tidy(run), "a bigint, b bigint")
+
+
+def _pairs(members: DataFrame, known: DataFrame | None, before: float, upto: float) -> DataFrame:
+    """a, b: pairs of different components between hubs of this round and members that haven't been hubs before."""
+    active = members.where(F.col("draw") * F.col("n") >= before)
+    if known is None:
+        active = active.withColumn("component", F.col("id"))
+    else:
+        active = active.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        ends = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        active = active.join(ends.where("low <> high").select("key"), "key")
+    active = stage(active, "active")
+    hubs = active.where(F.col("draw") * F.col("n") < upto).select("key", F.col("id").alias("hub"), F.col("component").alias("other"))
+    met = active.join(hubs, "key").where("component <> other")
+    return met.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
 
 
 def simhash_candidates(docs: DataFrame, id_col: str, text_col: str, words: int, radius: int) -> DataFrame:
@@ -132,14 +164,37 @@ def simhash_candidates(docs: DataFrame, id_col: str, text_col: str, words: int,
     return equal.unionByName(simhash.links(nodes, radius)).where("a <> b")
 
 
+def candidates(texts: DataFrame, words: int = WORDS) -> DataFrame:
+    """a, b: the pairs (a > b) of the first round among texts (id, _text)."""
+    return _pairs(stage(band_members(texts, words), "members"), None, 0, HUBS)
+
+
 def keep(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     words: int = WORDS, least: float = LEAST_SIMILAR, radius: int = simhash.RADIUS,
 ) -> DataFrame:
     """One document of each component of near copies, that with the smallest id, with all columns; rows without an id stay."""
     texts = _texts(docs, id_col, text_col)
-    both = candidates(texts, words).unionByName(simhash_candidates(docs, id_col, text_col, words, radius))
-    pairs = stage(both.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "pairs")
-    found = simhash.components(stage(confirmed(pairs, texts, words, least), "confirmed"))
+    members = stage(band_members(texts, words), "members")
+    alike = simhash_candidates(docs, id_col, text_col, words, radius)
+    alike = stage(alike.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "alike")
+    met = members.select("id").unionByName(alike.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
+    rows = texts.join(met, "id", "left_semi")
+    sets = shingle_sets(rows, words)
+    several = stage(rows.groupBy("id").count().where("count > 1").select("id"), "several")
+    if not several.isEmpty():
+        sets = sets.join(several, "id", "left_anti").unionByName(sets.join(several, "id").distinct())
+    sets = stage(sets, "sets")
+    most = members.agg(F.max("n")).first()[0] or 0
+    links = stage(confirmed(alike.unionByName(_pairs(members, None, 0, HUBS)).distinct(), sets, least), "links")
+    found, before = simhash.components(links), HUBS
+    while before < most:
+        pairs = stage(_pairs(members, found.select(F.col("node").alias("id"), "component"), before, before * MORE), "pairs")
+        before *= MORE
+        if pairs.isEmpty():
+            continue
+        more = stage(confirmed(pairs, sets, least), "links")
+        links = links.unionByName(more)
+        found = simhash.components(links)
     gone = stage(found.where("component <> node").select(F.col("node").alias("_gone")).distinct(), "gone")
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

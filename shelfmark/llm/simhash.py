@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .bytewise import lower_ascii, pieces, text_bytes, word_spans
-from .stages import shuffle_partitions, stage
+from .stages import shuffle_partitions, stage, tidy
 
 WORDS = 4
 RADIUS = 4
@@ -86,7 +86,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 yield pa.RecordBatch.from_arrays([piece.column("id"), pa.array(found)], names=["id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(run, StructType([StructField("id", LongType()), StructField("fp", LongType())]))
+    return rows.mapInArrow(tidy(run), StructType([StructField("id", LongType()), StructField("fp", LongType())]))
 
 
 class Forest:
