@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .bytewise import lower_ascii, mix, pieces, slice_hashes, text_bytes
 from .chunked import pack, pack_sorted, starts_of, unpack, unpack_sorted
-from .stages import shuffle_partitions, stage
+from .stages import shuffle_partitions, stage, tidy
 
 RUN_WORDS = 1 << 19
 PER_RANGE = 1 << 19  # counts merged by one range at a time
@@ -154,7 +154,7 @@ def count_runs(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
     )
-    return rows.mapInArrow(run, RUN)
+    return rows.mapInArrow(tidy(run), RUN)
 
 
 class _Stream:
@@ -256,7 +256,7 @@ def frequent(runs: DataFrame, most: int = MOST_WORDS, least: int = LEAST) -> Dat
     """lang, w1, w2, ... (null beyond the phrase), f: all n-grams that occur ``least`` times or more, counted exactly."""
     entries = runs.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     n_ranges = max(shuffle_partitions(runs.sparkSession), -(-entries // PER_RANGE))
-    sent = runs.mapInArrow(_to_ranges(n_ranges), "part bigint, run string, keys binary, counts binary")
+    sent = runs.mapInArrow(tidy(_to_ranges(n_ranges)), "part bigint, run string, keys binary, counts binary")
     answers = sent.groupBy("part").applyInArrow(_frequent_of(least), ANSWER)
     words = [f"w{k}" for k in range(1, most + 1)]
     found = runs.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(

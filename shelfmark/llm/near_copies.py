@@ -7,11 +7,13 @@ Candidates are confirmed by their sets of distinct shingles, made once for each
 that share ``LEAST_SIMILAR`` of them are links.
 
 Any two documents of a group with one band fingerprint are compared, unless they are known to be in one component.  That
-goes by rounds.  In a round some members, drawn by a hash of the id, are hubs and meet all members of other components.
+goes by rounds.  First every document meets one member of each of its groups of a few bands, drawn anew for each group:
+a few pairs a document, after which a group of copies is one component, or nearly so.  Next, the documents of groups still open
+are told how many of their shingles some other of them has.  The rest bounds the similarity of any pair from above, so most
+pairs that only share a template, and documents of which too little is shared, are left out unseen.  Then, in a round some members, drawn by a hash of the id, are hubs and meet all members of other components.
 Then links contract components, and members that have been hubs have met everyone, so they are done.  Of the groups that
 still hold two components, a round takes ``MORE`` times as many hubs as the one before, until all members have been hubs.
-A group of copies is one component after a round or two, so its pairs are in proportion to its size, and no pair is left
-out.  What remains in proportion to the square of a group are pairs that share a fingerprint and still are no links.
+So the pairs of a group of copies are in proportion to its size, and no pair is left out.  What remains in proportion to the square of a group are pairs that share a fingerprint and still are no links.
 
 Defined results: texts of fewer words than a shingle are one shingle; null and wordless texts are alike.  Rows that
 repeat an id are one document, linked to what any of them is linked to; rows without an id stay.  Columns of any name pass
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import simhash
@@ -34,7 +36,9 @@ from .stages import stage, tidy
 WORDS = 5
 LEAST_SIMILAR = 0.8
 BANDS, BAND_ROWS = 20, 5
-HUBS, MORE = 3, 8  # expected hubs of a group in the first round, and how many times more in the next
+HUBS, MORE = 1, 8  # expected hubs of a group in the first round, and how many times more in the next
+PRUNINGS = 2  # each may leave further documents without a partner
+FIRST_BANDS = ((0, 4), (4, 8))  # bands of the rounds before, each with one hub a group
 _BASE = 0xD6E8FEB86659FD93
 _FUNCTIONS = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 
@@ -92,7 +96,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def band_members(texts: DataFrame, words: int = WORDS) -> DataFrame:
-    """key, id, draw (0 to 1, by the id), n: the members of each group of n > 1 documents with one band fingerprint."""
+    """band, key, id, draw (0 to 1, by the id), n: the members of each group of n > 1 documents with one band fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in (p for batch in batches for p in pieces(batch, "_text")):
@@ -101,10 +105,10 @@ def band_members(texts: DataFrame, words: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([piece.column("id"), keys], names=["id", "keys"])
 
     rows = stage(texts.mapInArrow(tidy(run), "id bigint, keys array<bigint>").distinct(), "bands")
-    members = rows.select("id", F.explode("keys").alias("key"))
+    members = rows.select("id", F.posexplode("keys").alias("band", "key"))
     groups = stage(members.groupBy("key").agg(F.count("id").alias("n")).where("n > 1"), "groups")
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return members.join(groups, "key").select("key", "id", draw.alias("draw"), "n")
+    return members.join(groups, "key").select("band", "key", "id", draw.alias("draw"), "n")
 
 
 def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
@@ -141,21 +145,65 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: float = LEAST_SIMILAR) -
     return sides.select("a", "b", "_left", "_right").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
-def _pairs(members: DataFrame, known: DataFrame | None, before: float, upto: float) -> DataFrame:
-    """a, b: pairs of different components between hubs of this round and members that haven't been hubs before."""
-    active = members.where(F.col("draw") * F.col("n") >= before)
-    if known is None:
-        active = active.withColumn("component", F.col("id"))
-    else:
-        active = active.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        ends = active.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        active = active.join(ends.where("low <> high").select("key"), "key")
-    active = stage(active, "active")
-    hubs = active.where(F.col("draw") * F.col("n") < upto).select("key", F.col("id").alias("hub"), F.col("component").alias("other"))
-    met = active.join(hubs, "key").where("component <> other")
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with their component, of groups that hold two components or more."""
+    known = found.select(F.col("node").alias("id"), "component")
+    members = members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    ends = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return stage(members.join(ends.where("low <> high").select("key"), "key"), "open")
+
+
+def _meet(members: DataFrame, hubs: DataFrame, possible: Column | None = None) -> DataFrame:
+    """a, b: pairs (a > b) of members and hubs (key, hub, other) of other components."""
+    condition = (members["key"] == hubs["at"]) & (F.col("component") != F.col("other"))
+    met = members.join(hubs, condition if possible is None else condition & possible)
     return met.select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct()
 
 
+def first_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs of every member of a group with one of them."""
+    members = _open(members, found)
+    drawn = F.min(F.struct(F.xxhash64("id", "key").alias("by"), F.col("id").alias("hub"), F.col("component").alias("other")))
+    hubs = members.groupBy("key").agg(drawn.alias("drawn"))
+    return _meet(members, hubs.select(F.col("key").alias("at"), "drawn.hub", "drawn.other"))
+
+
+def round_pairs(members: DataFrame, found: DataFrame, before: float, upto: float, least: float) -> DataFrame:
+    """Pairs between the hubs of this round and all members that haven't been hubs in a round before.
+
+    Shingles that only one document has are in the union of any pair, never in what it shares: some pairs can't reach ``least``.
+    """
+    members = _open(members.where(F.col("draw") * F.col("n") >= before), found)
+    hubs = members.where(F.col("draw") * F.col("n") < upto).select(
+        F.col("key").alias("at"), F.col("id").alias("hub"), F.col("component").alias("other"),
+        F.col("size").alias("hub_size"), F.col("common").alias("hub_common"),
+    )
+    both = F.least("common", "hub_common")
+    known = F.col("common").isNotNull() & F.col("hub_common").isNotNull()
+    return _meet(members, hubs, ~known | (both >= (F.col("size") + F.col("hub_size") - both) * least))
+
+
+def common_shingles(sets: DataFrame) -> DataFrame:
+    """id, size, common: how many shingles a document has, and how many of them some other of ``sets`` has, too.
+
+    Only documents of one row are told.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, found = batch.column("id").to_numpy(), batch.column("set")
+            data, offsets = text_bytes(found)
+            hashes, counts = np.frombuffer(data.tobytes(), np.int64), np.diff(offsets) // 8
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, counts)), pa.array(hashes)], names=["id", "hash"])
+
+    spread = sets.select("id", "set").mapInArrow(tidy(run), "id bigint, hash bigint")
+    owned = spread.groupBy("hash").agg(F.min("id").alias("id"), F.max("id").alias("last")).where("id = last")
+    owned = owned.groupBy("id").agg(F.count("hash").alias("own"))
+    sizes = sets.groupBy("id").agg(F.count("set").alias("rows"), F.min(F.octet_length("set") / 8).alias("size"))
+    sizes = sizes.join(owned, "id", "left").where("rows = 1")
+    return sizes.select("id", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("common"))
+
+
 def simhash_candidates(docs: DataFrame, id_col: str, text_col: str, words: int, radius: int) -> DataFrame:
     """a, b: pairs with equal fingerprints (with the smallest id) or within ``radius`` of each other."""
     rows = stage(simhash.fingerprints(docs, id_col, text_col, words).where("id IS NOT NULL"), "fingerprints")
@@ -166,7 +214,8 @@ def simhash_candidates(docs: DataFrame, id_col: str, text_col: str, words: int,
 
 def candidates(texts: DataFrame, words: int = WORDS) -> DataFrame:
     """a, b: the pairs (a > b) of the first round among texts (id, _text)."""
-    return _pairs(stage(band_members(texts, words), "members"), None, 0, HUBS)
+    none = texts.sparkSession.createDataFrame([], "node bigint, component bigint")
+    return first_pairs(stage(band_members(texts, words), "members").where(F.col("band") < FIRST_BANDS[0][1]), none)
 
 
 def keep(
@@ -185,16 +234,27 @@ def keep(
     if not several.isEmpty():
         sets = sets.join(several, "id", "left_anti").unionByName(sets.join(several, "id").distinct())
     sets = stage(sets, "sets")
+    links = stage(confirmed(alike, sets, least), "links")
+    found = simhash.components(links)
+
+    def contract(pairs: DataFrame) -> None:
+        nonlocal links, found
+        pairs = stage(pairs, "pairs")
+        if not pairs.isEmpty():
+            links = links.unionByName(stage(confirmed(pairs, sets, least), "links"))
+            found = simhash.components(links)
+
+    for low, high in FIRST_BANDS:
+        contract(first_pairs(members.where(F.col("band").between(low, high - 1)), found))
+    for _ in range(PRUNINGS):  # of the groups that are still open
+        left = _open(members, found).drop("component", "size", "common")
+        rest = sets.join(left.select("id").distinct(), "id", "left_semi")
+        members = left.join(stage(common_shingles(rest), "common"), "id", "left")
+        members = stage(members.where(F.coalesce(F.col("common") >= F.col("size") * least, F.lit(True))), "members")
     most = members.agg(F.max("n")).first()[0] or 0
-    links = stage(confirmed(alike.unionByName(_pairs(members, None, 0, HUBS)).distinct(), sets, least), "links")
-    found, before = simhash.components(links), HUBS
+    before, upto = 0, HUBS
     while before < most:
-        pairs = stage(_pairs(members, found.select(F.col("node").alias("id"), "component"), before, before * MORE), "pairs")
-        before *= MORE
-        if pairs.isEmpty():
-            continue
-        more = stage(confirmed(pairs, sets, least), "links")
-        links = links.unionByName(more)
-        found = simhash.components(links)
+        contract(round_pairs(members, found, before, upto, least))
+        before, upto = upto, upto * MORE
     gone = stage(found.where("component <> node").select(F.col("node").alias("_gone")).distinct(), "gone")
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
