@@ -38,6 +38,7 @@ from .chunked import pack, pack_sorted, starts_of, unpack, unpack_sorted
 from .stages import shuffle_partitions, stage, tidy
 
 RUN_WORDS = 1 << 19
+RUNS_A_FILE = 4  # readers hold a row group whole, which is a file here
 PER_RANGE = 1 << 19  # counts merged by one range at a time
 MOST_WORDS = 3
 LEAST = 10
@@ -117,8 +118,11 @@ class _Run:
             counts.append(count.astype(np.uint32))
             if order < self.most:
                 before = np.searchsorted(distinct, keys)
+        spelled = [words[i].encode() for i in first]
+        names = sorted(set(langs))
         return {
-            "run": uuid.uuid4().hex, "n": len(number), "words": [words[i] for i in first], "langs": [langs[i] for i in first],
+            "run": uuid.uuid4().hex, "words": b"".join(spelled), "ends": pack_sorted(np.cumsum([len(w) for w in spelled], dtype=np.int64)),
+            "codes": pack(np.array([names.index(langs[i]) for i in first], np.uint32)), "names": names,
             "grams": [pack_sorted(g) for g in grams], "counts": [pack(c) for c in counts], "sizes": [len(g) for g in grams],
         }
 
@@ -130,9 +134,10 @@ def _salted(hashes: np.ndarray, langs: pa.Array, code: np.ndarray) -> np.ndarray
     return mix(hashes ^ salt[code]) if len(hashes) else hashes
 
 
-RUN = "run string, n bigint, words array<string>, langs array<string>, grams array<binary>, counts array<binary>, sizes array<bigint>"
+# words lie one after the other in one cell: cells of many thousand elements are costly to read back
+RUN = "run string, words binary, ends binary, codes binary, names array<string>, grams array<binary>, counts array<binary>, sizes array<bigint>"
 _RUN = pa.schema([
-    ("run", pa.string()), ("n", pa.int64()), ("words", pa.list_(pa.string())), ("langs", pa.list_(pa.string())),
+    ("run", pa.string()), ("words", pa.binary()), ("ends", pa.binary()), ("codes", pa.binary()), ("names", pa.list_(pa.string())),
     ("grams", pa.list_(pa.binary())), ("counts", pa.list_(pa.binary())), ("sizes", pa.list_(pa.int64())),
 ])
 
@@ -161,11 +166,13 @@ class _Stream:
     """A run read back: for each order the n-grams as columns of word numbers, their counts and keys."""
 
     def __init__(self, row: dict):
-        self.words = pa.array(row["words"], pa.string())
-        self.langs = pa.array(row["langs"], pa.string()).dictionary_encode()
-        data, offsets = text_bytes(self.words)
-        hashes = slice_hashes(data, offsets[:-1], offsets[1:])
-        hashes = _salted(hashes, self.langs.dictionary, self.langs.indices.to_numpy())
+        offsets = np.r_[0, unpack_sorted(row["ends"], np.int64)]
+        self.words = pa.Array.from_buffers(
+            pa.large_string(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(row["words"])]
+        )
+        self.names, self.codes = pa.array(row["names"], pa.string()), unpack(row["codes"], np.uint32).astype(np.int64)
+        data = np.frombuffer(row["words"], np.uint8)
+        hashes = _salted(slice_hashes(data, offsets[:-1], offsets[1:]), self.names, self.codes)
         self.orders = []
         above = None
         for order, (grams, counts) in enumerate(zip(row["grams"], row["counts"], strict=True), 1):
@@ -240,13 +247,12 @@ def _spelled(most: int):
             return schema.empty_table()
         known = np.sort(np.concatenate([unpack_sorted(x, np.uint64) for x in answers.column("keys").to_pylist()]))
         stream = _Stream(runs.to_pylist()[0])
-        langs = stream.langs.dictionary_decode()
         parts = []
         for columns, counts, keys in stream.orders:
             some = _among(keys, known)
-            words = [stream.words.take(pa.array(c[some])) for c in columns]
+            words = [stream.words.take(pa.array(c[some])).cast(pa.string()) for c in columns]
             words += [pa.nulls(int(some.sum()), pa.string())] * (most - len(columns))
-            parts.append(pa.table([langs.take(pa.array(columns[0][some])), *words, pa.array(counts[some])], schema=schema))
+            parts.append(pa.table([stream.names.take(pa.array(stream.codes[columns[0][some]])), *words, pa.array(counts[some])], schema=schema))
         return pa.concat_tables(parts)
 
     return run
@@ -326,7 +332,7 @@ def mine(
     most: int = MOST_WORDS, least: int = LEAST, share: tuple[int, int] = (1, 2), first: int = 2000,
 ) -> DataFrame:
     """lang, rank (from 1), phrase, a, l, r, n, score: the ``first`` phrases of each language by score, count and phrase."""
-    runs = stage(count_runs(docs, text_col, lang_col, most), "count-runs")
+    runs = stage(count_runs(docs, text_col, lang_col, most), "count-runs", maxRecordsPerFile=RUNS_A_FILE)
     counts = stage(frequent(runs, most, least), "counts")
     found = candidates(counts, most, share)
     order = [F.desc("score"), F.desc("a"), F.col("phrase")]
@@ -345,9 +351,9 @@ def occurrences(runs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.select(["langs", "counts"]).to_pylist():
-                langs = pa.array(row["langs"], pa.string()).dictionary_encode()
-                n = np.bincount(langs.indices.to_numpy(), weights=unpack(row["counts"][0], np.uint32)).astype(np.int64)
-                yield pa.RecordBatch.from_pydict({"lang": langs.dictionary, "n": pa.array(n)})
+            for row in batch.to_pylist():
+                codes, counts = unpack(row["codes"], np.uint32), unpack(row["counts"], np.uint32)
+                n = np.bincount(codes, weights=counts, minlength=len(row["names"])).astype(np.int64)
+                yield pa.RecordBatch.from_pydict({"lang": pa.array(row["names"], pa.string()), "n": pa.array(n)})
 
-    return runs.select("langs", "counts").mapInArrow(run, "lang string, n bigint").groupBy("lang").agg(F.sum("n").alias("n"))
+    return runs.select("codes", "names", F.col("counts")[0].alias("counts")).mapInArrow(run, "lang string, n bigint").groupBy("lang").agg(F.sum("n").alias("n"))

@@ -18,14 +18,14 @@ _made: list[str] = []
 WHITE = " \t\n\x0b\x0c\r"
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
+def stage(df: DataFrame, purpose: str, **options) -> DataFrame:
     """``df`` as a table below ``spark.checkpoint.dir``; a lost executor costs no recomputation of what lies before.
 
-    Spark's own committer writes it, so retried tasks leave no doubles.
+    Spark's own committer writes it, so retried tasks leave no doubles.  ``options``: of the writer.
     """
     path = shared_folder(df.sparkSession, f"llm-{purpose}")
     _made.append(path)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
