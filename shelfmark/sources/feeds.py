@@ -1,8 +1,8 @@
 """Landed feed files to typed rows.
 
 A feed lands either as envelope documents (``{"results": [...]}``, one file per group) or as JSON
-lines of the same records.  Envelopes are read one file per task; land large groups as lines, which
-Spark splits.  ``position`` is the place of a record in its file, the only order a feed has.
+lines of the same records.  In the ``envelope`` layout a file is read by one task; ``split`` reads large
+envelopes by many (``envelopes``).  ``position`` is the place of a record in its file, the only order a feed has.
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from . import envelopes
 from ..functions.elements import source_elements
 from ..schemas import GROUP_RESULT, PRICE_RESULT, PRODUCT_RESULT, SOURCE_CARD
 
 CORRUPT = "_corrupt_record"
-ENVELOPE, LINES = "envelope", "lines"
+ENVELOPE, LINES, SPLIT = "envelope", "lines", "split"
 
 
 def envelope_schema(record: StructType, field: str = "results") -> StructType:
@@ -27,6 +28,8 @@ def lines_schema(record: StructType) -> StructType:
 
 def read_feed(spark: SparkSession, path: str, record: StructType, field: str = "results", layout: str = ENVELOPE) -> DataFrame:
     """Records of a feed as ``r``, with ``position``, ``source_file`` and ``corrupt`` (unreadable text)."""
+    if layout == SPLIT:
+        return envelopes.read(spark, path, record, field)
     if layout == LINES:
         raw = spark.read.schema(lines_schema(record)).json(path)
     else:
