@@ -2,10 +2,10 @@
 
 All operators reduce the right side to one row per look-up key before the join, so the join never
 multiplies rows: the left side fans out to its own keys and nothing else, whatever share of either
-source one code holds.  A code that many left rows share is spread over ``SALTS`` tasks: the left row's
-id tells its salt, and the one index row of a key is repeated for each.  As the join is then on more than the
-index is grouped by, both sides have an exchange right below it, and the adaptive skew join splits what is
-still too large.  The closing aggregate reduces before its shuffle.
+source one code holds.  Codes that hold more than ``HOT_SHARE`` of the probes are named by a sketch of bounded size
+first; only they are spread over ``SALTS`` tasks, and only their index rows are repeated.  As the join is then on more
+than the index is grouped by, both sides have an exchange right below it, and the adaptive skew join splits what is still
+too large.  The closing aggregate reduces before its shuffle.
 """
 
 from __future__ import annotations
@@ -18,12 +18,26 @@ from ..functions.arrays import fan_out, normalise_set_name
 
 ANY, NO_SET, SET = "any", "no_set", "set"
 SALTS = 8
+HOT_SHARE = 1 / 256
+
+
+def hot_codes(probes: DataFrame, code: str, share: float = HOT_SHARE) -> list[str]:
+    """The codes with more than ``share`` of all probes, and perhaps some that nearly have it.
+
+    A frequent-items sketch: its size, and that of the list, depend on ``share`` alone; it never misses one.
+    """
+    found = probes.agg(F.count(code).alias("n"), F.expr(f"approx_top_k({code}, {int(1 / share)}, {int(16 / share)})").alias("top")).first()
+    return sorted(x["item"] for x in found.top if x["count"] > found.n * share) if found.n else []
 
 
 def _look_up(probes: DataFrame, index: DataFrame, left_id: str, keys: list[str]) -> DataFrame:
-    """Join on unique index keys, hot ones spread over ``SALTS`` tasks."""
-    salted = probes.withColumn("_salt", F.pmod(F.xxhash64(left_id), F.lit(SALTS)).cast("int"))
-    repeated = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    """Join on unique index keys, hot codes spread over ``SALTS`` tasks."""
+    hot = hot_codes(probes, keys[0])
+    is_hot = F.col(keys[0]).isin(hot) if hot else F.lit(False)
+    own = F.pmod(F.xxhash64(left_id), F.lit(SALTS)).cast("int")
+    salted = probes.withColumn("_salt", F.when(is_hot, own).otherwise(0))
+    salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = index.withColumn("_salt", F.explode(salts)) if hot else index.withColumn("_salt", F.lit(0))
     return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
 
 

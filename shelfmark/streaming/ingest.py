@@ -50,12 +50,16 @@ def upsert_stream(
     Every micro-batch keeps the last row per key, fingerprints it and reconciles it into the touched
     buckets.  Within a key a row only replaces one that is not later than itself, so neither the
     order of the batches nor the repetition of one after a failure changes the result.  Rows that
-    fail ``accept`` (and unreadable documents) go to the ``rejects`` table, under the stream's checkpoint and batch
+    fail ``accept`` go to the ``rejects`` table, unreadable feed documents always (beside the target if no table is named), under the stream's checkpoint and batch
     number, and the batch goes on.  The version of a batch follows the highest one in the target, so it grows on when
     a stream begins anew; rows of a repeated batch are unchanged and keep theirs.
     """
     if accept is not None and rejects is None:
         raise ValueError("rows that are not accepted need a rejects table")
+    if {"r", "corrupt", "source_file"} <= set(rows.columns):  # feed documents: what can't be read is never folded in
+        readable = F.col("r").isNotNull()
+        accept = readable if accept is None else readable & accept
+        rejects = rejects or f"{target}-rejects"
     origin = hashlib.md5(checkpoint.encode(), usedforsecurity=False).hexdigest()[:12]
 
     def fold(batch: DataFrame, batch_id: int) -> None:

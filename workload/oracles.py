@@ -1007,4 +1007,20 @@ def queries() -> dict[str, str]:
     q["stream_upsert"] = (
         f"SELECT CAST(user_id AS VARCHAR) || '/' || strftime(ts, '%Y-%m-%d') AS snapshot_key, user_id, event_id, event_type FROM ({SNAPSHOT}) WHERE rn = 1"
     )
+    q["envelope_feed"] = q["price_feed"]
+    q["envelope_checks"] = (
+        f"WITH {PRICE_CTES}, e AS (SELECT product_id // 256 AS envelope, count(*) AS n FROM p GROUP BY 1) "
+        "SELECT CAST(envelope AS BIGINT) AS envelope, CASE WHEN envelope % 4 IN (0, 3) THEN n ELSE 0 END AS n_records, "
+        "CAST(CASE WHEN envelope % 4 > 1 THEN 1 ELSE 0 END AS BIGINT) AS n_unreadable, "
+        "CASE envelope % 4 WHEN 0 THEN n WHEN 3 THEN n + 1 ELSE 0 END AS n_elements FROM e"
+    )
+    q["image_objects"] = (
+        "SELECT page_id, CAST(CASE WHEN page_id % 3 < 2 THEN 4 ELSE 0 END + octet_length(encode(coalesce(html, ''))) AS BIGINT) AS n_bytes, "
+        "CASE page_id % 3 WHEN 0 THEN 'jpeg' WHEN 1 THEN 'png' END AS kind FROM pages"
+    )
+    q["emptied_table"] = "SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'P'"
+    q["stream_quarantine"] = (
+        f"WITH {PRICE_CTES} SELECT DISTINCT 'taken' AS outcome, CAST(product_id AS BIGINT) AS id, sub AS sub_type_name FROM p WHERE product_id // 256 % 3 <> 2 "
+        "UNION ALL SELECT DISTINCT 'set aside', CAST(product_id // 256 AS BIGINT), NULL FROM p WHERE product_id // 256 % 3 = 2"
+    )
     return q

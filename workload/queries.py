@@ -15,7 +15,7 @@ from shelfmark.operators import (
     changes, enrich, facets, history, keys, match, merge, pivot, quality, repair, runs, search, select,
 )
 from shelfmark.plans import catalogue as plan
-from shelfmark.sources import feeds, tables
+from shelfmark.sources import feeds, images, tables
 from shelfmark.streaming import ingest
 
 from . import derive
@@ -1297,3 +1297,97 @@ def stream_upsert(spark, sf):
     )
     q.awaitTermination()
     return spark.read.parquet(f"{folder}/target").select("snapshot_key", "user_id", "event_id", "event_type")
+
+
+def _price_records(spark, sf):
+    return _price_rows(spark, sf).select(
+        F.floor(F.col("product_id") / 256).alias("envelope"),
+        F.struct(
+            F.col("product_id").alias("productId"), F.col("low").alias("lowPrice"), F.col("mid").alias("midPrice"),
+            F.col("high").alias("highPrice"), F.col("market").alias("marketPrice"),
+            F.col("direct_low").alias("directLowPrice"), F.col("sub_type_name").alias("subTypeName"),
+        ).alias("record"),
+    )
+
+
+@query
+def envelope_feed(spark, sf):
+    """Price rows landed as envelopes of up to 256 products, read at element borders and pivoted."""
+    folder = session.shared_folder(spark, "envelope-feed")
+    bodies = _price_records(spark, sf).groupBy("envelope").agg(F.array_join(F.collect_list(F.to_json("record")), ",").alias("body"))
+    whole = F.concat(F.lit('{"success":true,"errors":[{"at":"}{"}],"results":['), "body", F.lit('],"total":{"n":1}}'))
+    bodies.select("envelope", whole.alias("text")).write.partitionBy("envelope").text(folder)
+    read = feeds.prices(spark, folder, layout=feeds.SPLIT)
+    return read.groupBy("product_id", "sub_type_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(text.cents(F.col("high"))).alias("high_cents"),
+        F.count("market").alias("n_market"), F.countDistinct("source_file", "position").alias("n_places"),
+    )
+
+
+@query
+def envelope_checks(spark, sf):
+    """Envelopes of which some lack the array, end early or hold an element that can't be read: what is left of each."""
+    folder = session.shared_folder(spark, "envelope-checks")
+    records = _price_records(spark, sf).withColumn("record", F.to_json("record"))
+    bodies = records.groupBy("envelope").agg(F.array_join(F.collect_list("record"), ",").alias("body"))
+    kind = F.col("envelope") % 4
+    whole = F.when(kind == 1, F.concat(F.lit('{"other":['), "body", F.lit("]}"))).when(
+        kind == 2, F.concat(F.lit('{"results":['), "body", F.lit("]"))
+    ).when(kind == 3, F.concat(F.lit('{"results":[{"productId":oops},'), "body", F.lit("]}"))).otherwise(
+        F.concat(F.lit('{"results":['), "body", F.lit("]}"))
+    )
+    bodies.select("envelope", whole.alias("text")).write.partitionBy("envelope").text(folder)
+    read = feeds.read_feed(spark, folder, feeds.PRICE_RESULT, layout=feeds.SPLIT)
+    name = F.regexp_extract("source_file", r"envelope=(\d+)", 1).cast("bigint").alias("envelope")
+    return read.groupBy(name).agg(
+        F.count("r").alias("n_records"), F.count("corrupt").alias("n_unreadable"),
+        F.coalesce(F.max("position") + 1, F.lit(0)).cast("bigint").alias("n_elements"),
+    )
+
+
+@query
+def image_objects(spark, sf):
+    """Pages landed as files that begin like JPEG, like PNG, or like neither, read back and told apart by their bytes."""
+    folder = session.shared_folder(spark, "image-objects")
+    head = F.when(F.col("page_id") % 3 == 0, F.unhex(F.lit("FFD8FFE0"))).when(F.col("page_id") % 3 == 1, F.unhex(F.lit("89504E47")))
+    content = F.concat(F.coalesce(head, F.unhex(F.lit(""))), F.encode(F.coalesce("html", F.lit("")), "utf-8"))
+    pages = table(spark, sf, "pages").select("page_id", F.hex(content).alias("text"))
+    # text files hold any bytes; a line separator ends each
+    raw = pages.select("page_id", F.unhex("text").cast("string").alias("text"))
+    raw.write.partitionBy("page_id").option("lineSep", "\n").text(folder)
+    found = images.checked_images(images.image_files(spark, folder, "*.txt"))
+    page = F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id")
+    return found.select(page, (F.col("length") - 1).alias("n_bytes"), "kind")
+
+
+@query
+def emptied_table(spark, sf):
+    """A table emptied with its schema kept, and taken in anew from the rows of one status."""
+    orders = table(spark, sf, "orders").select(_big("o_orderkey"), "o_orderstatus", "o_orderpriority")
+    folder = session.shared_folder(spark, "emptied")
+    history.emptied(orders).write.parquet(folder)
+    orders.where("o_orderstatus = 'P'").write.mode("append").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+@query
+def stream_quarantine(spark, sf):
+    """Envelopes streamed into a table, some of them cut short: those are set aside, and all others are taken in."""
+    folder = session.shared_folder(spark, "quarantine")
+    bodies = _price_records(spark, sf).withColumn("record", F.to_json("record"))
+    bodies = bodies.groupBy("envelope").agg(F.array_join(F.collect_list("record"), ",").alias("body"))
+    end = F.when(F.col("envelope") % 3 == 2, F.lit("")).otherwise(F.lit("]}"))
+    whole = F.concat(F.lit('{"results":['), "body", end)
+    bodies.select("envelope", whole.alias("text")).write.partitionBy("envelope").text(f"{folder}/in")
+    rows = ingest.feed_stream(spark, f"{folder}/in/*", feeds.PRICE_RESULT)
+    key = F.concat_ws("/", F.col("product_id"), F.coalesce("sub_type_name", F.lit("")))
+    q = ingest.upsert_stream(
+        rows, f"{folder}/target", f"{folder}/checkpoint", "price_key", ["source_file", "position"],
+        lambda df: fingerprints.fingerprint([F.col("product_id"), F.col("sub_type_name")]), n_buckets=8,
+        shape=lambda feed: feeds.shape_prices(feed).withColumn("price_key", key),
+    )
+    q.awaitTermination()
+    aside = spark.read.parquet(f"{folder}/target-rejects")
+    name = F.regexp_extract("record", r"envelope=(\d+)", 1).cast("bigint")
+    taken = spark.read.parquet(f"{folder}/target").select(F.lit("taken").alias("outcome"), F.col("product_id").alias("id"), "sub_type_name")
+    return taken.unionByName(aside.select(F.lit("set aside").alias("outcome"), name.alias("id"), F.lit(None).cast("string").alias("sub_type_name")).distinct())
