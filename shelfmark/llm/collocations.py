@@ -4,7 +4,7 @@ Count streams.  A task numbers the words of about ``RUN_WORDS`` words of text an
 each order the distinct n-grams as word numbers with their counts, in prefix order (first word first), packed as
 differences.  Runs are a table in the shared folder: the text is read once, and what follows can be repeated from there.
 
-Which n-grams are frequent.  Each run sends its n-grams as sorted 64-bit keys to ranges of keys.  A range merges the
+Which n-grams are frequent.  Each run sends its n-grams as sorted keys to ranges of keys, 32 bits within a range.  A range merges the
 sorted streams of all runs, adds the counts of adjacent equal keys, and answers every run with the keys that reach
 ``least``.  Keys only rule n-grams out: equal keys of different n-grams can add counts, never take any away.  The runs
 then give the n-grams that are left as words, and these counts are added exactly.  As a part of a phrase occurs at
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytewise import lower_ascii, mix, pieces, slice_hashes, text_bytes
-from .chunked import pack, pack_sorted, starts_of, unpack, unpack_sorted
+from .chunked import starts_of
 from .stages import shuffle_partitions, stage, tidy
 
 RUN_WORDS = 1 << 19
@@ -63,6 +63,37 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1, piece
 
 
+def pack(x: np.ndarray) -> bytes:
+    """Numbers in as many bytes as the greatest needs: all first bytes, then all second ones, so high bytes compress well."""
+    if not len(x):
+        return b""
+    x = np.ascontiguousarray(x, np.uint64)
+    width = max(1, (int(x.max()).bit_length() + 7) // 8)
+    return bytes([width]) + x.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def unpack(data: bytes, dtype) -> np.ndarray:
+    if not data:
+        return np.zeros(0, dtype)
+    body = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], -1)
+    out = np.zeros((body.shape[1], 8), np.uint8)
+    out[:, : data[0]] = body.T
+    return out.reshape(-1).view(np.uint64).astype(dtype, copy=False)
+
+
+def pack_sorted(x: np.ndarray) -> bytes:
+    """Ascending numbers: the first one, then differences."""
+    x = np.ascontiguousarray(x).astype(np.uint64, copy=False)
+    return x[:1].tobytes() + pack(np.diff(x)) if len(x) else b""
+
+
+def unpack_sorted(data: bytes, dtype) -> np.ndarray:
+    if not data:
+        return np.zeros(0, dtype)
+    steps = np.r_[np.frombuffer(data, np.uint64, 1), unpack(data[8:], np.uint64)]
+    return np.cumsum(steps, dtype=np.uint64).astype(dtype, copy=False)
+
+
 def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     keys = np.sort(keys)
     begin = starts_of(keys)
@@ -115,7 +146,7 @@ class _Run:
                 keys = np.zeros(0, np.int64)
             distinct, count = _counted(keys[keys >= 0])
             grams.append(distinct)
-            counts.append(count.astype(np.uint32))
+            counts.append(count)
             if order < self.most:
                 before = np.searchsorted(distinct, keys)
         spelled = [words[i].encode() for i in first]
@@ -187,24 +218,32 @@ class _Stream:
             self.orders.append((columns, counts, mix(keys + np.uint64(order))))
 
 
-def _to_ranges(n_ranges: int):
-    width = np.uint64((1 << 64) // n_ranges + 1)
+def ranged(keys: np.ndarray, n_ranges: int) -> np.ndarray:
+    """The range of a key above 32 of its bits within the range: ascending with the key."""
+    width = (1 << 64) // n_ranges + 1
+    if n_ranges == 1:
+        return keys >> np.uint64(32)
+    part = keys // np.uint64(width)
+    inside = (keys - part * np.uint64(width)) >> np.uint64(max(0, (width - 1).bit_length() - 32))
+    return part << np.uint64(32) | inside
 
+
+def _to_ranges(n_ranges: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 orders = _Stream(row).orders
-                keys = np.concatenate([k for _, _, k in orders])
+                keys = ranged(np.concatenate([k for _, _, k in orders]), n_ranges)
                 order = np.argsort(keys)
                 keys, counts = keys[order], np.concatenate([c for _, c, _ in orders])[order]
-                part = (keys // width).astype(np.int64)
+                part = (keys >> np.uint64(32)).astype(np.int64)
                 begin = starts_of(part)
                 spans = list(zip(begin.tolist(), [*begin[1:].tolist(), len(keys)], strict=True))
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array(part[begin]), "run": pa.array([row["run"]] * len(spans), pa.string()),
                     "keys": pa.array([pack_sorted(keys[a:b]) for a, b in spans], pa.binary()),
-                    "counts": pa.array([pack(counts[a:b].astype(np.uint32)) for a, b in spans], pa.binary()),
+                    "counts": pa.array([pack(counts[a:b]) for a, b in spans], pa.binary()),
                 })
 
     return run
@@ -238,7 +277,7 @@ def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
 
 
-def _spelled(most: int):
+def _spelled(most: int, n_ranges: int):
     schema = pa.schema([("lang", pa.string()), *[(f"w{k}", pa.string()) for k in range(1, most + 1)], ("f", pa.int64())])
 
     def run(runs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -249,7 +288,7 @@ def _spelled(most: int):
         stream = _Stream(runs.to_pylist()[0])
         parts = []
         for columns, counts, keys in stream.orders:
-            some = _among(keys, known)
+            some = _among(ranged(keys, n_ranges), known)
             words = [stream.words.take(pa.array(c[some])).cast(pa.string()) for c in columns]
             words += [pa.nulls(int(some.sum()), pa.string())] * (most - len(columns))
             parts.append(pa.table([stream.names.take(pa.array(stream.codes[columns[0][some]])), *words, pa.array(counts[some])], schema=schema))
@@ -266,7 +305,7 @@ def frequent(runs: DataFrame, most: int = MOST_WORDS, least: int = LEAST) -> Dat
     answers = sent.groupBy("part").applyInArrow(_frequent_of(least), ANSWER)
     words = [f"w{k}" for k in range(1, most + 1)]
     found = runs.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(
-        _spelled(most), "lang string, " + ", ".join(f"{w} string" for w in words) + ", f bigint"
+        _spelled(most, n_ranges), "lang string, " + ", ".join(f"{w} string" for w in words) + ", f bigint"
     )
     return found.groupBy("lang", *words).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
 
