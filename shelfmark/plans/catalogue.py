@@ -297,19 +297,19 @@ def logged_changes(run: Run, name: str, like: DataFrame, key: str) -> DataFrame:
     return log.where(F.col("run_id") == run.run_id).select(key, "data_version", "changes.*")
 
 
-def _merge_staged(run: Run, step: str, name: str, updates: DataFrame, key: str) -> list[int]:
+def _merge_staged(run: Run, step: str, name: str, updates: DataFrame, key: str, derived: str | None = None) -> None:
     """Update existing rows of a stored table from a plan that reads that very table.
 
-    The updates are written down before the table is touched, and the copy goes when they are in.
-    Returns the touched buckets.
+    The updates are written down before the table is touched, and the copy goes when they are in.  The touched buckets
+    of the table ``derived`` from it are noted as due before that.
     """
     path = f"{run.layout.table('staged')}/{step}-{run.run_id}"
     updates.write.mode("overwrite").parquet(path)
     staged = run.spark.read.parquet(path)
-    touched = tables.touched_buckets(staged, key, run.layout.n_buckets)
+    if derived is not None:
+        tables.add_due(run.spark, run.layout.table(derived), tables.touched_buckets(staged, key, run.layout.n_buckets))
     run.merge(name, staged, key, merge.update_existing)
     tables.remove(run.spark, path)
-    return touched
 
 
 def sync_groups(run: Run) -> StepResult:
@@ -377,6 +377,11 @@ def enrich_cards(run: Run, overrides: DataFrame | None = None) -> StepResult:
 
 
 def refresh_index(run: Run) -> StepResult:
+    """Terms and fingerprints on the cards, then the postings of the buckets this changes.
+
+    A run that dies between the two leaves its buckets on the list of due ones, and the next run derives their postings
+    although it finds no changed fingerprint.
+    """
     result = StepResult("search_index")
     cards = run.load("cards")
     fresh = search.refresh_in_place(cards, "product_id", run.force)
@@ -390,10 +395,10 @@ def refresh_index(run: Run) -> StepResult:
         return result
     seen = Observation()
     changed = changes.to_write(fresh.observe(seen, *counts)).drop("change_kind")
-    touched = _merge_staged(run, "search_index", "cards", changed, "product_id")
+    _merge_staged(run, "search_index", "cards", changed, "product_id", "search_index")
     result.processed, result.updated = (_metrics(seen)[n] for n in ("processed", "updated"))
-    tables.rebuild_buckets(
-        run.spark, run.layout.table("search_index"), run.layout.table("cards"), "product_id", touched,
+    tables.rebuild_due(
+        run.spark, run.layout.table("search_index"), run.layout.table("cards"),
         lambda cards: search.inverted_index(cards, "product_id", keep=[tables.BUCKET]), sort="term",
     )
     return result

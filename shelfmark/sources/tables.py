@@ -185,23 +185,55 @@ def touched_buckets(keys: DataFrame, key: str, n_buckets: int) -> list[int]:
     return [r[0] for r in keys.select(bucket_of(key, n_buckets)).distinct().collect()]
 
 
+def _due(path: str) -> str:
+    return f"{path.rstrip('/')}.due"
+
+
+def add_due(spark: SparkSession, path: str, buckets: list[int]) -> None:
+    """Note buckets of a derived table that have to be derived anew, before the table they come from is changed.
+
+    The list outlives a dead writer.  Deriving a bucket once too often does no harm.
+    """
+    if buckets:
+        rows = spark.createDataFrame([(b,) for b in buckets], f"{BUCKET} int")
+        rows.coalesce(1).write.mode("append").parquet(_due(path))
+
+
+def due(spark: SparkSession, path: str) -> list[int]:
+    """Buckets noted and not yet derived anew, also those an earlier writer left; at most the number of buckets."""
+    if not exists(spark, _due(path)):
+        return []
+    noted = spark.read.schema(f"{BUCKET} int").parquet(_due(path))
+    return sorted(r[0] for r in noted.distinct().collect())
+
+
+def rebuild_due(spark: SparkSession, path: str, source: str, derive: Callable[[DataFrame], DataFrame], sort: str) -> list[int]:
+    """Derive the noted buckets of ``path`` anew from ``source``, then strike them off; returns them."""
+    noted = due(spark, path)
+    rebuild_buckets(spark, path, source, noted, derive, sort)
+    if exists(spark, _due(path)):
+        remove(spark, _due(path))
+    return noted
+
+
 def rebuild_buckets(
-    spark: SparkSession, path: str, source: str, key: str, touched: list[int], derive: Callable[[DataFrame], DataFrame], sort: str
+    spark: SparkSession, path: str, source: str, touched: list[int], derive: Callable[[DataFrame], DataFrame], sort: str
 ) -> None:
     """Derive some buckets of one table anew from the same buckets of another.
 
-    ``derive`` keeps the bucket column.  Files are sorted, so that row groups can be skipped by
-    ``sort``.  A bucket for which nothing is derived any more is removed.
+    ``derive`` keeps the bucket column and runs once: what it gives is written next to the table, which tells the
+    buckets that came out empty, and then put in as ``replace_partitions`` does.  Files are sorted, so that row groups
+    can be skipped by ``sort``.  A bucket for which nothing is derived any more is removed.
     """
     if not touched:
         return
+    recover(spark, path, [BUCKET], sort)
     fresh = derive(spark.read.parquet(source).where(F.col(BUCKET).isin(touched)))
-    overwrite_partitions(fresh, path, [BUCKET], sort)
-    if exists(spark, path):
-        left = spark.read.parquet(source).where(F.col(BUCKET).isin(touched))
-        filled = {r[0] for r in derive(left).select(BUCKET).distinct().collect()}
-        for bucket in set(touched) - filled:
-            remove(spark, f"{path}/{BUCKET}={bucket}")
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_pending(path))
+    filled = {r[0] for r in spark.read.parquet(_pending(path)).select(BUCKET).distinct().collect()}
+    recover(spark, path, [BUCKET], sort)
+    for bucket in set(touched) - filled:
+        remove(spark, f"{path}/{BUCKET}={bucket}")
 
 
 def write_bucketed(df: DataFrame, table: str, key: str, n_buckets: int) -> None:

@@ -344,3 +344,78 @@ def test_stream_ingest_resumes_and_quarantines(spark, tmp_path):
     older = {**product(1, "A0"), "modifiedOn": "2023-01-01"}
     put(f"{root}/in/3.json", {"results": [newer, older, product(3, "C")]})
     assert ingest_once() == {1: "A", 2: "B2", 3: "C"}
+
+
+def _postings(spark, layout):
+    index = spark.read.parquet(layout.table("search_index"))
+    return {(r.term, r.product_id) for r in index.select("term", "product_id").collect()}
+
+
+def _derived_postings(spark, layout):
+    cards = tables.read_buckets(spark, layout.table("cards"))
+    return {(r.term, r.product_id) for r in search.inverted_index(cards, "product_id").select("term", "product_id").collect()}
+
+
+INDEX_STEPS = [catalogue.sync_groups, catalogue.sync_cards, catalogue.refresh_index]
+
+
+@pytest.mark.parametrize("moment", ["before the postings", "while buckets are swapped"])
+def test_index_heals_after_a_crash(spark, landing, monkeypatch, moment):
+    """The card table has its new terms, the run dies before the postings have them; the next run puts them right."""
+    layout, root = landing
+    _, steps = run(spark, layout, INDEX_STEPS)
+    assert all(s.success for s in steps.values()) and _postings(spark, layout) == _derived_postings(spark, layout)
+    # one card is renamed, one loses its codes and with them all its postings
+    put(f"{root}/products/2.json", {"results": [product(20, "Crystal Orb", gid=2, Number="C-4", Cost="2")]})
+    put(f"{root}/products/1.json", {"results": [
+        product(10, "Aerith", Number="1-044R", CardType="Forward"), product(11, "Tifa", Number="PR-055/1-045H"), product(12, "Booster Box"),
+    ]})
+    with monkeypatch.context() as patch:
+        if moment == "before the postings":
+            def dies(*_, **__):
+                raise RuntimeError("killed")
+            patch.setattr(tables, "rebuild_buckets", dies)
+        else:
+            real = tables.overwrite_partitions
+
+            def dies(df, target, by, sort=None):
+                if not target.endswith("search_index"):
+                    return real(df, target, by, sort)
+                one = df.select(tables.BUCKET).first()[0]
+                tables.remove(spark, f"{target}/{tables.BUCKET}={one}")
+                raise RuntimeError("killed")
+            patch.setattr(tables, "overwrite_partitions", dies)
+        _, steps = run(spark, layout, INDEX_STEPS)
+        assert [s.error for s in steps.values() if not s.success] == ["killed"]
+    assert _postings(spark, layout) != _derived_postings(spark, layout)
+    assert tables.due(spark, layout.table("search_index"))
+    _, steps = run(spark, layout, INDEX_STEPS)
+    assert all(s.success for s in steps.values()) and steps["search_index"].updated == 0
+    healed = _postings(spark, layout)
+    assert healed == _derived_postings(spark, layout) and ("aerith", 10) in healed and ("cloud", 10) not in healed
+    assert tables.due(spark, layout.table("search_index")) == []
+
+
+def test_rebuilt_buckets_derive_once_and_lose_emptied_ones(spark, tmp_path):
+    source, target = f"{tmp_path}/s", f"{tmp_path}/t"
+    rows = spark.range(40).select("id", F.concat(F.lit("t"), F.col("id")).alias("term"))
+    tables.overwrite_partitions(rows.withColumn(tables.BUCKET, tables.bucket_of("id", 4)), source, [tables.BUCKET])
+    calls = []
+
+    def derive(df, gone=-1):
+        calls.append(1)
+        return df.where(F.col(tables.BUCKET) != gone)
+
+    tables.rebuild_buckets(spark, target, source, [0, 1, 2, 3], derive, "term")
+    assert len(calls) == 1 and spark.read.parquet(target).count() == 40
+    tables.rebuild_buckets(spark, target, source, [1, 2], lambda df: derive(df, 1), "term")
+    left = {r[0] for r in spark.read.parquet(target).select(tables.BUCKET).distinct().collect()}
+    assert len(calls) == 2 and left == {0, 2, 3} and not tables.exists(spark, f"{target}.pending")
+    tables.rebuild_buckets(spark, f"{tmp_path}/none", source, [1], lambda df: derive(df, 1), "term")  # nothing at all
+    tables.add_due(spark, target, [])
+    assert tables.due(spark, target) == []
+    tables.add_due(spark, target, [1])
+    tables.add_due(spark, target, [1, 3])
+    assert tables.due(spark, target) == [1, 3]
+    assert tables.rebuild_due(spark, target, source, derive, "term") == [1, 3] and tables.due(spark, target) == []
+    assert spark.read.parquet(target).count() == 40

@@ -942,6 +942,11 @@ def queries() -> dict[str, str]:
         f"WITH {SEARCHABLE} SELECT product_id, CASE WHEN product_id % 5 = 0 THEN 'new' WHEN product_id % 7 = 0 THEN 'changed' "
         "WHEN product_id % 11 = 0 THEN 'unstamped' ELSE 'unchanged' END AS change_kind FROM indexed"
     )
+    q["index_in_place"] = (
+        f"WITH {SEARCHABLE} SELECT product_id, CASE WHEN product_id % 7 = 0 OR product_id % 5 = 0 THEN 'changed' "
+        "WHEN product_id % 11 = 0 THEN 'unstamped' ELSE 'unchanged' END AS change_kind, search_hash FROM indexed"
+    )
+    q["index_rebuild"] = f"WITH {SEARCHABLE} SELECT term, count(*) AS n_rows FROM (SELECT unnest(terms) AS term FROM indexed) GROUP BY 1"
     q["term_index"] = f"WITH {SEARCHABLE} SELECT term, count(*) AS n_rows FROM (SELECT unnest(terms) AS term FROM indexed) GROUP BY 1"
     q["term_search"] = f"WITH {SEARCHABLE} SELECT product_id FROM indexed WHERE list_contains(terms, 'red') ORDER BY product_id LIMIT 50"
     q["code_search"] = f"WITH {SEARCHABLE} SELECT product_id FROM indexed WHERE list_contains(codes, 'C-004')"

@@ -955,6 +955,40 @@ def index_refresh(spark, sf):
     return search.refresh_terms(cards, "product_id", stored).select("product_id", "change_kind")
 
 
+@query
+def index_in_place(spark, sf):
+    """The form a run uses: cards that hold their own terms and fingerprint."""
+    k = F.col("product_id")
+    known = terms.search_terms(F.col("clean_name"), F.col("card_numbers"))
+    cards = _searchable(spark, sf).withColumn("search_terms", known)
+    stored = cards.withColumn(
+        "search_hash", F.when(k % 7 == 0, F.lit("old")).when(k % 5 > 0, fingerprints.terms_fingerprint(F.col("search_terms")))
+    ).withColumn("search_terms", F.when(k % 11 > 0, F.col("search_terms")))
+    return search.refresh_in_place(stored, "product_id").select("product_id", "change_kind", "search_hash")
+
+
+@query
+def index_rebuild(spark, sf):
+    """Postings kept in buckets: those of cards with new terms are due, and derived anew from the list of due ones."""
+    folder = session.shared_folder(spark, "index-rebuild")
+    cards, index = f"{folder}/cards", f"{folder}/index"
+    rows = search.with_terms(_searchable(spark, sf)).select("product_id", "search_terms")
+    rows = rows.withColumn(tables.BUCKET, tables.bucket_of("product_id", 8))
+    changed = F.col("product_id") % 100 == 0
+    before = rows.withColumn("search_terms", F.when(changed, F.array(F.lit("old"))).otherwise(F.col("search_terms")))
+
+    def derive(some):
+        return search.inverted_index(some, "product_id", keep=[tables.BUCKET])
+
+    everything = list(range(8))
+    tables.overwrite_partitions(before, cards, [tables.BUCKET])
+    tables.rebuild_buckets(spark, index, cards, everything, derive, "term")
+    tables.add_due(spark, index, tables.touched_buckets(rows.where(changed), "product_id", 8))
+    tables.overwrite_partitions(rows, cards, [tables.BUCKET])
+    tables.rebuild_due(spark, index, cards, derive, "term")
+    return search.term_counts(spark.read.parquet(index))
+
+
 @query
 def term_index(spark, sf):
     index = search.inverted_index(search.with_terms(_searchable(spark, sf)), "product_id")
