@@ -1,12 +1,14 @@
 """Look-ups between chunks of documents and buckets of hashes, without moving a row for every hash.
 
-A chunk is a set of whole documents that one task reads.  It sends each bucket *one* row: its distinct hashes of that
-bucket, sorted and packed, with some numbers for each.  A bucket gathers the rows of all chunks, works out something
-for each distinct hash, and answers each chunk with one row, aligned with what the chunk sent.  However common a hash
+A chunk is a set of whole documents.  A task that reads some of them sends each bucket *one* row: the distinct hashes of
+that bucket, sorted and packed, with some numbers for each.  A bucket gathers the rows of all chunks, puts those of one
+chunk together (``by_chunk``), works out something for each distinct hash, and answers each chunk with one row, aligned
+with the sorted distinct hashes of the chunk.  However common a hash
 is, it stands once in a chunk's row, so a hot key costs a bucket no more than the number of chunks.
 
-A chunk must hold the same documents whenever it is read.  ``FILE_SPLIT`` names the part of a file a row comes from and
-suits a table read straight from files; any other input is first written as a table (``stable``).
+A chunk must hold the same documents whenever it is read.  ``file_part`` follows the name and size of a row's file and
+the hash of its id alone: splits move when executors come or go, chunks do not.  It suits a table read straight from
+files; any other input is first written as a table (``stable``).
 """
 
 from __future__ import annotations
@@ -21,20 +23,32 @@ from pyspark.sql import functions as F
 from .bytewise import pieces, slice_hashes, text_bytes, word_spans
 from .stages import shuffle_partitions, stage
 
-PER_SPLIT = 2  # chunks of a split: a task of the later passes holds one chunk
+PER_FILE = 2  # chunks of a small file
+CHUNK_BYTES = 1 << 26  # a greater file has a chunk for as many of its bytes: a task of the later passes holds one chunk
 
 
-def file_split(id_col: str, per_split: int = PER_SPLIT) -> Column:
-    part = F.pmod(F.xxhash64(F.col(id_col)), F.lit(per_split))
-    return F.xxhash64(F.input_file_name(), F.input_file_block_start(), part)
+def file_part(id_col: str) -> Column:
+    """The chunk of a row; rows of one id and file share one."""
+    n = F.greatest(F.lit(PER_FILE), F.ceil(F.col("_metadata.file_size") / F.lit(CHUNK_BYTES)))
+    return F.xxhash64(F.col("_metadata.file_path"), F.pmod(F.xxhash64(F.col(id_col)), n))
 
 
 def stable(docs: DataFrame, id_col: str, text_col: str, from_files: bool) -> DataFrame:
     """chunk, id, text.  ``from_files``: ``docs`` is read straight from files that stay as they are."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    own = F.col(id_col).cast("long")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     if not from_files:
-        rows = stage(rows, "chunks")
-    return rows.select(file_split("id").alias("chunk"), "id", "text")
+        docs, own, text = stage(docs.select(own.alias("id"), text.alias("text")), "chunks"), F.col("id"), F.col("text")
+    rows = docs.select("_metadata", own.alias("id"), text.alias("text"))
+    return rows.select(file_part("id").alias("chunk"), "id", "text")
+
+
+def by_chunk(table: pa.Table) -> list[tuple[int, list[int]]]:
+    """The chunks of a bucket's rows, and which rows each has sent: several where splits cut the chunk's file."""
+    rows: dict[int, list[int]] = {}
+    for i, chunk in enumerate(table.column("chunk").to_pylist()):
+        rows.setdefault(chunk, []).append(i)
+    return list(rows.items())
 
 
 def buckets_of(df: DataFrame) -> int:

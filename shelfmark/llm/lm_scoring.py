@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytewise import lower_ascii, mix, pieces, slice_hashes, text_bytes, word_spans
-from .chunked import bucket_of, pack, pack_sorted, stable, starts_of, unpack, unpack_sorted
+from .chunked import bucket_of, by_chunk, pack, pack_sorted, stable, starts_of, unpack, unpack_sorted
 from .recurrent import Network, Trainer
 from .stages import shuffle_partitions, stage
 
@@ -103,14 +103,16 @@ _REPLY = (
 def _total(table: pa.Table) -> pa.Table:
     """Answers to chunks (counts), and of the bucket: its most frequent words, and tokens and known words by class."""
     words = [unpack_sorted(x, np.uint64) for x in table.column("words").to_pylist()]
-    sizes = np.array([len(x) for x in words])
+    chunks = by_chunk(table)
+    own = [np.unique(np.concatenate([words[i] for i in rows])) if len(rows) > 1 else words[rows[0]] for _, rows in chunks]
+    sizes = np.array([len(x) for x in own])
     both = np.concatenate(words)
     n = np.concatenate([unpack(x, np.int64) for x in table.column("counts").to_pylist()])
     shape = np.concatenate([unpack(x, np.uint8) for x in table.column("shapes").to_pylist()])
     distinct, one, which = np.unique(both, return_index=True, return_inverse=True)
     total = np.bincount(which, n, len(distinct)).astype(np.int64)
     ends = np.cumsum(sizes)
-    back = total[which]
+    back = total[np.searchsorted(distinct, np.concatenate(own))]
     answers = [pack(back[e - s : e]) for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
     top = np.lexsort((distinct.view(np.int64), -total))[:HEAD]
     top = top[total[top] > 0]
@@ -122,8 +124,8 @@ def _total(table: pa.Table) -> pa.Table:
         return pa.array([None] * n + [values.tolist()], pa.list_(kind))
 
     return pa.table({
-        "chunk": pa.array([*table.column("chunk").to_pylist(), None], pa.int64()),
-        "bucket": pa.array([*table.column("bucket").to_pylist(), None], pa.int64()),
+        "chunk": pa.array([*[c for c, _ in chunks], None], pa.int64()),
+        "bucket": pa.array([*table.column("bucket").to_pylist()[:n], None], pa.int64()),
         "counts": pa.array([*answers, None], pa.binary()),
         "words": last(distinct[top].view(np.int64), pa.int64()), "totals": last(total[top], pa.int64()),
         "shapes": last(shape[one][top].astype(np.int32), pa.int32()),

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .bytewise import mix, pieces, ranges, window_hashes, word_spans
 from .chunked import (
-    bucket_of, buckets_of, pack, pack_sorted, stable, starts_of, text_pieces, unpack, unpack_sorted, word_hashes,
+    bucket_of, buckets_of, by_chunk, pack, pack_sorted, stable, starts_of, text_pieces, unpack, unpack_sorted, word_hashes,
 )
 from .stages import stage
 
@@ -103,9 +103,21 @@ def _probes(block: int, n_buckets: int):
     return run
 
 
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """Hashes with flags, as several tasks have sent them for one chunk, as if one had."""
+    if len(parts) == 1:
+        return parts[0]
+    both = np.sort(np.concatenate(parts))
+    begin = starts_of(both >> np.uint32(2))
+    several = (np.diff(np.r_[begin, len(both)]) > 1).astype(np.uint32)
+    return (both[begin] & ~np.uint32(3)) | np.bitwise_or.reduceat(both & np.uint32(3), begin) | several
+
+
 def _anchors(table: pa.Table) -> pa.Table:
     """A bucket's answer to each chunk: which of its hashes are anchors, a bit each."""
-    sent = [unpack_sorted(x, np.uint32) for x in table.column("sent").to_pylist()]
+    rows = table.column("sent").to_pylist()
+    chunks = by_chunk(table)
+    sent = [_joined([unpack_sorted(rows[i], np.uint32) for i in of_chunk]) for _, of_chunk in chunks]
     sizes = np.array([len(x) for x in sent])
     both = np.concatenate(sent)
     order = np.argsort(both >> np.uint32(2), kind="stable")
@@ -118,7 +130,10 @@ def _anchors(table: pa.Table) -> pa.Table:
     back[order] = np.repeat(anchor, counts)
     ends = np.cumsum(sizes)
     bits = [np.packbits(back[e - s : e]).tobytes() for s, e in zip(sizes.tolist(), ends.tolist(), strict=True)]
-    return pa.table({"chunk": table.column("chunk"), "bucket": table.column("bucket"), "bits": pa.array(bits, pa.binary())})
+    return pa.table({
+        "chunk": pa.array([c for c, _ in chunks], pa.int64()),
+        "bucket": table.column("bucket").combine_chunks()[: len(chunks)], "bits": pa.array(bits, pa.binary()),
+    })
 
 
 def _flags(replies: list[dict], bucket: np.ndarray) -> np.ndarray:

@@ -302,3 +302,50 @@ def test_runs_pass_other_columns(docs, empty):
 
 def test_registered():
     assert {"op11_sentence_pieces", "op12_collocations", "op13_periodic_runs"} <= set(queries.QUERIES)
+
+
+# --- chunks of look-ups ---
+
+@pytest.mark.parametrize("operator", ["dedup", "score"])
+def test_chunks_do_not_follow_the_splits(spark, tmp_path, monkeypatch, operator):
+    """Executors that come or go change how Spark cuts files; look-ups that go by chunks give the same result."""
+    from shelfmark.llm import chunked, lm_scoring, substring_dedup
+
+    rng = random.Random(5)
+    passage = " ".join(f"p{k}" for k in range(30))
+    rows = [(i, " ".join(f"w{rng.randrange(4000)}" for _ in range(60)) + (" " + passage if i % 5 == 0 else "")) for i in range(800)]
+    path = f"{tmp_path}/docs"
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.option("parquet.block.size", 16_384).parquet(path)
+    module = substring_dedup if operator == "dedup" else lm_scoring
+    monkeypatch.setattr(chunked, "CHUNK_BYTES", 20_000)
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum") if spark.conf.get(name, None)}
+    parts, real = [40, 1, 7, 3], module.stage
+
+    def moved(df, *args, **options):
+        done = real(df, *args, **options)
+        spark.conf.set("spark.sql.files.minPartitionNum", parts[0])
+        parts.append(parts.pop(0))
+        return done
+
+    def result():
+        docs = spark.read.parquet(path)
+        found = substring_dedup.dedup(docs, from_files=True) if operator == "dedup" else lm_scoring.score(docs, from_files=True)
+        columns = ["doc_id", "n_removed", "kept_text"] if operator == "dedup" else ["doc_id", "n_tokens", "n_known", "base_score"]
+        return sorted(tuple(r) for r in found.select(*columns).collect())
+
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", 1024)
+        spark.conf.set("spark.sql.files.minPartitionNum", 2)
+        wanted = result()
+        docs = spark.read.parquet(path)
+        assert docs.select(chunked.file_part("doc_id")).distinct().count() > chunked.PER_FILE
+        spark.conf.set("spark.sql.files.minPartitionNum", 40)
+        assert docs.rdd.getNumPartitions() > 2  # splits do move
+        spark.conf.set("spark.sql.files.minPartitionNum", 2)
+        monkeypatch.setattr(module, "stage", moved)
+        assert result() == wanted and len(wanted) == 800
+    finally:
+        for name in ("spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum"):
+            spark.conf.unset(name)
+        for name, value in kept.items():
+            spark.conf.set(name, value)
