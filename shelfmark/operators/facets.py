@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.fingerprints import values_fingerprint
 from ..functions.labels import MIDDOT, label_list
-from .numbering import number_rows
+from .numbering import SLICE_ROWS, last_before, number_rows
 
 # The words that mark a supplemental set.
 SUPPLEMENTAL = "Deck|Collection|Promo"
@@ -55,21 +55,14 @@ def _number_text(col: Column) -> Column:
     return F.regexp_replace(col.cast("string"), r"\.0$", "")
 
 
-def ordered_facets(values: DataFrame) -> DataFrame:
+def ordered_facets(values: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Facet values with their position: numbers numerically, text in Unicode collation order.
 
-    Numbering goes slice by slice (sign and size of a number, first letter of a text), so a field
-    with very many values is not sorted by one task.
+    Numbering goes by sampled slices, so a field is not sorted by one task, whatever its values share.
     """
     text = F.collate(F.col("value"), "UNICODE")
-    letter = F.collate(F.substring(F.col("value"), 1, 1), "UNICODE_CI_AI")
-    slices = F.struct(
-        F.col("number").isNull().alias("is_text"),
-        F.floor(F.coalesce(F.col("number"), F.lit(0.0)) / 1000).alias("thousand"),
-        F.when(F.col("number").isNull(), letter).alias("letter"),
-    )
     order = [F.col("number").asc_nulls_last(), text.asc(), F.col("value").asc()]
-    return number_rows(values, ["field"], order, slices, "position")
+    return number_rows(values, ["field"], order, name="position", slice_rows=slice_rows)
 
 
 def facet_documents(ordered: DataFrame, page_size: int = 10_000) -> DataFrame:
@@ -78,14 +71,44 @@ def facet_documents(ordered: DataFrame, page_size: int = 10_000) -> DataFrame:
     Ordinary facets have one page.  A wide field gets further pages, none of them beyond the size of
     a row, and loses no value.
     """
-    page = F.floor((F.col("position") - 1) / page_size).alias("page")
-    packed = ordered.groupBy("field", page).agg(
+    return _documents(ordered, F.floor((F.col("position") - 1) / page_size))
+
+
+def content_pages(ordered: DataFrame, page_size: int = 10_000) -> DataFrame:
+    """``field, page, values, hash`` as :func:`facet_documents`, in pages that follow the values.
+
+    A page ends with a value whose own hash is a multiple of ``page_size``, so pages have that many
+    values on average, and a new value touches its page alone (two if it ends one).  ``page`` is 0
+    for the first page and else the hash of the value that ends the page before: it stays when
+    pages elsewhere come and go.  No value is lost.
+    """
+    own = F.xxhash64(F.col("value"))
+    ends = F.when(F.pmod(own, F.lit(page_size)) == 0, own)
+    placed = last_before(ordered, ["field"], "position", ends, "_page")
+    return _documents(placed, F.coalesce("_page", F.lit(0)).cast("bigint"))
+
+
+def _documents(placed: DataFrame, page: Column) -> DataFrame:
+    packed = placed.groupBy("field", page.alias("page")).agg(
         F.array_sort(F.collect_list(F.struct("position", "value"))).alias("_v")
     )
     values = F.transform("_v", lambda x: x["value"])
     return packed.select("field", "page", values.alias("values"), values_fingerprint(values).alias("hash"))
 
 
+def facet_fields(ordered: DataFrame, page_size: int = 10_000) -> DataFrame:
+    """``field, pages, n_values, hash``: the content pages of a field in order, and its hash made from theirs."""
+    first = ordered.groupBy("field", "value").agg(F.min("position").alias("_first"))
+    documents = content_pages(ordered, page_size)
+    starts = documents.select("field", "page", "hash", F.size("values").alias("_n"), F.col("values")[0].alias("value"))
+    pages = F.array_sort(F.collect_list(F.struct("_first", "page", "hash")))
+    out = starts.join(first, ["field", "value"]).groupBy("field").agg(pages.alias("_p"), F.sum("_n").alias("n_values"))
+    return out.select(
+        "field", F.transform("_p", lambda p: p["page"]).alias("pages"), "n_values",
+        values_fingerprint(F.transform("_p", lambda p: p["hash"])).alias("hash"),
+    )
+
+
 def is_supplemental(name: Column) -> Column:
     return name.rlike(SUPPLEMENTAL)
 
@@ -120,5 +143,4 @@ def set_positions(values: DataFrame, groups: DataFrame) -> DataFrame:
         ranked.withColumn("field", F.lit("set")),
         ["field"],
         [F.col("is_supplemental"), F.col("published_on"), F.col("value")],
-        F.struct("is_supplemental", F.year("published_on").alias("year")),
     ).select("field", "value", "position")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .changes import latest_per_key
-from .numbering import trailing_window
+from .numbering import SLICE_ROWS, sampled_slices, trailing_window
 
 
 def daily_snapshot(df: DataFrame, keys: list[str], time: str, order: list[Column], day: str = "snapshot_date") -> DataFrame:
@@ -44,18 +44,25 @@ def as_of_join(
     time: str,
     tie: str,
     values: list[str],
-    unit: str = "day",
+    unit: str | None = None,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Every probe row with the values of the last fact at or before its time.
 
-    Time is cut into slices of ``unit``.  Inside a slice a running window finds the last fact; the
-    state at the start of a slice comes from one row per key and slice.  A hot key is so worked on
-    by as many tasks as it has slices.
+    Time is cut into sampled slices, or into those of ``unit``.  Inside a slice a running window finds
+    the last fact; the state at the start of a slice comes from one row per key and slice.  A hot key
+    is so worked on by as many tasks as it has slices, also when all its rows fall into one day.
+    Facts without a key or time take no part; probes without find nothing.
     """
+    facts = facts.dropna(subset=[*keys, time])
     p = probes.select("*", F.lit(1).alias("_probe"), F.lit(None).cast("bigint").alias("_tie"))
     fact = F.struct(F.col(time).alias("_at"), F.col(tie).alias("_tie"), *values)
     f = facts.select(*keys, time, F.lit(0).alias("_probe"), F.col(tie).cast("bigint").alias("_tie"), fact.alias("_fact"))
-    both = p.unionByName(f, allowMissingColumns=True).withColumn("_slice", F.date_trunc(unit, time))
+    both = p.unionByName(f, allowMissingColumns=True)
+    if unit is None:
+        both = sampled_slices(both, keys, [F.col(time), F.col("_probe"), F.col("_tie")], slice_rows)
+    else:
+        both = both.withColumn("_slice", F.date_trunc(unit, time))
     ends = both.groupBy(*keys, "_slice").agg(F.max("_fact").alias("_end"))
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = ends.select(*keys, "_slice", F.last("_end", ignorenulls=True).over(earlier).alias("_start"))
@@ -71,7 +78,7 @@ def as_of_join(
 
 
 def rolling_mean(
-    df: DataFrame, keys: list[str], order: list[Column], slice_by: Column, value: str, rows: int = 10, chunk: int = 100_000
+    df: DataFrame, keys: list[str], order: list[Column], slice_by: Column | None, value: str, rows: int = 10, chunk: int = 100_000
 ) -> DataFrame:
     """Sum and count of the last ``rows`` rows per key; exact for integers, mean = sum / count."""
 

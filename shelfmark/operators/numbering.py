@@ -1,8 +1,9 @@
 """Exact ordered windows that survive a hot key.
 
 A window partitioned by a natural key puts a whole key into one task.  Here each key is cut into
-slices of its own order (an hour, a day, a first letter); only one short row per slice ever meets
-in a window over the key, and rows meet only inside their slice or a chunk of fixed size.
+slices of its own order; only one short row per slice ever meets in a window over the key, and rows
+meet only inside their slice or a chunk of fixed size.  Slices come from a sample of the rows, or
+from a column the caller knows to cut every key finely enough (an hour, a day).
 """
 
 from __future__ import annotations
@@ -11,12 +12,40 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import shared_folder
+
+# Rows a sampled slice holds on average.
+SLICE_ROWS = 100_000
+
+
+def sampled_slices(df: DataFrame, keys: list[str], order: list[Column], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``df`` with ``_slice``, a number that never decreases along keys and order.
+
+    Spark draws the borders from a sample of the rows, so a slice holds about ``slice_rows`` rows
+    whatever share of them one key, day or letter has.  Rows equal in keys and order share a slice.
+    The rows are written once: another sample would draw other borders.
+    """
+    spark = df.sparkSession
+    n = max(1, -(-df.count() // slice_rows))
+    folder = shared_folder(spark, "slices")
+    ranged = df.repartitionByRange(n, *keys, *order).withColumn("_slice", F.spark_partition_id())
+    ranged.write.parquet(folder)
+    return spark.read.schema(ranged.schema).parquet(folder)
+
 
 def number_rows(
-    df: DataFrame, keys: list[str], order: list[Column], slice_by: Column, name: str = "position"
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    slice_by: Column | None = None,
+    name: str = "position",
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Row number from 1 within ``keys``; ``slice_by`` must not decrease along ``order``."""
-    sliced = df.withColumn("_slice", slice_by)
+    """Row number from 1 within ``keys``.
+
+    ``slice_by`` must not decrease along ``order``; without it slices are sampled.
+    """
+    sliced = sampled_slices(df, keys, order, slice_rows) if slice_by is None else df.withColumn("_slice", slice_by)
     sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
@@ -34,11 +63,23 @@ def _null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFra
     return left.join(right, condition, "left").drop(*[f"_r_{c}" for c in on])
 
 
+def last_before(df: DataFrame, keys: list[str], at: str, value: Column, name: str, block: int = SLICE_ROWS) -> DataFrame:
+    """The last non-null ``value`` of the rows before each row; ``at`` numbers the rows of a key from 1."""
+    marked = df.withColumn("_mark", value).withColumn("_block", F.floor((F.col(at) - 1) / block))
+    ends = marked.groupBy(*keys, "_block").agg(F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col(at))).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "_block", F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    inside = Window.partitionBy(*keys, "_block").orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    joined = _null_safe_join(marked, carried, [*keys, "_block"])
+    found = F.coalesce(F.last("_mark", ignorenulls=True).over(inside), F.col("_carried"))
+    return joined.withColumn(name, found).drop("_mark", "_block", "_carried")
+
+
 def trailing_window(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
-    slice_by: Column,
+    slice_by: Column | None,
     back: int,
     compute: Callable[[Window], dict[str, Column]],
     chunk: int = 100_000,

@@ -409,9 +409,9 @@ def refresh_facets(run: Run) -> StepResult:
     cards, groups = run.load("cards"), run.load("groups")
     values = facets.facet_values(cards, FACET_FIELDS)
     plain = facets.ordered_facets(values.where(F.col("field") != "set"))
-    documents = facets.facet_documents(plain.select("field", "value", "position"))
+    documents = facets.content_pages(plain.select("field", "value", "position"))
     sets = facets.set_positions(values.where(F.col("field") == "set"), groups)
-    documents = documents.unionByName(facets.facet_documents(sets))
+    documents = documents.unionByName(facets.content_pages(sets))
     stored = run.load("facets")
     if stored is None:
         stored = documents.where(F.lit(False))

@@ -292,6 +292,62 @@ def test_as_of_join_equals_brute_force(spark):
     assert got == sorted(expected)
 
 
+def test_sampled_slices_spread_one_key_one_day_one_letter(spark):
+    from pyspark.sql import Window
+
+    df = spark.range(3000).select(
+        "id", F.lit(1).alias("k"), F.timestamp_seconds(F.lit(1_700_006_400) + F.col("id") * 7919 % 3000 / 10).alias("ts"), (F.col("id") % 101).alias("v")
+    )
+    order = [F.col("ts"), F.col("id")]
+    sliced = numbering.sampled_slices(df, ["k"], order, 100)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert len(sizes) >= 25 and max(sizes) < 400
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    expected = rows(df.select("id", F.row_number().over(w).cast("bigint").alias("position")))
+    assert rows(numbering.number_rows(df, ["k"], order, slice_rows=100), "id", "position") == expected
+
+    facts = df.where("v % 4 = 0").select("k", "ts", F.col("id").alias("fid"))
+    probes = df.where("v % 4 > 0").select("id", "k", "ts")
+    got = rows(history.as_of_join(probes, facts, ["k"], "ts", "fid", ["fid"], slice_rows=100), "id", "fid")
+    best = probes.join(facts.withColumnRenamed("ts", "t"), "k").where("t <= ts").groupBy("id").agg(F.max_by("fid", "t").alias("fid"))
+    assert got == rows(probes.select("id").join(best, "id", "left"), "id", "fid")
+
+    words = spark.range(3000).select(F.lit("f").alias("field"), F.format_string("a%05d", (F.col("id") * 7) % 3000).alias("value"), F.lit(None).cast("double").alias("number"))
+    placed = rows(facets.ordered_facets(words, 100), "value", "position")
+    assert placed == [(f"a{i:05d}", i + 1) for i in range(3000)]
+
+
+def test_as_of_join_without_key_or_time(spark):
+    at = dt.datetime(2024, 1, 2)
+    probes = spark.createDataFrame([(1, 7, at), (2, 7, None), (3, None, at)], "id int, k int, ts timestamp")
+    facts = spark.createDataFrame([(7, None, 1), (None, at, 2), (7, at, 3)], "k int, ts timestamp, fid int")
+    for unit in (None, "day"):
+        got = history.as_of_join(probes, facts, ["k"], "ts", "fid", ["fid"], unit)
+        assert rows(got.na.fill(-1, ["fid"]), "id", "fid") == [(1, 3), (2, -1), (3, -1)]
+    assert history.as_of_join(probes.limit(0), facts, ["k"], "ts", "fid", ["fid"]).count() == 0
+    assert rows(history.as_of_join(probes, facts.limit(0), ["k"], "ts", "fid", ["fid"]), "id") == [(1,), (2,), (3,)]
+
+
+def test_facet_pages_follow_content(spark):
+    def ordered(n, *more):
+        names = [f"v{i:06d}" for i in range(n)] + list(more)
+        df = spark.createDataFrame([("f", v, None) for v in names], "field string, value string, number double")
+        return facets.ordered_facets(df, 5000)
+
+    before = ordered(30_000)
+    pages = {r.page: list(r["values"]) for r in facets.content_pages(before, 1000).collect()}
+    assert len(pages) > 10 and sorted(v for p in pages.values() for v in p) == [f"v{i:06d}" for i in range(30_000)]
+    for new in ("a", "v000500x", "v014000x"):
+        after = ordered(30_000, new)
+        judged = facets.facet_changes(facets.content_pages(after, 1000), facets.content_pages(before, 1000))
+        assert 1 <= judged.where("updated").count() <= 2
+    field = facets.facet_fields(before, 1000).first()
+    assert [pages[p][0] for p in field.pages] == sorted(v[0] for v in pages.values()) and field.n_values == 30_000
+    assert field.hash != facets.facet_fields(after, 1000).first().hash
+    sizes = [[len(r["values"]) for r in facets.content_pages(ordered(n), 1_000_000).collect()] for n in (9_999, 10_001)]
+    assert sizes == [[9_999], [10_001]]
+
+
 def test_change_percent(spark):
     df = spark.createDataFrame([(1, 1, 100), (1, 2, 150), (1, 3, 0), (1, 4, 10)], "p int, d int, v int")
     assert rows(history.change_percent(df, "p", "d", "v").na.fill(-9), "d", "change_bp") == [(1, -9), (2, 5000), (3, -10000), (4, -9)]

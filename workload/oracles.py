@@ -918,6 +918,10 @@ def queries() -> dict[str, str]:
         f"WITH {FACETS}, d AS (SELECT field, list(value ORDER BY position) AS v FROM placed GROUP BY field) "
         f"SELECT field, CAST(0 AS BIGINT) AS page, array_to_string(v, '|') AS values, md5({j_list('v')}) AS hash FROM d"
     )
+    q["facet_fields"] = (
+        f"WITH {FACETS}, d AS (SELECT field, list(value ORDER BY position) AS v FROM placed GROUP BY field) "
+        f"SELECT field, CAST(len(v) AS BIGINT) AS n_values, md5('[\"' || md5({j_list('v')}) || '\"]') AS hash FROM d"
+    )
     earlier = FACETS.replace("FROM part", "FROM part WHERE p_size < 40")
     q["facet_changes"] = (
         f"WITH now AS (WITH {FACETS} SELECT field, list(value ORDER BY position) AS v FROM placed GROUP BY 1), "

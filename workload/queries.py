@@ -668,9 +668,7 @@ def as_of_join(spark, sf):
 @query
 def rolling_mean(spark, sf):
     df = table(spark, sf, "events").select("user_id", "event_id", "ts", text.cents(F.col("value")).alias("cents"))
-    out = history.rolling_mean(
-        df, ["user_id"], [F.col("ts"), F.col("event_id")], F.date_trunc("day", F.col("ts")), "cents"
-    )
+    out = history.rolling_mean(df, ["user_id"], [F.col("ts"), F.col("event_id")], None, "cents")
     return out.select("event_id", "rolling_sum", "rolling_n")
 
 
@@ -884,16 +882,22 @@ def ordered_facets(spark, sf):
 @query
 def facet_hash(spark, sf):
     ordered = facets.ordered_facets(facets.facet_values(_facet_rows(spark, sf), FACETS))
-    docs = facets.facet_documents(ordered)
+    docs = facets.content_pages(ordered)
     return docs.select("field", F.col("page").cast("bigint").alias("page"), _joined(F.col("values")).alias("values"), "hash")
 
 
+@query
+def facet_fields(spark, sf):
+    ordered = facets.ordered_facets(facets.facet_values(_facet_rows(spark, sf), FACETS))
+    return facets.facet_fields(ordered).select("field", "n_values", "hash")
+
+
 @query
 def facet_changes(spark, sf):
     """Documents against those of an earlier state that lacked the larger sizes."""
     rows = _facet_rows(spark, sf)
-    now = facets.facet_documents(facets.ordered_facets(facets.facet_values(rows, FACETS)))
-    before = facets.facet_documents(facets.ordered_facets(facets.facet_values(rows.where("p_size < 40"), FACETS)))
+    now = facets.content_pages(facets.ordered_facets(facets.facet_values(rows, FACETS)))
+    before = facets.content_pages(facets.ordered_facets(facets.facet_values(rows.where("p_size < 40"), FACETS)))
     return facets.facet_changes(now, before).select("field", "updated")
 
 
