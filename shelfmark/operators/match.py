@@ -31,14 +31,19 @@ def hot_codes(probes: DataFrame, code: str, share: float = HOT_SHARE) -> list[st
 
 
 def _look_up(probes: DataFrame, index: DataFrame, left_id: str, keys: list[str]) -> DataFrame:
-    """Join on unique index keys, hot codes spread over ``SALTS`` tasks."""
-    hot = hot_codes(probes, keys[0])
-    is_hot = F.col(keys[0]).isin(hot) if hot else F.lit(False)
+    """Join on unique index keys, hot ones spread over ``SALTS`` tasks.
+
+    Hot is what the join sends to one task: the whole key.  The index is sorted, not broadcast: it holds rows of a fan-out,
+    whose size Spark guesses from the files below it.
+    """
+    at = F.col(keys[0]) if len(keys) == 1 else F.xxhash64(*keys)
+    hot = hot_codes(probes.select(at.alias("_key")), "_key")
+    is_hot = at.isin(hot) if hot else F.lit(False)
     own = F.pmod(F.xxhash64(left_id), F.lit(SALTS)).cast("int")
     salted = probes.withColumn("_salt", F.when(is_hot, own).otherwise(0))
     salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     repeated = index.withColumn("_salt", F.explode(salts)) if hot else index.withColumn("_salt", F.lit(0))
-    return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
+    return salted.join(repeated.hint("merge"), [*keys, "_salt"]).drop("_salt")
 
 
 def _place(scope: str, name: Column | None = None) -> Column:
