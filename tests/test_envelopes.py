@@ -70,3 +70,12 @@ def test_second_source_needs_its_cards(spark, tmp_path):
     with pytest.raises(Exception, match="no readable cards array"):
         feeds.source_cards(spark, str(tmp_path), feeds.SPLIT).collect()
     assert SOURCE_CARD.names and F
+
+
+def test_running_sums_are_worked_out_once(spark, tmp_path):
+    """They are staged: a feed that is read several times does not repeat them, and they carry no text."""
+    (tmp_path / "a").write_text('{"results": [{"productId": 1, "subTypeName": "a}{"}, {"productId": 2}]}')
+    feed = feeds.read_feed(spark, str(tmp_path), PRICE_RESULT, layout=feeds.SPLIT)
+    assert "Window" not in feed._jdf.queryExecution().optimizedPlan().toString()
+    assert "text" not in envelopes.numbered(envelopes.fragments(spark, str(tmp_path))).columns
+    assert sorted(r.position for r in feed.collect()) == [0, 1]
