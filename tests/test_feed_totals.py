@@ -30,3 +30,12 @@ def test_rows_are_dealt_by_place_and_not_by_bytes(spark, tmp_path):
     assert n == 10 and "10), REPARTITION_BY_NUM" in plan
     # the deal serves the distinct count: the one other exchange is by the totals' own key
     assert plan.count("Exchange hashpartitioning(") == 2 and derive.tasks_for(rows.limit(0), 100) == 1
+
+
+def test_files_are_landed_by_many_tasks(spark, tmp_path):
+    rows = spark.range(40, numPartitions=1).select((F.col("id") % 20).alias("page"), F.lit("x").alias("text"))
+    queries._land_files(rows, "page", 5, str(tmp_path / "out"))
+    files = list((tmp_path / "out").rglob("*.txt"))
+    # one file a value with all its rows, and several tasks wrote them; nothing is left in a task's folder
+    assert len(files) == 20 and {f.read_bytes() for f in files} == {b"x\nx\n"} and {f.parent.name for f in files} == {f"page={i}" for i in range(20)}
+    assert len({f.name.split("-")[1] for f in files}) > 1 and not (tmp_path / "out" / "_temporary").exists()
