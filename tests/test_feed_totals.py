@@ -39,3 +39,17 @@ def test_files_are_landed_by_many_tasks(spark, tmp_path):
     # one file a value with all its rows, and several tasks wrote them; nothing is left in a task's folder
     assert len(files) == 20 and {f.read_bytes() for f in files} == {b"x\nx\n"} and {f.parent.name for f in files} == {f"page={i}" for i in range(20)}
     assert len({f.name.split("-")[1] for f in files}) > 1 and not (tmp_path / "out" / "_temporary").exists()
+
+
+def test_envelopes_are_dealt_by_their_rows(spark, tmp_path, monkeypatch):
+    lines = spark.range(600, numPartitions=1).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") * 8).alias("l_partkey"), F.lit(1).alias("l_linenumber"), F.lit(7).cast("bigint").alias("l_suppkey"),
+        *[F.lit(1.5).alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")], F.lit("N").alias("l_returnflag"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(queries, "ROWS_PER_TASK", 100)
+    bodies = queries._price_bodies(spark, str(tmp_path))
+    plan = bodies._jdf.queryExecution().executedPlan().toString()
+    assert "6), REPARTITION_BY_NUM" in plan and plan.count("Exchange") == 1
+    assert sorted((r.envelope, r.body.count("productId")) for r in bodies.collect()) == [(i, 24 if i == 18 else 32) for i in range(19)]
