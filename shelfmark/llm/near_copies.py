@@ -248,8 +248,9 @@ def keep(
         contract(first_pairs(members.where(F.col("band").between(low, high - 1)), found))
     for _ in range(PRUNINGS):  # of the groups that are still open
         left = _open(members, found).drop("component", "size", "common")
-        rest = sets.join(left.select("id").distinct(), "id", "left_semi")
-        members = left.join(stage(common_shingles(rest), "common"), "id", "left")
+        # the sets of the others are not wanted any more
+        sets = stage(sets.join(left.select("id").distinct(), "id", "left_semi"), "sets")
+        members = left.join(stage(common_shingles(sets), "common"), "id", "left")
         members = stage(members.where(F.coalesce(F.col("common") >= F.col("size") * least, F.lit(True))), "members")
     most = members.agg(F.max("n")).first()[0] or 0
     before, upto = 0, HUBS

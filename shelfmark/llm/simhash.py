@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .bytewise import lower_ascii, pieces, text_bytes, word_spans
-from .stages import shuffle_partitions, stage, tidy
+from .stages import shuffle_partitions, stage, tidy, tidy_group
 
 WORDS = 4
 RADIUS = 4
@@ -209,7 +209,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, shard_limit: int = 1024) -> Da
     return (
         keyed.select("id", "fp", F.col("block").cast("long"), "value", "part", bucket.alias("bucket"))
         .groupBy("bucket")
-        .applyInArrow(_link_batch(radius), "a bigint, b bigint")
+        .applyInArrow(tidy_group(_link_batch(radius)), "a bigint, b bigint")
     )
 
 

@@ -3,8 +3,10 @@
 import collections
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("public_tokenizers")
 
@@ -177,3 +179,20 @@ def test_tokens_are_decoded_and_held_against_the_text(spark, monkeypatch):
     encode = byte_bpe.encode
     monkeypatch.setattr(byte_bpe, "encode", lambda *a, **b: encode(*a, **b).withColumn("decoded", F.lit(b"other")))
     assert not any(r.round_trip for r in corpus_pipeline.tokens(spark, docs, "").collect())
+
+
+def test_a_stage_leaves_no_shuffle_files(spark):
+    from shelfmark.llm.stages import stage
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+    before = shuffled()
+    staged = stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert staged.count() == 7
