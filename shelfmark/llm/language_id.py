@@ -27,11 +27,13 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .bytewise import pieces, text_bytes
 from .byte_bpe import LETTER, classes
+from .chunked import starts_of
 from .stages import numbered, other_fields, tidy
 
 PROFILE = 400
 PIECE = 1 << 20
 HELD = 400_000  # distinct n-grams a task holds before it hands on what it has counted
+WIDEST = 1 << 63  # numbers below can be sorted as one
 UNKNOWN = "und"
 LEAST_SCORE = 0.05
 
@@ -55,37 +57,48 @@ def _letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return points[keep], owner[keep], has
 
 
-def _grams(points: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All n-grams as numbers, with their text.  The blank between two texts closes the one and opens the other."""
-    one = points != 0
-    codes, owners = [points[one] + 1], [owner[one]]
-    if len(points) > 1:
-        two = (points[:-1] + 1) << 21 | (points[1:] + 1)
-        real = (points[:-1] != 0) | (points[1:] != 0)
-        codes.append(two[real])
-        owners.append(np.where(points[:-1] != 0, owner[:-1], owner[1:])[real])  # the letter's text
-    if len(points) > 2:
-        middle = points[1:-1] != 0
-        three = (points[:-2] + 1) << 42 | (points[1:-1] + 1) << 21 | (points[2:] + 1)
-        codes.append(three[middle])
-        owners.append(owner[1:-1][middle])
-    return np.concatenate(codes), np.concatenate(owners)
-
-
-def _counted(codes: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct n-grams of each text with their counts, by text: owner, code, count."""
-    order = np.argsort(codes, kind="quicksort")
-    codes = codes[order]
-    new = np.ones(len(codes), bool)
-    new[1:] = codes[1:] != codes[:-1]
-    distinct = codes[new]
-    dense = np.cumsum(new) - 1  # of the sorted codes
-    key = owners[order].astype(np.int64) * len(distinct) + dense
+def _counted(points: np.ndarray, owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct n-grams of each of ``n`` texts with their counts, by text and n-gram: owner, code, count.
+
+    Sorted are numbers of text and n-gram in one, in the alphabet of these texts alone, as small numbers sort faster.
+    """
+    if not len(points):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    seen = np.zeros(int(points.max()) + 1, bool)
+    seen[points] = True
+    letters = np.r_[0, np.flatnonzero(seen) + 1]  # 0: no letter, 1: the blank
+    size = len(letters)
+    small = n * size**3 < 1 << 32
+    kind = np.uint32 if small else np.int64
+    place, one = np.cumsum(seen).astype(kind)[points], points != 0
+    of_text = owner.astype(kind)
+    two = place[:-1] * kind(size) + place[1:]
+    real = one[:-1] | one[1:]
+    # the blank between two texts closes the one and opens the other: a pair is the letter's text's
+    owners = np.concatenate([of_text[one], np.where(one[:-1], of_text[:-1], of_text[1:])[real], of_text[1:-1][one[1:-1]]])
+    codes = np.concatenate([place[one], two[real], (two[:-1] * kind(size) + place[2:])[one[1:-1]]])
+    known, span = None, size**3
+    if n * span >= WIDEST:
+        known, codes = np.unique(codes, return_inverse=True)
+        span = len(known)
+    key = owners * kind(span) + codes.astype(kind)
     key.sort()
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    first = starts_of(key)
     counts = np.diff(np.r_[first, len(key)])
-    owner, at = np.divmod(key[first], max(len(distinct), 1))
-    return owner, distinct[at], counts
+    owner, code = np.divmod(key[first].astype(np.int64), max(span, 1))
+    code = code if known is None else known[code].astype(np.int64)
+    code, last = np.divmod(code, size)
+    return owner, letters[code // size] << 42 | letters[code % size] << 21 | letters[last], counts
+
+
+def _by_count(owner: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The order by text, falling count and n-gram of what is in the order of text and n-gram."""
+    m, most = len(owner), int(count.max())
+    if (int(owner.max()) + 1) * (most + 1) * m >= WIDEST:
+        return np.lexsort((-count, owner))
+    key = (owner * (most + 1) + (most - count)) * m + np.arange(m)
+    key.sort()
+    return key % m
 
 
 def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", size: int = PROFILE) -> DataFrame:
@@ -107,8 +120,8 @@ def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", si
             for piece in pieces(batch, "_text", PIECE):
                 langs, which = np.unique(np.array(piece.column("_lang").to_pylist(), object).astype(str), return_inverse=True)
                 data, offsets = text_bytes(piece.column("_text"))
-                codes, owners = _grams(*_letters(data, offsets)[:2])
-                owner, code, count = _counted(codes, which[np.minimum(owners, len(which) - 1)], len(langs))
+                points, owners = _letters(data, offsets)[:2]
+                owner, code, count = _counted(points, which[np.minimum(owners, len(which) - 1)], len(langs))
                 for k, lang in enumerate(langs.tolist()):
                     mine = owner == k
                     old, old_n = held.get(lang, (np.zeros(0, np.int64), np.zeros(0, np.int64)))
@@ -140,9 +153,8 @@ class Profiles:
         points, at, has = _letters(data, offsets)
         if not self.langs or not has.any():
             return np.full(n, -1), np.zeros(n)
-        codes, owners = _grams(points, at)
-        owner, code, count = _counted(codes, np.minimum(owners, n - 1), n)
-        order = np.lexsort((code, -count, owner))
+        owner, code, count = _counted(points, np.minimum(at, n - 1), n)
+        order = _by_count(owner, count)
         owner, code = owner[order], code[order]
         begins = np.searchsorted(owner, np.arange(n))
         place = np.arange(len(owner)) - begins[owner]

@@ -349,3 +349,25 @@ def test_chunks_do_not_follow_the_splits(spark, tmp_path, monkeypatch, operator)
             spark.conf.unset(name)
         for name, value in kept.items():
             spark.conf.set(name, value)
+
+
+def test_n_grams_of_texts_are_counted_as_one_number(monkeypatch):
+    from shelfmark.llm import language_id
+
+    texts = ["", "Ünï 日本語 テスト a b", "123", " x ", "ÀÉ" * 5, "日本 日本 😀 q", "İstanbul", "aaa aaa"]
+    want = []
+    for k, text in enumerate(texts):
+        letters = "".join(c if c.isalpha() else " " for c in text.lower())
+        letters = f" {' '.join(re.sub(r'[^\w]+', ' ', letters).split())} "
+        grams = collections.Counter(letters[i : i + n] for n in (1, 2, 3) for i in range(len(letters) - n + 1))
+        grams = {g: n for g, n in grams.items() if g.strip() and not (len(g) == 3 and g[1] == " ")}
+        code = {g: sum((ord(c) + 1 if c != " " else 1) << 21 * (len(g) - 1 - i) for i, c in enumerate(g)) for g in grams}
+        want += sorted((k, code[g], n) for g, n in grams.items())
+    data, offsets = text_bytes(pa.array(texts))
+    points, owner, _ = language_id._letters(data, offsets)
+    for widest in (1 << 63, 1000):
+        monkeypatch.setattr(language_id, "WIDEST", widest)
+        found = language_id._counted(points, np.minimum(owner, len(texts) - 1), len(texts))
+        assert list(zip(*(x.tolist() for x in found), strict=True)) == want
+        order = language_id._by_count(found[0], found[2])
+        assert [want[i] for i in order] == sorted(want, key=lambda r: (r[0], -r[2], r[1]))
