@@ -24,7 +24,7 @@ from .bytewise import pieces, slice_hashes, text_bytes, word_spans
 from .stages import shuffle_partitions, stage
 
 PER_FILE = 2  # chunks of a small file
-CHUNK_BYTES = 1 << 26  # a greater file has a chunk for as many of its bytes: a task of the later passes holds one chunk
+CHUNK_BYTES = 1 << 22  # a greater file has a chunk for as many of its bytes: a task of the later passes holds one chunk, at some 25 times that
 
 
 def file_part(id_col: str) -> Column:

@@ -31,7 +31,7 @@ from .bytewise import mix, pieces, ranges, window_hashes, word_spans
 from .chunked import (
     bucket_of, buckets_of, by_chunk, pack, pack_sorted, stable, starts_of, text_pieces, unpack, unpack_sorted, word_hashes,
 )
-from .stages import stage
+from .stages import stage, tidy, tidy_group
 
 WIDTH = 13
 NO_ID = np.int64(2**63 - 1)
@@ -300,16 +300,16 @@ def dedup(
     """
     rows = stable(docs, id_col, text_col, from_files)
     n = buckets_of(rows)
-    sent = rows.select("chunk", "text").mapInArrow(_probes((width + 1) // 2, n), "chunk bigint, bucket bigint, sent binary")
+    sent = rows.select("chunk", "text").mapInArrow(tidy(_probes((width + 1) // 2, n)), "chunk bigint, bucket bigint, sent binary")
     answer = "chunk bigint, bucket bigint, bits binary"
-    anchors = stage(sent.groupBy("bucket").applyInArrow(_anchors, answer), "anchors")
+    anchors = stage(sent.groupBy("bucket").applyInArrow(tidy_group(_anchors), answer), "anchors")
     asked = rows.groupBy("chunk").cogroup(anchors.groupBy("chunk")).applyInArrow(
-        _ask(width, n), "chunk bigint, bucket bigint, hashes binary, checks binary, least binary"
+        tidy_group(_ask(width, n)), "chunk bigint, bucket bigint, hashes binary, checks binary, least binary"
     )
-    earlier = stage(asked.groupBy("bucket").applyInArrow(_answer, answer), "earlier")
+    earlier = stage(asked.groupBy("bucket").applyInArrow(tidy_group(_answer), answer), "earlier")
     replies = anchors.withColumn("kind", F.lit(1)).unionByName(earlier.withColumn("kind", F.lit(2)))
     found = rows.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(
-        _remove(width, n),
+        tidy_group(_remove(width, n)),
         "id bigint, n_words bigint, n_removed bigint, kept_text string, removed array<struct<start: bigint, end: bigint>>",
     )
     return found.withColumnRenamed("id", id_col)

@@ -351,6 +351,14 @@ def test_chunks_do_not_follow_the_splits(spark, tmp_path, monkeypatch, operator)
             spark.conf.set(name, value)
 
 
+def test_a_chunk_holds_few_bytes(spark):
+    from shelfmark.llm import chunked
+
+    rows = [(i, ("file:/x/part-0", 32_000_000)) for i in range(2000)]
+    found = spark.createDataFrame(rows, "doc_id long, _metadata struct<file_path: string, file_size: long>")
+    assert found.select(chunked.file_part("doc_id")).distinct().count() >= 8
+
+
 def test_n_grams_of_texts_are_counted_as_one_number(monkeypatch):
     from shelfmark.llm import language_id
 
