@@ -7,8 +7,8 @@ differences.  Runs are a table in the shared folder: the text is read once, and
 Which n-grams are frequent.  Each run sends its n-grams as sorted keys to ranges of keys, 32 bits within a range.  A range merges the
 sorted streams of all runs, adds the counts of adjacent equal keys, and answers every run with the keys that reach
 ``least``.  Keys only rule n-grams out: equal keys of different n-grams can add counts, never take any away.  The runs
-then give the n-grams that are left as words, and these counts are added exactly.  As a part of a phrase occurs at
-least as often as the phrase, everything a candidate needs is among them.
+then give the n-grams that are left as words, a row for each run and part, and these counts are added exactly.  As a part of a phrase occurs at least
+as often as the phrase, everything a candidate needs is among them.
 
 Lockstep joins.  The counts are joined in prefix order with those of their first words (left counts, and the greatest
 count of an extension to the right), and in suffix order with those of their last words (right counts, and extensions
@@ -30,20 +30,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytewise import lower_ascii, mix, pieces, slice_hashes, text_bytes
 from .chunked import starts_of
-from .stages import shuffle_partitions, stage, tidy
+from .stages import shuffle_partitions, stage, tidy, tidy_group
 
 RUN_WORDS = 1 << 19
 RUNS_A_FILE = 4  # readers hold a row group whole, which is a file here
 PER_RANGE = 1 << 19  # counts merged by one range at a time
+RANGES_A_PART = 4  # what may be frequent is a fraction of all counts, so a part of it may be greater
 MOST_WORDS = 3
 LEAST = 10
 SCALE = 1_000_000
 ANSWER = "run string, keys binary"
+SPELLED = "part bigint, names array<string>, codes binary, words binary, counts binary"
 
 # What ends a piece, and the blanks between words.
 _ENDS = np.zeros(256, bool)
@@ -277,22 +280,79 @@ def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
 
 
-def _spelled(most: int, n_ranges: int):
-    schema = pa.schema([("lang", pa.string()), *[(f"w{k}", pa.string()) for k in range(1, most + 1)], ("f", pa.int64())])
-
+def _spelled(most: int, n_ranges: int, n_parts: int):
     def run(runs: pa.Table, answers: pa.Table) -> pa.Table:
-        """The n-grams of a run that may be frequent, as words."""
+        """The n-grams of a run that may be frequent, as words: a row for each part, like beside like and compressed."""
         if not runs.num_rows or not answers.num_rows:
-            return schema.empty_table()
+            return _SPELLED.empty_table()
         known = np.sort(np.concatenate([unpack_sorted(x, np.uint64) for x in answers.column("keys").to_pylist()]))
         stream = _Stream(runs.to_pylist()[0])
-        parts = []
-        for columns, counts, keys in stream.orders:
-            some = _among(ranged(keys, n_ranges), known)
-            words = [stream.words.take(pa.array(c[some])).cast(pa.string()) for c in columns]
-            words += [pa.nulls(int(some.sum()), pa.string())] * (most - len(columns))
-            parts.append(pa.table([stream.names.take(pa.array(stream.codes[columns[0][some]])), *words, pa.array(counts[some])], schema=schema))
-        return pa.concat_tables(parts)
+        places, counts = [[] for _ in range(most + 1)], []
+        for columns, f, keys in stream.orders:
+            some = np.flatnonzero(_among(ranged(keys, n_ranges), known))
+            # runs number their words differently: an n-gram's part follows its key
+            places[0].append((mix(keys[some]) % np.uint64(n_parts)).astype(np.int64))
+            for k in range(most):
+                places[k + 1].append(columns[k][some] if k < len(columns) else np.full(len(some), -1))
+            counts.append(f[some])
+        part, *words = map(np.concatenate, places)
+        order = np.lexsort((*words[::-1], part))
+        part, words, counts = part[order], [w[order] for w in words], np.concatenate(counts)[order]
+        begin = starts_of(part)
+        spans = list(zip(begin.tolist(), [*begin[1:].tolist(), len(part)], strict=True))
+        every = pa.concat_arrays([stream.words, pa.array([""], stream.words.type)])
+        ended = pc.binary_join_element_wise(every, *(pa.scalar(x, stream.words.type) for x in ("", _END)))
+        lines = [_lines(ended, w) for w in words]  # -1 is the last, which is empty
+        codes = stream.codes[words[0]]
+        return pa.table({
+            "part": pa.array(part[begin], pa.int64()), "names": pa.array([stream.names.to_pylist()] * len(spans), pa.list_(pa.string())),
+            "codes": pa.array([pack(codes[a:b]) for a, b in spans], pa.binary()),
+            "words": pa.array([_squeezed([data[at[a] : at[b]] for data, at in lines]) for a, b in spans], pa.binary()),
+            "counts": pa.array([pack(counts[a:b]) for a, b in spans], pa.binary()),
+        }, _SPELLED)
+
+    return run
+
+
+_END = "\n"  # no word holds it, as it ends pieces
+_SPELLED = pa.schema([
+    ("part", pa.int64()), ("names", pa.list_(pa.string())), ("codes", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()),
+])
+
+
+def _lines(ended: pa.Array, numbers: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words of these numbers, one after the other, and where each begins (and the end)."""
+    data, offsets = text_bytes(ended.take(pa.array(np.where(numbers < 0, len(ended) - 1, numbers))))
+    return data.tobytes(), offsets
+
+
+def _squeezed(columns: list[bytes]) -> bytes:
+    raw = np.array([len(c) for c in columns], np.uint32).tobytes() + b"".join(columns)
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unsqueezed(cell: bytes, most: int) -> list[bytes]:
+    raw = pa.decompress(cell[8:], int.from_bytes(cell[:8], "little"), codec="zstd", asbytes=True)
+    ends = 4 * most + np.r_[0, np.cumsum(np.frombuffer(raw, np.uint32, most), dtype=np.int64)]
+    return [raw[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def _added(most: int, least: int):
+    words = [f"w{k}" for k in range(1, most + 1)]
+    schema = pa.schema([("lang", pa.string()), *[(w, pa.string()) for w in words], ("f", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        """What the runs have sent a part: n-grams are told apart by their words, their counts added."""
+        names, codes, counts = (table.column(c).to_pylist() for c in ("names", "codes", "counts"))
+        langs = [pa.array(n, pa.string()).take(pa.array(unpack(c, np.int64))) for n, c in zip(names, codes, strict=True)]
+        cells = [_unsqueezed(c, most) for c in table.column("words").to_pylist()]
+        spelled = [pa.array(b"".join(column).decode().split(_END)[:-1], pa.string()) for column in zip(*cells, strict=True)]
+        f = pa.array(np.concatenate([unpack(c, np.int64) for c in counts]))
+        sums = pa.table([pa.concat_arrays(langs), *spelled, f], names=["lang", *words, "f"])
+        sums = sums.group_by(["lang", *words], use_threads=False).aggregate([("f", "sum")])
+        sums = sums.filter(pc.greater_equal(sums.column("f_sum"), least))
+        spelled = [pc.if_else(pc.equal(sums.column(w), ""), pa.scalar(None, pa.string()), sums.column(w)) for w in words]
+        return pa.table([sums.column("lang"), *spelled, sums.column("f_sum")], schema=schema)
 
     return run
 
@@ -300,14 +360,16 @@ def _spelled(most: int, n_ranges: int):
 def frequent(runs: DataFrame, most: int = MOST_WORDS, least: int = LEAST) -> DataFrame:
     """lang, w1, w2, ... (null beyond the phrase), f: all n-grams that occur ``least`` times or more, counted exactly."""
     entries = runs.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    n_ranges = max(shuffle_partitions(runs.sparkSession), -(-entries // PER_RANGE))
+    partitions = shuffle_partitions(runs.sparkSession)
+    n_ranges = max(partitions, -(-entries // PER_RANGE))
+    n_parts = max(partitions, -(-n_ranges // RANGES_A_PART))
     sent = runs.mapInArrow(tidy(_to_ranges(n_ranges)), "part bigint, run string, keys binary, counts binary")
-    answers = sent.groupBy("part").applyInArrow(_frequent_of(least), ANSWER)
-    words = [f"w{k}" for k in range(1, most + 1)]
-    found = runs.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(
-        _spelled(most, n_ranges), "lang string, " + ", ".join(f"{w} string" for w in words) + ", f bigint"
+    answers = stage(sent.groupBy("part").applyInArrow(tidy_group(_frequent_of(least)), ANSWER), "answers")
+    spelled = runs.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(
+        tidy_group(_spelled(most, n_ranges, n_parts)), SPELLED
     )
-    return found.groupBy("lang", *words).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    words = ", ".join(f"w{k} string" for k in range(1, most + 1))
+    return spelled.groupBy("part").applyInArrow(tidy_group(_added(most, least)), f"lang string, {words}, f bigint")
 
 
 def _order(counts: DataFrame, words: int, most: int) -> DataFrame:

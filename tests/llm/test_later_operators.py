@@ -359,6 +359,20 @@ def test_a_chunk_holds_few_bytes(spark):
     assert found.select(chunked.file_part("doc_id")).distinct().count() >= 8
 
 
+def test_a_run_sends_a_part_one_row(docs):
+    runs = collocations.count_runs(docs.coalesce(1)).toArrow()
+    for i in range(runs.num_rows):
+        run = runs.slice(i, 1)
+        orders = collocations._Stream(run.to_pylist()[0]).orders
+        keys = collocations.ranged(np.unique(np.concatenate([k for _, _, k in orders])), 4)
+        answers = pa.table({"run": run.column("run"), "keys": pa.array([collocations.pack_sorted(keys)], pa.binary())})
+        sent = collocations._spelled(3, 4, 2)(run, answers)
+        assert sent.column("part").to_pylist() == [0, 1]
+        added = [collocations._added(3, 1)(pa.concat_tables([sent.slice(k, 1)] * 2)) for k in (0, 1)]
+        assert sum(sum(t.column("f").to_pylist()) for t in added) == 2 * sum(int(c.sum()) for _, c, _ in orders)
+        assert sum(t.num_rows for t in added) == sum(len(c) for _, c, _ in orders)
+
+
 def test_n_grams_of_texts_are_counted_as_one_number(monkeypatch):
     from shelfmark.llm import language_id
 
