@@ -12,7 +12,8 @@ a few pairs a document, after which a group of copies is one component, or nearl
 are told how many of their shingles some other of them has.  The rest bounds the similarity of any pair from above, so most
 pairs that only share a template, and documents of which too little is shared, are left out unseen.  Then, in a round some members, drawn by a hash of the id, are hubs and meet all members of other components.
 Then links contract components, and members that have been hubs have met everyone, so they are done.  Of the groups that
-still hold two components, a round takes ``MORE`` times as many hubs as the one before, until all members have been hubs.
+still hold two components, a round takes ``MORE`` times as many hubs as the one before, until all members have been hubs
+or no group is open.  A group's members are counted again when some were left out.
 So the pairs of a group of copies are in proportion to its size, and no pair is left out.  What remains in proportion to the square of a group are pairs that share a fingerprint and still are no links.
 
 Defined results: texts of fewer words than a shingle are one shingle; null and wordless texts are alike.  Rows that
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import simhash
 from .bytewise import lower_ascii, mix, pieces, ranges, slice_hashes, text_bytes, window_hashes, word_spans
-from .stages import stage, tidy
+from .stages import shuffles_go, stage, tidy, unstage
 
 WORDS = 5
 LEAST_SIMILAR = 0.8
@@ -96,7 +97,10 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def band_members(texts: DataFrame, words: int = WORDS) -> DataFrame:
-    """band, key, id, draw (0 to 1, by the id), n: the members of each group of n > 1 documents with one band fingerprint."""
+    """band, key, id, draw (0 to 1, by the id), n: the members of each group of n > 1 documents with one band fingerprint.
+
+    A staged table.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in (p for batch in batches for p in pieces(batch, "_text")):
@@ -108,7 +112,9 @@ def band_members(texts: DataFrame, words: int = WORDS) -> DataFrame:
     members = rows.select("id", F.posexplode("keys").alias("band", "key"))
     groups = stage(members.groupBy("key").agg(F.count("id").alias("n")).where("n > 1"), "groups")
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    return members.join(groups, "key").select("band", "key", "id", draw.alias("draw"), "n")
+    found = stage(members.join(groups, "key").select("band", "key", "id", draw.alias("draw"), "n"), "members")
+    unstage(rows, groups)
+    return found
 
 
 def shingle_sets(texts: DataFrame, words: int = WORDS) -> DataFrame:
@@ -145,12 +151,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: float = LEAST_SIMILAR) -
     return sides.select("a", "b", "_left", "_right").mapInArrow(tidy(run), "a bigint, b bigint")
 
 
-def _open(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members with their component, of groups that hold two components or more."""
-    known = found.select(F.col("node").alias("id"), "component")
+def _open(members: DataFrame, found: DataFrame, again: bool = False) -> DataFrame:
+    """Members with their component, of groups that hold two components or more; n is counted ``again``."""
+    known = found.select(F.col("a").alias("id"), F.col("b").alias("component"))
     members = members.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    ends = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return stage(members.join(ends.where("low <> high").select("key"), "key"), "open")
+    ends = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("id").alias("n"))
+    ends = ends.where("low <> high")
+    return stage(members.drop("n").join(ends.select("key", "n"), "key") if again else members.join(ends.select("key"), "key"), "open")
 
 
 def _meet(members: DataFrame, hubs: DataFrame, possible: Column | None = None) -> DataFrame:
@@ -161,26 +168,35 @@ def _meet(members: DataFrame, hubs: DataFrame, possible: Column | None = None) -
 
 
 def first_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of every member of a group with one of them."""
+    """Pairs of every member of a group with one of them, a staged table; ``found``: ``simhash.stars``."""
     members = _open(members, found)
     drawn = F.min(F.struct(F.xxhash64("id", "key").alias("by"), F.col("id").alias("hub"), F.col("component").alias("other")))
     hubs = members.groupBy("key").agg(drawn.alias("drawn"))
-    return _meet(members, hubs.select(F.col("key").alias("at"), "drawn.hub", "drawn.other"))
+    pairs = stage(_meet(members, hubs.select(F.col("key").alias("at"), "drawn.hub", "drawn.other")), "pairs")
+    unstage(members)
+    return pairs
 
 
-def round_pairs(members: DataFrame, found: DataFrame, before: float, upto: float, least: float) -> DataFrame:
-    """Pairs between the hubs of this round and all members that haven't been hubs in a round before.
+def round_pairs(members: DataFrame, found: DataFrame, before: float, upto: float, least: float) -> DataFrame | None:
+    """Pairs between the hubs of this round and all members that haven't been hubs in a round before, a staged table.
 
+    None if no group is open, so that none will be in a later round.
     Shingles that only one document has are in the union of any pair, never in what it shares: some pairs can't reach ``least``.
     """
     members = _open(members.where(F.col("draw") * F.col("n") >= before), found)
+    if members.isEmpty():
+        unstage(members)
+        return None
     hubs = members.where(F.col("draw") * F.col("n") < upto).select(
         F.col("key").alias("at"), F.col("id").alias("hub"), F.col("component").alias("other"),
         F.col("size").alias("hub_size"), F.col("common").alias("hub_common"),
     )
     both = F.least("common", "hub_common")
     known = F.col("common").isNotNull() & F.col("hub_common").isNotNull()
-    return _meet(members, hubs, ~known | (both >= (F.col("size") + F.col("hub_size") - both) * least))
+    met = _meet(members, hubs, ~known | (both >= (F.col("size") + F.col("hub_size") - both) * least))
+    pairs = stage(met, "pairs")
+    unstage(members)
+    return pairs
 
 
 def common_shingles(sets: DataFrame) -> DataFrame:
@@ -205,17 +221,20 @@ def common_shingles(sets: DataFrame) -> DataFrame:
 
 
 def simhash_candidates(docs: DataFrame, id_col: str, text_col: str, words: int, radius: int) -> DataFrame:
-    """a, b: pairs with equal fingerprints (with the smallest id) or within ``radius`` of each other."""
+    """a, b: pairs (a > b) with equal fingerprints (with the smallest id) or within ``radius`` of each other, a staged table."""
     rows = stage(simhash.fingerprints(docs, id_col, text_col, words).where("id IS NOT NULL"), "fingerprints")
     nodes = stage(rows.groupBy("fp").agg(F.min("id").alias("id")), "nodes")
     equal = rows.join(nodes.withColumnRenamed("id", "first"), "fp").select(F.col("id").alias("a"), F.col("first").alias("b"))
-    return equal.unionByName(simhash.links(nodes, radius)).where("a <> b")
+    alike = equal.unionByName(simhash.links(nodes, radius)).where("a <> b")
+    alike = stage(alike.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "alike")
+    unstage(rows, nodes)
+    return alike
 
 
 def candidates(texts: DataFrame, words: int = WORDS) -> DataFrame:
     """a, b: the pairs (a > b) of the first round among texts (id, _text)."""
-    none = texts.sparkSession.createDataFrame([], "node bigint, component bigint")
-    return first_pairs(stage(band_members(texts, words), "members").where(F.col("band") < FIRST_BANDS[0][1]), none)
+    none = texts.sparkSession.createDataFrame([], "a bigint, b bigint")
+    return first_pairs(band_members(texts, words).where(F.col("band") < FIRST_BANDS[0][1]), none)
 
 
 def keep(
@@ -224,38 +243,49 @@ def keep(
 ) -> DataFrame:
     """One document of each component of near copies, that with the smallest id, with all columns; rows without an id stay."""
     texts = _texts(docs, id_col, text_col)
-    members = stage(band_members(texts, words), "members")
+    members = band_members(texts, words)
     alike = simhash_candidates(docs, id_col, text_col, words, radius)
-    alike = stage(alike.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "alike")
     met = members.select("id").unionByName(alike.select(F.explode(F.array("a", "b")).alias("id"))).distinct()
-    rows = texts.join(met, "id", "left_semi")
-    sets = shingle_sets(rows, words)
-    several = stage(rows.groupBy("id").count().where("count > 1").select("id"), "several")
+    sets = shingle_sets(texts.join(met, "id", "left_semi"), words)
+    several = stage(texts.groupBy("id").count().where("count > 1").select("id"), "several")
     if not several.isEmpty():
         sets = sets.join(several, "id", "left_anti").unionByName(sets.join(several, "id").distinct())
     sets = stage(sets, "sets")
     links = stage(confirmed(alike, sets, least), "links")
-    found = simhash.components(links)
+    found = simhash.stars(links)
+    unstage(several, alike, links)
 
     def contract(pairs: DataFrame) -> None:
-        nonlocal links, found
-        pairs = stage(pairs, "pairs")
+        nonlocal found
         if not pairs.isEmpty():
-            links = links.unionByName(stage(confirmed(pairs, sets, least), "links"))
-            found = simhash.components(links)
+            links = stage(confirmed(pairs, sets, least), "links")
+            # what is found already stands for the links before
+            after = simhash.stars(found.unionByName(links))
+            unstage(found, links)
+            found = after
+        unstage(pairs)
 
     for low, high in FIRST_BANDS:
         contract(first_pairs(members.where(F.col("band").between(low, high - 1)), found))
     for _ in range(PRUNINGS):  # of the groups that are still open
-        left = _open(members, found).drop("component", "size", "common")
+        opened = _open(members, found, again=True)
+        left = opened.drop("component", "size", "common")
         # the sets of the others are not wanted any more
-        sets = stage(sets.join(left.select("id").distinct(), "id", "left_semi"), "sets")
-        members = left.join(stage(common_shingles(sets), "common"), "id", "left")
-        members = stage(members.where(F.coalesce(F.col("common") >= F.col("size") * least, F.lit(True))), "members")
-    most = members.agg(F.max("n")).first()[0] or 0
+        fewer = stage(sets.join(left.select("id").distinct(), "id", "left_semi"), "sets")
+        common = stage(common_shingles(fewer), "common")
+        possible = left.join(common, "id", "left").where(F.coalesce(F.col("common") >= F.col("size") * least, F.lit(True)))
+        possible = stage(possible, "members")
+        unstage(members, sets, opened, common)
+        members, sets = possible, fewer
+    with shuffles_go(docs.sparkSession):
+        most = members.agg(F.max("n")).first()[0] or 0
     before, upto = 0, HUBS
     while before < most:
-        contract(round_pairs(members, found, before, upto, least))
+        pairs = round_pairs(members, found, before, upto, least)
+        if pairs is None:
+            break
+        contract(pairs)
         before, upto = upto, upto * MORE
-    gone = stage(found.where("component <> node").select(F.col("node").alias("_gone")).distinct(), "gone")
+    unstage(members, sets)
+    gone = found.select(F.col("a").alias("_gone"))
     return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

@@ -15,7 +15,8 @@ its own, so no task gets a hot shard whole.  Which shards are hot is known from
 4,096th of all nodes, there are at most ``blocks * 4096`` of them.
 
 A task hands on a spanning forest of the links it has found, never all pairs.  Components are then found by letting
-each node point to the smallest id it can see (large star, small star), written as a table after every round.
+each node point to the smallest id it can see (large star, small star), written as a table after every round, which
+removes the one before, until each node points to one that points nowhere.
 
 Defined results: null and wordless texts have fingerprint zero and are linked like any other.  Texts of fewer words
 than a shingle are one shingle.  Rows that repeat an id are each returned, with their own fingerprint; an id's rows
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from .bytewise import lower_ascii, pieces, text_bytes, word_spans
-from .stages import shuffle_partitions, stage, tidy, tidy_group
+from .stages import shuffle_partitions, shuffles_go, stage, tidy, tidy_group, unstage
 
 WORDS = 4
 RADIUS = 4
@@ -181,7 +182,8 @@ def _blocks(radius: int) -> list[tuple[int, int]]:
 def links(nodes: DataFrame, radius: int = RADIUS, shard_limit: int = 1024) -> DataFrame:
     """a, b: a forest of links that connects all nodes (id, fp; fps distinct) within ``radius`` of one another."""
     spark = nodes.sparkSession
-    n = nodes.count()
+    with shuffles_go(spark):
+        n = nodes.count()
     limit = max(shard_limit, n // HOT_SHARE)
     keyed = nodes.select(
         "id", "fp",
@@ -189,7 +191,8 @@ def links(nodes: DataFrame, radius: int = RADIUS, shard_limit: int = 1024) -> Da
             F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1)) for shift, width in _blocks(radius)
         ])).alias("block", "value"),
     )
-    hot = keyed.groupBy("block", "value").count().where(F.col("count") > limit).collect()  # few: see above
+    with shuffles_go(spark):
+        hot = keyed.groupBy("block", "value").count().where(F.col("count") > limit).collect()  # few: see above
     keyed = keyed.withColumn("shard", F.col("block") * F.lit(1 << 32) + F.col("value"))
     if hot:
         # a hot shard's parts by id; part p meets part q in the tree (p, q)
@@ -213,27 +216,43 @@ def links(nodes: DataFrame, radius: int = RADIUS, shard_limit: int = 1024) -> Da
     )
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, component: for every node of an edge the smallest node it is connected with."""
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node points to one other at most, which itself points nowhere."""
+    with shuffles_go(edges.sparkSession):
+        ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("points"), F.lit(0).alias("met"))
+        ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("points"), F.lit(1).alias("met")))
+        ends = ends.groupBy("node").agg(F.sum("points").alias("points"), F.max("met").alias("met"))
+        return ends.where("points > 1 OR points = 1 AND met = 1").limit(1).count() == 0
+
+
+def stars(edges: DataFrame) -> DataFrame:
+    """a, b, a staged table: every node but the smallest of its component, and that one."""
     edges = stage(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    while True:
+    while not _settled(edges):
         # large star: a node's greater neighbours point to the least of all its neighbours
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        least = stage(least, "least")
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stage(large.where("a <> b").distinct(), "large")
         # small star: a node and its smaller neighbours point to the least of them
-        least = stage(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         small = small.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
         after = stage(small, "edges")
-        same = after.count() == edges.count() and after.join(edges, ["a", "b"], "left_anti").isEmpty()
+        unstage(edges, large)
         edges = after
-        if same:
-            break
-    roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+    return edges
+
+
+def members(found: DataFrame) -> DataFrame:
+    """node, component: of all nodes of ``stars``."""
+    roots = found.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return found.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, component: for every node of an edge the smallest node it is connected with."""
+    return members(stars(edges))
 
 
 def near_duplicates(

@@ -2,7 +2,7 @@
 
 import random
 
-from shelfmark.llm import near_copies
+from shelfmark.llm import near_copies, simhash, stages
 
 from .test_pipeline import alike_brute
 
@@ -56,3 +56,24 @@ def test_repeated_ids_and_clashing_columns(spark):
     assert found.columns == ["doc_id", "text", "_gone", "id", "key", "b"]
     assert sorted(r.doc_id or 0 for r in found.collect()) == [0, 1, 1, 3, 5]
     assert near_copies.keep(docs.where("doc_id = 77")).count() == 0
+
+
+def test_rounds_leave_one_table_and_no_shuffle_files(spark):
+    """Tables of earlier rounds and shuffle files of counts added up with every round, to 0.7 GB on small input."""
+    spark._jvm.System.gc()
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+    files, tables = shuffled(), list(stages._made)
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 102), (101, 102)], "a long, b long")
+    found = simhash.components(edges)
+    assert len(stages._made) == len(tables) + 1
+    assert not shuffled() - files
+    assert {(r.node, r.component) for r in found.collect()} == {(i, 0) for i in range(61)} | {(i, 100) for i in (100, 101, 102)}
+
+    tables = list(stages._made)
+    texts = templated(40, 7, 3)
+    assert kept(spark, texts) == [i for i in sorted(texts) if i % 2 == 0]
+    assert len(stages._made) == len(tables) + 1
