@@ -69,20 +69,42 @@ class Lanes:
             t += steps
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    x *= np.float32(0.5)
+def _sigmoid_of_twice(x: np.ndarray) -> np.ndarray:
+    """Of 2 x, in place: weights that lead to gates are halved once instead."""
     np.tanh(x, out=x)
     x *= np.float32(0.5)
     x += np.float32(0.5)
     return x
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
+def _picked(x: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    return x.reshape(-1, *x.shape[2:]) if mask.all() else x[mask]
+
+
+def _row_sums(x: np.ndarray) -> np.ndarray:
+    return x @ np.ones(x.shape[1], x.dtype)  # a sum along short rows is slower
+
+
+def _column_sums(x: np.ndarray) -> np.ndarray:
+    return np.ones(len(x), x.dtype) @ x
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """In place."""
     x -= x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    np.exp(x, out=x)
+    x *= 1 / _row_sums(x)[:, None]
     return x
 
 
+def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One value of each row's log-softmax; ``x`` is used up."""
+    x -= x.max(axis=1, keepdims=True)
+    found = x[np.arange(len(at)), at]
+    np.exp(x, out=x)
+    return found - np.log(_row_sums(x))
+
+
 class Network:
     """``weights``: x (items, 3 hidden), u (hidden, 3 hidden), c and cb (classes), w and wb (words of classes)."""
 
@@ -119,21 +141,35 @@ class Network:
         return Network(out)
 
     def _run(self, inputs, resets, h, keep: bool):
-        """States after each step (steps, lanes, hidden), and with ``keep`` what the way back needs."""
-        u, x, n = self.weights["u"], self.weights["x"], self.hidden
-        states = np.empty((inputs.shape[1], len(h), n), np.float32)
-        kept = []
-        for t in range(inputs.shape[1]):
-            h = np.where(resets[:, t, None], np.float32(0), h)
-            given, own = x[inputs[:, t]], h @ u
-            gates = _sigmoid(given[:, : 2 * n] + own[:, : 2 * n])
-            z, r = gates[:, :n], gates[:, n:]
-            new = np.tanh(given[:, 2 * n :] + r * own[:, 2 * n :])
+        """States after each step (steps, lanes, hidden), and with ``keep`` what the way back needs, likewise by steps."""
+        n = self.hidden
+        halved = np.repeat(np.array([0.5, 1], np.float32), [2 * n, n])
+        u = self.weights["u"] * halved
+        given = (self.weights["x"] * halved)[inputs.T]
+        steps, lanes = given.shape[:2]
+        states = np.empty((steps, lanes, n), np.float32)
+        gates, new = np.empty((steps if keep else 1, lanes, 2 * n), np.float32), np.empty((steps if keep else 1, lanes, n), np.float32)
+        olds, owns = (np.empty_like(states), np.empty((steps, lanes, n), np.float32)) if keep else (None, None)
+        own, anew = np.empty((lanes, 3 * n), np.float32), resets.any(axis=0).tolist()
+        for t in range(steps):
+            if anew[t]:
+                h = np.where(resets[:, t, None], np.float32(0), h)
+            np.matmul(h, u, out=own)
+            k = t if keep else 0
+            zr, c, x = gates[k], new[k], given[t]
+            np.add(x[:, : 2 * n], own[:, : 2 * n], out=zr)
+            _sigmoid_of_twice(zr)
+            np.multiply(zr[:, n:], own[:, 2 * n :], out=c)
+            c += x[:, 2 * n :]
+            np.tanh(c, out=c)
             if keep:
-                kept.append((h, z, r, new, own[:, 2 * n :]))
-            h = new + z * (h - new)
-            states[t] = h
-        return states, kept, h
+                olds[t], owns[t] = h, own[:, 2 * n :]
+            out = states[t]
+            np.subtract(h, c, out=out)
+            out *= zr[:, :n]
+            out += c
+            h = out
+        return states, (olds, gates, new, owns), h.copy()
 
     def score(self, sizes: np.ndarray, items: np.ndarray, classes: np.ndarray, words: np.ndarray, first: int, lanes: int = 256) -> np.ndarray:
         """Natural log-probability of each token: of its class, and of its word in a class of frequent words.
@@ -148,22 +184,23 @@ class Network:
         h = np.zeros((len(laid.length), self.hidden), np.float32)
         for at, real in laid.windows(2 * WINDOW):
             states, _, h = self._run(before[at], laid.begins[at], h[: len(at)], False)
-            places = at.T[real.T]
-            out[places] = self._log_probabilities(states[real.T], cls_[places], word[places])
+            places = _picked(at.T, real.T)
+            out[places] = self._log_probabilities(_picked(states, real.T), cls_[places], word[places])
         back = np.empty(len(out), np.float32)
         back[laid.tokens] = out
         return back
 
     def _log_probabilities(self, states, classes, words):
         w = self.weights
-        found = _log_softmax(states @ w["c"] + w["cb"])[np.arange(len(classes)), classes]
+        found = _log_softmax_at(states @ w["c"] + w["cb"], classes)
         named = np.flatnonzero(words >= 0)
         named = named[np.argsort(classes[named], kind="stable")]
         edges = np.searchsorted(classes[named], np.arange(len(w["w"]) + 1))
+        states, words, more = states[named], words[named], np.empty(len(named), np.float32)
         for k, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
             if b > a:
-                mine = named[a:b]
-                found[mine] += _log_softmax(states[mine] @ w["w"][k] + w["wb"][k])[np.arange(b - a), words[mine]]
+                more[a:b] = _log_softmax_at(states[a:b] @ w["w"][k] + w["wb"][k], words[a:b])
+        found[named] += more
         return found
 
 
@@ -189,41 +226,54 @@ class Trainer:
         net, w, n = self.network, self.network.weights, self.network.hidden
         states, kept, h_end = net._run(inputs, resets, h, True)
         mask = real.T
-        flat, cls_, word = states[mask], classes.T[mask], words.T[mask]
+        flat, cls_, word = (_picked(x, mask) for x in (states, classes.T, words.T))
         share = np.float32(1 / max(len(flat), 1))
         grads = {"w": np.zeros_like(w["w"]), "wb": np.zeros_like(w["wb"])}
-        p = np.exp(_log_softmax(flat @ w["c"] + w["cb"]))
+        p = _softmax(flat @ w["c"] + w["cb"])
         p[np.arange(len(p)), cls_] -= 1
         p *= share
-        grads["c"], grads["cb"] = flat.T @ p, p.sum(axis=0)
+        grads["c"], grads["cb"] = flat.T @ p, _column_sums(p)
         d_flat = p @ w["c"].T
         named = np.flatnonzero(word >= 0)
         named = named[np.argsort(cls_[named], kind="stable")]
         edges = np.searchsorted(cls_[named], np.arange(len(w["w"]) + 1))
+        met, word, d_met = flat[named], word[named], np.empty((len(named), n), np.float32)
         for k, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
             if b > a:
-                mine = named[a:b]
-                q = np.exp(_log_softmax(flat[mine] @ w["w"][k] + w["wb"][k]))
-                q[np.arange(b - a), word[mine]] -= 1
+                q = _softmax(met[a:b] @ w["w"][k] + w["wb"][k])
+                q[np.arange(b - a), word[a:b]] -= 1
                 q *= share
-                grads["w"][k], grads["wb"][k] = flat[mine].T @ q, q.sum(axis=0)
-                d_flat[mine] += q @ w["w"][k].T
-        d_states = np.zeros_like(states)
-        d_states[mask] = d_flat
-        d_x = np.empty((*states.shape[:2], 3 * n), np.float32)
-        d_u = np.zeros_like(w["u"])
+                grads["w"][k], grads["wb"][k] = met[a:b].T @ q, _column_sums(q)
+                np.matmul(q, w["w"][k].T, out=d_met[a:b])
+        d_flat[named] += d_met
+        if len(d_flat) == mask.size:
+            d_states = d_flat.reshape(states.shape)
+        else:
+            d_states = np.zeros_like(states)
+            d_states[mask] = d_flat
+        # all that doesn't depend on the step after, for all steps at once
+        olds, gates, new, owns = kept
+        z, r = gates[..., :n], gates[..., n:]
+        to_new = (1 - z) * (1 - new * new)
+        to_z = (olds - new) * z * (1 - z)
+        to_r = owns * r * (1 - r)
+        d_own = np.empty((*states.shape[:2], 3 * n), np.float32)
+        d_new = np.empty_like(states)
+        back, anew = np.ascontiguousarray(w["u"].T), resets.any(axis=0).tolist()
         d_h = np.zeros_like(h_end)
         for t in range(len(states) - 1, -1, -1):
-            old, z, r, new, own = kept[t]
-            d_h = d_h + d_states[t]
-            d_new = d_h * (1 - z) * (1 - new * new)
-            d_z = d_h * (old - new) * z * (1 - z)
-            d_r = d_new * own * r * (1 - r)
-            d_x[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-            d_own = np.concatenate([d_z, d_r, d_new * r], axis=1)
-            d_u += old.T @ d_own
-            d_h = d_h * z + d_own @ w["u"].T
-            d_h[resets[:, t]] = 0
+            d_h += d_states[t]
+            np.multiply(d_h, to_new[t], out=d_new[t])
+            np.multiply(d_h, to_z[t], out=d_own[t, :, :n])
+            np.multiply(d_new[t], to_r[t], out=d_own[t, :, n : 2 * n])
+            np.multiply(d_new[t], r[t], out=d_own[t, :, 2 * n :])
+            d_h *= z[t]
+            d_h += d_own[t] @ back
+            if anew[t]:
+                d_h[resets[:, t]] = 0
+        d_u = olds.reshape(-1, n).T @ d_own.reshape(-1, 3 * n)
+        d_x = d_own
+        d_x[..., 2 * n :] = d_new
         grads["u"] = d_u
         grads["x"] = np.zeros_like(w["x"])
         asked = inputs.T.reshape(-1)
