@@ -81,20 +81,11 @@ def _picked(x: np.ndarray, mask: np.ndarray) -> np.ndarray:
     return x.reshape(-1, *x.shape[2:]) if mask.all() else x[mask]
 
 
-def _row_sums(x: np.ndarray) -> np.ndarray:
-    return x @ np.ones(x.shape[1], x.dtype)  # a sum along short rows is slower
-
-
-def _column_sums(x: np.ndarray) -> np.ndarray:
-    return np.ones(len(x), x.dtype) @ x
-
-
 def _softmax(x: np.ndarray) -> np.ndarray:
     """In place."""
     x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x *= 1 / _row_sums(x)[:, None]
-    return x
+    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
+    return np.exp(x, out=x)
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -102,7 +93,7 @@ def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     x -= x.max(axis=1, keepdims=True)
     found = x[np.arange(len(at)), at]
     np.exp(x, out=x)
-    return found - np.log(_row_sums(x))
+    return found - np.log(x.sum(axis=1))
 
 
 class Network:
@@ -232,7 +223,7 @@ class Trainer:
         p = _softmax(flat @ w["c"] + w["cb"])
         p[np.arange(len(p)), cls_] -= 1
         p *= share
-        grads["c"], grads["cb"] = flat.T @ p, _column_sums(p)
+        grads["c"], grads["cb"] = flat.T @ p, p.sum(axis=0)
         d_flat = p @ w["c"].T
         named = np.flatnonzero(word >= 0)
         named = named[np.argsort(cls_[named], kind="stable")]
@@ -243,7 +234,7 @@ class Trainer:
                 q = _softmax(met[a:b] @ w["w"][k] + w["wb"][k])
                 q[np.arange(b - a), word[a:b]] -= 1
                 q *= share
-                grads["w"][k], grads["wb"][k] = met[a:b].T @ q, _column_sums(q)
+                grads["w"][k], grads["wb"][k] = met[a:b].T @ q, q.sum(axis=0)
                 np.matmul(q, w["w"][k].T, out=d_met[a:b])
         d_flat[named] += d_met
         if len(d_flat) == mask.size:
@@ -254,24 +245,30 @@ class Trainer:
         # all that doesn't depend on the step after, for all steps at once
         olds, gates, new, owns = kept
         z, r = gates[..., :n], gates[..., n:]
-        to_new = (1 - z) * (1 - new * new)
-        to_z = (olds - new) * z * (1 - z)
-        to_r = owns * r * (1 - r)
+        not_z, not_r, change, slope = 1 - z, 1 - r, olds - new, 1 - new * new
+        z, r = np.ascontiguousarray(z), np.ascontiguousarray(r)
         d_own = np.empty((*states.shape[:2], 3 * n), np.float32)
         d_new = np.empty_like(states)
-        back, anew = np.ascontiguousarray(w["u"].T), resets.any(axis=0).tolist()
+        d_u, part = np.zeros_like(w["u"]), np.empty_like(h_end)
+        anew = resets.any(axis=0).tolist()
         d_h = np.zeros_like(h_end)
         for t in range(len(states) - 1, -1, -1):
             d_h += d_states[t]
-            np.multiply(d_h, to_new[t], out=d_new[t])
-            np.multiply(d_h, to_z[t], out=d_own[t, :, :n])
-            np.multiply(d_new[t], to_r[t], out=d_own[t, :, n : 2 * n])
-            np.multiply(d_new[t], r[t], out=d_own[t, :, 2 * n :])
+            given, own = d_new[t], d_own[t]
+            np.multiply(d_h, not_z[t], out=given)
+            given *= slope[t]
+            np.multiply(d_h, change[t], out=part)
+            part *= z[t]
+            np.multiply(part, not_z[t], out=own[:, :n])
+            np.multiply(given, owns[t], out=part)
+            part *= r[t]
+            np.multiply(part, not_r[t], out=own[:, n : 2 * n])
+            np.multiply(given, r[t], out=own[:, 2 * n :])
+            d_u += olds[t].T @ own
             d_h *= z[t]
-            d_h += d_own[t] @ back
+            d_h += own @ w["u"].T
             if anew[t]:
                 d_h[resets[:, t]] = 0
-        d_u = olds.reshape(-1, n).T @ d_own.reshape(-1, 3 * n)
         d_x = d_own
         d_x[..., 2 * n :] = d_new
         grads["u"] = d_u
