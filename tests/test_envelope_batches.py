@@ -88,3 +88,9 @@ def batches(spark, tmp_path, monkeypatch):
 def test_feed_by_batches(spark, tmp_path, batches):
     rows = queries.envelope_feed(spark, str(tmp_path)).collect()
     assert sorted(map(tuple, rows)) == [(8 * i, "Normal", n, 150 * n, 0 if i % 4 == 3 else n, n) for i in range(600) for n in [2 if i == 3 else 1]]
+
+
+def test_checks_by_batches(spark, tmp_path, batches):
+    rows = queries.envelope_checks(spark, str(tmp_path)).collect()
+    n = {e: 33 if e == 0 else 24 if e == 18 else 32 for e in range(19)}
+    assert sorted(map(tuple, rows)) == [(e, *[(n[e], 0, n[e]), (0, 0, 0), (0, 1, 0), (n[e], 1, n[e] + 1)][e % 4]) for e in range(19)]
